@@ -82,3 +82,148 @@ def q_platform_summary(spark, sf_dir):
         F.array_join("active_applications", ",").alias("active_applications"),
         "aggregation_timestamp",
     )
+
+
+# ---------------------------------------------------------------- ingestion (PRJ1-5, JN1, SRC1-2)
+
+@query("flatten_runs")
+def q_flatten_runs(spark, sf_dir):
+    from runlens.operators.flatten import flatten_runs
+    from runlens.sources.fixtures import runs_raw_from_runs
+
+    t = build(spark, sf_dir)
+    rows = flatten_runs(runs_raw_from_runs(t.runs), t.experiments, AS_OF)
+    return rows.select(
+        "run_id", "experiment_id", "experiment_name", "user_id", "run_name", "start_time", "end_time",
+        "status", "metric_name", round6(F.col("metric_value")).alias("metric_value"), "extraction_timestamp",
+    )
+
+
+@query("lookback_runs")
+def q_lookback_runs(spark, sf_dir):
+    from runlens.sources.runs import scan_runs
+
+    t = build(spark, sf_dir)
+    r = scan_runs(t.runs, t.experiments, AS_OF, "168 HOURS", "name IN ('app-1', 'app-2', 'app-3')")
+    return r.select("run_id", "experiment_id", "start_time")
+
+
+# ---------------------------------------------------------------- enrichment (JN2-3, CLS1-2, FLT3, WIN3)
+
+@query("threshold_resolution")
+def q_threshold_resolution(spark, sf_dir):
+    from runlens.operators.enrich import threshold_resolution
+
+    return threshold_resolution(build(spark, sf_dir).enriched_base)
+
+
+@query("unmatched_metrics")
+def q_unmatched_metrics(spark, sf_dir):
+    from runlens.operators.enrich import unmatched_metrics
+
+    t = build(spark, sf_dir)
+    return unmatched_metrics(t.metric_rows, t.metadata, t.thresholds)
+
+
+@query("moving_avg_time")
+def q_moving_avg_time(spark, sf_dir):
+    from runlens.operators.series import moving_average_time
+
+    e = moving_average_time(build(spark, sf_dir).enriched_base, window_hours=24)
+    return e.select("run_id", "metric_name", "start_time", round6(F.col("moving_avg_time")).alias("moving_avg_time"))
+
+
+# ---------------------------------------------------------------- platform (AGG1-2, 5-6, 11-12, WIN1)
+
+@query("pass_rate_trend")
+def q_pass_rate_trend(spark, sf_dir):
+    h = sm.pass_rate_lag(sm.platform_hourly(sm.run_status(build(spark, sf_dir).enriched)))
+    return h.select(
+        F.col("time_hour").alias("timestamp"), round6(F.col("pass_rate")).alias("pass_rate"),
+        round6(F.col("pass_rate_24h_ago")).alias("pass_rate_24h_ago"),
+        round6(F.col("pass_rate_trend")).alias("pass_rate_trend"),
+        round6(F.col("pass_rate_trend_24h")).alias("pass_rate_trend_24h"),
+    )
+
+
+@query("recent_runs_per_hour")
+def q_recent_runs(spark, sf_dir):
+    r = sm.recent_runs_per_hour(sm.run_status(build(spark, sf_dir).enriched))
+    return r.select(F.col("time_hour").alias("timestamp"), F.col("position").cast("bigint").alias("position"), "run_id")
+
+
+@query("active_applications")
+def q_active_applications(spark, sf_dir):
+    h = sm.platform_hourly(sm.run_status(build(spark, sf_dir).enriched))
+    return h.select(F.col("time_hour").alias("timestamp"), F.explode("active_applications").alias("application"))
+
+
+# ---------------------------------------------------------------- applications (AGG3-4, 7-10, 13, JN4)
+
+@query("app_run_status")
+def q_app_run_status(spark, sf_dir):
+    return sm.app_run_status(build(spark, sf_dir).enriched).select(
+        "application", "run_id", "user_id", "start_time", "run_status")
+
+
+@query("app_hourly")
+def q_app_hourly(spark, sf_dir):
+    h = sm.app_hourly(sm.app_run_status(build(spark, sf_dir).enriched))
+    return h.select(
+        F.col("time_hour").alias("timestamp"), "application", "total_runs", "critical_runs", "warning_runs",
+        "healthy_runs", round6(F.col("pass_rate")).alias("pass_rate"),
+    )
+
+
+@query("app_metric_summary")
+def q_app_metric_summary(spark, sf_dir):
+    s = sm.app_metric_summary(build(spark, sf_dir).enriched, AS_OF)
+    dbl = ["avg_value", "stddev_value", "min_value", "max_value", "latest_value", "latest_moving_avg",
+           "trend_correlation"]
+    return s.select(
+        "application", "metric_name", "display_name", "category", "unit", "total_measurements", "latest_status",
+        *[round6(F.col(c)).alias(c) for c in dbl],
+    )
+
+
+@query("application_summary")
+def q_application_summary(spark, sf_dir):
+    a = sm.application_summary(build(spark, sf_dir).enriched, AS_OF)
+    x = a.select("*", F.explode("metrics").alias("metric_key", "m"))
+    return x.select(
+        "timestamp", "application", "total_runs", "critical_runs", "warning_runs", "healthy_runs",
+        round6(F.col("pass_rate")).alias("pass_rate"), "metric_key",
+        round6(F.col("m.latest_value")).alias("latest_value"), F.col("m.latest_status").alias("latest_status"),
+        round6(F.col("m.avg_value")).alias("avg_value"), round6(F.col("m.trend")).alias("trend"),
+        F.col("m.display_name").alias("display_name"), F.col("m.unit").alias("unit"), "aggregation_timestamp",
+    )
+
+
+# ---------------------------------------------------------------- time series (JN5, AGG14-15, PRJ6-8)
+
+@query("run_summary_metrics")
+def q_run_summary_metrics(spark, sf_dir):
+    r = sm.run_summary_metrics(build(spark, sf_dir).enriched)
+    return r.select("run_id", F.explode("run_metrics").alias("metric_name", "metric_value")).select(
+        "run_id", "metric_name", round6(F.col("metric_value")).alias("metric_value"))
+
+
+@query("metric_timeseries")
+def q_metric_timeseries(spark, sf_dir):
+    ts = sm.metric_timeseries(build(spark, sf_dir).enriched, AS_OF)
+    return ts.select(
+        "timestamp", "run_id", "run_name", "user_id", "application", "metric_name", "display_name",
+        round6(F.col("value")).alias("value"), "status", round6(F.col("moving_avg")).alias("moving_avg"),
+        round6(F.col("forecast")).alias("forecast"), "critical_threshold", "warning_threshold", "unit",
+        "description", "key_params",
+        F.size(F.from_json("run_summary_metrics", "map<string,double>")).cast("bigint").alias("run_metric_count"),
+        "extraction_timestamp", "enrichment_timestamp",
+    )
+
+
+@query("key_params")
+def q_key_params(spark, sf_dir):
+    from runlens.functions.maps import key_params_json, lower_keys
+
+    rows = build(spark, sf_dir).metric_rows
+    return rows.select("run_id", key_params_json(lower_keys(F.col("params"))).alias("key_params")).distinct()
