@@ -21,7 +21,8 @@ def _critical_rate() -> Column:
 
 def _critical_rate_alert() -> Column:
     rate = _critical_rate()
-    msg = F.format_string("%.1f%% of runs are critical (%d/%d)", rate, F.col("critical_runs"), F.col("total_runs"))
+    msg = F.format_string("%.1f%% of runs are critical (%d/%d)", F.bround(rate, 1), F.col("critical_runs"),
+                          F.col("total_runs"))
     return (
         F.when((F.col("total_runs") > 0) & (rate > CRITICAL_RATE_CRITICAL),
                F.struct(F.lit("High Critical Run Rate").alias("title"), msg.alias("message"),
@@ -37,7 +38,7 @@ def _pass_rate_alert() -> Column:
     return F.when(
         pr < PASS_RATE_FLOOR,
         F.struct(F.lit("Low Pass Rate").alias("title"),
-                 F.format_string("Pass rate dropped to %.1f%%", pr).alias("message"),
+                 F.format_string("Pass rate dropped to %.1f%%", F.bround(pr, 1)).alias("message"),
                  F.lit(SEV_HIGH).alias("severity")),
     )
 

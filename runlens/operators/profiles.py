@@ -86,8 +86,8 @@ def status_distribution(enriched: DataFrame) -> DataFrame:
 
 def _value_type(v: Column) -> Column:
     return (
-        F.when(F.try_cast(v, "bigint").isNotNull(), F.lit("int"))
-        .when(F.try_cast(v, "double").isNotNull(), F.lit("float"))
+        F.when(v.rlike(r"^[+-]?[0-9]+$"), F.lit("int"))
+        .when(v.try_cast("double").isNotNull(), F.lit("float"))
         .when(F.lower(v).isin("true", "false"), F.lit("bool"))
         .otherwise(F.lit("str"))
     )

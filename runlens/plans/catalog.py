@@ -227,3 +227,365 @@ def q_key_params(spark, sf_dir):
 
     rows = build(spark, sf_dir).metric_rows
     return rows.select("run_id", key_params_json(lower_keys(F.col("params"))).alias("key_params")).distinct()
+
+
+# ---------------------------------------------------------------- data quality (DQ1-7)
+
+def _quality_input(spark, sf_dir):
+    """metric rows plus a re-read of the first day's runs (duplicates by (run, metric))."""
+    rows = build(spark, sf_dir).metric_rows
+    reread = rows.where(F.col("start_time") < F.lit("2024-01-02 00:00:00").cast("timestamp"))
+    return rows.unionByName(reread)
+
+
+_DQ_COLUMNS = ["run_id", "experiment_id", "experiment_name", "user_id", "run_name", "start_time", "end_time",
+               "metric_name", "metric_value", "params", "unit", "moving_avg_24h", "forecast_next"]
+
+
+@query("dq_nulls")
+def q_dq_nulls(spark, sf_dir):
+    from runlens.operators.quality import null_percentages
+
+    e = build(spark, sf_dir).enriched.select(*_DQ_COLUMNS)
+    p = null_percentages(e)
+    return p.select("column_name", "null_count", "total", round6(F.col("null_pct")).alias("null_pct"),
+                    (F.col("null_pct") <= F.lit(10.0)).alias("within_limit"))
+
+
+def _detail(name: str, typ: str = "double"):
+    c = F.get_json_object("details", f"$.{name}").cast(typ)
+    return (round6(c) if typ == "double" else c).alias(name.split(".")[-1])
+
+
+@query("dq_duplicates")
+def q_dq_duplicates(spark, sf_dir):
+    from runlens.operators.quality import check_duplicates
+
+    r = check_duplicates(_quality_input(spark, sf_dir))
+    return r.select("check_name", "status", _detail("duplicate_count", "bigint"), _detail("duplicate_rate"))
+
+
+@query("dq_freshness")
+def q_dq_freshness(spark, sf_dir):
+    from runlens.operators.quality import check_freshness
+
+    r = check_freshness(build(spark, sf_dir).enriched, AS_OF)
+    return r.select("check_name", "status", _detail("latest_timestamp", "string"), _detail("age_hours"))
+
+
+@query("dq_ranges")
+def q_dq_ranges(spark, sf_dir):
+    from runlens.operators.quality import check_ranges
+
+    r = check_ranges(build(spark, sf_dir).enriched)
+    return r.select("check_name", "status", _detail("outlier_count", "bigint"), _detail("outlier_rate"),
+                    _detail("value_stats.mean"), _detail("value_stats.std"), _detail("value_stats.min"),
+                    _detail("value_stats.max"))
+
+
+@query("dq_schema")
+def q_dq_schema(spark, sf_dir):
+    from runlens.operators.quality import schema_columns
+
+    return schema_columns(build(spark, sf_dir).enriched.drop("experiment_name"))
+
+
+def _dq_datasets(spark, sf_dir):
+    t = build(spark, sf_dir)
+    return {"raw_metric_rows": _quality_input(spark, sf_dir), "enriched_metrics": t.enriched}
+
+
+@query("dq_alerts")
+def q_dq_alerts(spark, sf_dir):
+    from runlens.operators.quality import quality_report
+
+    alerts, _ = quality_report(spark, _dq_datasets(spark, sf_dir), AS_OF)
+    return alerts.select("dataset", "check_name", "severity", "title", "message", "record_count")
+
+
+@query("dq_report")
+def q_dq_report(spark, sf_dir):
+    from runlens.operators.quality import quality_report
+
+    _, counts = quality_report(spark, _dq_datasets(spark, sf_dir), AS_OF)
+    return counts
+
+
+# ---------------------------------------------------------------- alerts (ALR1-3, WIN5)
+
+def _platform(spark, sf_dir):
+    return sm.platform_summary(build(spark, sf_dir).enriched, AS_OF)
+
+
+@query("critical_rate_alerts")
+def q_critical_rate_alerts(spark, sf_dir):
+    from runlens.operators.alerts import critical_rate_alerts
+
+    a = critical_rate_alerts(_platform(spark, sf_dir))
+    return a.select("timestamp", round6(F.col("critical_rate")).alias("critical_rate"), "title", "severity")
+
+
+@query("pass_rate_alerts")
+def q_pass_rate_alerts(spark, sf_dir):
+    from runlens.operators.alerts import pass_rate_alerts
+
+    a = pass_rate_alerts(_platform(spark, sf_dir))
+    return a.select("timestamp", round6(F.col("pass_rate")).alias("pass_rate"), "title", "severity", "message")
+
+
+@query("alert_report")
+def q_alert_report(spark, sf_dir):
+    from runlens.operators.alerts import alert_report
+
+    a = alert_report(_platform(spark, sf_dir), AS_OF)
+    return a.select("timestamp", "critical_runs", "total_runs", round6(F.col("pass_rate")).alias("pass_rate"),
+                    "report_status", "title", "severity", "message", "check_timestamp")
+
+
+# ---------------------------------------------------------------- profiles (AGG16-22, SRT5)
+
+@query("extraction_profile")
+def q_extraction_profile(spark, sf_dir):
+    from runlens.operators.profiles import extraction_profile
+
+    return extraction_profile(build(spark, sf_dir).metric_rows)
+
+
+@query("enrichment_profile")
+def q_enrichment_profile(spark, sf_dir):
+    from runlens.operators.profiles import enrichment_profile
+
+    t = build(spark, sf_dir)
+    p = enrichment_profile(t.enriched, t.metric_rows)
+    return p.select("total_enriched_records", "unique_metrics", "unique_experiments",
+                    round6(F.col("avg_moving_avg")).alias("avg_moving_avg"), "metrics_with_metadata")
+
+
+@query("sample_critical_metrics")
+def q_sample_critical_metrics(spark, sf_dir):
+    from runlens.operators.profiles import sample_critical_metrics
+
+    return sample_critical_metrics(build(spark, sf_dir).enriched)
+
+
+@query("output_profile")
+def q_output_profile(spark, sf_dir):
+    from runlens.operators.profiles import output_profile
+
+    e = build(spark, sf_dir).enriched
+    p = output_profile(sm.platform_summary(e, AS_OF), sm.application_summary(e, AS_OF),
+                       sm.metric_timeseries(e, AS_OF))
+    return p.select("table_name", "stat", round6(F.col("num_value")).alias("num_value"), "text_value")
+
+
+@query("top_experiments")
+def q_top_experiments(spark, sf_dir):
+    from runlens.operators.profiles import top_experiments
+
+    return top_experiments(build(spark, sf_dir).metric_rows)
+
+
+@query("top_metrics")
+def q_top_metrics(spark, sf_dir):
+    from runlens.operators.profiles import top_metrics
+
+    return top_metrics(build(spark, sf_dir).metric_rows)
+
+
+@query("param_profile")
+def q_param_profile(spark, sf_dir):
+    from runlens.operators.profiles import param_profile
+
+    return param_profile(build(spark, sf_dir).metric_rows)
+
+
+@query("status_distribution")
+def q_status_distribution(spark, sf_dir):
+    from runlens.operators.profiles import status_distribution
+
+    d = status_distribution(build(spark, sf_dir).enriched)
+    return d.select("status", "count", round6(F.col("percentage")).alias("percentage"))
+
+
+# ---------------------------------------------------------------- dimension sources (SRC3-8, SNK8)
+
+def _metadata(spark, sf_dir):
+    from runlens.sources.dimensions import parse_metadata
+    from runlens.sources.fixtures import metadata_payloads
+
+    return parse_metadata(metadata_payloads(spark, build(spark, sf_dir).events))
+
+
+def _thresholds(spark, sf_dir):
+    from runlens.sources.fixtures import threshold_payloads
+
+    return threshold_payloads(spark, build(spark, sf_dir).events)
+
+
+_META_COLS = ["metric_name", "display_name", "description", "unit", "category", "higher_is_better"]
+_THR_COLS = ["metric_name", "critical_threshold", "warning_threshold", "experiment_id", "updated_at", "updated_by"]
+
+
+@query("metadata_parse")
+def q_metadata_parse(spark, sf_dir):
+    from runlens.sources.dimensions import dedupe_metadata
+
+    return dedupe_metadata(_metadata(spark, sf_dir)).select(*_META_COLS)
+
+
+@query("thresholds_parse")
+def q_thresholds_parse(spark, sf_dir):
+    from runlens.sources.dimensions import parse_thresholds
+
+    return parse_thresholds(_thresholds(spark, sf_dir)).select(*_THR_COLS)
+
+
+@query("platform_defaults")
+def q_platform_defaults(spark, sf_dir):
+    from runlens.sources.dimensions import parse_thresholds, platform_defaults
+
+    # Only the valid items reach the strict reader, as a well-formed response would.
+    ok = parse_thresholds(_thresholds(spark, sf_dir))
+    payload = F.concat(F.lit('{"thresholds":['), F.to_json(F.struct(
+        "metric_name", "critical_threshold", "warning_threshold", "experiment_id",
+        F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss").alias("updated_at"), "updated_by"),
+        {"ignoreNullFields": "false"}), F.lit("]}")).alias("payload")
+    return platform_defaults(ok.select(payload)).select(*_THR_COLS)
+
+
+@query("metric_lookup")
+def q_metric_lookup(spark, sf_dir):
+    from runlens.sources.dimensions import metric_lookup
+
+    return metric_lookup(_metadata(spark, sf_dir), "click").select(*_META_COLS)
+
+
+@query("list_metrics")
+def q_list_metrics(spark, sf_dir):
+    from runlens.sources.dimensions import list_metrics
+
+    return list_metrics(_metadata(spark, sf_dir))
+
+
+@query("threshold_upsert")
+def q_threshold_upsert(spark, sf_dir):
+    """Tighten every platform default of a metric seen in the batch by 10 %, then read
+    the current view (newest row per (metric, experiment))."""
+    from runlens.sinks.thresholds_log import current_thresholds, upsert_rows
+    from runlens.sources.dimensions import parse_thresholds
+
+    log = parse_thresholds(_thresholds(spark, sf_dir)).drop("load_ordinal")
+    seen = build(spark, sf_dir).metric_rows.select("metric_name").distinct()
+    updates = log.where(F.col("experiment_id").isNull()).join(seen, "metric_name", "left_semi").select(
+        "metric_name", (F.col("critical_threshold") * F.lit(0.9)).alias("critical_threshold"),
+        (F.col("warning_threshold") * F.lit(0.9)).alias("warning_threshold"), "experiment_id",
+    )
+    cur = current_thresholds(upsert_rows(log, updates, "runlens-job", AS_OF))
+    return cur.select("metric_name", "experiment_id", round6(F.col("critical_threshold")).alias("critical_threshold"),
+                      round6(F.col("warning_threshold")).alias("warning_threshold"), "updated_at", "updated_by")
+
+
+# ---------------------------------------------------------------- storage, layout, job metrics (SRC9-10, SNK1-7, PM1-5)
+
+@query("snapshot_roundtrip")
+def q_snapshot_roundtrip(spark, sf_dir):
+    """Write the enriched table as a snapshot twice under one run key (idempotent),
+    log an empty snapshot of another table, then load the latest snapshot."""
+    from runlens.session import scratch_path
+    from runlens.sinks.snapshots import load_latest, run_key, write_snapshot
+
+    base = scratch_path(spark, "snapshots")
+    e = build(spark, sf_dir).enriched
+    key = run_key("historical", AS_OF)
+    write_snapshot(e, base, "enriched_metrics", key, AS_OF)
+    write_snapshot(e, base, "enriched_metrics", key, AS_OF)
+    write_snapshot(e.limit(0), base, "platform_summary", key, AS_OF)
+    back = load_latest(spark, base, "enriched_metrics")
+    return back.select("run_id", "metric_name", "status", round6(F.col("moving_avg_24h")).alias("moving_avg_24h"))
+
+
+@query("layout_infer")
+def q_layout_infer(spark, sf_dir):
+    from runlens.sinks.layout import infer_types
+
+    rows = build(spark, sf_dir).metric_rows
+    text = rows.select(
+        "run_id", "metric_name",
+        F.col("metric_value").cast("string").alias("value_text"),
+        F.col("start_time").cast("string").alias("start_time"),
+        F.regexp_extract("run_id", r"-(\d+)-", 1).alias("user_number"),
+        F.col("user_id").alias("owner"),
+    )
+    return infer_types(text)
+
+
+@query("job_metrics_summary")
+def q_job_metrics_summary(spark, sf_dir):
+    """Record data volumes (counts observed by actions) and the status distribution."""
+    from runlens.operators.job_metrics import JobMetrics
+    from runlens.operators.profiles import status_distribution
+
+    t = build(spark, sf_dir)
+    jm = JobMetrics()
+    jm.record_data_volume("metric_rows", t.metric_rows.count())
+    jm.record_data_volume("enriched_metrics", t.enriched.count())
+    jm.record_status_distribution(status_distribution(t.enriched))
+    return jm.to_frame(spark).select("name", round6(F.col("value")).alias("value"), "unit")
+
+
+@query("historical_job")
+def q_historical_job(spark, sf_dir):
+    """The 30-day job end to end (snapshots in the shared folder); returns the
+    platform summary it wrote, reloaded from its snapshot."""
+    from runlens.plans.jobs import historical_job
+    from runlens.session import scratch_path
+    from runlens.sinks.snapshots import load_latest
+    from runlens.sources import fixtures as fx
+
+    t = build(spark, sf_dir)
+    base = scratch_path(spark, "jobs")
+    historical_job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base, AS_OF,
+                   series_bound=len(fx.METADATA_ROWS) * fx.N_EXPERIMENTS)
+    p = load_latest(spark, base, "platform_summary")
+    return p.select("timestamp", "total_runs", "critical_runs", "warning_runs", "healthy_runs",
+                    round6(F.col("pass_rate")).alias("pass_rate"), round6(F.col("pass_rate_trend")).alias("pass_rate_trend"))
+
+
+# ---------------------------------------------------------------- streaming (ST1-4)
+
+def _drain_stream(spark, sf_dir):
+    """Land three overlapping extracts (days 1-12, 10-22, 20-end) and drain them."""
+    import datetime as dt
+
+    from runlens.session import scratch_path
+    from runlens.streaming.incremental import land_extract, run_incremental
+
+    t = build(spark, sf_dir)
+    work = scratch_path(spark, "stream")
+    landing = f"{work}/landing"
+    rows = t.metric_rows.drop("extraction_timestamp")
+    day = F.dayofmonth("start_time")
+    windows = [(1, 12), (10, 22), (20, 31)]
+    for i, (lo, hi) in enumerate(windows):
+        land_extract(rows.where(day.between(lo, hi)), landing, AS_OF + dt.timedelta(minutes=5 * i))
+    return run_incremental(spark, landing, work, t.metadata, t.thresholds, AS_OF, max_files_per_trigger=8)
+
+
+@query("stream_platform_hourly")
+def q_stream_platform_hourly(spark, sf_dir):
+    from runlens.streaming.incremental import read_hourly
+
+    _, hourly = _drain_stream(spark, sf_dir)
+    h = read_hourly(spark, hourly)
+    return h.select(F.col("time_hour").alias("timestamp"), "total_runs", "critical_runs", "warning_runs",
+                    "healthy_runs", round6(F.col("pass_rate")).alias("pass_rate"))
+
+
+@query("stream_latest_wins")
+def q_stream_latest_wins(spark, sf_dir):
+    from runlens.streaming.incremental import read_current
+
+    history, _ = _drain_stream(spark, sf_dir)
+    cur = read_current(spark, history)
+    return cur.select("run_id", "metric_name", round6(F.col("metric_value")).alias("metric_value"),
+                      "extraction_timestamp")

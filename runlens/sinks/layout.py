@@ -33,8 +33,8 @@ def infer_types(df: DataFrame) -> DataFrame:
         x = F.col(f"`{c}`")
         aggs += [
             F.count(x).alias(f"n{i}"),
-            F.count_if(x.isNotNull() & F.try_cast(x, "bigint").isNull()).alias(f"b{i}"),
-            F.count_if(x.isNotNull() & F.try_cast(x, "double").isNull()).alias(f"d{i}"),
+            F.count_if(x.isNotNull() & x.try_cast("bigint").isNull()).alias(f"b{i}"),
+            F.count_if(x.isNotNull() & x.try_cast("double").isNull()).alias(f"d{i}"),
             F.count_if(x.isNotNull() & F.try_to_timestamp(x).isNull()).alias(f"t{i}"),
         ]
     entries = []

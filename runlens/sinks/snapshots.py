@@ -88,4 +88,8 @@ def load_latest(spark: SparkSession, base: str, table: str) -> DataFrame:
     if latest["rows"] == 0:
         return spark.createDataFrame([], schema)
     data = spark.read.parquet(latest["path"]).where(F.col("snapshot_id") == latest["snapshot_id"])
-    return data.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    stored = dict(data.dtypes)
+    return data.select(*[
+        F.col(f.name) if stored.get(f.name) == f.dataType.simpleString() else F.col(f.name).cast(f.dataType)
+        for f in schema.fields
+    ])
