@@ -99,11 +99,13 @@ def parse_thresholds(payloads: DataFrame, col: str = "payload") -> DataFrame:
 def platform_defaults(payloads: DataFrame, col: str = "payload") -> DataFrame:
     """Platform-level rows only. Unlike ``parse_thresholds`` one bad item fails the job."""
     rows = _threshold_rows(payloads, col)
-    checked = rows.withColumn(
-        "_chk",
+    # The check sits in the filter (first conjunct), so it runs for every item and
+    # cannot be pruned away like an unused column.
+    all_valid = F.coalesce(
         F.when(~F.col("_valid"), F.raise_error(F.lit("invalid threshold item in platform defaults"))),
+        F.lit(True),
     )
-    return checked.where(F.col("experiment_id").isNull()).drop("_valid", "_chk")
+    return rows.where(all_valid & F.col("experiment_id").isNull()).drop("_valid")
 
 
 def dedupe_metadata(meta: DataFrame) -> DataFrame:
