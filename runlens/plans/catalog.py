@@ -568,7 +568,7 @@ def _drain_stream(spark, sf_dir):
     windows = [(1, 12), (10, 22), (20, 31)]
     for i, (lo, hi) in enumerate(windows):
         land_extract(rows.where(day.between(lo, hi)), landing, AS_OF + dt.timedelta(minutes=5 * i))
-    return run_incremental(spark, landing, work, t.metadata, t.thresholds, AS_OF, max_files_per_trigger=8)
+    return run_incremental(spark, landing, work, t.metadata, t.thresholds, AS_OF, max_files_per_trigger=16)
 
 
 @query("stream_platform_hourly")
