@@ -227,19 +227,20 @@ TIMESERIES_GROUP = [
 def metric_timeseries(enriched: DataFrame, as_of: dt.datetime, days: int = 30) -> DataFrame:
     """Plot points of the last ``days`` days with hover context.
 
-    ``run_summary_metrics`` covers all metrics of the run (not only the window):
-    a per-run window over the full rows (bounded by metrics per run) instead of an
-    aggregate + join. The full-row de-duplication groups on columns that include
-    run_id, so it reuses the run_id partitioning: one shuffle in total.
+    ``run_summary_metrics`` holds all metrics of the run: a per-run window (groups
+    bounded by metrics per run) instead of an aggregate + join. start_time is a run
+    attribute, so the day filter keeps or drops whole runs and can run first (it
+    reaches the scan). The full-row de-duplication groups on columns that include
+    run_id and start_time, so it reuses the window's partitioning: one shuffle.
     """
-    rows = enriched.withColumn("params", lower_keys(F.col("params")))
-    per_run = Window.partitionBy("run_id")
+    recent = within_lookback(enriched, as_of, f"{days} DAYS", inclusive=True)
+    rows = recent.withColumn("params", lower_keys(F.col("params")))
+    per_run = Window.partitionBy("run_id", "start_time")
     entries = F.collect_list(
         F.when(F.col("metric_name").isNotNull(), F.struct("metric_name", "metric_value"))
     ).over(per_run)
     rows = rows.withColumn("_run_metrics", entries)
-    recent = within_lookback(rows, as_of, f"{days} DAYS", inclusive=True)
-    grouped = recent.groupBy(*TIMESERIES_GROUP).agg(F.first("_run_metrics").alias("_run_metrics"))
+    grouped = rows.groupBy(*TIMESERIES_GROUP).agg(F.first("_run_metrics").alias("_run_metrics"))
     run_json = F.to_json(F.map_from_entries(F.array_sort(F.col("_run_metrics"))))
     return grouped.select(
         F.col("start_time").alias("timestamp"),

@@ -42,3 +42,16 @@ def test_layout_lossless_only(spark):
                                "a string, b string, c string, end_time string, exp_id string")
     got = {r["column_name"]: r["inferred_type"] for r in infer_types(df).collect()}
     assert got == {"a": "bigint", "b": "string", "c": "string", "end_time": "timestamp"}
+
+
+def test_plain_sinks_and_parameterised_sql(spark):
+    from runlens.sinks.tables import create_table, execute, read_parquet, register, write_parquet
+
+    base = scratch_path(spark, "t-tables")
+    df = _df(spark, 4)
+    write_parquet(df, f"{base}/p")
+    assert read_parquet(spark, f"{base}/p").count() == 4
+    register(df, "t_rows")
+    assert execute(spark, "SELECT count(*) AS n FROM t_rows WHERE metric_value >= :lo", {"lo": 2.0}).first()["n"] == 2
+    create_table(df.select("run_id", "metric_value"), "t_rows_tbl")
+    assert spark.table("t_rows_tbl").count() == 4
