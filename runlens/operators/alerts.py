@@ -63,24 +63,23 @@ def latest_row(platform: DataFrame) -> DataFrame:
 
 
 def alert_report(platform: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
-    """Latest-hour alert report: one row per alert; one ``ok`` row without alerts;
-    one ``no_data`` row for an empty summary."""
+    """Latest-hour alert report in one aggregate pass: one row per alert, one ``ok``
+    row without alerts, one ``no_data`` row for an empty summary."""
     stamp = F.lit(as_of) if as_of is not None else F.current_timestamp()
-    latest = latest_row(platform).select(
-        "timestamp", "critical_runs", "total_runs", "pass_rate",
-        F.array_compact(F.array(_critical_rate_alert(), _pass_rate_alert())).alias("_alerts"),
+    cols = ["timestamp", "critical_runs", "total_runs", "pass_rate"]
+    agg = platform.agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max_by(F.struct(*cols), F.col("timestamp")).alias("_l"),
+    ).select("_n", "_l.*")
+    alerts = F.array_compact(F.array(_critical_rate_alert(), _pass_rate_alert()))
+    status = (
+        F.when(F.col("_n") == 0, F.lit("no_data"))
+        .when(F.size("_alerts") > 0, F.lit("alerts"))
+        .otherwise(F.lit("ok"))
     )
-    has_data = platform.select(F.count(F.lit(1)) > 0).scalar()
-    no_data = platform.sparkSession.range(1).where(~has_data).select(
-        F.lit(None).cast("timestamp").alias("timestamp"), F.lit(None).cast("bigint").alias("critical_runs"),
-        F.lit(None).cast("bigint").alias("total_runs"), F.lit(None).cast("double").alias("pass_rate"),
-        F.lit("no_data").alias("report_status"), F.lit(None).cast("string").alias("title"),
-        F.lit(None).cast("string").alias("severity"), F.lit(None).cast("string").alias("message"),
+    return (
+        agg.withColumn("_alerts", F.when(F.col("_n") > 0, alerts).otherwise(F.array()))
+        .select(*cols, status.alias("report_status"), F.explode_outer("_alerts").alias("a"))
+        .select(*cols, "report_status", "a.title", "a.severity", "a.message")
+        .withColumn("check_timestamp", stamp)
     )
-    rows = latest.select(
-        "timestamp", "critical_runs", "total_runs", "pass_rate",
-        F.when(F.size("_alerts") > 0, F.lit("alerts")).otherwise(F.lit("ok")).alias("report_status"),
-        F.explode_outer("_alerts").alias("a"),
-    ).select("timestamp", "critical_runs", "total_runs", "pass_rate", "report_status",
-             "a.title", "a.severity", "a.message")
-    return rows.unionByName(no_data).withColumn("check_timestamp", stamp)

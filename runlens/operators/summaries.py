@@ -132,9 +132,14 @@ def app_hourly(app_runs: DataFrame) -> DataFrame:
 
 
 def app_metric_summary(enriched: DataFrame, as_of: dt.datetime, days: int = 7) -> DataFrame:
-    """Per (application, metric) over the last ``days`` days (inclusive bound)."""
+    """Per (application, metric) over the last ``days`` days (inclusive bound).
+
+    ``latest_moving_avg`` is included when the input carries ``moving_avg_24h``.
+    """
     recent = within_lookback(enriched, as_of, f"{days} DAYS", inclusive=True)
     order = (F.col("start_time"), F.col("run_id"))
+    moving = ([latest_non_null(F.col("moving_avg_24h"), *order).alias("latest_moving_avg")]
+              if "moving_avg_24h" in enriched.columns else [])
     return recent.groupBy(
         F.col("experiment_name").alias("application"), "metric_name", "display_name", "category", "unit"
     ).agg(
@@ -145,7 +150,7 @@ def app_metric_summary(enriched: DataFrame, as_of: dt.datetime, days: int = 7) -
         F.max("metric_value").alias("max_value"),
         latest_non_null(F.col("metric_value"), *order).alias("latest_value"),
         latest_non_null(F.col("status"), *order).alias("latest_status"),
-        latest_non_null(F.col("moving_avg_24h"), *order).alias("latest_moving_avg"),
+        *moving,
         safe_corr(F.col("metric_value"), epoch_seconds(F.col("start_time"))).alias("trend_correlation"),
     )
 

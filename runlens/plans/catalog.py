@@ -56,7 +56,7 @@ def q_forecast_next(spark, sf_dir):
 
 @query("run_status")
 def q_run_status(spark, sf_dir):
-    return sm.run_status(build(spark, sf_dir).enriched).select(
+    return sm.run_status(build(spark, sf_dir).classified).select(
         "run_id", "experiment_name", "user_id", "start_time", "run_status",
         "total_metrics", "critical_metrics", "warning_metrics",
     )
@@ -64,7 +64,7 @@ def q_run_status(spark, sf_dir):
 
 @query("platform_hourly")
 def q_platform_hourly(spark, sf_dir):
-    h = sm.platform_hourly(sm.run_status(build(spark, sf_dir).enriched))
+    h = sm.platform_hourly(sm.run_status(build(spark, sf_dir).classified))
     return h.select(
         F.col("time_hour").alias("timestamp"), "total_runs", "critical_runs", "warning_runs", "healthy_runs",
         round6(F.col("pass_rate")).alias("pass_rate"),
@@ -73,7 +73,7 @@ def q_platform_hourly(spark, sf_dir):
 
 @query("platform_summary")
 def q_platform_summary(spark, sf_dir):
-    p = sm.platform_summary(build(spark, sf_dir).enriched, AS_OF)
+    p = sm.platform_summary(build(spark, sf_dir).classified, AS_OF)
     return p.select(
         "timestamp", "total_runs", "critical_runs", "warning_runs", "healthy_runs",
         round6(F.col("pass_rate")).alias("pass_rate"),
@@ -137,7 +137,7 @@ def q_moving_avg_time(spark, sf_dir):
 
 @query("pass_rate_trend")
 def q_pass_rate_trend(spark, sf_dir):
-    h = sm.pass_rate_lag(sm.platform_hourly(sm.run_status(build(spark, sf_dir).enriched)))
+    h = sm.pass_rate_lag(sm.platform_hourly(sm.run_status(build(spark, sf_dir).classified)))
     return h.select(
         F.col("time_hour").alias("timestamp"), round6(F.col("pass_rate")).alias("pass_rate"),
         round6(F.col("pass_rate_24h_ago")).alias("pass_rate_24h_ago"),
@@ -148,13 +148,13 @@ def q_pass_rate_trend(spark, sf_dir):
 
 @query("recent_runs_per_hour")
 def q_recent_runs(spark, sf_dir):
-    r = sm.recent_runs_per_hour(sm.run_status(build(spark, sf_dir).enriched))
+    r = sm.recent_runs_per_hour(sm.run_status(build(spark, sf_dir).classified))
     return r.select(F.col("time_hour").alias("timestamp"), F.col("position").cast("bigint").alias("position"), "run_id")
 
 
 @query("active_applications")
 def q_active_applications(spark, sf_dir):
-    h = sm.platform_hourly(sm.run_status(build(spark, sf_dir).enriched))
+    h = sm.platform_hourly(sm.run_status(build(spark, sf_dir).classified))
     return h.select(F.col("time_hour").alias("timestamp"), F.explode("active_applications").alias("application"))
 
 
@@ -162,13 +162,13 @@ def q_active_applications(spark, sf_dir):
 
 @query("app_run_status")
 def q_app_run_status(spark, sf_dir):
-    return sm.app_run_status(build(spark, sf_dir).enriched).select(
+    return sm.app_run_status(build(spark, sf_dir).classified).select(
         "application", "run_id", "user_id", "start_time", "run_status")
 
 
 @query("app_hourly")
 def q_app_hourly(spark, sf_dir):
-    h = sm.app_hourly(sm.app_run_status(build(spark, sf_dir).enriched))
+    h = sm.app_hourly(sm.app_run_status(build(spark, sf_dir).classified))
     return h.select(
         F.col("time_hour").alias("timestamp"), "application", "total_runs", "critical_runs", "warning_runs",
         "healthy_runs", round6(F.col("pass_rate")).alias("pass_rate"),
@@ -188,7 +188,7 @@ def q_app_metric_summary(spark, sf_dir):
 
 @query("application_summary")
 def q_application_summary(spark, sf_dir):
-    a = sm.application_summary(build(spark, sf_dir).enriched, AS_OF)
+    a = sm.application_summary(build(spark, sf_dir).classified, AS_OF)
     x = a.select("*", F.explode("metrics").alias("metric_key", "m"))
     return x.select(
         "timestamp", "application", "total_runs", "critical_runs", "warning_runs", "healthy_runs",
@@ -269,7 +269,7 @@ def q_dq_duplicates(spark, sf_dir):
 def q_dq_freshness(spark, sf_dir):
     from runlens.operators.quality import check_freshness
 
-    r = check_freshness(build(spark, sf_dir).enriched, AS_OF)
+    r = check_freshness(build(spark, sf_dir).classified, AS_OF)
     return r.select("check_name", "status", _detail("latest_timestamp", "string"), _detail("age_hours"))
 
 
@@ -277,7 +277,7 @@ def q_dq_freshness(spark, sf_dir):
 def q_dq_ranges(spark, sf_dir):
     from runlens.operators.quality import check_ranges
 
-    r = check_ranges(build(spark, sf_dir).enriched)
+    r = check_ranges(build(spark, sf_dir).classified)
     return r.select("check_name", "status", _detail("outlier_count", "bigint"), _detail("outlier_rate"),
                     _detail("value_stats.mean"), _detail("value_stats.std"), _detail("value_stats.min"),
                     _detail("value_stats.max"))
@@ -314,7 +314,7 @@ def q_dq_report(spark, sf_dir):
 # ---------------------------------------------------------------- alerts (ALR1-3, WIN5)
 
 def _platform(spark, sf_dir):
-    return sm.platform_summary(build(spark, sf_dir).enriched, AS_OF)
+    return sm.platform_summary(build(spark, sf_dir).classified, AS_OF)
 
 
 @query("critical_rate_alerts")
@@ -554,7 +554,9 @@ def q_historical_job(spark, sf_dir):
 # ---------------------------------------------------------------- streaming (ST1-4)
 
 def _drain_stream(spark, sf_dir):
-    """Land three overlapping extracts (days 1-12, 10-22, 20-end) and drain them."""
+    """Three overlapping extracts (days 1-12, 10-22, 20-end), as a poller would land
+    them; after each landing the stream drains what is new (availableNow), keeping
+    its state in the shared folder between runs."""
     import datetime as dt
 
     from runlens.session import scratch_path
@@ -565,10 +567,11 @@ def _drain_stream(spark, sf_dir):
     landing = f"{work}/landing"
     rows = t.metric_rows.drop("extraction_timestamp")
     day = F.dayofmonth("start_time")
-    windows = [(1, 12), (10, 22), (20, 31)]
-    for i, (lo, hi) in enumerate(windows):
+    out = None
+    for i, (lo, hi) in enumerate([(1, 12), (10, 22), (20, 31)]):
         land_extract(rows.where(day.between(lo, hi)), landing, AS_OF + dt.timedelta(minutes=5 * i))
-    return run_incremental(spark, landing, work, t.metadata, t.thresholds, AS_OF, max_files_per_trigger=16)
+        out = run_incremental(spark, landing, work, t.metadata, t.thresholds, AS_OF)
+    return out
 
 
 @query("stream_platform_hourly")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from runlens.operators.enrich import enrich
 from runlens.operators.flatten import flatten_runs
@@ -24,6 +25,7 @@ class Tables:
     thresholds: DataFrame
     metric_rows: DataFrame
     enriched_base: DataFrame
+    classified: DataFrame
     enriched: DataFrame
 
 
@@ -52,4 +54,8 @@ def _build(spark: SparkSession, sf_dir: str) -> Tables:
     base = enrich(rows, meta, thr, AS_OF)
     # Both dimensions are inner-joined, so series <= experiments x metrics.
     bound = len(fx.METADATA_ROWS) * fx.N_EXPERIMENTS
-    return Tables(spark, events, runs, exps, meta, thr, rows, base, series_windows(base, series_bound=bound))
+    # The rows series_windows keeps (non-NULL series key), for consumers that need
+    # only statuses: the same rows without the window work.
+    classified = base.where(F.col("experiment_id").isNotNull() & F.col("metric_name").isNotNull())
+    return Tables(spark, events, runs, exps, meta, thr, rows, base, classified,
+                  series_windows(base, series_bound=bound))

@@ -2,9 +2,10 @@
 
 Polling with an overlapping lookback reads each run many times; every extract is
 whole, so the newest copy of a (run_id, metric_name) wins - not the first one.
-Each micro-batch appends its rows to a history table, then recomputes only the
-hours it touched from the latest-wins view of those hours and overwrites those
-hour partitions of the hourly table (dynamic partition overwrite). After the
+Each micro-batch appends its rows to a history table partitioned by day, then
+recomputes only the days it touched from the latest-wins view of those days and
+overwrites those day partitions of the hourly table (dynamic partition overwrite;
+the history read is pruned to the touched days). After the
 stream drains, the hourly table equals the batch platform_hourly of the same rows.
 
 Windows over rows (lag, moving average) are not allowed on a stream; they are
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from runlens import schemas as S
 from runlens.operators import summaries as sm
 from runlens.operators.enrich import enrich
+from runlens.operators.joins import sized_side
 
 
 def latest_wins(rows: DataFrame) -> DataFrame:
@@ -35,7 +37,7 @@ def land_extract(rows: DataFrame, landing: str, extracted_at: dt.datetime) -> No
 
 
 class HourlyUpdater:
-    """foreachBatch handler: history append + touched-hour recompute."""
+    """foreachBatch handler: history append + touched-day recompute."""
 
     def __init__(self, history: str, hourly: str, metadata: DataFrame, thresholds: DataFrame,
                  as_of: dt.datetime | None = None) -> None:
@@ -44,18 +46,17 @@ class HourlyUpdater:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stamped = batch.withColumn("hour_key", F.date_format(F.date_trunc("hour", "start_time"),
-                                                             "yyyy-MM-dd'T'HH"))
-        stamped.write.mode("append").partitionBy("hour_key").parquet(self.history)
-        touched = stamped.select("hour_key").distinct()
-        hist = spark.read.schema(stamped.schema).parquet(self.history).join(
-            F.broadcast(touched), "hour_key", "left_semi")
+        stamped = batch.withColumn("day_key", F.date_format("start_time", "yyyy-MM-dd"))
+        stamped.sortWithinPartitions("day_key").write.mode("append").partitionBy("day_key").parquet(self.history)
+        touched = sized_side(stamped.select("day_key").distinct(), cache=True)
+        hist = spark.read.schema(stamped.schema).parquet(self.history).join(touched, "day_key", "left_semi")
         current = latest_wins(hist)
-        enriched = enrich(current.drop("hour_key"), self.metadata, self.thresholds, self.as_of)
+        enriched = enrich(current.drop("day_key"), self.metadata, self.thresholds, self.as_of)
         hourly = sm.platform_hourly(sm.run_status(enriched)).withColumn(
-            "hour_key", F.date_format("time_hour", "yyyy-MM-dd'T'HH"))
+            "day_key", F.date_format("time_hour", "yyyy-MM-dd"))
         (hourly.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("hour_key").parquet(self.hourly))
+         .partitionBy("day_key").parquet(self.hourly))
+        touched.unpersist()
 
 
 def run_incremental(spark: SparkSession, landing: str, work: str, metadata: DataFrame,
@@ -79,8 +80,8 @@ def run_incremental(spark: SparkSession, landing: str, work: str, metadata: Data
 
 
 def read_hourly(spark: SparkSession, hourly: str) -> DataFrame:
-    return spark.read.parquet(hourly).drop("hour_key")
+    return spark.read.parquet(hourly).drop("day_key")
 
 
 def read_current(spark: SparkSession, history: str) -> DataFrame:
-    return latest_wins(spark.read.parquet(history).drop("hour_key"))
+    return latest_wins(spark.read.parquet(history).drop("day_key"))
