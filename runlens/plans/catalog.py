@@ -372,9 +372,9 @@ def q_sample_critical_metrics(spark, sf_dir):
 def q_output_profile(spark, sf_dir):
     from runlens.operators.profiles import output_profile
 
-    e = build(spark, sf_dir).enriched
-    p = output_profile(sm.platform_summary(e, AS_OF), sm.application_summary(e, AS_OF),
-                       sm.metric_timeseries(e, AS_OF))
+    t = build(spark, sf_dir)
+    p = output_profile(sm.platform_summary(t.classified, AS_OF), sm.application_summary(t.classified, AS_OF),
+                       sm.metric_timeseries(t.enriched, AS_OF))
     return p.select("table_name", "stat", round6(F.col("num_value")).alias("num_value"), "text_value")
 
 
@@ -495,11 +495,12 @@ def q_snapshot_roundtrip(spark, sf_dir):
     from runlens.sinks.snapshots import load_latest, run_key, write_snapshot
 
     base = scratch_path(spark, "snapshots")
-    e = build(spark, sf_dir).enriched
+    e = build(spark, sf_dir).enriched.persist()
     key = run_key("historical", AS_OF)
     write_snapshot(e, base, "enriched_metrics", key, AS_OF)
     write_snapshot(e, base, "enriched_metrics", key, AS_OF)
     write_snapshot(e.limit(0), base, "platform_summary", key, AS_OF)
+    e.unpersist()
     back = load_latest(spark, base, "enriched_metrics")
     return back.select("run_id", "metric_name", "status", round6(F.col("moving_avg_24h")).alias("moving_avg_24h"))
 

@@ -15,6 +15,10 @@ def first_time_column(df: DataFrame) -> str | None:
     return None
 
 
+def _is_time_name(c: str) -> bool:
+    return c.endswith("_time") or c.endswith("_timestamp")
+
+
 def _candidates(df: DataFrame) -> list[str]:
     """Text columns eligible for inference. Identifiers stay text (``*_id``, run names)."""
     return [c for c, t in df.dtypes
@@ -35,18 +39,19 @@ def infer_types(df: DataFrame) -> DataFrame:
             F.count(x).alias(f"n{i}"),
             F.count_if(x.isNotNull() & x.try_cast("bigint").isNull()).alias(f"b{i}"),
             F.count_if(x.isNotNull() & x.try_cast("double").isNull()).alias(f"d{i}"),
-            F.count_if(x.isNotNull() & F.try_to_timestamp(x).isNull()).alias(f"t{i}"),
         ]
+        if _is_time_name(c):   # timestamps are only tried on *_time / *_timestamp columns
+            aggs.append(F.count_if(x.isNotNull() & F.try_to_timestamp(x).isNull()).alias(f"t{i}"))
     entries = []
     for i, c in enumerate(cols):
-        is_time = c.endswith("_time") or c.endswith("_timestamp")
         typ = (
             F.when(F.col(f"n{i}") == 0, F.lit("string"))
             .when(F.col(f"b{i}") == 0, F.lit("bigint"))
             .when(F.col(f"d{i}") == 0, F.lit("double"))
-            .when(F.lit(is_time) & (F.col(f"t{i}") == 0), F.lit("timestamp"))
-            .otherwise(F.lit("string"))
         )
+        if _is_time_name(c):
+            typ = typ.when(F.col(f"t{i}") == 0, F.lit("timestamp"))
+        typ = typ.otherwise(F.lit("string"))
         entries.append(F.struct(F.lit(c).alias("column_name"), typ.alias("inferred_type")))
     return df.agg(*aggs).select(F.inline(F.array(*entries)))
 
