@@ -33,16 +33,17 @@ def run_job(spark: SparkSession, runs: DataFrame, experiments: DataFrame, metada
             metrics: JobMetrics | None = None) -> dict:
     metrics = metrics or JobMetrics()
     key = run_key(kind, as_of)
+    written = {}
     with metrics.timed("ingest"):
         scanned = scan_runs(runs, experiments, as_of, lookback, experiment_filter)
         rows = flatten_runs(scanned, experiments, as_of)
-        rec = write_snapshot(rows, out_base, "raw_metric_rows", key, as_of)
-        metrics.record_data_volume("raw_metric_rows", rec["rows"])
+        written["raw_metric_rows"] = write_snapshot(rows, out_base, "raw_metric_rows", key, as_of)
+        metrics.record_data_volume("raw_metric_rows", written["raw_metric_rows"]["rows"])
     with metrics.timed("enrich"):
         rows = load_latest(spark, out_base, "raw_metric_rows")
         enriched = series_windows(enrich(rows, metadata, thresholds, as_of), series_bound=series_bound)
-        rec = write_snapshot(enriched, out_base, "enriched_metrics", key, as_of)
-        metrics.record_data_volume("enriched_metrics", rec["rows"])
+        written["enriched_metrics"] = write_snapshot(enriched, out_base, "enriched_metrics", key, as_of)
+        metrics.record_data_volume("enriched_metrics", written["enriched_metrics"]["rows"])
     enriched = load_latest(spark, out_base, "enriched_metrics")
     metrics.record_status_distribution(status_distribution(enriched))
     outputs = {
@@ -50,7 +51,6 @@ def run_job(spark: SparkSession, runs: DataFrame, experiments: DataFrame, metada
         "application_summary": sm.application_summary(enriched, as_of).drop("metrics"),
         "metric_timeseries": sm.sort_timeseries(sm.metric_timeseries(enriched, as_of)),
     }
-    written = {}
     for name, df in outputs.items():
         with metrics.timed(name):
             written[name] = write_snapshot(df, out_base, name, key, as_of, sort_by_time=False)

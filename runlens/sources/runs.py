@@ -53,7 +53,8 @@ def read_experiments(df: DataFrame, filter_expr: str | None = None) -> DataFrame
 
 def scan_runs(runs: DataFrame, experiments: DataFrame, as_of: dt.datetime, lookback: str,
               experiment_filter: str | None = None) -> DataFrame:
-    """Runs of the chosen experiments started strictly after ``as_of - lookback``."""
+    """Runs of the chosen experiments started strictly after ``as_of - lookback`` and not
+    after ``as_of`` (the scan time: a replay for a past ``as_of`` sees what that run saw)."""
     exps = read_experiments(experiments, experiment_filter).select("experiment_id")
-    recent = within_lookback(normalize_run_times(runs), as_of, lookback)
+    recent = within_lookback(normalize_run_times(runs), as_of, lookback).where(F.col("start_time") <= F.lit(as_of))
     return join_dimension(recent, exps.distinct(), "experiment_id", "left_semi")
