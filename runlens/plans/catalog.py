@@ -593,3 +593,46 @@ def q_stream_latest_wins(spark, sf_dir):
     cur = read_current(spark, history)
     return cur.select("run_id", "metric_name", round6(F.col("metric_value")).alias("metric_value"),
                       "extraction_timestamp")
+
+
+# ---------------------------------------------------------------- plain sinks and the SQL surface (SRC9, SNK2, SNK4-5)
+
+@query("parquet_roundtrip")
+def q_parquet_roundtrip(spark, sf_dir):
+    """Write the metric rows to a Parquet path in the shared folder and read them back."""
+    from runlens.session import scratch_path
+    from runlens.sinks.tables import read_parquet, write_parquet
+
+    path = scratch_path(spark, "parquet")
+    write_parquet(build(spark, sf_dir).metric_rows, path)
+    back = read_parquet(spark, path)
+    return back.select("run_id", "metric_name", round6(F.col("metric_value")).alias("metric_value"), "start_time",
+                       F.size("params").cast("bigint").alias("param_count"))
+
+
+HOURLY_SQL = """
+WITH runs AS (
+  SELECT run_id, start_time,
+         CASE WHEN count_if(status = 'critical') > 0 THEN 'critical'
+              WHEN count_if(status = 'warning') > 0 THEN 'warning' ELSE 'healthy' END AS run_status
+  FROM enriched_metrics
+  WHERE start_time <= :as_of
+  GROUP BY run_id, experiment_name, user_id, start_time)
+SELECT date_trunc('hour', start_time) AS timestamp,
+       count(*) AS total_runs,
+       count_if(run_status = 'critical') AS critical_runs,
+       count_if(run_status = 'warning') AS warning_runs,
+       count_if(run_status = 'healthy') AS healthy_runs,
+       round(100.0D * count_if(run_status IN ('healthy', 'warning')) / count(*) + 1e-9D, 6) AS pass_rate
+FROM runs
+GROUP BY date_trunc('hour', start_time)
+"""
+
+
+@query("platform_hourly_sql")
+def q_platform_hourly_sql(spark, sf_dir):
+    """The hourly platform counts as Spark SQL over a registered view, with a named parameter."""
+    from runlens.sinks.tables import execute, register
+
+    register(build(spark, sf_dir).classified, "enriched_metrics")
+    return execute(spark, HOURLY_SQL, {"as_of": AS_OF})
