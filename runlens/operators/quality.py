@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runlens.schemas import SEV_CRITICAL, SEV_HIGH, SEV_LOW, SEV_MEDIUM, SEVERITIES
+from runlens.schemas import SEV_HIGH, SEV_LOW, SEV_MEDIUM, SEVERITIES
 from runlens.session import local_table
 
 # Check limits of the source model.
@@ -266,6 +266,6 @@ def quality_report(spark, datasets: dict[str, DataFrame], as_of: dt.datetime,
     return alerts, counts
 
 
-__all__ = ["SEV_CRITICAL", "DEFAULT_CHECKS", "QualityCheck", "alerts_from_checks", "check_duplicates",
+__all__ = ["DEFAULT_CHECKS", "QualityCheck", "alerts_from_checks", "check_duplicates",
            "check_freshness", "check_nulls", "check_ranges", "check_schema", "null_percentages",
            "quality_report", "run_checks", "schema_columns"]

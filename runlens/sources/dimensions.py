@@ -13,12 +13,15 @@ from pyspark.sql import types as T
 
 from runlens import schemas as S
 
-_ITEMS = lambda key: T.StructType([T.StructField(key, T.ArrayType(T.StringType()))])
+def _envelope(key: str) -> T.StructType:
+    """``{key: [item, ...]}`` with every item kept as its raw JSON text."""
+    return T.StructType([T.StructField(key, T.ArrayType(T.StringType()))])
 
 
 def _explode_items(payloads: DataFrame, key: str, col: str = "payload") -> DataFrame:
-    """One row per raw item text; keeps the response order as ``load_ordinal``."""
-    parsed = F.from_json(F.col(col), _ITEMS(key))[key]
+    """One row per raw item text. ``load_ordinal`` = (payload row id, position in its
+    list): the response order of the payload rows as read, used for last-wins."""
+    parsed = F.from_json(F.col(col), _envelope(key))[key]
     base = payloads.withColumn("_resp", F.monotonically_increasing_id())
     return base.select("_resp", F.posexplode(parsed).alias("_pos", "item")).select(
         F.struct("_resp", "_pos").alias("load_ordinal"), "item"
