@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from runlens.operators.enrich import enrich
 from runlens.operators.flatten import flatten_runs
 from runlens.operators.series import series_windows
+from runlens.session import shared_dir
 from runlens.sources import fixtures as fx
 
 AS_OF = fx.AS_OF
@@ -33,10 +34,10 @@ _BUILT: dict = {}
 
 
 def build(spark: SparkSession, sf_dir: str) -> Tables:
-    """Lazy plans only; nothing runs until an action on a returned frame.
+    """The monitoring tables of one test-data directory, built once per session.
 
-    Plans are immutable, so one session reuses them across queries (plan
-    construction through the Python bridge is the costly part at small scale).
+    The first call materialises the run table and the classified rows (see
+    ``_build``); everything else stays a lazy plan over them.
     """
     key = (spark, sf_dir)
     if key not in _BUILT:
@@ -45,13 +46,20 @@ def build(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def _build(spark: SparkSession, sf_dir: str) -> Tables:
+    """Two lineage cuts in the shared folder (``spark.checkpoint.dir``): the run table
+    (events -> two shuffles) and the classified rows (broadcast joins). Plans that use
+    a table several times (the series windows read their input three times, the
+    summaries twice) then re-read materialised rows instead of re-running the
+    upstream shuffles per branch; exchange reuse cannot merge those branches because
+    each prunes different columns."""
+    shared_dir(spark)
     events = fx.load_events(spark, sf_dir)
-    runs = fx.runs_from_events(events)
+    runs = fx.runs_from_events(events).checkpoint(eager=True)
     exps = fx.experiments(spark)
     meta = fx.metric_metadata(spark)
     thr = fx.thresholds(spark)
     rows = flatten_runs(runs, exps, AS_OF)
-    base = enrich(rows, meta, thr, AS_OF)
+    base = enrich(rows, meta, thr, AS_OF).checkpoint(eager=True)
     # Both dimensions are inner-joined, so series <= experiments x metrics.
     bound = len(fx.METADATA_ROWS) * fx.N_EXPERIMENTS
     # The rows series_windows keeps (non-NULL series key), for consumers that need
