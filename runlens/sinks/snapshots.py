@@ -64,12 +64,23 @@ def write_snapshot(df: DataFrame, base: str, table: str, snapshot_id: str, as_of
         "columns": df.columns, "data_types": json.dumps(dict(df.dtypes)), "schema_json": df.schema.json(),
         "path": path, "written_at": dt.datetime.now(),
     }
-    spark.createDataFrame([record], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
-        f"{base.rstrip('/')}/_snapshot_log"
-    )
+    _log_row(spark, record).write.mode("append").parquet(f"{base.rstrip('/')}/_snapshot_log")
     return record
 
 
+def _log_row(spark: SparkSession, record: dict) -> DataFrame:
+    """One log row as literals (planned on the JVM; no Python worker)."""
+    cols = []
+    for f in LOG_SCHEMA.fields:
+        v = record[f.name]
+        if isinstance(f.dataType, T.ArrayType):
+            c = F.array(*[F.lit(x) for x in v]) if v else F.array()
+        else:
+            c = F.lit(v)
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return spark.range(1).select(*cols)
+
+
 def snapshot_log(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(f"{base.rstrip('/')}/_snapshot_log")
 
