@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 NESTED_SKIP = {"params", "tags", "metadata"}
 
+# Plausibility patterns checked before a cast is attempted.
+INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+NUM_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?\s*$"
+TS_TEXT = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+
 
 def first_time_column(df: DataFrame) -> str | None:
     for c in df.columns:
@@ -35,13 +40,19 @@ def infer_types(df: DataFrame) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`")
+        # A cheap pattern test runs first (short-circuit AND), so the cast - whose
+        # failure path is slow - only sees plausible text. A value counts as parsed
+        # only when both agree, so the result stays lossless.
+        as_int = x.rlike(INT_TEXT) & x.try_cast("bigint").isNotNull()
+        as_num = x.rlike(NUM_TEXT) & x.try_cast("double").isNotNull()
         aggs += [
             F.count(x).alias(f"n{i}"),
-            F.count_if(x.isNotNull() & x.try_cast("bigint").isNull()).alias(f"b{i}"),
-            F.count_if(x.isNotNull() & x.try_cast("double").isNull()).alias(f"d{i}"),
+            F.count_if(x.isNotNull() & ~as_int).alias(f"b{i}"),
+            F.count_if(x.isNotNull() & ~as_num).alias(f"d{i}"),
         ]
         if _is_time_name(c):   # timestamps are only tried on *_time / *_timestamp columns
-            aggs.append(F.count_if(x.isNotNull() & F.try_to_timestamp(x).isNull()).alias(f"t{i}"))
+            as_ts = x.rlike(TS_TEXT) & F.try_to_timestamp(x).isNotNull()
+            aggs.append(F.count_if(x.isNotNull() & ~as_ts).alias(f"t{i}"))
     entries = []
     for i, c in enumerate(cols):
         typ = (
