@@ -41,7 +41,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="runlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
+    try:
+        spark.sparkContext.setCheckpointDir(conf_dir)
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        pass
     return conf_dir
 
 
