@@ -37,6 +37,15 @@ def run_status(enriched: DataFrame) -> DataFrame:
     )
 
 
+def hourly_counts() -> list[Column]:
+    """Runs, runs per status and pass rate (healthy + warning share, in percent)."""
+    return _hourly_counts()
+
+
+def run_status_of(critical_count: Column, warning_count: Column) -> Column:
+    return worst_status(critical_count, warning_count)
+
+
 def _hourly_counts() -> list[Column]:
     passed = F.count_if(F.col("run_status").isin(HEALTHY, WARNING))
     return [

@@ -636,3 +636,27 @@ def q_platform_hourly_sql(spark, sf_dir):
 
     register(build(spark, sf_dir).classified, "enriched_metrics")
     return execute(spark, HOURLY_SQL, {"as_of": AS_OF})
+
+
+@query("stream_hourly_watermark")
+def q_stream_hourly_watermark(spark, sf_dir):
+    """Extracts land in time order (days 1-10, 11-20, 21-end), each drained by its own
+    availableNow run, so no row arrives behind the watermark; hours the watermark has
+    not yet closed are not emitted."""
+    import datetime as dt
+
+    from runlens.session import scratch_path
+    from runlens.streaming.incremental import land_extract, run_watermarked
+
+    t = build(spark, sf_dir)
+    work = scratch_path(spark, "stream-wm")
+    landing = f"{work}/landing"
+    rows = t.metric_rows.drop("extraction_timestamp")
+    day = F.dayofmonth("start_time")
+    out = None
+    for i, (lo, hi) in enumerate([(1, 10), (11, 20), (21, 31)]):
+        land_extract(rows.where(day.between(lo, hi)), landing, AS_OF + dt.timedelta(minutes=5 * i))
+        out = run_watermarked(spark, landing, work, t.metadata, t.thresholds, AS_OF)
+    h = spark.read.parquet(out)
+    return h.select(F.col("time_hour").alias("timestamp"), "total_runs", "critical_runs", "warning_runs",
+                    "healthy_runs", round6(F.col("pass_rate")).alias("pass_rate"))
