@@ -399,6 +399,14 @@ def q_param_profile(spark, sf_dir):
     return param_profile(build(spark, sf_dir).metric_rows)
 
 
+@query("params_null_share")
+def q_params_null_share(spark, sf_dir):
+    from runlens.operators.profiles import params_null_share
+
+    p = params_null_share(build(spark, sf_dir).metric_rows)
+    return p.select("rows", "null_params", round6(F.col("null_params_pct")).alias("null_params_pct"))
+
+
 @query("status_distribution")
 def q_status_distribution(spark, sf_dir):
     from runlens.operators.profiles import status_distribution

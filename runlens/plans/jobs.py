@@ -38,12 +38,14 @@ def run_job(spark: SparkSession, runs: DataFrame, experiments: DataFrame, metada
         scanned = scan_runs(runs, experiments, as_of, lookback, experiment_filter)
         rows = flatten_runs(scanned, experiments, as_of)
         written["raw_metric_rows"] = write_snapshot(rows, out_base, "raw_metric_rows", key, as_of)
-        metrics.record_data_volume("raw_metric_rows", written["raw_metric_rows"]["rows"])
+        metrics.record_data_volume("raw_metric_rows", written["raw_metric_rows"]["rows"],
+                                   written["raw_metric_rows"]["size_mb"])
     with metrics.timed("enrich"):
         rows = load_latest(spark, out_base, "raw_metric_rows")
         enriched = series_windows(enrich(rows, metadata, thresholds, as_of), series_bound=series_bound)
         written["enriched_metrics"] = write_snapshot(enriched, out_base, "enriched_metrics", key, as_of)
-        metrics.record_data_volume("enriched_metrics", written["enriched_metrics"]["rows"])
+        metrics.record_data_volume("enriched_metrics", written["enriched_metrics"]["rows"],
+                                   written["enriched_metrics"]["size_mb"])
     enriched = load_latest(spark, out_base, "enriched_metrics")
     metrics.record_status_distribution(status_distribution(enriched))
     outputs = {
@@ -54,7 +56,7 @@ def run_job(spark: SparkSession, runs: DataFrame, experiments: DataFrame, metada
     for name, df in outputs.items():
         with metrics.timed(name):
             written[name] = write_snapshot(df, out_base, name, key, as_of, sort_by_time=False)
-        metrics.record_data_volume(name, written[name]["rows"])
+        metrics.record_data_volume(name, written[name]["rows"], written[name]["size_mb"])
     return {"run_key": key, "written": written, "metrics": metrics}
 
 

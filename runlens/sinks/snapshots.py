@@ -22,6 +22,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("snapshot_date", T.StringType()),
     T.StructField("snapshot_id", T.StringType()),
     T.StructField("rows", T.LongType()),
+    T.StructField("size_mb", T.DoubleType()),
     T.StructField("columns", T.ArrayType(T.StringType())),
     T.StructField("data_types", T.StringType()),
     T.StructField("schema_json", T.StringType()),
@@ -61,6 +62,7 @@ def write_snapshot(df: DataFrame, base: str, table: str, snapshot_id: str, as_of
     rows = int(obs.get.get("rows", 0))
     record = {
         "table_name": table, "snapshot_date": date, "snapshot_id": snapshot_id, "rows": rows,
+        "size_mb": snapshot_size_mb(spark, path, snapshot_id) if rows else 0.0,
         "columns": df.columns, "data_types": json.dumps(dict(df.dtypes)), "schema_json": df.schema.json(),
         "path": path, "written_at": dt.datetime.now(),
     }
@@ -68,6 +70,17 @@ def write_snapshot(df: DataFrame, base: str, table: str, snapshot_id: str, as_of
     return record
 
 
+def snapshot_size_mb(spark: SparkSession, path: str, snapshot_id: str) -> float:
+    """Bytes on disk of one snapshot partition, from the file-metadata column: the scan
+    needs no data columns, so only file listings and footers are read."""
+    files = (
+        spark.read.parquet(path).where(F.col("snapshot_id") == snapshot_id)
+        .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")).distinct()
+    )
+    total = files.agg(F.sum("s")).first()[0]
+    return round((total or 0) / (1024 * 1024), 4)
+
+
 def _log_row(spark: SparkSession, record: dict) -> DataFrame:
     """One log row as literals (planned on the JVM; no Python worker)."""
     cols = []
