@@ -11,9 +11,10 @@ no window here is partitioned by the series key alone over the full data:
   tails, so frames that cross a bucket edge are exact.
 * The forecast needs only the series' last three rows and its row count: a
   map-side limited top-k plus a partial aggregate.
-* The time-window average runs in (metric, hour) partitions: whole hours inside
-  the frame come from an hourly pre-aggregate, the partial hour at the frame's
-  start from rows copied one window-length forward.
+* The time-window average runs in (metric, bucket) partitions, with a per-metric
+  bucket width (a divisor of the window) sized from the metric's density: whole
+  buckets inside the frame come from prefix sums over the bucket aggregate, the
+  partial bucket at the frame's start from rows copied one window-length forward.
 """
 
 from __future__ import annotations
@@ -108,35 +109,79 @@ def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows
     return out.select(*enriched.columns, "moving_avg_24h", "forecast_next")
 
 
+# Bucket counts per window tried for the time-window average, all
+# divisors of a whole number of hours in seconds (for 24 h: 24 h, 12 h, ..., 1 h,
+# 30 min, 15 min, 5 min, 1 min, 10 s, 1 s).
+BUCKETS_PER_WINDOW = [1, 2, 3, 4, 6, 8, 12, 24, 48, 96, 288, 1440, 8640, 86400]
+
+
+def _buckets_per_window(window_seconds: int) -> list[int]:
+    return [m for m in BUCKETS_PER_WINDOW if window_seconds % m == 0]
+
+
 def moving_average_time(df: DataFrame, window_hours: int = 24, value: str = "metric_value",
-                        out_col: str = "moving_avg_time", bucket_seconds: int = 3600) -> DataFrame:
+                        out_col: str = "moving_avg_time", rows_per_bucket: int = ROWS_PER_BUCKET,
+                        metric_bound: int | None = None) -> DataFrame:
     """Mean of non-null values with start_time in (t - window, t] per metric, over all
     experiments. Rows tied on start_time see only the peers before them in run_id
     order, as a row-by-row rolling window would.
+
+    Each metric gets m buckets per window (a divisor of the window, so buckets align
+    with frames), m chosen from its average density so a bucket holds about
+    ``rows_per_bucket`` rows. For a row at t in bucket k the frame is
+      rows of bucket k up to t            (running sum in the (metric, k) partition)
+    + whole buckets k-m+1 .. k-1           (prefix sums over the bucket aggregate)
+    + rows of bucket k-m after t - window  (copies of bucket k-m sent to partition k,
+                                            keyed by time + window).
+    ``metric_bound``: a proven upper bound on distinct metrics (broadcast of the
+    per-metric table without counting it first).
     """
-    w_us = window_hours * 3600 * 10**6
-    b_us = bucket_seconds * 10**6
-    if w_us % b_us:
-        raise ValueError("window must be a whole number of buckets")
-    m = w_us // b_us
+    w_s = window_hours * 3600
+    w_us = w_s * 10**6
+    choices = _buckets_per_window(w_s)
 
     base = df.where(F.col("metric_name").isNotNull()).withColumn("_t", F.unix_micros("start_time"))
-    base = base.withColumn("_b", F.expr(f"_t div {b_us}"))
-
-    if m > 1:
-        hourly = base.groupBy("metric_name", "_b").agg(F.sum(value).alias("_hs"), F.count(value).alias("_hc"))
-        w_mid = Window.partitionBy("metric_name").orderBy("_b").rangeBetween(-(m - 1), -1)
-        mid = hourly.select(
-            "metric_name", "_b",
-            F.coalesce(F.sum("_hs").over(w_mid), F.lit(0.0)).alias("_ms"),
-            F.coalesce(F.sum("_hc").over(w_mid), F.lit(0)).cast("bigint").alias("_mc"),
-        )
-    else:
-        mid = None
 
-    data = base.withColumn("_key", F.col("_t")).withColumn("_kind", F.lit(1))
-    expiring = base.select(
-        "metric_name", (F.col("_b") + F.lit(m)).alias("_b"), (F.col("_t") + F.lit(w_us)).alias("_key"),
+    stats = base.groupBy("metric_name").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t0"), F.max("_t").alias("_t1"))
+    per_window = F.col("_n") * F.lit(float(w_us)) / (F.col("_t1") - F.col("_t0") + F.lit(1)).cast("double")
+    needed = F.ceil(per_window / F.lit(float(rows_per_bucket)))
+    m_col = F.lit(choices[-1])
+    for m in reversed(choices[:-1]):
+        m_col = F.when(needed <= m, F.lit(m)).otherwise(m_col)
+    stats = stats.select("metric_name", m_col.cast("bigint").alias("_m"))
+    stats = stats.withColumn("_bw", (F.lit(w_us) / F.col("_m")).cast("bigint"))
+    proven = metric_bound is not None and metric_bound <= BROADCAST_MAX_ROWS
+    stats = F.broadcast(stats) if proven else sized_side(stats, cache=True)
+
+    b = base.join(stats, "metric_name").withColumn("_b", F.expr("_t div _bw"))
+
+    # Whole buckets inside the frame: prefix sums over the (metric, bucket) aggregate and
+    # an as-of lookup of the prefix at bucket k - m (union of probes + last non-null).
+    agg = b.groupBy("metric_name", "_b", "_m").agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
+    upto = Window.partitionBy("metric_name").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    agg = agg.select("*", F.sum("_s").over(upto).alias("_ps"), F.sum("_c").over(upto).alias("_pc"))
+    marks = agg.select("metric_name", F.col("_b").alias("_idx"), F.lit(0).alias("_probe"),
+                       F.lit(None).cast("bigint").alias("_k"), "_ps", "_pc")
+    probes = agg.select("metric_name", (F.col("_b") - F.col("_m")).alias("_idx"), F.lit(1).alias("_probe"),
+                        F.col("_b").alias("_k"), F.lit(None).cast("double").alias("_ps"),
+                        F.lit(None).cast("bigint").alias("_pc"))
+    asof = Window.partitionBy("metric_name").orderBy("_idx", "_probe").rowsBetween(Window.unboundedPreceding, 0)
+    looked = marks.unionByName(probes).select(
+        "metric_name", "_probe", "_k",
+        F.last("_ps", ignorenulls=True).over(asof).alias("_aps"),
+        F.last("_pc", ignorenulls=True).over(asof).alias("_apc"),
+    ).where(F.col("_probe") == 1)
+    z = F.lit(0.0)
+    mid = agg.join(looked.select("metric_name", F.col("_k").alias("_b"), "_aps", "_apc"), ["metric_name", "_b"]).select(
+        "metric_name", "_b",
+        (F.coalesce(F.col("_ps"), z) - F.coalesce(F.col("_s"), z) - F.coalesce(F.col("_aps"), z)).alias("_ms"),
+        (F.col("_pc") - F.col("_c") - F.coalesce(F.col("_apc"), F.lit(0))).alias("_mc"),
+    )
+
+    data = b.withColumn("_key", F.col("_t")).withColumn("_kind", F.lit(1))
+    expiring = b.select(
+        "metric_name", (F.col("_b") + F.col("_m")).alias("_b"), (F.col("_t") + F.lit(w_us)).alias("_key"),
         F.lit(0).alias("_kind"), "run_id", F.col(value).alias(value),
     )
     u = data.unionByName(expiring, allowMissingColumns=True)
@@ -150,12 +195,8 @@ def moving_average_time(df: DataFrame, window_hours: int = 24, value: str = "met
         F.sum(ev).over(run).alias("_es"), F.count(ev).over(run).alias("_ec"),
         F.sum(ev).over(part).alias("_ets"), F.count(ev).over(part).alias("_etc"),
     ).where(F.col("_kind") == 1)
-    if mid is not None:
-        u = u.join(sized_side(mid, cache=True), ["metric_name", "_b"], "left")
-        ms, mc = F.coalesce(F.col("_ms"), F.lit(0.0)), F.coalesce(F.col("_mc"), F.lit(0))
-    else:
-        ms, mc = F.lit(0.0), F.lit(0)
-    z = F.lit(0.0)
-    s = F.coalesce(F.col("_ds"), z) + F.coalesce(F.col("_ets"), z) - F.coalesce(F.col("_es"), z) + ms
-    c = F.col("_dc") + F.col("_etc") - F.col("_ec") + mc
+    u = u.join(sized_side(mid, cache=True), ["metric_name", "_b"], "left")
+    s = (F.coalesce(F.col("_ds"), z) + F.coalesce(F.col("_ets"), z) - F.coalesce(F.col("_es"), z)
+         + F.coalesce(F.col("_ms"), z))
+    c = F.col("_dc") + F.col("_etc") - F.col("_ec") + F.coalesce(F.col("_mc"), F.lit(0))
     return u.withColumn(out_col, F.when(c > 0, s / c)).select(*df.columns, out_col)

@@ -129,7 +129,10 @@ def q_unmatched_metrics(spark, sf_dir):
 def q_moving_avg_time(spark, sf_dir):
     from runlens.operators.series import moving_average_time
 
-    e = moving_average_time(build(spark, sf_dir).enriched_base, window_hours=24)
+    from runlens.sources import fixtures as fx
+
+    e = moving_average_time(build(spark, sf_dir).enriched_base, window_hours=24,
+                            metric_bound=len(fx.METADATA_ROWS))
     return e.select("run_id", "metric_name", "start_time", round6(F.col("moving_avg_time")).alias("moving_avg_time"))
 
 

@@ -79,14 +79,16 @@ def _brute_time_avg(rows, hours_window=24):
     return out
 
 
-def test_time_window_average_brute_force(spark):
+@pytest.mark.parametrize("rows_per_bucket", [1, 3, 40, 10**6])
+def test_time_window_average_brute_force(spark, rows_per_bucket):
     rnd = random.Random(7)
     rows, t = [], T0
     for i in range(300):
         t += dt.timedelta(minutes=rnd.choice([0, 7, 45, 180, 1440]))   # ties, gaps, exact 24 h steps
         v = None if rnd.random() < 0.05 else round(rnd.uniform(0, 50), 2)
         rows.append((f"r{i:04d}", str(i % 3), rnd.choice(["click", "view"]), v, t))
-    got = moving_average_time(metric_rows(spark, rows)).collect()
+    got = moving_average_time(metric_rows(spark, rows), rows_per_bucket=rows_per_bucket).collect()
+    assert len(got) == len(rows)
     want = _brute_time_avg(rows)
     for r in got:
         w = want[r["run_id"]]
