@@ -146,10 +146,17 @@ def check_schema(df: DataFrame) -> DataFrame:
 
 
 def schema_columns(df: DataFrame) -> DataFrame:
-    """(column_name, present) for the required columns; driver-side metadata only."""
-    rows = [(c, c in df.columns) for c in REQUIRED_COLUMNS]
-    schema = T.StructType([T.StructField("column_name", T.StringType()), T.StructField("present", T.BooleanType())])
-    return local_table(df.sparkSession, rows, schema)
+    """(column_name, present, non_null_rows) for each required column: presence from the
+    schema, non-null rows from one aggregate over the present ones (0 when absent)."""
+    present = [c for c in REQUIRED_COLUMNS if c in df.columns]
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(present)]) if present \
+        else df.sparkSession.range(1)
+    entries = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(c in present).alias("present"),
+                 (F.col(f"_n{present.index(c)}") if c in present else F.lit(0).cast("bigint")).alias("non_null_rows"))
+        for c in REQUIRED_COLUMNS
+    ]
+    return counts.select(F.inline(F.array(*entries)))
 
 
 @dataclass
