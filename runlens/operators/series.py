@@ -6,7 +6,8 @@ no window here is partitioned by the series key alone over the full data:
 
 * The row moving average (last ``window_rows`` rows) runs in (series, bucket)
   partitions. Bucket width is chosen per series from its row count and time span
-  (about ``rows_per_bucket`` rows each). Each bucket also receives the
+  (about ``rows_per_bucket`` rows each); buckets that still hold more (bursts) are
+  split once more from their own count. Each bucket also receives the
   ``window_rows - 1`` rows that precede it ("carry"), taken from the per-bucket
   tails, so frames that cross a bucket edge are exact.
 * The forecast needs only the series' last three rows and its row count: a
@@ -62,9 +63,25 @@ def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows
 
     stats = side(_series_stats(df, rows_per_bucket))
 
-    b = df.join(stats, SERIES).withColumn(
-        "_bucket", F.expr("(unix_micros(start_time) - unix_micros(_t0)) div _bucket_us")
+    b = df.join(stats, SERIES).withColumn("_off", F.unix_micros("start_time") - F.unix_micros("_t0"))
+    b = b.withColumn("_b1", F.expr("_off div _bucket_us"))
+    # Second level for bursts: a first-level bucket holding more than rows_per_bucket rows
+    # (a partial aggregate finds them; at most n / rows_per_bucket exist) is split again
+    # with a width sized from its own count. (level 1, level 2) stays monotone in time.
+    hot = (
+        b.groupBy(*SERIES, "_b1").agg(F.count(F.lit(1)).alias("_c1"))
+        .where(F.col("_c1") > F.lit(rows_per_bucket))
+        .join(stats.select(*SERIES, "_bucket_us"), SERIES)
+        .select(*SERIES, "_b1", F.greatest(F.ceil(F.col("_bucket_us").cast("double") * F.lit(float(rows_per_bucket))
+                                                  / F.col("_c1")), F.lit(1)).cast("bigint").alias("_sub_us"))
     )
+    b = b.join(sized_side(hot, cache=True), [*SERIES, "_b1"], "left").withColumn(
+        "_bucket", F.struct(
+            F.col("_b1").alias("b1"),
+            F.when(F.col("_sub_us").isNull(), F.lit(0).cast("bigint"))
+            .otherwise(F.expr("(_off - _b1 * _bucket_us) div _sub_us")).alias("b2"),
+        )
+    ).drop("_off", "_b1", "_sub_us")
     slim = b.select(*SERIES, "_bucket", "start_time", "run_id", F.col(value).alias("_v"))
 
     # Last `keep` rows of every (series, bucket); the limit runs map-side before the shuffle.

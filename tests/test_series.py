@@ -99,3 +99,18 @@ def test_time_window_open_lower_bound(spark):
     rows = [("r1", "0", "click", 1.0, T0), ("r2", "0", "click", 2.0, T0 + dt.timedelta(days=1))]
     got = {r["run_id"]: r["moving_avg_time"] for r in moving_average_time(metric_rows(spark, rows)).collect()}
     assert got == {"r1": 1.0, "r2": 2.0}
+
+
+def test_burst_split_equals_plain_window(spark):
+    """A burst (most rows within five hours of a 20-day series) falls into one first-level
+    bucket and is split into about five second-level buckets."""
+    rows = [(f"r{i:04d}", "0", "click", float(i % 17), T0 + dt.timedelta(days=i)) for i in range(20)]
+    rows += [(f"b{i:04d}", "0", "click", float(i % 13), T0 + dt.timedelta(days=5, seconds=i * 90))
+             for i in range(200)]
+    df = metric_rows(spark, rows)
+    got = series_windows(df, rows_per_bucket=10)
+    w = Window.partitionBy("experiment_id", "metric_name").orderBy("start_time", "run_id")
+    want = {r["run_id"]: r["m"] for r in df.withColumn("m", F.avg("metric_value").over(w.rowsBetween(-4, 0))).collect()}
+    g = {r["run_id"]: r["moving_avg_24h"] for r in got.collect()}
+    assert len(g) == len(rows)
+    assert all(g[k] == pytest.approx(v) for k, v in want.items())
