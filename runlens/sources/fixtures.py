@@ -148,7 +148,7 @@ def metadata_payloads(spark: SparkSession, events: DataFrame) -> DataFrame:
     """
     names = events.select(F.col("event_type").alias("metric_name")).distinct()
     meta = metric_metadata(spark)
-    joined = names.join(F.broadcast(meta), "metric_name", "left")
+    joined = names.join(F.broadcast(meta), "metric_name", "left")   # literal table: size fixed above
     item = F.when(
         F.col("display_name").isNotNull(),
         F.to_json(
@@ -172,7 +172,7 @@ def threshold_payloads(spark: SparkSession, events: DataFrame) -> DataFrame:
     thr = thresholds(spark).withColumn(
         "updated_at", F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     )
-    joined = names.join(F.broadcast(thr), "metric_name", "left")
+    joined = names.join(F.broadcast(thr), "metric_name", "left")    # literal table: size fixed above
     item = F.when(
         F.col("critical_threshold").isNotNull(),
         F.to_json(
