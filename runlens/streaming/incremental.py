@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from runlens import schemas as S
 from runlens.operators import summaries as sm
 from runlens.operators.enrich import enrich
-from runlens.operators.joins import sized_side
 
 
 def latest_wins(rows: DataFrame) -> DataFrame:
@@ -46,17 +45,24 @@ class HourlyUpdater:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stamped = batch.withColumn("day_key", F.date_format("start_time", "yyyy-MM-dd"))
-        stamped.sortWithinPartitions("day_key").write.mode("append").partitionBy("day_key").parquet(self.history)
-        touched = sized_side(stamped.select("day_key").distinct(), cache=True)
-        hist = spark.read.schema(stamped.schema).parquet(self.history).join(touched, "day_key", "left_semi")
+        stamped = batch.withColumn("day_key", F.date_format("start_time", "yyyy-MM-dd")).persist()
+        try:
+            stamped.sortWithinPartitions("day_key").write.mode("append").partitionBy("day_key").parquet(
+                self.history)
+            # The distinct day keys of one batch (a handful of strings) become a literal
+            # IN list, so the history read is pruned to those partitions statically.
+            touched = [r[0] for r in stamped.select("day_key").distinct().collect()]
+        finally:
+            stamped.unpersist()
+        if not touched:
+            return
+        hist = spark.read.schema(stamped.schema).parquet(self.history).where(F.col("day_key").isin(touched))
         current = latest_wins(hist)
         enriched = enrich(current.drop("day_key"), self.metadata, self.thresholds, self.as_of)
         hourly = sm.platform_hourly(sm.run_status(enriched)).withColumn(
             "day_key", F.date_format("time_hour", "yyyy-MM-dd"))
         (hourly.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("day_key").parquet(self.hourly))
-        touched.unpersist()
 
 
 def run_incremental(spark: SparkSession, landing: str, work: str, metadata: DataFrame,
