@@ -671,3 +671,28 @@ def q_stream_hourly_watermark(spark, sf_dir):
     h = spark.read.parquet(out)
     return h.select(F.col("time_hour").alias("timestamp"), "total_runs", "critical_runs", "warning_runs",
                     "healthy_runs", round6(F.col("pass_rate")).alias("pass_rate"))
+
+
+@query("delta_job")
+def q_delta_job(spark, sf_dir):
+    """The 1-hour delta job replayed at the end of the hour in which the most runs
+    started (a scalar read from the data; ties: the later hour); returns the enriched
+    snapshot it wrote, whose moving averages and forecasts cover that extract only."""
+    import datetime as dt
+
+    from runlens.plans.jobs import delta_job
+    from runlens.session import scratch_path
+    from runlens.sinks.snapshots import load_latest
+    from runlens.sources import fixtures as fx
+
+    t = build(spark, sf_dir)
+    per_hour = t.runs.groupBy(F.date_trunc("hour", "start_time").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    busiest = per_hour.agg(F.max_by("h", F.struct("n", "h"))).first()[0]
+    as_of = busiest + dt.timedelta(hours=1)
+    base = scratch_path(spark, "jobs")
+    delta_job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base, as_of,
+              series_bound=len(fx.METADATA_ROWS) * fx.N_EXPERIMENTS)
+    e = load_latest(spark, base, "enriched_metrics")
+    return e.select("run_id", "metric_name", "status", round6(F.col("metric_value")).alias("metric_value"),
+                    round6(F.col("moving_avg_24h")).alias("moving_avg_24h"),
+                    round6(F.col("forecast_next")).alias("forecast_next"))
