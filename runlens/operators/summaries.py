@@ -89,13 +89,12 @@ def pass_rate_lag(hourly: DataFrame, lag_rows: int = 24) -> DataFrame:
     The unpartitioned lag window sees one row per hour, never raw rows.
     """
     w = Window.orderBy("time_hour")
-    lagged = hourly.withColumn("pass_rate_24h_ago", F.lag("pass_rate", lag_rows).over(w))
-    prev = hourly.select(
-        (F.col("time_hour") + F.expr("INTERVAL 24 HOURS")).alias("time_hour"),
-        F.col("pass_rate").alias("_pr_prev_day"),
-    )
+    # A range frame of exactly [-24 h, -24 h] finds the hour one day earlier, if present,
+    # in the same single-partition pass as the lag (no self-join).
+    day_back = Window.orderBy(F.unix_seconds("time_hour")).rangeBetween(-86400, -86400)
     return (
-        lagged.join(prev, "time_hour", "left")
+        hourly.withColumn("pass_rate_24h_ago", F.lag("pass_rate", lag_rows).over(w))
+        .withColumn("_pr_prev_day", F.first("pass_rate").over(day_back))
         .withColumn("pass_rate_trend", F.coalesce(F.col("pass_rate") - F.col("pass_rate_24h_ago"), F.lit(0.0)))
         .withColumn("pass_rate_trend_24h", F.col("pass_rate") - F.col("_pr_prev_day"))
         .drop("_pr_prev_day")
