@@ -103,19 +103,26 @@ def check_freshness(df: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 
 def check_ranges(df: DataFrame) -> DataFrame:
-    """Share of values outside mean +- 3 std. The stats pass is a scalar subquery
-    feeding the second pass (no cross join, nothing collected). No values at all is
-    an error, as the source's division by zero would be."""
+    """Share of values outside mean +- 3 sample std, in two passes: one aggregate for the
+    statistics (a single row, read as two numbers), then the outlier count against
+    literal bounds. No cross join, and no repeated scalar subquery (which would be
+    planned once per reference). No values at all is an error, as the source's
+    division by zero would be."""
     if "metric_value" not in df.columns:
         return _const(df.sparkSession, "metric_ranges", True, "No metric_value column found")
     v = F.nanvl(F.col("metric_value"), F.lit(None).cast("double"))
     vals = df.select(v.alias("v")).where(F.col("v").isNotNull())
-    stats = vals.select(F.struct(F.avg("v").alias("m"), F.stddev_samp("v").alias("s"))).scalar()
-    lo = stats["m"] - F.lit(OUTLIER_SIGMAS) * stats["s"]
-    hi = stats["m"] + F.lit(OUTLIER_SIGMAS) * stats["s"]
+    st = vals.agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s")).first()
+    if st["m"] is None:
+        outside = F.lit(False)
+    elif st["s"] is None:
+        outside = F.lit(False)          # one value: no spread, no outlier
+    else:
+        lo, hi = st["m"] - OUTLIER_SIGMAS * st["s"], st["m"] + OUTLIER_SIGMAS * st["s"]
+        outside = (F.col("v") < F.lit(lo)) | (F.col("v") > F.lit(hi))
     agg = vals.agg(
         F.count(F.lit(1)).alias("_n"),
-        F.count_if((F.col("v") < lo) | (F.col("v") > hi)).alias("_out"),
+        F.count_if(outside).alias("_out"),
         F.avg("v").alias("_mean"), F.stddev_samp("v").alias("_std"),
         F.min("v").alias("_min"), F.max("v").alias("_max"),
     )
