@@ -191,7 +191,8 @@ def run_checks(df: DataFrame, dataset: str, as_of: dt.datetime,
     """All enabled checks on one dataset -> (dataset, check_name, description, severity,
     status, details, record_count). A check that fails to plan or run is an error row.
 
-    ``eager`` runs the checks now against a cached copy of ``df`` (each check is an
+    The row count and the range check's statistics are read eagerly (one-row aggregates);
+    ``eager`` also runs the checks now against a cached copy of ``df`` (each check is an
     aggregate over the same rows) and returns the small result as a literal table.
     """
     checks = DEFAULT_CHECKS if checks is None else checks
@@ -216,7 +217,9 @@ def run_checks(df: DataFrame, dataset: str, as_of: dt.datetime,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("record_count", df.select(F.count(F.lit(1))).scalar())
+    # One count, read as a literal: a scalar subquery above the union would be pushed
+    # into every branch and counted once per check.
+    return out.withColumn("record_count", F.lit(df.count()).cast("bigint"))
 
 
 RESULT_SCHEMA = T.StructType([
@@ -236,10 +239,10 @@ def _run_checks_eager(df: DataFrame, dataset: str, as_of: dt.datetime, checks) -
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     cols = [f.name for f in RESULT_SCHEMA.fields]
     try:
+        n = cached.count()
         try:
             rows = [tuple(r[c] for c in cols) for r in run_checks(cached, dataset, as_of, checks).collect()]
         except Exception:  # noqa: BLE001
-            n = cached.count()
             rows = []
             for chk in checks:
                 if not chk.enabled:
