@@ -55,3 +55,22 @@ def test_status_rule_matches_statement(spark, cases):
     v = F.nanvl(F.col("v"), F.lit(None).cast("double"))
     got = [r[0] for r in df.select(health_status(v, F.col("hib"), F.col("crit"), F.col("warn"))).collect()]
     assert got == [_rule(*c) for c in cases]
+
+
+keys = st.lists(st.sampled_from(["model", "Model", "MODEL", "lr", "LR", "epochs", "Seed", "seed"]),
+                unique=True, max_size=8)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(keys, min_size=1, max_size=20))
+def test_lower_keys_matches_statement(spark, maps):
+    from runlens.functions.maps import lower_keys
+
+    rows = [(i, ks, [f"v{i}-{j}" for j in range(len(ks))]) for i, ks in enumerate(maps)]
+    df = spark.createDataFrame(rows, "i int, k array<string>, v array<string>")
+    got = {r["i"]: r["m"] for r in df.select("i", lower_keys(F.map_from_arrays("k", "v")).alias("m")).collect()}
+    for i, ks, vs in rows:
+        want = {}
+        for k, v in zip(ks, vs):
+            want[k.lower()] = v
+        assert got[i] == want
