@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from runlens.functions.maps import key_params_json, lower_keys
 from runlens.functions.stats import epoch_seconds, latest_non_null, safe_corr
 from runlens.functions.status import run_status as worst_status
+from runlens.operators.joins import sized_side
 from runlens.schemas import CRITICAL, HEALTHY, WARNING
 from runlens.sources.runs import within_lookback
 
@@ -193,12 +194,14 @@ def metrics_summary_by_app(metric_summary: DataFrame) -> DataFrame:
 def application_summary(enriched: DataFrame, as_of: dt.datetime, days: int = 7) -> DataFrame:
     """Hourly application summary with the 7-day metric summary of the application.
 
-    The metric side is reduced to one map per application before the join, so the
-    join never fans out hours x metrics. An application without recent metrics
+    The metric side is reduced to one map per application before the join (and
+    broadcast when a bounded count proves it small), so the join never fans out
+    hours x metrics and the hourly side is not shuffled for it. An application without recent metrics
     gets ``{"unknown": {all fields null}}``.
     """
     hourly = app_hourly(app_run_status(enriched))
-    per_app = metrics_summary_by_app(app_metric_summary(enriched, as_of, days))
+    # One row per application: broadcast once a bounded count proves it small.
+    per_app = sized_side(metrics_summary_by_app(app_metric_summary(enriched, as_of, days)), cache=True)
     unknown = F.create_map(F.lit("unknown"), F.lit(None).cast(METRIC_SUMMARY))
     metrics = F.coalesce(F.col("metrics"), unknown)
     return (
