@@ -30,22 +30,26 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered, so lineage cuts and snapshot tables
-    never land on an executor-local disk on a real cluster.
+    Read from the session. Where it is unset, a session on a ``local`` master (tests) gets a
+    temporary folder of its own; on a cluster that folder would be private to one
+    machine, so an unset folder is an error there.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="runlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    try:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
-        pass
-    return conf_dir
+    if conf_dir:
+        return conf_dir
+    if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    app = spark.conf.get("spark.app.id")
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="runlens-shared-")
+        spark.sparkContext.setCheckpointDir(_LOCAL_DIRS[app])
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,8 +12,6 @@ def spark():
     from runlens.session import local_session, shared_dir
 
     s = local_session("*", shuffle_partitions=8, app="runlens-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="runlens-tests-"))
     shared_dir(s)
     yield s
 
