@@ -59,6 +59,11 @@ def _windows(ws: Column, n: Column, width: int = 3) -> Column:
                        lambda i: F.concat_ws(" ", *[F.get(ws, i + j) for j in range(width)]))
 
 
+def _chars_of(t: Column, kind: str) -> Column:
+    """How many characters of a kind: what the text loses without its runs of them."""
+    return (F.char_length(t) - F.char_length(F.regexp_replace(t, f"{kind}+", ""))).cast("long")
+
+
 def measures(text: Column) -> list[tuple[str, Column]]:
     """First projection: arrays and plain counts of one text."""
     t = F.coalesce(text, F.lit(""))
@@ -66,8 +71,8 @@ def measures(text: Column) -> list[tuple[str, Column]]:
         ("__w", words(t)),
         ("__lines", F.filter(F.split(t, "\n"), _line_with_word)),
         ("n_symbols", F.regexp_count(t, F.lit("[" + SYMBOLS.replace("|", r"\|") + "]")).cast("long")),
-        ("__upper", F.regexp_count(t, F.lit(r"\p{Lu}")).cast("long")),
-        ("__letters", F.regexp_count(t, F.lit(r"\p{L}")).cast("long")),
+        ("__upper", _chars_of(t, r"\p{Lu}")),
+        ("__letters", _chars_of(t, r"\p{L}")),
     ]
 
 

@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from runlens.llm import toxicity, weak_quality
 from runlens.llm.common import read
 from runlens.llm.decontaminate import find_matches
+from runlens.llm.html_extract import extract
 from runlens.llm.mixing import mix
 from runlens.llm.quality_rules import BASE, MIN_WORDS, RATIOS, RULES, STOP_WORDS, SYMBOLS, apply_rules
 from runlens.llm.sharding import NULL_KEY, U_DIGITS, assign_shards
 from runlens.llm.simhash import hex_fingerprint, near_duplicates
+from runlens.llm.substring_dedup import remove_repeats
+from runlens.llm.token_files import read_documents, token_folder, write_tokens
 
 SHARDS = {i: 1.0 for i in range(16)}
 GROWN = {i: 1.0 for i in range(17)}
@@ -24,11 +30,32 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_folder(spark)
+    files = write_tokens(read(spark, sf_dir, "documents"), "doc_id", "text", folder,
+                         public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_documents(files, folder).withColumnRenamed("key", "doc_id")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(read(spark, sf_dir, "documents"), "doc_id", "text")
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(read(spark, sf_dir, "documents").select("doc_id", "text"), "text").select(
         "doc_id", *BASE, *[F.round(r, 9).alias(r) for r in RATIOS], *[f"ok_{r.name}" for r in RULES], "base_failed", "kept")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def learned_from(doc_id):
+        return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0
+
+    d = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.classify(d, "doc_id", "text", read(spark, sf_dir, "labels"), "toxic", learned_from)
+    return found.select("doc_id", (~learned_from(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents").select("doc_id", "text")
     return find_matches(d, "text", read(spark, sf_dir, "benchmark")).select("doc_id", "contaminated", "matches")
@@ -46,12 +73,27 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies", "rate")
 
 
+def op9_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return weak_quality.classify(d, "doc_id", "text").select("doc_id", "votes", "posterior", "score", "kept")
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract(read(spark, sf_dir, "pages"), "url", "html")
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_token_files": op2_token_files,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
+    "op9_weak_quality": op9_weak_quality,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 
@@ -70,6 +112,24 @@ def _rules_sql() -> str:
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE = {
+    "op3_substring_dedup": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS place, doc_id, {_WORDS} AS w FROM documents
+), s AS (
+  SELECT r, place, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20
+), x AS (
+  SELECT r, place, i, array_to_string(w[i:i + 19], ' ') AS win FROM s
+), f AS (
+  SELECT r, i, place > min(place) OVER (PARTITION BY win) OR i > min(i) OVER (PARTITION BY win, r) AS again FROM x
+), p AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d
+), m AS (
+  SELECT r, i, max(CASE WHEN again THEN i END) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone, word
+  FROM p LEFT JOIN f USING (r, i)
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(count(*) FILTER (gone), 0)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM d LEFT JOIN m USING (r) GROUP BY r, doc_id, w""",
     "op4_quality_rules": rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents
