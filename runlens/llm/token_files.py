@@ -36,22 +36,22 @@ MAGIC = b"DACTOK01"
 CHUNK_BITS = 8
 RANK_BLOCK = 512
 FILE_TEXT_BYTES = 32 << 20
-CACHE_WORDS = 300_000
+KEPT_CHUNKS = 1_000_000
 
 
 # ---- encoding ---------------------------------------------------------------------------------------------
 
-# How a byte-level vocabulary splits a text before merging.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+SPACE_RUN = regex.compile(r"\s\s")
 # Characters whose class no version of Unicode changed; a text with any other is encoded whole.
 OTHER = regex.compile(r"[^\t\n\r -~¡-ɏ‐-‧]")
 
 
 class Encoder:
-    """Ids of texts by a tokenizers file.
+    """Ids of texts by a tokenizers file, as little-endian bytes.
 
-    Merging never crosses a piece of the splitting pattern, so a piece is encoded once and kept. Only for
-    byte-level files without normaliser; others, and texts with rare characters, are encoded whole.
+    A byte-level file merges inside pieces only, and no piece reaches over a space or line end that stands
+    alone, so a text is cut there and each distinct chunk is encoded once. Texts with runs of white space or
+    with rare characters, and other kinds of files, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -61,29 +61,45 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         kind = type(self.tokenizer.pre_tokenizer).__name__
-        self.by_piece = kind == "ByteLevel" and self.tokenizer.normalizer is None \
+        self.in_chunks = kind == "ByteLevel" and self.tokenizer.normalizer is None \
             and not self.tokenizer.pre_tokenizer.add_prefix_space
-        self.known: dict[str, list[int]] = {}
-
-    def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def ids(self, text: str) -> list[int]:
-        if not self.by_piece or OTHER.search(text):
-            return self.whole([text])[0]
-        pieces = PIECES.findall(text)
+        self.chunks: dict[str, bytes] = {}   # a key without line end in front stands after a space
+
+    def ids(self, text: str) -> bytes:
+        if not self.in_chunks or SPACE_RUN.search(text) or OTHER.search(text):
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        # The line end put in front makes the first chunk like the others; its own ids are cut off.
+        parts = ("\n" + text).replace("\n", " \n").split(" ")[1:] if text[:1] not in (" ", "\n") else None
+        if parts is None:
+            parts, skip = text.replace("\n", " \n").split(" ")[1:], 0
+        else:
+            skip = len(self._of(["\n"])[0])
+        return b"".join(self._of(parts))[skip:]
+
+    def _of(self, parts: list[str]) -> list[bytes]:
+        known = self.chunks
         try:
-            found = list(map(self.known.__getitem__, pieces))
+            return list(map(known.__getitem__, parts))
         except KeyError:
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
-            new = list(set(pieces).difference(self.known))
-            self.known.update(zip(new, self.whole(new)))
-            found = list(map(self.known.__getitem__, pieces))
-        out: list[int] = []
-        for x in found:
-            out += x
-        return out
+            if len(known) > KEPT_CHUNKS:
+                known.clear()
+            new = list(set(parts).difference(known))
+            # Chunks given as words: one call, each is split and merged on its own.
+            found = self.tokenizer.encode([x if x[:1] == "\n" else " " + x for x in new], is_pretokenized=True, add_special_tokens=False)
+            ids = np.asarray(found.ids, "<u4").tobytes()
+            ends = (np.append(np.flatnonzero(np.diff(np.asarray(found.word_ids))) + 1, len(found.ids)) * 4).tolist()
+            known.update(zip(new, [ids[a:b] for a, b in zip([0, *ends], ends)]))
+            return list(map(known.__getitem__, parts))
+
+
+# One per worker process and file: later tasks find the pieces of earlier ones.
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 # ---- the file format --------------------------------------------------------------------------------------
@@ -181,19 +197,21 @@ def _store(folder: str):
 
 
 def _file_writer(folder: str, tokenizer_path: str, end_id: int):
+    end = np.array([end_id], "<u4").tobytes()
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, keys, lengths, parts = Encoder(tokenizer_path), [], [], []
+        encode, keys, lengths, parts = encoder(tokenizer_path), [], [], []
         for batch in batches:
             for key, text in zip(batch["key"], batch["text"]):
-                ids = encoder.ids(text or "")
+                ids = encode.ids(text or "")
                 keys.append(None if key is None or pd.isna(key) else int(key))
-                lengths.append(len(ids) + 1)
-                parts.append(np.append(np.asarray(ids, np.uint32), np.uint32(end_id)))
+                lengths.append(len(ids) // 4 + 1)
+                parts += [ids, end]
         if not keys:
             return
         part = TaskContext.get().partitionId()
         name = f"part-{part:07d}.dac"
-        data = to_bytes(keys, np.array(lengths, np.int64), np.concatenate(parts))
+        data = to_bytes(keys, np.array(lengths, np.int64), np.frombuffer(b"".join(parts), "<u4"))
         store, path = _store(folder)
         store.create_dir(path)
         temporary = f"{path}/.{name}.{uuid.uuid4().hex}"

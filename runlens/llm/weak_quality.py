@@ -51,12 +51,13 @@ def labellers() -> dict[str, Column]:
     """Name -> vote; columns are those of the quality rules."""
     c = F.col
     some = c("n_words") > 0
+    enough = c("n_words") >= 20          # a share of fewer words says little
     repeats = _ratio("n_repeat_words", "n_words")
     return {
         "words": _vote(c("n_words") >= 50, ~some),
-        "stop_words": _vote(c("stop_word_ratio") >= 0.08, some & (c("stop_word_ratio") < 0.03)),
+        "stop_words": _vote(c("stop_word_ratio") >= 0.08, enough & (c("stop_word_ratio") < 0.03)),
         "symbols": _vote(some & (c("symbol_ratio") < 0.005), c("symbol_ratio") > 0.03),
-        "capitals": _vote(some & (c("capital_ratio") < 0.2), c("capital_ratio") > 0.4),
+        "capitals": _vote(some & (c("capital_ratio") < 0.2), enough & (c("capital_ratio") > 0.4)),
         "repeats": _vote(some & (repeats < 0.1), repeats > 0.4),
         "word_length": _vote(c("mean_word_length").between(3.5, 8.0), ~c("mean_word_length").between(2.5, 10.0)),
         "lines": _vote(some & (c("dup_line_ratio") < 0.1), c("dup_line_ratio") > 0.4),
@@ -88,6 +89,15 @@ def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[
     return prior, table, posterior
 
 
+AGAIN = "\x01again"
+
+
+def tokens(text: str | None) -> list[str]:
+    """The words, and a mark for each that repeats the word before it."""
+    ws = (text or "").split()
+    return ws + [AGAIN] * sum(a == b for a, b in zip(ws, ws[1:]))
+
+
 def features(word: str) -> np.ndarray:
     """A word and its shape: letter cases, digits and other characters, runs as one."""
     shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", re.sub(r"\d", "0", word)))
@@ -122,7 +132,7 @@ def classify(df: DataFrame, key: str, text: str) -> DataFrame:
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(held.value, intercept, features, mean=True)
         for texts in batches:
-            yield pd.Series(sigmoid(np.array([scorer.logit((t or "").split()) for t in texts], float)))
+            yield pd.Series(sigmoid(np.array([scorer.logit(tokens(t)) for t in texts], float)))
 
     one = labelled.select("key", "digest", "votes", "posterior").dropDuplicates(["key", "digest"])
     scores = rows.select("row", F.col("row").getField(key).alias("k"), F.xxhash64(F.col("row").getField(text)).alias("d"),
@@ -143,7 +153,7 @@ def _fit(df: DataFrame, key: str, text: str, labelled: DataFrame) -> tuple[np.nd
                  .select("h", "posterior", "t").dropDuplicates(["h"]))
         upto = F.sum(F.size(F.split(F.coalesce("t", F.lit("")), r"\s+"))).over(Window.orderBy("h"))
         rows = found.withColumn("upto", upto).where(F.col("upto") <= SAMPLE_WORDS // 2).select("posterior", "t").collect()
-        docs += [(r["t"] or "").split() for r in rows]
+        docs += [tokens(r["t"]) for r in rows]
         labels += [r["posterior"] for r in rows]
         weights += [n / max(1, len(rows))] * len(rows)
     w = np.array(weights)
