@@ -37,6 +37,7 @@ CHUNK_BITS = 8
 RANK_BLOCK = 512
 FILE_TEXT_BYTES = 32 << 20
 KEPT_CHUNKS = 1_000_000
+TEXTS_AT_ONCE = 256
 
 
 # ---- encoding ---------------------------------------------------------------------------------------------
@@ -65,31 +66,40 @@ class Encoder:
             and not self.tokenizer.pre_tokenizer.add_prefix_space
         self.chunks: dict[str, bytes] = {}   # a key without line end in front stands after a space
 
-    def ids(self, text: str) -> bytes:
-        if not self.in_chunks or SPACE_RUN.search(text) or OTHER.search(text):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        # The line end put in front makes the first chunk like the others; its own ids are cut off.
-        parts = ("\n" + text).replace("\n", " \n").split(" ")[1:] if text[:1] not in (" ", "\n") else None
-        if parts is None:
-            parts, skip = text.replace("\n", " \n").split(" ")[1:], 0
-        else:
-            skip = len(self._of(["\n"])[0])
-        return b"".join(self._of(parts))[skip:]
-
-    def _of(self, parts: list[str]) -> list[bytes]:
+    def ids(self, texts: list[str]) -> list[bytes]:
+        cut = [None if not self.in_chunks or SPACE_RUN.search(t) or OTHER.search(t) else self._parts(t) for t in texts]
         known = self.chunks
-        try:
-            return list(map(known.__getitem__, parts))
-        except KeyError:
-            if len(known) > KEPT_CHUNKS:
-                known.clear()
-            new = list(set(parts).difference(known))
+        if len(known) > KEPT_CHUNKS:
+            known.clear()
+        seen = {"\n"}
+        for parts in cut:
+            if parts:
+                seen.update(parts)
+        new = list(seen.difference(known))
+        if new:
             # Chunks given as words: one call, each is split and merged on its own.
-            found = self.tokenizer.encode([x if x[:1] == "\n" else " " + x for x in new], is_pretokenized=True, add_special_tokens=False)
+            found = self.tokenizer.encode_batch_fast([[x if x[:1] == "\n" else " " + x for x in new]],
+                                                     is_pretokenized=True, add_special_tokens=False)[0]
             ids = np.asarray(found.ids, "<u4").tobytes()
             ends = (np.append(np.flatnonzero(np.diff(np.asarray(found.word_ids))) + 1, len(found.ids)) * 4).tolist()
             known.update(zip(new, [ids[a:b] for a, b in zip([0, *ends], ends)]))
-            return list(map(known.__getitem__, parts))
+        out = []
+        for t, parts in zip(texts, cut):
+            if parts is None:
+                out.append(np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                own = b"".join(map(known.__getitem__, parts))
+                # A first word without white space in front was looked up with a line end.
+                out.append(own if t[:1] in (" ", "\n") else own[len(known["\n"]):])
+        return out
+
+    @staticmethod
+    def _parts(text: str) -> list[str]:
+        """Chunks without the space before them; the first of a text that starts with a word follows a line end."""
+        parts = text.replace("\n", " \n").split(" ")
+        if parts[0]:
+            return ["\n" + parts[0], *parts[1:]]
+        return parts[1:]
 
 
 # One per worker process and file: later tasks find the pieces of earlier ones.
@@ -202,11 +212,12 @@ def _file_writer(folder: str, tokenizer_path: str, end_id: int):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, keys, lengths, parts = encoder(tokenizer_path), [], [], []
         for batch in batches:
-            for key, text in zip(batch["key"], batch["text"]):
-                ids = encode.ids(text or "")
-                keys.append(None if key is None or pd.isna(key) else int(key))
-                lengths.append(len(ids) // 4 + 1)
-                parts += [ids, end]
+            texts = batch["text"].tolist()
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                for ids in encode.ids(texts[at:at + TEXTS_AT_ONCE]):
+                    lengths.append(len(ids) // 4 + 1)
+                    parts += [ids, end]
+            keys += [None if pd.isna(k) else int(k) for k in batch["key"]]
         if not keys:
             return
         part = TaskContext.get().partitionId()
