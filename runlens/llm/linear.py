@@ -7,6 +7,7 @@ instead of their much larger product.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -15,13 +16,11 @@ CACHE_WORDS = 400_000
 
 
 class Layer:
-    """Sparse 0/1 rows: ``of[start[i]:start[i + 1]]`` are the columns of row i."""
+    """Sparse 0/1 rows, one after the other: ``of`` holds their columns, ``lengths`` their sizes."""
 
-    def __init__(self, rows: list[np.ndarray], columns: int):
-        self.lengths = np.array([len(r) for r in rows], np.int64)
-        self.of = np.concatenate(rows).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
-        self.row = np.repeat(np.arange(len(rows)), self.lengths)
-        self.rows, self.columns = len(rows), columns
+    def __init__(self, of: np.ndarray, lengths: np.ndarray, columns: int):
+        self.of, self.lengths, self.rows, self.columns = of, lengths, len(lengths), columns
+        self.row = np.repeat(np.arange(self.rows, dtype=np.int32), lengths)
 
     def forward(self, x: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, x[self.of], self.rows)
@@ -30,6 +29,34 @@ class Layer:
         return np.bincount(self.of, g[self.row], self.columns)
 
 
+class Sample:
+    """Training documents, kept as numbers: their words, and each distinct word's features."""
+
+    def __init__(self, features: Callable[[str], np.ndarray], size: int):
+        self.features, self.size = features, size
+        self._number: dict[str, int] = {}
+        self._words, self._word_counts = array("i"), array("i")
+        self._grams, self._gram_counts = array("i"), array("i")
+
+    def add(self, words) -> None:
+        n = 0
+        for w in words:
+            i = self._number.get(w)
+            if i is None:
+                i = self._number[w] = len(self._number)
+                f = self.features(w)
+                self._grams.extend(f.tolist())
+                self._gram_counts.append(len(f))
+            self._words.append(i)
+            n += 1
+        self._word_counts.append(n)
+
+    def layers(self) -> tuple[Layer, Layer]:
+        """documents -> words, words -> features."""
+        a = [np.array(x, np.int32) for x in (self._words, self._word_counts, self._grams, self._gram_counts)]
+        return Layer(a[0], a[1], len(self._number)), Layer(a[2], a[3], self.size)
+
+
 def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -500, 500)))
 
@@ -71,16 +98,14 @@ def lbfgs(f: Callable, x: np.ndarray, steps: int, memory: int = 8) -> np.ndarray
     return x
 
 
-def train(docs: list[list[str]], labels: np.ndarray, weights: np.ndarray, features: Callable[[str], np.ndarray], size: int,
-          scale: np.ndarray | None = None, mean: bool = False, penalty: float = 1.0, steps: int = 80) -> tuple[np.ndarray, float]:
+def train(sample: Sample, labels: np.ndarray, weights: np.ndarray, scale: np.ndarray | None = None, mean: bool = False,
+          penalty: float = 1.0, steps: int = 80) -> tuple[np.ndarray, float]:
     """(feature weights, intercept) of a logistic model; ``labels`` may be probabilities.
 
     ``scale`` multiplies each feature; ``mean`` divides a document's sum by its words.
     """
-    vocabulary: dict[str, int] = {}
-    rows = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in ws], np.int64) for ws in docs]
-    upper = Layer(rows, len(vocabulary))
-    lower = Layer([features(w) for w in vocabulary], size)
+    upper, lower = sample.layers()
+    size = sample.size
     scale = np.ones(size) if scale is None else scale
     div = np.maximum(upper.lengths, 1) if mean else np.ones(upper.rows)
     total = weights.sum()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.common import as_row, cut, from_row
-from runlens.llm.linear import Scorer, sigmoid, train
+from runlens.llm.linear import Sample, Scorer, sigmoid, train
 
 SHORT, LONG = 3, 5
 HASH_BITS = 18
@@ -77,24 +77,26 @@ def fit(labelled: DataFrame) -> tuple[np.ndarray, float]:
         share = min(max(share, 1e-6), 1 - 1e-6)
         return np.zeros(size), float(np.log(share / (1 - share)))
     summed = (labelled.select("words", "label").mapInPandas(_count_rows, "feature long, others long, toxic long")
-              .groupBy("feature").agg(F.sum("others").alias("others"), F.sum("toxic").alias("toxic")).toPandas())
+              .groupBy("feature").agg(F.sum("others").alias("others"), F.sum("toxic").alias("toxic")).toArrow())
     p, q = np.full(size, SMOOTHING), np.full(size, SMOOTHING)
-    at = summed["feature"].to_numpy()
+    at = summed["feature"].to_numpy()     # at most ``size`` rows
     p[at] += summed["toxic"].to_numpy()
     q[at] += summed["others"].to_numpy()
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
 
-    docs, labels, weights = [], [], []
+    sample, labels, weights = Sample(ngrams, size), [], []
     for label, n in ((0, n0), (1, n1)):
         first = (labelled.where(F.col("label") == label).select("words", F.xxhash64("key", "words").alias("h"))
                  .orderBy("h").limit(SAMPLE_ROWS))
         upto = F.sum(F.size("words")).over(Window.orderBy("h"))
-        rows = first.withColumn("upto", upto).where(F.col("upto") <= SAMPLE_WORDS // 2).select("words").collect()
-        docs += [r["words"] for r in rows]
-        labels += [label] * len(rows)
-        weights += [n / max(1, len(rows))] * len(rows)
+        found = 0
+        for r in first.withColumn("upto", upto).where(F.col("upto") <= SAMPLE_WORDS // 2).select("words").toLocalIterator():
+            sample.add(r["words"])
+            found += 1
+        labels += [label] * found
+        weights += [n / max(1, found)] * found
     w = np.array(weights)
-    return train(docs, np.array(labels, float), w * len(w) / w.sum(), ngrams, size, scale=ratio)
+    return train(sample, np.array(labels, float), w * len(w) / w.sum(), scale=ratio)
 
 
 def score(df: DataFrame, text: str, weights: np.ndarray, intercept: float) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.common import as_row, cut, from_row
-from runlens.llm.linear import Scorer, sigmoid, train
+from runlens.llm.linear import Sample, Scorer, sigmoid, train
 from runlens.llm.quality_rules import apply_rules
 
 HASH_BITS = 18
@@ -144,7 +144,7 @@ def classify(df: DataFrame, key: str, text: str) -> DataFrame:
 def _fit(df: DataFrame, key: str, text: str, labelled: DataFrame) -> tuple[np.ndarray, float]:
     good = F.col("posterior") >= 0.5
     shares = {r["good"]: r["n"] for r in labelled.groupBy(good.alias("good")).agg(F.count("*").alias("n")).collect()}
-    docs, labels, weights = [], [], []
+    sample, labels, weights = Sample(features, 1 << HASH_BITS), [], []
     texts = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
     for side, n in sorted(shares.items()):
         first = (labelled.where(good == F.lit(side)).select("key", "digest", "posterior", F.xxhash64("key", "digest").alias("h"))
@@ -152,10 +152,11 @@ def _fit(df: DataFrame, key: str, text: str, labelled: DataFrame) -> tuple[np.nd
         found = (texts.join(F.broadcast(first), F.col("k").eqNullSafe(F.col("key")) & (F.xxhash64("t") == F.col("digest")))
                  .select("h", "posterior", "t").dropDuplicates(["h"]))
         upto = F.sum(F.size(F.split(F.coalesce("t", F.lit("")), r"\s+"))).over(Window.orderBy("h"))
-        rows = found.withColumn("upto", upto).where(F.col("upto") <= SAMPLE_WORDS // 2).select("posterior", "t").collect()
-        docs += [tokens(r["t"]) for r in rows]
-        labels += [r["posterior"] for r in rows]
-        weights += [n / max(1, len(rows))] * len(rows)
+        n_found = 0
+        for r in found.withColumn("upto", upto).where(F.col("upto") <= SAMPLE_WORDS // 2).select("posterior", "t").toLocalIterator():
+            sample.add(tokens(r["t"]))
+            labels.append(r["posterior"])
+            n_found += 1
+        weights += [n / max(1, n_found)] * n_found
     w = np.array(weights)
-    return train(docs, np.array(labels, float), w * len(w) / max(w.sum(), 1e-300), features, 1 << HASH_BITS,
-                 mean=True, penalty=0.01)
+    return train(sample, np.array(labels, float), w * len(w) / max(w.sum(), 1e-300), mean=True, penalty=0.01)
