@@ -82,7 +82,6 @@ def apply_rules(df: DataFrame, text: str, rules=RULES) -> DataFrame:
     d = as_row(df)
     t = F.col("row").getField(text)
     d = d.select("row", *[c.alias(n) for n, c in measures(t)])
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
     d = d.withColumn("n_words", F.size("__w").cast("long"))
     d = d.select(
         "*",
@@ -91,7 +90,7 @@ def apply_rules(df: DataFrame, text: str, rules=RULES) -> DataFrame:
         F.char_length(F.array_join("__w", "")).cast("long").alias("word_chars"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         F.size("__lines").cast("long").alias("__n_lines"),
-        F.size(F.filter("__w", lambda w: F.array_contains(stop, F.lower(w)))).cast("long").alias("__stops"),
+        F.size(F.filter("__w", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long").alias("__stops"),
     )
     # Windows sorted with their starts (only where one occurs twice at all): equal windows are
     # neighbours. The starts of those, in order, cover min(3, distance to the next) words each.
