@@ -37,14 +37,21 @@ CHUNK_BITS = 8
 RANK_BLOCK = 512
 FILE_TEXT_BYTES = 32 << 20
 KEPT_CHUNKS = 1_000_000
-TEXTS_AT_ONCE = 256
 
 
 # ---- encoding ---------------------------------------------------------------------------------------------
 
-SPACE_RUN = regex.compile(r"\s\s")
-# Characters whose class no version of Unicode changed; a text with any other is encoded whole.
-OTHER = regex.compile(r"[^\t\n\r -~¡-ɏ‐-‧]")
+# Characters whose class no version of Unicode changed, with no white space but space and line end; a text
+# with any other is encoded whole.
+OTHER = regex.compile(r"[^\n -~\u00a1-\u024f\u2010-\u2027]")
+
+
+def _in_order(text: str) -> bool:
+    """No rare characters, no two white-space characters in a row."""
+    plain = text.replace("\n", " ")
+    if "  " in plain:
+        return False
+    return plain.isprintable() if text.isascii() else not OTHER.search(text)
 
 
 class Encoder:
@@ -66,31 +73,27 @@ class Encoder:
             and not self.tokenizer.pre_tokenizer.add_prefix_space
         self.chunks: dict[str, bytes] = {}   # a key without line end in front stands after a space
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        cut = [None if not self.in_chunks or SPACE_RUN.search(t) or OTHER.search(t) else self._parts(t) for t in texts]
+    def ids(self, text: str) -> bytes:
+        if not self.in_chunks or not _in_order(text):
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        parts = self._parts(text)
         known = self.chunks
-        if len(known) > KEPT_CHUNKS:
-            known.clear()
-        seen = {"\n"}
-        for parts in cut:
-            if parts:
-                seen.update(parts)
-        new = list(seen.difference(known))
-        if new:
-            # Chunks given as words: one call, each is split and merged on its own.
-            found = self.tokenizer.encode([x if x[:1] == "\n" else " " + x for x in new], is_pretokenized=True, add_special_tokens=False)
-            ids = np.asarray(found.ids, "<u4").tobytes()
-            ends = (np.append(np.flatnonzero(np.diff(np.asarray(found.word_ids))) + 1, len(found.ids)) * 4).tolist()
-            known.update(zip(new, [ids[a:b] for a, b in zip([0, *ends], ends)]))
-        out = []
-        for t, parts in zip(texts, cut):
-            if parts is None:
-                out.append(np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
-            else:
-                own = b"".join(map(known.__getitem__, parts))
-                # A first word without white space in front was looked up with a line end.
-                out.append(own if t[:1] in (" ", "\n") else own[len(known["\n"]):])
-        return out
+        try:
+            own = b"".join(map(known.__getitem__, parts))
+        except KeyError:
+            if len(known) > KEPT_CHUNKS:
+                known.clear()
+            self._learn(list({"\n", *parts}.difference(known)))
+            own = b"".join(map(known.__getitem__, parts))
+        # A first word without white space in front was looked up with a line end.
+        return own if text[:1] in ("", " ", "\n") else own[len(known["\n"]):]
+
+    def _learn(self, new: list[str]) -> None:
+        # Chunks given as words: one call, each is split and merged on its own.
+        found = self.tokenizer.encode([x if x[:1] == "\n" else " " + x for x in new], is_pretokenized=True, add_special_tokens=False)
+        ids = np.asarray(found.ids, "<u4").tobytes()
+        ends = (np.append(np.flatnonzero(np.diff(np.asarray(found.word_ids))) + 1, len(found.ids)) * 4).tolist()
+        self.chunks.update(zip(new, [ids[a:b] for a, b in zip([0, *ends], ends)]))
 
     @staticmethod
     def _parts(text: str) -> list[str]:
@@ -211,11 +214,10 @@ def _file_writer(folder: str, tokenizer_path: str, end_id: int):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, keys, lengths, parts = encoder(tokenizer_path), [], [], []
         for batch in batches:
-            texts = batch["text"].tolist()
-            for at in range(0, len(texts), TEXTS_AT_ONCE):
-                for ids in encode.ids(texts[at:at + TEXTS_AT_ONCE]):
-                    lengths.append(len(ids) // 4 + 1)
-                    parts += [ids, end]
+            for text in batch["text"]:
+                ids = encode.ids(text)
+                lengths.append(len(ids) // 4 + 1)
+                parts += [ids, end]
             keys += [None if pd.isna(k) else int(k) for k in batch["key"]]
         if not keys:
             return
