@@ -12,15 +12,20 @@ from collections.abc import Callable
 
 import numpy as np
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
+WORDS_AT_ONCE = 50_000
+TEXTS_AT_ONCE = 500
+
+
+# The features of some words: (number of the word, feature) pairs.
+WordFeatures = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
 
 class Layer:
-    """Sparse 0/1 rows, one after the other: ``of`` holds their columns, ``lengths`` their sizes."""
+    """Sparse rows as (row, column) pairs."""
 
-    def __init__(self, of: np.ndarray, lengths: np.ndarray, columns: int):
-        self.of, self.lengths, self.rows, self.columns = of, lengths, len(lengths), columns
-        self.row = np.repeat(np.arange(self.rows, dtype=np.int32), lengths)
+    def __init__(self, row: np.ndarray, of: np.ndarray, rows: int, columns: int):
+        self.row, self.of, self.rows, self.columns = row, of, rows, columns
 
     def forward(self, x: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, x[self.of], self.rows)
@@ -30,31 +35,24 @@ class Layer:
 
 
 class Sample:
-    """Training documents, kept as numbers: their words, and each distinct word's features."""
+    """Training documents, kept as numbers."""
 
-    def __init__(self, features: Callable[[str], np.ndarray], size: int):
+    def __init__(self, features: WordFeatures, size: int):
         self.features, self.size = features, size
         self._number: dict[str, int] = {}
-        self._words, self._word_counts = array("i"), array("i")
-        self._grams, self._gram_counts = array("i"), array("i")
+        self._words, self.lengths = array("i"), array("i")
 
     def add(self, words) -> None:
-        n = 0
-        for w in words:
-            i = self._number.get(w)
-            if i is None:
-                i = self._number[w] = len(self._number)
-                f = self.features(w)
-                self._grams.extend(f.tolist())
-                self._gram_counts.append(len(f))
-            self._words.append(i)
-            n += 1
-        self._word_counts.append(n)
+        number = self._number
+        self._words.extend([number.setdefault(w, len(number)) for w in words])
+        self.lengths.append(len(words))
 
     def layers(self) -> tuple[Layer, Layer]:
         """documents -> words, words -> features."""
-        a = [np.array(x, np.int32) for x in (self._words, self._word_counts, self._grams, self._gram_counts)]
-        return Layer(a[0], a[1], len(self._number)), Layer(a[2], a[3], self.size)
+        n, v = len(self.lengths), len(self._number)
+        doc = np.repeat(np.arange(n, dtype=np.int32), np.array(self.lengths, np.int32))
+        row, of = self.features(list(self._number))
+        return Layer(doc, np.array(self._words, np.int32), n, v), Layer(row.astype(np.int32), of.astype(np.int32), v, self.size)
 
 
 def sigmoid(x):
@@ -107,7 +105,7 @@ def train(sample: Sample, labels: np.ndarray, weights: np.ndarray, scale: np.nda
     upper, lower = sample.layers()
     size = sample.size
     scale = np.ones(size) if scale is None else scale
-    div = np.maximum(upper.lengths, 1) if mean else np.ones(upper.rows)
+    div = np.maximum(np.array(sample.lengths), 1) if mean else np.ones(upper.rows)
     total = weights.sum()
 
     def loss(x):
@@ -128,19 +126,26 @@ def train(sample: Sample, labels: np.ndarray, weights: np.ndarray, scale: np.nda
 class Scorer:
     """Logits of documents, by the scores of their words (kept, up to a bound, per task)."""
 
-    def __init__(self, weights: np.ndarray, intercept: float, features: Callable[[str], np.ndarray], mean: bool = False):
+    def __init__(self, weights: np.ndarray, intercept: float, features: WordFeatures, mean: bool = False):
         self.weights, self.intercept, self.features, self.mean = weights, intercept, features, mean
         self.known: dict[str, float] = {}
 
-    def logit(self, words) -> float:
-        total, n = 0.0, 0
+    def logits(self, docs: list) -> np.ndarray:
         known = self.known
-        for w in words:
-            s = known.get(w)
-            if s is None:
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                s = known[w] = float(self.weights[self.features(w)].sum())
-            total += s
-            n += 1
-        return self.intercept + (total / n if self.mean and n else total)
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        new = list(set().union(*docs).difference(known))
+        for at in range(0, len(new), WORDS_AT_ONCE):
+            some = new[at:at + WORDS_AT_ONCE]
+            row, of = self.features(some)
+            known.update(zip(some, np.bincount(row, self.weights[of], len(some)).tolist()))
+        sums = np.array([sum(map(known.__getitem__, ws)) for ws in docs], float)
+        if self.mean:
+            sums /= np.maximum(np.array([len(ws) for ws in docs]), 1)
+        return sums + self.intercept
+
+    def scores(self, texts, words_of: Callable) -> np.ndarray:
+        out = [np.zeros(0)]
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            out.append(sigmoid(self.logits([words_of(t) for t in texts[at:at + TEXTS_AT_ONCE]])))
+        return np.concatenate(out)

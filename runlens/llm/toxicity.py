@@ -20,49 +20,54 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.common import as_row, cut, from_row
-from runlens.llm.linear import Sample, Scorer, sigmoid, train
+from runlens.llm.linear import Sample, Scorer, train
 
 SHORT, LONG = 3, 5
 HASH_BITS = 18
+BASE, MULTIPLIER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 SMOOTHING = 1.0
 SAMPLE_ROWS = 3000
 SAMPLE_WORDS = 3_000_000
 
 
-def ngrams(word: str) -> np.ndarray:
-    """Hashed features of one word: its character n-grams between word ends."""
-    w = f"\x02{word}\x03"
-    grams = {w[i:i + n] for n in range(SHORT, LONG + 1) for i in range(len(w) - n + 1)}
-    return np.array(sorted({xxhash.xxh32_intdigest(g) & ((1 << HASH_BITS) - 1) for g in grams}), np.int64)
-
-
-def text_words(text) -> F.Column:
-    """The distinct lower-cased letter runs of a text."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0)))
+def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, hashed feature) of the character n-grams of each word between its ends, by rolling hashes."""
+    joined = "".join([f"\x02{w}\x03" for w in words])
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    lengths = np.array([len(w) + 2 for w in words], np.int64)
+    word = np.repeat(np.arange(len(words)), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))    # characters to the word's end
+    h, rows, features = codes.copy(), [], []
+    for n in range(2, LONG + 1):
+        if n > len(codes):
+            break
+        h = h[:-1] * BASE + codes[n - 1:]
+        if n >= SHORT:
+            at = np.flatnonzero(left[:len(h)] >= n)
+            x = (h[at] + np.uint64(n)) * MULTIPLIER
+            features.append(((x ^ (x >> np.uint64(32))) * MULTIPLIER >> np.uint64(64 - HASH_BITS)).astype(np.int32))
+            rows.append(word[at])
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    return np.concatenate(rows), np.concatenate(features)
+
+
+def distinct_words(text: str | None) -> list[str]:
+    """The distinct lower-cased words of a text."""
+    return list(set((text or "").lower().split()))
 
 
 def _count_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Documents that hold each feature, by class; one row per feature seen in the task."""
     size = 1 << HASH_BITS
     counts = np.zeros((2, size), np.int64)
-    known: dict[str, np.ndarray] = {}
     for batch in batches:
-        for words, label in zip(batch["words"], batch["label"]):
-            if len(known) > 300_000:
-                known.clear()
-            own = []
-            for w in words:
-                f = known.get(w)
-                if f is None:
-                    f = known[w] = ngrams(w).astype(np.int32)
-                own.append(f)
-            if own:
-                counts[label, np.unique(np.concatenate(own))] += 1
+        for text, label in zip(batch["words"], batch["label"]):
+            counts[label, np.unique(ngrams(distinct_words(text))[1])] += 1
     seen = np.flatnonzero(counts.any(axis=0))
     yield pd.DataFrame({"feature": seen, "others": counts[0, seen], "toxic": counts[1, seen]})
 
@@ -86,12 +91,14 @@ def fit(labelled: DataFrame) -> tuple[np.ndarray, float]:
 
     sample, labels, weights = Sample(ngrams, size), [], []
     for label, n in ((0, n0), (1, n1)):
-        first = (labelled.where(F.col("label") == label).select("words", F.xxhash64("key", "words").alias("h"))
-                 .orderBy("h").limit(SAMPLE_ROWS))
-        upto = F.sum(F.size("words")).over(Window.orderBy("h"))
+        own = labelled.where(F.col("label") == label).withColumn("h", F.xxhash64("key", "words"))
+        # The first by hash without their texts; then the texts of these few.
+        upto = F.sum("n").over(Window.orderBy("h"))
+        first = (own.groupBy("h").agg(F.max(F.size(F.split("words", " "))).alias("n")).orderBy("h").limit(SAMPLE_ROWS)
+                 .withColumn("upto", upto).where(F.col("upto") <= SAMPLE_WORDS // 2).select("h"))
         found = 0
-        for r in first.withColumn("upto", upto).where(F.col("upto") <= SAMPLE_WORDS // 2).select("words").toLocalIterator():
-            sample.add(r["words"])
+        for r in own.join(F.broadcast(first), "h").select("words").dropDuplicates(["words"]).toLocalIterator():
+            sample.add(distinct_words(r["words"]))
             found += 1
         labels += [label] * found
         weights += [n / max(1, found)] * found
@@ -106,18 +113,20 @@ def score(df: DataFrame, text: str, weights: np.ndarray, intercept: float) -> Da
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(held.value, intercept, ngrams)
-        for words in batches:
-            yield pd.Series(sigmoid(np.array([scorer.logit(ws) for ws in words], float)))
+        for texts in batches:
+            yield pd.Series(scorer.scores(texts.tolist(), distinct_words))
 
     rows = as_row(df)
-    return from_row(rows.withColumn("score", scored(text_words(F.col("row").getField(text)))), "score")
+    return from_row(rows.withColumn("score", scored(F.col("row").getField(text))), "score")
 
 
 def classify(df: DataFrame, key: str, text: str, labels: DataFrame, label: str, train_on) -> DataFrame:
     """``df`` with ``score`` (0 to 1) and ``predicted``; learns from the rows of ``labels`` where ``train_on(key column)``."""
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1))
     known = known.where(train_on(F.col("key")))
-    texts = df.select(F.col(key).alias("key"), text_words(F.col(text)).alias("words")).where(train_on(F.col("key")))
-    labelled = cut(texts.join(known, "key"), "toxicity-labelled")
+    # Only a text's distinct words travel to its label.
+    words = F.array_join(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+")), " ")
+    texts = df.select(F.col(key).alias("key"), words.alias("words")).where(train_on(F.col("key")))
+    labelled = cut(texts.hint("merge").join(known, "key"), "toxicity-labelled")
     out = score(df, text, *fit(labelled))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -98,11 +98,18 @@ def tokens(text: str | None) -> list[str]:
     return ws + [AGAIN] * sum(a == b for a, b in zip(ws, ws[1:]))
 
 
-def features(word: str) -> np.ndarray:
-    """A word and its shape: letter cases, digits and other characters, runs as one."""
-    shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", re.sub(r"\d", "0", word)))
+# Letters to A or a, digits to 0, over the Latin blocks; other characters stand for themselves.
+SHAPE = {c: "0" if chr(c).isdigit() else "A" if chr(c).isupper() else "a" for c in range(0x250) if chr(c).isalnum()}
+RUN = re.compile(r"(.)\1+")
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, hashed feature): each word and its shape, runs in it as one."""
     size = (1 << HASH_BITS) - 1
-    return np.array([xxhash.xxh32_intdigest("w" + word) & size, xxhash.xxh32_intdigest("s" + shape) & size], np.int64)
+    own = [xxhash.xxh32_intdigest("w" + w) & size for w in words]
+    shapes = [xxhash.xxh32_intdigest("s" + RUN.sub(r"\1", w.translate(SHAPE))) & size for w in words]
+    n = np.arange(len(words))
+    return np.concatenate([n, n]), np.array(own + shapes, np.int64)
 
 
 def classify(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -132,7 +139,7 @@ def classify(df: DataFrame, key: str, text: str) -> DataFrame:
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(held.value, intercept, features, mean=True)
         for texts in batches:
-            yield pd.Series(sigmoid(np.array([scorer.logit(tokens(t)) for t in texts], float)))
+            yield pd.Series(scorer.scores(texts.tolist(), tokens))
 
     one = labelled.select("key", "digest", "votes", "posterior").dropDuplicates(["key", "digest"])
     scores = rows.select("row", F.col("row").getField(key).alias("k"), F.xxhash64(F.col("row").getField(text)).alias("d"),
