@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.functions.maps import lower_keys
-from runlens.operators.joins import sized_side
 from runlens.schemas import CRITICAL
 
 
@@ -58,7 +57,7 @@ def enrichment_profile(enriched: DataFrame, metric_rows: DataFrame) -> DataFrame
     mean moving average."""
     batch_metrics = metric_rows.select("metric_name").distinct()
     with_meta = enriched.select("metric_name").distinct()
-    covered = batch_metrics.join(sized_side(with_meta, cache=True), "metric_name", "left_semi").agg(
+    covered = batch_metrics.join(with_meta, "metric_name", "left_semi").agg(
         F.count(F.lit(1)).alias("metrics_with_metadata")
     )
     stats = enriched.agg(
@@ -111,7 +110,7 @@ def param_profile(df: DataFrame, samples: int = 3) -> DataFrame:
         .groupBy("param_key")
         .agg(F.array_join(F.array_sort(F.collect_list("value")), ",").alias("sample_values"))
     )
-    return per_key.join(sized_side(samples_df, cache=True), "param_key", "left")   # one row per key
+    return per_key.join(samples_df, "param_key", "left")   # one row per key
 
 
 def params_null_share(df: DataFrame) -> DataFrame:

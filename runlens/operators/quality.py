@@ -208,7 +208,7 @@ def run_checks(df: DataFrame, dataset: str, as_of: dt.datetime,
         except Exception as exc:  # noqa: BLE001 - a failing check becomes a HIGH alert row
             res = spark.range(1).select(
                 F.lit(chk.name).alias("check_name"), F.lit("error").alias("status"),
-                F.to_json(F.struct(F.lit(str(exc)[:500]).alias("error"))).alias("details"),
+                F.to_json(F.struct(F.lit(str(exc)).alias("error"))).alias("details"),
             )
         parts.append(res.select(
             F.lit(dataset).alias("dataset"), "check_name", F.lit(chk.description).alias("description"),
@@ -252,7 +252,7 @@ def _run_checks_eager(df: DataFrame, dataset: str, as_of: dt.datetime, checks) -
                     rows.append((dataset, chk.name, chk.description, chk.severity, r["status"], r["details"], n))
                 except Exception as exc:  # noqa: BLE001 - a failing check becomes a HIGH alert row
                     rows.append((dataset, chk.name, chk.description, chk.severity, "error",
-                                 json.dumps({"error": str(exc)[:500]}), n))
+                                 json.dumps({"error": str(exc)}), n))
     finally:
         cached.unpersist()
     return local_table(df.sparkSession, rows, RESULT_SCHEMA)

@@ -14,8 +14,11 @@ no window here is partitioned by the series key alone over the full data:
   map-side limited top-k plus a partial aggregate.
 * The time-window average runs in (metric, bucket) partitions, with a per-metric
   bucket width (a divisor of the window) sized from the metric's density: whole
-  buckets inside the frame come from prefix sums over the bucket aggregate, the
-  partial bucket at the frame's start from rows copied one window-length forward.
+  buckets inside the frame are summed over the bucket aggregate, the partial bucket
+  at the frame's start from rows copied one window-length forward. Only values inside
+  the frame are ever added, none is subtracted, so the bucket width cannot change a result.
+
+Infinite values count as missing in the averages, as NaN does.
 """
 
 from __future__ import annotations
@@ -23,12 +26,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runlens.operators.joins import BROADCAST_MAX_ROWS, sized_side
-
 SERIES = ["experiment_id", "metric_name"]
 ROWS_PER_BUCKET = 1_000_000
 
 
+def _finite(value: str):
+    v = F.col(value)
+    return F.when(F.abs(v) < F.lit(float("inf")), v)
+
+
 def _series_stats(df: DataFrame, rows_per_bucket: int) -> DataFrame:
     stats = df.groupBy(*SERIES).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -41,27 +47,18 @@ def _series_stats(df: DataFrame, rows_per_bucket: int) -> DataFrame:
 
 
 def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows: int = 5,
-                   rows_per_bucket: int = ROWS_PER_BUCKET, series_bound: int | None = None) -> DataFrame:
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Adds ``moving_avg_24h`` (mean of the last ``min(n, window_rows)`` non-null values)
     and ``forecast_next`` (n >= 3: last value + mean of the last two differences, the
     same on every row of the series; else the row's own value).
 
-    Rows with a NULL series key are dropped, as a group-by over the key would.
-
-    ``series_bound`` is a proven upper bound on the number of series (e.g.
-    experiments x metrics after the inner dimension joins). Within the broadcast
-    limit the per-series tables are broadcast without computing them first;
-    otherwise they are counted (and cached) before deciding.
+    Rows with a NULL series key are dropped, as a group-by over the key would. The
+    per-series tables are joined without a hint: AQE knows their size when it picks the join.
     """
     df = enriched.where(F.col("experiment_id").isNotNull() & F.col("metric_name").isNotNull())
     k = window_rows - 1
     keep = max(k, 3)
-    proven = series_bound is not None and series_bound <= BROADCAST_MAX_ROWS
-
-    def side(t: DataFrame) -> DataFrame:
-        return F.broadcast(t) if proven else sized_side(t, cache=True)
-
-    stats = side(_series_stats(df, rows_per_bucket))
+    stats = _series_stats(df, rows_per_bucket)
 
     b = df.join(stats, SERIES).withColumn("_off", F.unix_micros("start_time") - F.unix_micros("_t0"))
     b = b.withColumn("_b1", F.expr("_off div _bucket_us"))
@@ -75,14 +72,14 @@ def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows
         .select(*SERIES, "_b1", F.greatest(F.ceil(F.col("_bucket_us").cast("double") * F.lit(float(rows_per_bucket))
                                                   / F.col("_c1")), F.lit(1)).cast("bigint").alias("_sub_us"))
     )
-    b = b.join(sized_side(hot, cache=True), [*SERIES, "_b1"], "left").withColumn(
+    b = b.join(hot, [*SERIES, "_b1"], "left").withColumn(
         "_bucket", F.struct(
             F.col("_b1").alias("b1"),
             F.when(F.col("_sub_us").isNull(), F.lit(0).cast("bigint"))
             .otherwise(F.expr("(_off - _b1 * _bucket_us) div _sub_us")).alias("b2"),
         )
     ).drop("_off", "_b1", "_sub_us")
-    slim = b.select(*SERIES, "_bucket", "start_time", "run_id", F.col(value).alias("_v"))
+    slim = b.select(*SERIES, "_bucket", "start_time", "run_id", F.col(value).alias("_raw"), _finite(value).alias("_v"))
 
     # Last `keep` rows of every (series, bucket); the limit runs map-side before the shuffle.
     w_tail = Window.partitionBy(*SERIES, "_bucket").orderBy(F.desc("start_time"), F.desc("run_id"))
@@ -94,14 +91,14 @@ def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows
     last3 = (
         tails.withColumn("_r", F.row_number().over(w_desc)).where(F.col("_r") <= 3)
         .groupBy(*SERIES)
-        .agg(*[F.max(F.when(F.col("_r") == i, F.col("_v"))).alias(f"_v{i}") for i in (1, 2, 3)])
+        .agg(*[F.max(F.when(F.col("_r") == i, F.col("_raw"))).alias(f"_v{i}") for i in (1, 2, 3)])
     )
     v1, v2, v3 = F.col("_v1"), F.col("_v2"), F.col("_v3")
     forecast = last3.join(stats.select(*SERIES, "_n"), SERIES).select(
         *SERIES, "_n", (v1 + ((v2 - v3) + (v1 - v2)) / F.lit(2.0)).alias("_fc")
     )
 
-    data = b.drop("_n", "_t0", "_t1", "_bucket_us").withColumn("_v", F.col(value)).withColumn(
+    data = b.drop("_n", "_t0", "_t1", "_bucket_us").withColumn("_v", _finite(value)).withColumn(
         "_carry", F.lit(False)
     )
     if k > 0:
@@ -120,7 +117,7 @@ def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows
     else:
         out = data.withColumn("moving_avg_24h", F.col("_v"))
 
-    out = out.join(side(forecast), SERIES, "left").withColumn(
+    out = out.join(forecast, SERIES, "left").withColumn(
         "forecast_next", F.when(F.col("_n") >= 3, F.col("_fc")).otherwise(F.col(value))
     )
     return out.select(*enriched.columns, "moving_avg_24h", "forecast_next")
@@ -128,18 +125,17 @@ def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows
 
 # Bucket counts per window tried for the time-window average, all
 # divisors of a whole number of hours in seconds (for 24 h: 24 h, 12 h, ..., 1 h,
-# 30 min, 15 min, 5 min, 1 min, 10 s, 1 s).
-BUCKETS_PER_WINDOW = [1, 2, 3, 4, 6, 8, 12, 24, 48, 96, 288, 1440, 8640, 86400]
+# 30 min, 15 min, 5 min, 1 min, 10 s, 1 s), then tenths down to a microsecond.
+BUCKETS_PER_WINDOW = [1, 2, 3, 4, 6, 8, 12, 24, 48, 96, 288, 1440, 8640, 86400, *(86400 * 10**i for i in range(1, 7))]
 
 
 def _buckets_per_window(window_seconds: int) -> list[int]:
-    return [m for m in BUCKETS_PER_WINDOW if window_seconds % m == 0]
+    return [m for m in BUCKETS_PER_WINDOW if window_seconds * 10**6 % m == 0]
 
 
 def moving_average_time(df: DataFrame, window_hours: int = 24, value: str = "metric_value",
-                        out_col: str = "moving_avg_time", rows_per_bucket: int = ROWS_PER_BUCKET,
-                        metric_bound: int | None = None) -> DataFrame:
-    """Mean of non-null values with start_time in (t - window, t] per metric, over all
+                        out_col: str = "moving_avg_time", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Mean of non-null finite values with start_time in (t - window, t] per metric, over all
     experiments. Rows tied on start_time see only the peers before them in run_id
     order, as a row-by-row rolling window would.
 
@@ -147,17 +143,16 @@ def moving_average_time(df: DataFrame, window_hours: int = 24, value: str = "met
     with frames), m chosen from its average density so a bucket holds about
     ``rows_per_bucket`` rows. For a row at t in bucket k the frame is
       rows of bucket k up to t            (running sum in the (metric, k) partition)
-    + whole buckets k-m+1 .. k-1           (prefix sums over the bucket aggregate)
+    + whole buckets k-m+1 .. k-1           (range window over the bucket aggregate)
     + rows of bucket k-m after t - window  (copies of bucket k-m sent to partition k,
-                                            keyed by time + window).
-    ``metric_bound``: a proven upper bound on distinct metrics (broadcast of the
-    per-metric table without counting it first).
+                                            keyed by time + window; summed from the end).
+    The range window runs per (metric, window length of time): each bucket's sum also goes to the next one.
     """
     w_s = window_hours * 3600
     w_us = w_s * 10**6
     choices = _buckets_per_window(w_s)
 
-    base = df.where(F.col("metric_name").isNotNull()).withColumn("_t", F.unix_micros("start_time"))
+    base = df.where(F.col("metric_name").isNotNull()).withColumn("_t", F.unix_micros("start_time")).withColumn("_v", _finite(value))
 
     stats = base.groupBy("metric_name").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t0"), F.max("_t").alias("_t1"))
@@ -168,52 +163,36 @@ def moving_average_time(df: DataFrame, window_hours: int = 24, value: str = "met
         m_col = F.when(needed <= m, F.lit(m)).otherwise(m_col)
     stats = stats.select("metric_name", m_col.cast("bigint").alias("_m"))
     stats = stats.withColumn("_bw", (F.lit(w_us) / F.col("_m")).cast("bigint"))
-    proven = metric_bound is not None and metric_bound <= BROADCAST_MAX_ROWS
-    stats = F.broadcast(stats) if proven else sized_side(stats, cache=True)
-
-    b = base.join(stats, "metric_name").withColumn("_b", F.expr("_t div _bw"))
-
-    # Whole buckets inside the frame: prefix sums over the (metric, bucket) aggregate and
-    # an as-of lookup of the prefix at bucket k - m (union of probes + last non-null).
-    agg = b.groupBy("metric_name", "_b", "_m").agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
-    upto = Window.partitionBy("metric_name").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    agg = agg.select("*", F.sum("_s").over(upto).alias("_ps"), F.sum("_c").over(upto).alias("_pc"))
-    marks = agg.select("metric_name", F.col("_b").alias("_idx"), F.lit(0).alias("_probe"),
-                       F.lit(None).cast("bigint").alias("_k"), "_ps", "_pc")
-    probes = agg.select("metric_name", (F.col("_b") - F.col("_m")).alias("_idx"), F.lit(1).alias("_probe"),
-                        F.col("_b").alias("_k"), F.lit(None).cast("double").alias("_ps"),
-                        F.lit(None).cast("bigint").alias("_pc"))
-    asof = Window.partitionBy("metric_name").orderBy("_idx", "_probe").rowsBetween(Window.unboundedPreceding, 0)
-    looked = marks.unionByName(probes).select(
-        "metric_name", "_probe", "_k",
-        F.last("_ps", ignorenulls=True).over(asof).alias("_aps"),
-        F.last("_pc", ignorenulls=True).over(asof).alias("_apc"),
-    ).where(F.col("_probe") == 1)
-    z = F.lit(0.0)
-    mid = agg.join(looked.select("metric_name", F.col("_k").alias("_b"), "_aps", "_apc"), ["metric_name", "_b"]).select(
-        "metric_name", "_b",
-        (F.coalesce(F.col("_ps"), z) - F.coalesce(F.col("_s"), z) - F.coalesce(F.col("_aps"), z)).alias("_ms"),
-        (F.col("_pc") - F.col("_c") - F.coalesce(F.col("_apc"), F.lit(0))).alias("_mc"),
-    )
+
+    b = base.join(stats, "metric_name").withColumn("_b", F.floor(F.col("_t") / F.col("_bw")))
+
+    # Whole buckets inside the frame: those that start within a window length before bucket k, bucket k - m excluded.
+    agg = b.groupBy("metric_name", "_b", "_bw").agg(F.sum("_v").alias("_s"), F.count("_v").alias("_c"))
+    agg = agg.withColumn("_at", F.col("_b") * F.col("_bw"))
+    chunk = F.floor(F.col("_at") / F.lit(w_us))
+    spread = agg.select("*", F.explode(F.array(chunk, chunk + 1)).alias("_chunk")).withColumn("_own", F.col("_chunk") == chunk)
+    frame = Window.partitionBy("metric_name", "_chunk").orderBy("_at").rangeBetween(-(w_us - 1), -1)
+    mid = spread.select("metric_name", "_b", "_own", F.sum("_s").over(frame).alias("_ms"), F.sum("_c").over(frame).alias("_mc")) \
+        .where("_own").drop("_own")
 
     data = b.withColumn("_key", F.col("_t")).withColumn("_kind", F.lit(1))
     expiring = b.select(
         "metric_name", (F.col("_b") + F.col("_m")).alias("_b"), (F.col("_t") + F.lit(w_us)).alias("_key"),
-        F.lit(0).alias("_kind"), "run_id", F.col(value).alias(value),
+        F.lit(0).alias("_kind"), "run_id", "_v",
     )
     u = data.unionByName(expiring, allowMissingColumns=True)
     part = Window.partitionBy("metric_name", "_b")
     run = part.orderBy("_key", "_kind", "run_id").rowsBetween(Window.unboundedPreceding, 0)
-    dv = F.when(F.col("_kind") == 1, F.col(value))
-    ev = F.when(F.col("_kind") == 0, F.col(value))
+    rest = part.orderBy(F.desc("_key"), F.desc("_kind"), F.desc("run_id")).rowsBetween(Window.unboundedPreceding, -1)
+    dv = F.when(F.col("_kind") == 1, F.col("_v"))
+    ev = F.when(F.col("_kind") == 0, F.col("_v"))
     u = u.select(
         "*",
         F.sum(dv).over(run).alias("_ds"), F.count(dv).over(run).alias("_dc"),
-        F.sum(ev).over(run).alias("_es"), F.count(ev).over(run).alias("_ec"),
-        F.sum(ev).over(part).alias("_ets"), F.count(ev).over(part).alias("_etc"),
+        F.sum(ev).over(rest).alias("_es"), F.count(ev).over(rest).alias("_ec"),
     ).where(F.col("_kind") == 1)
-    u = u.join(sized_side(mid, cache=True), ["metric_name", "_b"], "left")
-    s = (F.coalesce(F.col("_ds"), z) + F.coalesce(F.col("_ets"), z) - F.coalesce(F.col("_es"), z)
-         + F.coalesce(F.col("_ms"), z))
-    c = F.col("_dc") + F.col("_etc") - F.col("_ec") + F.coalesce(F.col("_mc"), F.lit(0))
+    u = u.join(mid, ["metric_name", "_b"], "left")
+    z, none = F.lit(0.0), F.lit(0)
+    s = F.coalesce(F.col("_es"), z) + F.coalesce(F.col("_ms"), z) + F.coalesce(F.col("_ds"), z)
+    c = F.coalesce(F.col("_ec"), none) + F.coalesce(F.col("_mc"), none) + F.col("_dc")
     return u.withColumn(out_col, F.when(c > 0, s / c)).select(*df.columns, out_col)

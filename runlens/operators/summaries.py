@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from runlens.functions.maps import key_params_json, lower_keys
 from runlens.functions.stats import epoch_seconds, latest_non_null, safe_corr
 from runlens.functions.status import run_status as worst_status
-from runlens.operators.joins import sized_side
 from runlens.schemas import CRITICAL, HEALTHY, WARNING
 from runlens.sources.runs import within_lookback
 
@@ -176,32 +175,28 @@ METRIC_SUMMARY = T.StructType([
 
 
 def metrics_summary_by_app(metric_summary: DataFrame) -> DataFrame:
-    """One row per application: metric -> summary struct (keys unique per application)."""
-    entry = F.struct(
-        F.col("metric_name").alias("key"),
-        F.struct(
-            "latest_value", "latest_status", "avg_value",
-            F.col("trend_correlation").alias("trend"), "display_name", "unit",
-        ).alias("value"),
-    )
-    return (
-        metric_summary.where(F.col("metric_name").isNotNull())
-        .groupBy("application")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("metrics"))
-    )
+    """One row per application: metric -> summary struct.
+
+    A metric that carries several names or units in the period has several summary rows; the one
+    with most measurements stands for it, so keys are unique.
+    """
+    fields = F.struct("latest_value", "latest_status", "avg_value", F.col("trend_correlation").alias("trend"), "display_name", "unit")
+    place = F.struct("total_measurements", "display_name", "category", "unit")
+    one = (metric_summary.where(F.col("metric_name").isNotNull())
+           .groupBy("application", "metric_name").agg(F.max_by(fields, place).alias("value")))
+    entry = F.struct(F.col("metric_name").alias("key"), "value")
+    return one.groupBy("application").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("metrics"))
 
 
 def application_summary(enriched: DataFrame, as_of: dt.datetime, days: int = 7) -> DataFrame:
     """Hourly application summary with the 7-day metric summary of the application.
 
-    The metric side is reduced to one map per application before the join (and
-    broadcast when a bounded count proves it small), so the join never fans out
-    hours x metrics and the hourly side is not shuffled for it. An application without recent metrics
+    The metric side is reduced to one map per application before the join, so the join
+    never fans out hours x metrics; AQE picks the join from the map table's size. An application without recent metrics
     gets ``{"unknown": {all fields null}}``.
     """
     hourly = app_hourly(app_run_status(enriched))
-    # One row per application: broadcast once a bounded count proves it small.
-    per_app = sized_side(metrics_summary_by_app(app_metric_summary(enriched, as_of, days)), cache=True)
+    per_app = metrics_summary_by_app(app_metric_summary(enriched, as_of, days))
     unknown = F.create_map(F.lit("unknown"), F.lit(None).cast(METRIC_SUMMARY))
     metrics = F.coalesce(F.col("metrics"), unknown)
     return (
@@ -219,8 +214,8 @@ def application_summary(enriched: DataFrame, as_of: dt.datetime, days: int = 7)
 
 
 def run_summary_metrics(enriched: DataFrame) -> DataFrame:
-    """metric -> value per run (latest extraction per (run, metric) first)."""
-    w = Window.partitionBy("run_id", "metric_name").orderBy(F.desc("extraction_timestamp"))
+    """metric -> value per run (latest extraction per (run, metric) first, then the largest value)."""
+    w = Window.partitionBy("run_id", "metric_name").orderBy(F.desc("extraction_timestamp"), F.desc("metric_value"))
     latest = (
         enriched.where(F.col("metric_name").isNotNull())
         .select("run_id", "metric_name", "metric_value", "extraction_timestamp")
@@ -243,21 +238,15 @@ TIMESERIES_GROUP = [
 def metric_timeseries(enriched: DataFrame, as_of: dt.datetime, days: int = 30) -> DataFrame:
     """Plot points of the last ``days`` days with hover context.
 
-    ``run_summary_metrics`` holds all metrics of the run: a per-run window (groups
-    bounded by metrics per run) instead of an aggregate + join. start_time is a run
-    attribute, so the day filter keeps or drops whole runs and can run first (it
-    reaches the scan). The full-row de-duplication groups on columns that include
-    run_id and start_time, so it reuses the window's partitioning: one shuffle.
+    ``run_summary_metrics`` holds all metrics of the run: one map per run, joined to its
+    rows. start_time is a run attribute, so the day filter keeps or drops whole runs and
+    can run first (it reaches the scan). Full-row duplicates are removed before.
     """
     recent = within_lookback(enriched, as_of, f"{days} DAYS", inclusive=True)
-    rows = recent.withColumn("params", lower_keys(F.col("params")))
-    per_run = Window.partitionBy("run_id", "start_time")
-    entries = F.collect_list(
-        F.when(F.col("metric_name").isNotNull(), F.struct("metric_name", "metric_value"))
-    ).over(per_run)
-    rows = rows.withColumn("_run_metrics", entries)
-    grouped = rows.groupBy(*TIMESERIES_GROUP).agg(F.first("_run_metrics").alias("_run_metrics"))
-    run_json = F.to_json(F.map_from_entries(F.array_sort(F.col("_run_metrics"))))
+    rows = recent.withColumn("params", F.to_json(lower_keys(F.col("params")))).select(*TIMESERIES_GROUP).distinct()
+    rows = rows.withColumn("params", F.from_json("params", "map<string,string>"))
+    grouped = rows.join(run_summary_metrics(recent), "run_id", "left")
+    run_json = F.to_json(F.coalesce(F.col("run_metrics"), F.lit(None).cast("map<string,double>")))
     return grouped.select(
         F.col("start_time").alias("timestamp"),
         "run_id", "run_name", "user_id",

@@ -131,8 +131,7 @@ def q_moving_avg_time(spark, sf_dir):
 
     from runlens.sources import fixtures as fx
 
-    e = moving_average_time(build(spark, sf_dir).enriched_base, window_hours=24,
-                            metric_bound=len(fx.METADATA_ROWS))
+    e = moving_average_time(build(spark, sf_dir).enriched_base, window_hours=24)
     return e.select("run_id", "metric_name", "start_time", round6(F.col("moving_avg_time")).alias("moving_avg_time"))
 
 
@@ -556,8 +555,7 @@ def q_historical_job(spark, sf_dir):
 
     t = build(spark, sf_dir)
     base = scratch_path(spark, "jobs")
-    historical_job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base, AS_OF,
-                   series_bound=len(fx.METADATA_ROWS) * fx.N_EXPERIMENTS)
+    historical_job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base, AS_OF)
     p = load_latest(spark, base, "platform_summary")
     return p.select("timestamp", "total_runs", "critical_runs", "warning_runs", "healthy_runs",
                     round6(F.col("pass_rate")).alias("pass_rate"), round6(F.col("pass_rate_trend")).alias("pass_rate_trend"))
@@ -690,8 +688,7 @@ def q_delta_job(spark, sf_dir):
     busiest = per_hour.agg(F.max_by("h", F.struct("n", "h"))).first()[0]
     as_of = busiest + dt.timedelta(hours=1)
     base = scratch_path(spark, "jobs")
-    delta_job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base, as_of,
-              series_bound=len(fx.METADATA_ROWS) * fx.N_EXPERIMENTS)
+    delta_job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base, as_of)
     e = load_latest(spark, base, "enriched_metrics")
     return e.select("run_id", "metric_name", "status", round6(F.col("metric_value")).alias("metric_value"),
                     round6(F.col("moving_avg_24h")).alias("moving_avg_24h"),

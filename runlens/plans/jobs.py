@@ -18,7 +18,7 @@ from runlens.operators.flatten import flatten_runs
 from runlens.operators.job_metrics import JobMetrics
 from runlens.operators.profiles import status_distribution
 from runlens.operators.series import series_windows
-from runlens.sinks.snapshots import load_latest, run_key, write_snapshot
+from runlens.sinks.snapshots import load_snapshot, run_key, write_snapshot
 from runlens.sources.runs import scan_runs
 
 # Schedule presets (kind, lookback).
@@ -29,8 +29,7 @@ HISTORICAL = ("historical", "720 HOURS")
 
 def run_job(spark: SparkSession, runs: DataFrame, experiments: DataFrame, metadata: DataFrame,
             thresholds: DataFrame, out_base: str, as_of: dt.datetime, kind: str, lookback: str,
-            experiment_filter: str | None = None, series_bound: int | None = None,
-            metrics: JobMetrics | None = None) -> dict:
+            experiment_filter: str | None = None, metrics: JobMetrics | None = None) -> dict:
     metrics = metrics or JobMetrics()
     key = run_key(kind, as_of)
     written = {}
@@ -41,12 +40,12 @@ def run_job(spark: SparkSession, runs: DataFrame, experiments: DataFrame, metada
         metrics.record_data_volume("raw_metric_rows", written["raw_metric_rows"]["rows"],
                                    written["raw_metric_rows"]["size_mb"])
     with metrics.timed("enrich"):
-        rows = load_latest(spark, out_base, "raw_metric_rows")
-        enriched = series_windows(enrich(rows, metadata, thresholds, as_of), series_bound=series_bound)
+        rows = load_snapshot(spark, out_base, "raw_metric_rows", key)
+        enriched = series_windows(enrich(rows, metadata, thresholds, as_of))
         written["enriched_metrics"] = write_snapshot(enriched, out_base, "enriched_metrics", key, as_of)
         metrics.record_data_volume("enriched_metrics", written["enriched_metrics"]["rows"],
                                    written["enriched_metrics"]["size_mb"])
-    enriched = load_latest(spark, out_base, "enriched_metrics")
+    enriched = load_snapshot(spark, out_base, "enriched_metrics", key)
     metrics.record_status_distribution(status_distribution(enriched))
     outputs = {
         "platform_summary": sm.platform_summary(enriched, as_of),

@@ -43,8 +43,10 @@ def infer_types(df: DataFrame) -> DataFrame:
         # A cheap pattern test runs first (short-circuit AND), so the cast - whose
         # failure path is slow - only sees plausible text. A value counts as parsed
         # only when both agree, so the result stays lossless.
-        as_int = x.rlike(INT_TEXT) & x.try_cast("bigint").isNotNull()
-        as_num = x.rlike(NUM_TEXT) & x.try_cast("double").isNotNull()
+        # A value counts only if its text survives the cast and back: 007, 1d, 2.50 or
+        # twenty decimals stay text.
+        as_int = x.rlike(INT_TEXT) & x.try_cast("bigint").cast("string").eqNullSafe(x)
+        as_num = x.rlike(NUM_TEXT) & (as_int | x.try_cast("double").cast("string").eqNullSafe(x))
         aggs += [
             F.count(x).alias(f"n{i}"),
             F.count_if(x.isNotNull() & ~as_int).alias(f"b{i}"),

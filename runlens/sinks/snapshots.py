@@ -60,9 +60,13 @@ def write_snapshot(df: DataFrame, base: str, table: str, snapshot_id: str, as_of
         .parquet(path)
     )
     rows = int(obs.get.get("rows", 0))
+    partition = f"{path}/snapshot_date={date}/snapshot_id={snapshot_id}"
+    if not rows:
+        # A dynamic overwrite leaves partitions without new rows alone: an emptied snapshot is cleared here.
+        _delete(spark, partition)
     record = {
         "table_name": table, "snapshot_date": date, "snapshot_id": snapshot_id, "rows": rows,
-        "size_mb": snapshot_size_mb(spark, path, snapshot_id) if rows else 0.0,
+        "size_mb": snapshot_size_mb(spark, partition) if rows else 0.0,
         "columns": df.columns, "data_types": json.dumps(dict(df.dtypes)), "schema_json": df.schema.json(),
         "path": path, "written_at": dt.datetime.now(),
     }
@@ -70,15 +74,20 @@ def write_snapshot(df: DataFrame, base: str, table: str, snapshot_id: str, as_of
     return record
 
 
-def snapshot_size_mb(spark: SparkSession, path: str, snapshot_id: str) -> float:
-    """Bytes on disk of one snapshot partition, from the file-metadata column: the scan
-    needs no data columns, so only file listings and footers are read."""
-    files = (
-        spark.read.parquet(path).where(F.col("snapshot_id") == snapshot_id)
-        .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")).distinct()
-    )
-    total = files.agg(F.sum("s")).first()[0]
-    return round((total or 0) / (1024 * 1024), 4)
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def snapshot_size_mb(spark: SparkSession, partition: str) -> float:
+    """Bytes of one snapshot partition's files, from the file listing."""
+    fs, p = _file_system(spark, partition)
+    return round(fs.getContentSummary(p).getLength() / (1024 * 1024), 4)
 
 
 def _log_row(spark: SparkSession, record: dict) -> DataFrame:
@@ -99,21 +108,27 @@ def snapshot_log(spark: SparkSession, base: str) -> DataFrame:
 
 
 def load_latest(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """The newest logged snapshot of ``table`` (partition-pruned read).
+    """The newest logged snapshot of ``table``.
 
     An empty snapshot yields a typed empty frame; no snapshot at all raises.
     """
-    log = snapshot_log(spark, base).where(F.col("table_name") == table)
-    latest = log.agg(F.max_by(F.struct("snapshot_id", "rows", "schema_json", "path"),
+    return _load(spark, base, table, F.lit(True))
+
+
+def load_snapshot(spark: SparkSession, base: str, table: str, snapshot_id: str) -> DataFrame:
+    """The snapshot of ``table`` under one run key, whatever other jobs wrote since."""
+    return _load(spark, base, table, F.col("snapshot_id") == snapshot_id)
+
+
+def _load(spark: SparkSession, base: str, table: str, which) -> DataFrame:
+    log = snapshot_log(spark, base).where((F.col("table_name") == table) & which)
+    latest = log.agg(F.max_by(F.struct("snapshot_date", "snapshot_id", "rows", "schema_json", "path"),
                               F.struct("written_at", "snapshot_id")).alias("l")).select("l.*").first()
     if latest is None or latest["snapshot_id"] is None:
         raise FileNotFoundError(f"no snapshot found for table {table!r} under {base}")
     schema = T.StructType.fromJson(json.loads(latest["schema_json"]))
     if latest["rows"] == 0:
         return spark.createDataFrame([], schema)
-    data = spark.read.parquet(latest["path"]).where(F.col("snapshot_id") == latest["snapshot_id"])
-    stored = dict(data.dtypes)
-    return data.select(*[
-        F.col(f.name) if stored.get(f.name) == f.dataType.simpleString() else F.col(f.name).cast(f.dataType)
-        for f in schema.fields
-    ])
+    # The one partition, with the logged schema: no listing of the others, no inference.
+    return spark.read.schema(schema).parquet(
+        f"{latest['path']}/snapshot_date={latest['snapshot_date']}/snapshot_id={latest['snapshot_id']}")

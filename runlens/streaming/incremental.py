@@ -25,8 +25,9 @@ from runlens.operators.enrich import enrich
 
 
 def latest_wins(rows: DataFrame) -> DataFrame:
-    """Newest extraction per (run_id, metric_name)."""
-    w = Window.partitionBy("run_id", "metric_name").orderBy(F.desc("extraction_timestamp"))
+    """Newest extraction per (run_id, metric_name); of equal ones the later start, then the larger value."""
+    w = Window.partitionBy("run_id", "metric_name").orderBy(
+        F.desc("extraction_timestamp"), F.desc("start_time"), F.desc("metric_value"))
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from runlens.operators import joins
 from runlens.operators.enrich import enrich
 from runlens.operators.series import series_windows
@@ -31,13 +29,28 @@ def test_dimension_beyond_bound_is_not_broadcast(spark):
     assert "BroadcastHashJoin" in _plan(small)
 
 
-def test_series_tables_without_proven_bound(spark):
+def test_a_side_that_grew_is_not_broadcast(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    facts = spark.range(10).selectExpr("cast(id as string) as k")
+
+    def joined():
+        return joins.join_dimension(facts, spark.read.parquet(path), "k", max_rows=100)._jdf.queryExecution().analyzed().toString()
+
+    spark.range(10).selectExpr("cast(id as string) as k", "id as v").write.parquet(path)
+    assert "ResolvedHint (strategy=broadcast)" in joined() or "strategy=broadcast" in joined()
+    spark.range(5000).selectExpr("cast(id as string) as k", "id as v").write.mode("overwrite").parquet(path)
+    assert "strategy=broadcast" not in joined()
+
+
+def test_wide_rows_are_judged_by_bytes(spark):
+    wide = spark.range(10).selectExpr("cast(id as string) as k", "repeat('x', 2000) as v")
+    plan = joins.join_dimension(spark.range(3).selectExpr("cast(id as string) as k"), wide, "k", max_bytes=10_000)
+    assert "strategy=broadcast" not in plan._jdf.queryExecution().analyzed().toString()
+
+
+def test_series_buckets_do_not_change_results(spark):
     base = enrich(_rows(spark), fx.metric_metadata(spark), fx.thresholds(spark), T0)
-    proven = series_windows(base, series_bound=9, rows_per_bucket=4)
-    counted = series_windows(base, series_bound=None, rows_per_bucket=4)
-    beyond = series_windows(base, series_bound=10**9, rows_per_bucket=4)
     cols = ["run_id", "moving_avg_24h", "forecast_next"]
-    want = sorted(proven.select(*cols).collect())
-    assert sorted(counted.select(*cols).collect()) == want
-    assert sorted(beyond.select(*cols).collect()) == want
-    assert proven.where(F.col("moving_avg_24h").isNull()).count() == 0
+    split = sorted(series_windows(base, rows_per_bucket=4).select(*cols).collect())
+    assert split == sorted(series_windows(base).select(*cols).collect())
+    assert all(r["moving_avg_24h"] is not None for r in split)

@@ -95,6 +95,21 @@ def test_time_window_average_brute_force(spark, rows_per_bucket):
         assert (r["moving_avg_time"] is None and w is None) or r["moving_avg_time"] == pytest.approx(w)
 
 
+@pytest.mark.parametrize("rows_per_bucket", [1, 2, 5, 7, 10**6])
+def test_time_window_average_keeps_precision(spark, rows_per_bucket):
+    """One huge value, an infinity, ties and a burst: values outside a frame leave no trace in it."""
+    rows = [(f"a{i:03d}", "0", "click", 1.0, T0 + dt.timedelta(hours=3 * i)) for i in range(40)]
+    rows[4] = (*rows[4][:3], 1e17, rows[4][4])
+    rows[20] = (*rows[20][:3], float("inf"), rows[20][4])
+    rows += [(f"b{i:03d}", "1", "click", 1.0, T0 + dt.timedelta(days=4, seconds=i // 2)) for i in range(30)]
+    got = {r["run_id"]: r["moving_avg_time"] for r in
+           moving_average_time(metric_rows(spark, rows), rows_per_bucket=rows_per_bucket).collect()}
+    finite = [(*r[:3], None if r[3] == float("inf") else r[3], r[4]) for r in rows]
+    want = _brute_time_avg(finite)
+    assert all(got[k] == pytest.approx(v) for k, v in want.items())
+    assert got["a015"] == 1.0 and got["a030"] == 1.0
+
+
 def test_time_window_open_lower_bound(spark):
     rows = [("r1", "0", "click", 1.0, T0), ("r2", "0", "click", 2.0, T0 + dt.timedelta(days=1))]
     got = {r["run_id"]: r["moving_avg_time"] for r in moving_average_time(metric_rows(spark, rows)).collect()}
