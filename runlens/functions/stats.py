@@ -33,3 +33,12 @@ def latest_non_null(value: Column, *order: Column) -> Column:
 def round6(c: Column) -> Column:
     """Presentation rounding used when comparing doubles across engines."""
     return F.round(c + F.lit(1e-9), 6)
+
+
+def one_decimal(x: Column) -> Column:
+    """A value of 0 or more rounded to tenths by its exact binary value, exact halves to even (0.35 is below its half: 0.3)."""
+    whole = x.try_cast("bigint")
+    ten = ((x - whole) * F.lit(float(1 << 58))).try_cast("bigint") * 10     # tenths, as multiples of 2 ** -58
+    tenths, rest, half = F.shiftright(ten, 58), ten.bitwiseAND(F.lit((1 << 58) - 1)), F.lit(1 << 57)
+    up = (rest > half) | ((rest == half) & (tenths % 2 == 1))
+    return (whole * 10 + tenths + up.cast("int")) / F.lit(10.0)

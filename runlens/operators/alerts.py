@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runlens.functions.stats import one_decimal
 from runlens.schemas import SEV_CRITICAL, SEV_HIGH
 
 # Alert limits of the source model.
@@ -14,6 +15,11 @@ CRITICAL_RATE_CRITICAL = 20.0   # critical-run share above 20 % -> critical
 CRITICAL_RATE_HIGH = 10.0       # above 10 % -> high
 PASS_RATE_FLOOR = 80.0          # pass rate below 80 % -> high
 
+# Titles and messages of the alerts.
+TITLE_CRITICAL, TITLE_HIGH, TITLE_PASS = "High Critical Run Rate", "Elevated Critical Run Rate", "Low Pass Rate"
+CRITICAL_MESSAGE = "%.1f%% of runs are critical (%d/%d)"
+PASS_MESSAGE = "Pass rate dropped to %.1f%%"
+
 
 def _critical_rate() -> Column:
     return F.try_divide(F.col("critical_runs") * F.lit(100.0), F.col("total_runs"))
@@ -21,14 +27,14 @@ def _critical_rate() -> Column:
 
 def _critical_rate_alert() -> Column:
     rate = _critical_rate()
-    msg = F.format_string("%.1f%% of runs are critical (%d/%d)", F.bround(rate, 1), F.col("critical_runs"),
+    msg = F.format_string(CRITICAL_MESSAGE, one_decimal(rate), F.col("critical_runs"),
                           F.col("total_runs"))
     return (
         F.when((F.col("total_runs") > 0) & (rate > CRITICAL_RATE_CRITICAL),
-               F.struct(F.lit("High Critical Run Rate").alias("title"), msg.alias("message"),
+               F.struct(F.lit(TITLE_CRITICAL).alias("title"), msg.alias("message"),
                         F.lit(SEV_CRITICAL).alias("severity")))
         .when((F.col("total_runs") > 0) & (rate > CRITICAL_RATE_HIGH),
-              F.struct(F.lit("Elevated Critical Run Rate").alias("title"), msg.alias("message"),
+              F.struct(F.lit(TITLE_HIGH).alias("title"), msg.alias("message"),
                        F.lit(SEV_HIGH).alias("severity")))
     )
 
@@ -37,8 +43,8 @@ def _pass_rate_alert() -> Column:
     pr = F.coalesce(F.col("pass_rate"), F.lit(100.0))
     return F.when(
         pr < PASS_RATE_FLOOR,
-        F.struct(F.lit("Low Pass Rate").alias("title"),
-                 F.format_string("Pass rate dropped to %.1f%%", F.bround(pr, 1)).alias("message"),
+        F.struct(F.lit(TITLE_PASS).alias("title"),
+                 F.format_string(PASS_MESSAGE, one_decimal(pr)).alias("message"),
                  F.lit(SEV_HIGH).alias("severity")),
     )
 

@@ -324,7 +324,7 @@ def q_critical_rate_alerts(spark, sf_dir):
     from runlens.operators.alerts import critical_rate_alerts
 
     a = critical_rate_alerts(_platform(spark, sf_dir))
-    return a.select("timestamp", round6(F.col("critical_rate")).alias("critical_rate"), "title", "severity")
+    return a.select("timestamp", round6(F.col("critical_rate")).alias("critical_rate"), "title", "severity", "message")
 
 
 @query("pass_rate_alerts")
@@ -532,16 +532,17 @@ def q_layout_infer(spark, sf_dir):
 
 @query("job_metrics_summary")
 def q_job_metrics_summary(spark, sf_dir):
-    """Record data volumes (counts observed by actions) and the status distribution."""
-    from runlens.operators.job_metrics import JobMetrics
+    """Data volumes and the status distribution, appended to the metrics table and read back."""
     from runlens.operators.profiles import status_distribution
+    from runlens.session import scratch_path
+    from runlens.sinks import metric_log
 
     t = build(spark, sf_dir)
-    jm = JobMetrics()
-    jm.record_data_volume("metric_rows", t.metric_rows.count())
-    jm.record_data_volume("enriched_metrics", t.enriched.count())
-    jm.record_status_distribution(status_distribution(t.enriched))
-    return jm.to_frame(spark).select("name", round6(F.col("value")).alias("value"), "unit")
+    path = scratch_path(spark, "job-metrics")
+    metric_log.append(metric_log.row_count(t.metric_rows, "metric_rows", AS_OF), path)
+    metric_log.append(metric_log.row_count(t.enriched, "enriched_metrics", AS_OF), path)
+    metric_log.append(metric_log.status_shares(status_distribution(t.enriched), AS_OF), path)
+    return metric_log.stored(spark, path).select("name", round6(F.col("value")).alias("value"), "unit")
 
 
 @query("historical_job")

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runlens.operators.alerts import alert_report, critical_rate_alerts, latest_row
@@ -47,3 +48,12 @@ def test_empty_summary_no_data(spark):
 def test_latest_by_value_not_position(spark):
     p = _platform(spark, [(T0 + dt.timedelta(hours=2), 5, 0, 100.0), (T0, 9, 9, 0.0)])
     assert latest_row(p).first()["total_runs"] == 5
+
+
+def test_message_rounds_the_exact_value(spark):
+    from runlens.functions.stats import one_decimal
+
+    xs = [0.0, 0.05, 0.15, 0.25, 0.35, 0.45, 0.75, 0.95, 9.95, 12.25, 12.35, 33.333333, 66.65, 79.95, 99.95, 100.0]
+    xs += [100.0 * a / b for b in range(1, 60) for a in range(b + 1)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").withColumn("t", one_decimal(F.col("x")))
+    assert {r["x"]: "%.1f" % r["t"] for r in df.collect()} == {x: "%.1f" % x for x in xs}

@@ -41,22 +41,22 @@ def test_backup_job_rerun_is_idempotent(spark):
     # only runs started in the 6 hours before as_of
     starts = [r["start_time"] for r in load_latest(spark, base, "raw_metric_rows").collect()]
     assert starts and all(as_of - dt.timedelta(hours=6) < s <= as_of for s in starts)
-    names = {r["name"] for r in first["metrics"].to_frame(spark).collect()}
+    names = {r["name"] for r in first["metrics"].collect()}
     assert {"record_count_raw_metric_rows", "execution_time_enrich"} <= names
 
 
 def test_job_metrics_summary_and_sizes(spark):
-    from runlens.operators.job_metrics import latest_metrics, metrics_summary
+    from runlens.sinks import metric_log
 
     t = build(spark, SF)
     base = scratch_path(spark, "t-jobs")
     res = backup_job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base,
                      dt.datetime(2024, 1, 20, 12, 0))
     assert res["written"]["enriched_metrics"]["size_mb"] > 0
-    frame = res["metrics"].to_frame(spark)
-    summ = metrics_summary(frame).first()
+    frame = res["metrics"]
+    summ = metric_log.summary(frame).first()
     assert summ["total_metrics"] == frame.count() and "data_size_enriched_metrics" in summ["metric_types"]
-    assert latest_metrics(frame).count() == min(10, frame.count())
+    assert metric_log.newest(frame).count() == min(10, frame.count())
 
 
 def test_emptied_snapshot_and_interleaved_jobs(spark):
