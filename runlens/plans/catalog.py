@@ -479,18 +479,22 @@ def q_list_metrics(spark, sf_dir):
 
 @query("threshold_upsert")
 def q_threshold_upsert(spark, sf_dir):
-    """Tighten every platform default of a metric seen in the batch by 10 %, then read
-    the current view (newest row per (metric, experiment))."""
-    from runlens.sinks.thresholds_log import current_thresholds, upsert_rows
+    """Tighten every platform default of a metric seen in the batch by 10 %: append to the stored log,
+    then read its current view (newest row per (metric, experiment))."""
+    from runlens.session import scratch_path
+    from runlens.sinks import thresholds_log
     from runlens.sources.dimensions import parse_thresholds
 
-    log = parse_thresholds(_thresholds(spark, sf_dir)).drop("load_ordinal")
+    path = scratch_path(spark, "thresholds")
+    thresholds_log.append(parse_thresholds(_thresholds(spark, sf_dir)), path)
+    log = thresholds_log.stored(spark, path)
     seen = build(spark, sf_dir).metric_rows.select("metric_name").distinct()
     updates = log.where(F.col("experiment_id").isNull()).join(seen, "metric_name", "left_semi").select(
         "metric_name", (F.col("critical_threshold") * F.lit(0.9)).alias("critical_threshold"),
         (F.col("warning_threshold") * F.lit(0.9)).alias("warning_threshold"), "experiment_id",
     )
-    cur = current_thresholds(upsert_rows(log, updates, "runlens-job", AS_OF))
+    thresholds_log.append(thresholds_log.stamped(updates, "runlens-job", AS_OF), path)
+    cur = thresholds_log.current_thresholds(thresholds_log.stored(spark, path))
     return cur.select("metric_name", "experiment_id", round6(F.col("critical_threshold")).alias("critical_threshold"),
                       round6(F.col("warning_threshold")).alias("warning_threshold"), "updated_at", "updated_by")
 
@@ -605,6 +609,50 @@ def q_stream_latest_wins(spark, sf_dir):
                       "extraction_timestamp")
 
 
+@query("stream_trend")
+def q_stream_trend(spark, sf_dir):
+    """The pass-rate trend over the hours that the stream has stored."""
+    from runlens.streaming.incremental import stored_trend
+
+    _, hourly = _drain_stream(spark, sf_dir)
+    h = stored_trend(spark, hourly)
+    return h.select(F.col("time_hour").alias("timestamp"), *[round6(F.col(c)).alias(c) for c in (
+        "pass_rate", "pass_rate_24h_ago", "pass_rate_trend", "pass_rate_trend_24h")])
+
+
+@query("stream_series")
+def q_stream_series(spark, sf_dir):
+    """Moving average and forecast over the rows that the stream has stored."""
+    from runlens.streaming.incremental import stored_series
+
+    t = build(spark, sf_dir)
+    history, _ = _drain_stream(spark, sf_dir)
+    e = stored_series(spark, history, t.metadata, t.thresholds, AS_OF)
+    return e.select("run_id", "experiment_id", "metric_name", "start_time",
+                    round6(F.col("moving_avg_24h")).alias("moving_avg_24h"),
+                    round6(F.col("forecast_next")).alias("forecast_next"))
+
+
+@query("stream_repair")
+def q_stream_repair(spark, sf_dir):
+    """Polls that saw only the runs of even users; the 30-day repair run brings in the others."""
+    import datetime as dt
+
+    from runlens.session import scratch_path
+    from runlens.streaming.incremental import land_extract, read_hourly, repair, run_incremental
+
+    t = build(spark, sf_dir)
+    work = scratch_path(spark, "stream-repair")
+    rows = t.metric_rows.drop("extraction_timestamp")
+    user = F.regexp_extract("run_id", r"-(\d+)-", 1).cast("bigint")
+    land_extract(rows.where(user % 2 == 0), f"{work}/landing", AS_OF)
+    history, hourly = run_incremental(spark, f"{work}/landing", work, t.metadata, t.thresholds, AS_OF)
+    repair(rows, history, hourly, t.metadata, t.thresholds, AS_OF + dt.timedelta(minutes=30), AS_OF)
+    h = read_hourly(spark, hourly)
+    return h.select(F.col("time_hour").alias("timestamp"), "total_runs", "critical_runs", "warning_runs",
+                    "healthy_runs", round6(F.col("pass_rate")).alias("pass_rate"))
+
+
 # ---------------------------------------------------------------- plain sinks and the SQL surface (SRC9, SNK2, SNK4-5)
 
 @query("parquet_roundtrip")
@@ -620,6 +668,18 @@ def q_parquet_roundtrip(spark, sf_dir):
                        F.size("params").cast("bigint").alias("param_count"))
 
 
+@query("table_roundtrip")
+def q_table_roundtrip(spark, sf_dir):
+    """Save the classified rows as a table of the session catalog and query it by name."""
+    import uuid
+
+    from runlens.sinks.tables import create_table, execute
+
+    name = f"runlens_classified_{uuid.uuid4().hex[:12]}"
+    create_table(build(spark, sf_dir).classified, name)
+    return execute(spark, f"SELECT run_id, metric_name, status FROM {name}")
+
+
 HOURLY_SQL = """
 WITH runs AS (
   SELECT run_id, start_time,
@@ -648,11 +708,8 @@ def q_platform_hourly_sql(spark, sf_dir):
     return execute(spark, HOURLY_SQL, {"as_of": AS_OF})
 
 
-@query("stream_hourly_watermark")
-def q_stream_hourly_watermark(spark, sf_dir):
-    """Extracts land in time order (days 1-10, 11-20, 21-end), each drained by its own
-    availableNow run, so no row arrives behind the watermark; hours the watermark has
-    not yet closed are not emitted."""
+def _drain_watermarked(spark, sf_dir, order):
+    """Land thirds of the time range (cut at midnight) in the given order, draining after each."""
     import datetime as dt
 
     from runlens.session import scratch_path
@@ -662,11 +719,37 @@ def q_stream_hourly_watermark(spark, sf_dir):
     work = scratch_path(spark, "stream-wm")
     landing = f"{work}/landing"
     rows = t.metric_rows.drop("extraction_timestamp")
-    day = F.dayofmonth("start_time")
+    first, last = rows.agg(F.min(F.to_date("start_time")), F.max(F.to_date("start_time"))).first()
+    days = (last - first).days + 1 if first else 0
+    cuts = [first + dt.timedelta(days=days * i // 3) for i in range(4)] if first else [dt.date(1970, 1, 1)] * 4
+    day = F.to_date("start_time")
     out = None
-    for i, (lo, hi) in enumerate([(1, 10), (11, 20), (21, 31)]):
-        land_extract(rows.where(day.between(lo, hi)), landing, AS_OF + dt.timedelta(minutes=5 * i))
+    for n, i in enumerate(order):
+        part = rows.where((day >= F.lit(cuts[i])) & (day < F.lit(cuts[i + 1])))
+        land_extract(part, landing, AS_OF + dt.timedelta(minutes=5 * n))
         out = run_watermarked(spark, landing, work, t.metadata, t.thresholds, AS_OF)
+    return landing, out
+
+
+@query("stream_late_hours")
+def q_stream_late_hours(spark, sf_dir):
+    """The second third of the range lands first and the first third last: its hours are behind the watermark and are
+    reported, with their runs, by the audit of the landed rows."""
+    from runlens.streaming.incremental import late_hours
+
+    landing, out = _drain_watermarked(spark, sf_dir, [1, 2, 0])
+    t = build(spark, sf_dir)
+    late = late_hours(spark, landing, out, t.metadata, t.thresholds, AS_OF)
+    return late.select(F.col("time_hour").alias("timestamp"), "total_runs", "missed_runs",
+                       round6(F.col("pass_rate")).alias("pass_rate"))
+
+
+@query("stream_hourly_watermark")
+def q_stream_hourly_watermark(spark, sf_dir):
+    """Extracts land in time order (thirds of the whole range), each drained by its own
+    availableNow run, so no row arrives behind the watermark; hours the watermark has
+    not yet closed are not emitted."""
+    landing, out = _drain_watermarked(spark, sf_dir, [0, 1, 2])
     h = spark.read.parquet(out)
     return h.select(F.col("time_hour").alias("timestamp"), "total_runs", "critical_runs", "warning_runs",
                     "healthy_runs", round6(F.col("pass_rate")).alias("pass_rate"))
@@ -674,12 +757,26 @@ def q_stream_hourly_watermark(spark, sf_dir):
 
 @query("delta_job")
 def q_delta_job(spark, sf_dir):
-    """The 1-hour delta job replayed at the end of the hour in which the most runs
+    """The 1-hour delta job replayed at the end of the busiest hour."""
+    from runlens.plans.jobs import delta_job
+
+    return _replayed(spark, sf_dir, delta_job)
+
+
+@query("backup_job")
+def q_backup_job(spark, sf_dir):
+    """The 6-hour backup job replayed at the end of the busiest hour."""
+    from runlens.plans.jobs import backup_job
+
+    return _replayed(spark, sf_dir, backup_job)
+
+
+def _replayed(spark, sf_dir, job):
+    """Run a job at the end of the hour in which the most runs
     started (a scalar read from the data; ties: the later hour); returns the enriched
     snapshot it wrote, whose moving averages and forecasts cover that extract only."""
     import datetime as dt
 
-    from runlens.plans.jobs import delta_job
     from runlens.session import scratch_path
     from runlens.sinks.snapshots import load_latest
     from runlens.sources import fixtures as fx
@@ -689,7 +786,7 @@ def q_delta_job(spark, sf_dir):
     busiest = per_hour.agg(F.max_by("h", F.struct("n", "h"))).first()[0]
     as_of = busiest + dt.timedelta(hours=1)
     base = scratch_path(spark, "jobs")
-    delta_job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base, as_of)
+    job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base, as_of)
     e = load_latest(spark, base, "enriched_metrics")
     return e.select("run_id", "metric_name", "status", round6(F.col("metric_value")).alias("metric_value"),
                     round6(F.col("moving_avg_24h")).alias("moving_avg_24h"),

@@ -80,8 +80,6 @@ def apply_types(df: DataFrame, inferred: dict[str, str]) -> DataFrame:
     return out
 
 
-def optimize_layout(df: DataFrame) -> DataFrame:
-    inferred = {r["column_name"]: r["inferred_type"] for r in infer_types(df).collect()}
-    out = apply_types(df, inferred)
-    tcol = first_time_column(out)
-    return out.sortWithinPartitions(tcol) if tcol else out
+def typed(df: DataFrame) -> DataFrame:
+    """``df`` with the inferred types."""
+    return apply_types(df, {r["column_name"]: r["inferred_type"] for r in infer_types(df).collect()})

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runlens.sinks.layout import first_time_column
+from runlens.sinks.layout import first_time_column, typed
 
 LOG_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -37,12 +37,15 @@ def run_key(kind: str, as_of: dt.datetime) -> str:
 
 
 def write_snapshot(df: DataFrame, base: str, table: str, snapshot_id: str, as_of: dt.datetime,
-                   sort_by_time: bool = True) -> dict:
+                   sort_by_time: bool = True, infer: bool = False) -> dict:
     """Write one snapshot (Snappy Parquet, micros timestamps) and log it.
 
-    The row count is observed during the write itself (no second pass).
+    The row count is observed during the write itself (no second pass). ``infer`` casts text columns whose
+    every value survives the cast and back; it reads ``df`` once more, and columns may differ between snapshots.
     """
     spark = df.sparkSession
+    if infer:
+        df = typed(df)
     date = as_of.strftime("%Y-%m-%d")
     out = df
     tcol = first_time_column(df) if sort_by_time else None
@@ -63,7 +66,7 @@ def write_snapshot(df: DataFrame, base: str, table: str, snapshot_id: str, as_of
     partition = f"{path}/snapshot_date={date}/snapshot_id={snapshot_id}"
     if not rows:
         # A dynamic overwrite leaves partitions without new rows alone: an emptied snapshot is cleared here.
-        _delete(spark, partition)
+        delete_path(spark, partition)
     record = {
         "table_name": table, "snapshot_date": date, "snapshot_id": snapshot_id, "rows": rows,
         "size_mb": snapshot_size_mb(spark, partition) if rows else 0.0,
@@ -79,7 +82,7 @@ def _file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _file_system(spark, path)
     fs.delete(p, True)
 

@@ -8,8 +8,12 @@ overwrites those day partitions of the hourly table (dynamic partition overwrite
 the history read is pruned to the touched days). After the
 stream drains, the hourly table equals the batch platform_hourly of the same rows.
 
-Windows over rows (lag, moving average) are not allowed on a stream; they are
-recomputed over stored history by the batch jobs.
+A run whose start moves to another day leaves a ``moved`` row in each day it is no longer in, so
+every day can be recomputed by itself and no run counts twice. Repair runs (``repair``) send the rows of
+a longer lookback through the same handler.
+
+Windows over rows (lag, moving average) are not allowed on a stream; ``stored_trend`` and
+``stored_series`` compute them over the stored tables, so they cover all history, not one extract.
 """
 
 from __future__ import annotations
@@ -22,13 +26,20 @@ from pyspark.sql import functions as F
 from runlens import schemas as S
 from runlens.operators import summaries as sm
 from runlens.operators.enrich import enrich
+from runlens.operators.series import series_windows
+from runlens.sinks.snapshots import delete_path
 
 
 def latest_wins(rows: DataFrame) -> DataFrame:
-    """Newest extraction per (run_id, metric_name); of equal ones the later start, then the larger value."""
+    """Newest extraction per (run_id, metric_name); of equal ones the later start, then the larger value.
+
+    Rows marked ``moved`` (if there is such a column) stand behind the run's own rows and are not returned.
+    """
+    moved = [F.col("moved")] if "moved" in rows.columns else []
     w = Window.partitionBy("run_id", "metric_name").orderBy(
-        F.desc("extraction_timestamp"), F.desc("start_time"), F.desc("metric_value"))
-    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+        F.desc("extraction_timestamp"), F.desc("start_time"), *moved, F.desc("metric_value"))
+    newest = rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return newest.where(~F.col("moved")).drop("moved") if moved else newest
 
 
 def land_extract(rows: DataFrame, landing: str, extracted_at: dt.datetime) -> None:
@@ -46,24 +57,53 @@ class HourlyUpdater:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stamped = batch.withColumn("day_key", F.date_format("start_time", "yyyy-MM-dd")).persist()
+        stamped = batch.withColumn("moved", F.lit(False)).withColumn("day_key", F.date_format("start_time", "yyyy-MM-dd")).persist()
         try:
-            stamped.sortWithinPartitions("day_key").write.mode("append").partitionBy("day_key").parquet(
-                self.history)
-            # The distinct day keys of one batch (a handful of strings) become a literal
-            # IN list, so the history read is pruned to those partitions statically.
-            touched = [r[0] for r in stamped.select("day_key").distinct().collect()]
+            self._append(stamped)
+            touched = _days(stamped)
+            if not touched:
+                return
+            # Two narrow columns of the history decide which runs of this batch also stand in other days.
+            runs = stamped.select("run_id").distinct()
+            copies = self._history(stamped).join(runs, "run_id", "left_semi")
+            newest = copies.where("not moved").groupBy("run_id").agg(
+                F.max(F.struct("extraction_timestamp", "start_time", "day_key")).alias("n"))
+            left = (copies.join(newest, "run_id").where(F.col("day_key") != F.col("n.day_key"))
+                    .withColumn("start_time", F.col("n.start_time")).withColumn("moved", F.lit(True))
+                    .withColumn("extraction_timestamp", F.col("n.extraction_timestamp"))
+                    .select(*stamped.columns).dropDuplicates(["run_id", "metric_name", "day_key"])).persist()
+            try:
+                gone = _days(left)
+                if gone:
+                    self._append(left)
+            finally:
+                left.unpersist()
         finally:
             stamped.unpersist()
-        if not touched:
-            return
-        hist = spark.read.schema(stamped.schema).parquet(self.history).where(F.col("day_key").isin(touched))
-        current = latest_wins(hist)
+        days = sorted({*touched, *gone})
+        # The day keys (one per calendar day) become a literal IN list, so the history read is pruned to those partitions.
+        current = latest_wins(self._history(stamped).where(F.col("day_key").isin(days)))
         enriched = enrich(current.drop("day_key"), self.metadata, self.thresholds, self.as_of)
         hourly = sm.platform_hourly(sm.run_status(enriched)).withColumn(
             "day_key", F.date_format("time_hour", "yyyy-MM-dd"))
         (hourly.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("day_key").parquet(self.hourly))
+        if gone:
+            # A day that lost its last run has no row to overwrite it with.
+            kept = set(_days(current))
+            for day in set(gone) - kept:
+                delete_path(spark, f"{self.hourly}/day_key={day}")
+
+    def _append(self, rows: DataFrame) -> None:
+        rows.sortWithinPartitions("day_key").write.mode("append").partitionBy("day_key").parquet(self.history)
+
+    def _history(self, like: DataFrame) -> DataFrame:
+        return like.sparkSession.read.schema(like.schema).parquet(self.history)
+
+
+def _days(rows: DataFrame) -> list[str]:
+    """The distinct days of a batch: at most one string per calendar day."""
+    return [r[0] for r in rows.select("day_key").distinct().collect()]
 
 
 def run_incremental(spark: SparkSession, landing: str, work: str, metadata: DataFrame,
@@ -86,6 +126,17 @@ def run_incremental(spark: SparkSession, landing: str, work: str, metadata: Data
     return history, hourly
 
 
+def repair(rows: DataFrame, history: str, hourly: str, metadata: DataFrame, thresholds: DataFrame,
+           extracted_at: dt.datetime, as_of: dt.datetime | None = None) -> None:
+    """Send the metric rows of a longer lookback (the 6-hour or 30-day run) through the stream's tables.
+
+    Runs the polls missed come in, revised ones are replaced, and only the days of ``rows`` are recomputed.
+    Run it between two drains of the stream: both write the same day partitions.
+    """
+    stamped = rows.withColumn("extraction_timestamp", F.lit(extracted_at)).select(*[f.name for f in S.METRIC_ROW.fields])
+    HourlyUpdater(history, hourly, metadata, thresholds, as_of)(stamped, -1)
+
+
 def read_hourly(spark: SparkSession, hourly: str) -> DataFrame:
     return spark.read.parquet(hourly).drop("day_key")
 
@@ -94,13 +145,24 @@ def read_current(spark: SparkSession, history: str) -> DataFrame:
     return latest_wins(spark.read.parquet(history).drop("day_key"))
 
 
+def stored_trend(spark: SparkSession, hourly: str) -> DataFrame:
+    """The hourly table with its pass-rate trend over all stored hours."""
+    return sm.pass_rate_lag(read_hourly(spark, hourly))
+
+
+def stored_series(spark: SparkSession, history: str, metadata: DataFrame, thresholds: DataFrame,
+                  as_of: dt.datetime | None = None) -> DataFrame:
+    """Current rows with the moving average and forecast of their whole stored series."""
+    return series_windows(enrich(read_current(spark, history), metadata, thresholds, as_of))
+
+
 def watermarked_hourly(classified_stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Hourly platform counts as native streaming state (append mode).
 
     Two chained window aggregations: per (hour, run) the metric statuses, then per
     hour the runs by worst status. An hour is emitted once the watermark (newest
-    start_time minus ``watermark``) passes its end; later rows for it are dropped as
-    late. Use when extracts never revise a run (otherwise ``HourlyUpdater``).
+    start_time minus ``watermark``) passes its end; rows that come later than that are not in it
+    (``run_watermarked`` writes them out). Use when extracts never revise a run (otherwise ``HourlyUpdater``).
     """
     per_run = (
         classified_stream.withWatermark("start_time", watermark)
@@ -121,7 +183,10 @@ def watermarked_hourly(classified_stream: DataFrame, watermark: str = "1 hour")
 def run_watermarked(spark: SparkSession, landing: str, work: str, metadata: DataFrame,
                     thresholds: DataFrame, as_of: dt.datetime | None = None,
                     watermark: str = "1 hour") -> str:
-    """Drain the landing folder into the emitted-hours table; returns its path."""
+    """Drain the landing folder into the emitted-hours table; returns its path.
+
+    Landed rows of emitted hours that the state did not take are found by comparison: see ``late_hours``.
+    """
     stream = spark.readStream.schema(S.METRIC_ROW).parquet(landing)
     classified = enrich(stream, metadata, thresholds, as_of)
     out = f"{work}/hourly_watermarked"
@@ -133,3 +198,22 @@ def run_watermarked(spark: SparkSession, landing: str, work: str, metadata: Data
     )
     q.awaitTermination()
     return out
+
+
+def late_hours(spark: SparkSession, landing: str, emitted: str, metadata: DataFrame, thresholds: DataFrame,
+               as_of: dt.datetime | None = None) -> DataFrame:
+    """Hours up to the newest emitted one whose landed runs are not all in the emitted table, with their true counts.
+
+    (time_hour, total_runs, critical_runs, warning_runs, healthy_runs, pass_rate, missed_runs): what came behind
+    the watermark, counted, so that no row is lost silently; an audit reads all landed rows once.
+    """
+    landed = sm.platform_hourly(sm.run_status(enrich(latest_wins(spark.read.schema(S.METRIC_ROW).parquet(landing)),
+                                                     metadata, thresholds, as_of))).drop("active_applications")
+    got = spark.read.parquet(emitted)
+    upto = got.agg(F.max("time_hour")).first()[0]
+    if upto is None:
+        return landed.withColumn("missed_runs", F.col("total_runs")).limit(0)
+    found = got.groupBy("time_hour").agg(F.sum("total_runs").alias("_n"))
+    missed = (F.col("total_runs") - F.coalesce("_n", F.lit(0))).alias("missed_runs")
+    return (landed.where(F.col("time_hour") <= F.lit(upto)).join(found, "time_hour", "left")
+            .select(*landed.columns, missed).where("missed_runs > 0"))

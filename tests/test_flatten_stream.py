@@ -66,3 +66,63 @@ def test_stream_revision_changes_hour(spark):
     assert [(r["total_runs"], r["critical_runs"], r["pass_rate"]) for r in h] == [(2, 1, 50.0)]
     cur = {r["run_id"]: r["metric_value"] for r in read_current(spark, history).collect()}
     assert cur == {"r1": 5.0, "r2": 30.0}
+
+
+def _hours(spark, hourly):
+    return {r["time_hour"]: r["total_runs"] for r in read_hourly(spark, hourly).collect()}
+
+
+def test_moved_run_counts_once(spark):
+    """A run moves to the next day, another run revives its old day, then the run moves back."""
+    work = scratch_path(spark, "t-moved")
+    landing = f"{work}/landing"
+    meta, thr = fx.metric_metadata(spark), fx.thresholds(spark)
+    day = dt.timedelta(days=1)
+
+    def land(minute, *rows):
+        land_extract(metric_rows(spark, list(rows)).drop("extraction_timestamp"), landing, T0 + dt.timedelta(minutes=minute))
+        return run_incremental(spark, landing, work, meta, thr, T0)
+
+    history, hourly = land(1, ("r1", "0", "click", 30.0, T0), ("r1", "0", "view", 30.0, T0))
+    assert _hours(spark, hourly) == {T0: 1}
+    land(2, ("r1", "0", "click", 30.0, T0 + day))
+    assert _hours(spark, hourly) == {T0 + day: 1}                      # the emptied day is gone
+    land(3, ("r2", "0", "click", 30.0, T0))
+    assert _hours(spark, hourly) == {T0: 1, T0 + day: 1}               # r1 stays out of its old day
+    land(1, ("r1", "0", "click", 30.0, T0))                            # an old extract comes in late
+    assert _hours(spark, hourly) == {T0: 1, T0 + day: 1}
+    land(4, ("r1", "0", "click", 30.0, T0))
+    assert _hours(spark, hourly) == {T0: 2}
+    assert sorted((r["run_id"], r["metric_name"], r["start_time"]) for r in read_current(spark, history).collect()) == [
+        ("r1", "click", T0), ("r2", "click", T0)]
+
+
+def test_two_months_in_order_lose_no_closed_hour(spark):
+    from runlens.streaming.incremental import late_hours, run_watermarked
+
+    work = scratch_path(spark, "t-months")
+    landing = f"{work}/landing"
+    meta, thr = fx.metric_metadata(spark), fx.thresholds(spark)
+    starts = [T0 + dt.timedelta(days=i) for i in range(0, 59, 3)]
+    for n, part in enumerate((starts[:10], starts[10:])):
+        rows = metric_rows(spark, [(f"r{s:%m%d}", "0", "click", 30.0, s) for s in part]).drop("extraction_timestamp")
+        land_extract(rows, landing, T0 + dt.timedelta(minutes=n))
+        out = run_watermarked(spark, landing, work, meta, thr, T0)
+    assert sorted(r["time_hour"] for r in spark.read.parquet(out).collect()) == starts[:-1]
+    assert late_hours(spark, landing, out, meta, thr, T0).count() == 0
+
+
+def test_summaries_are_ordered(spark):
+    from runlens.operators.enrich import enrich
+    from runlens.operators.series import series_windows
+
+    rows = [(f"r{i}", str(i % 3), "click", float(i), T0 + dt.timedelta(hours=i * 7 % 11)) for i in range(22)]
+    e = series_windows(enrich(metric_rows(spark, rows), fx.metric_metadata(spark), fx.thresholds(spark), T0))
+    stamps = [r["timestamp"] for r in sm.platform_summary(e, T0).collect()]
+    assert stamps == sorted(stamps, reverse=True) and len(stamps) == 11
+    apps = [(r["application"], -r["timestamp"].timestamp()) for r in sm.application_summary(e, T0).collect()]
+    assert apps == sorted(apps)
+    ts = sm.sort_timeseries(sm.metric_timeseries(e, T0 + dt.timedelta(days=1)))
+    for part in ts.withColumn("p", F.spark_partition_id()).groupBy("p").agg(
+            F.collect_list(F.struct("application", "metric_name", "timestamp")).alias("l")).collect():
+        assert part["l"] == sorted(part["l"])
