@@ -72,28 +72,52 @@ class Encoder:
         self.in_chunks = kind == "ByteLevel" and self.tokenizer.normalizer is None \
             and not self.tokenizer.pre_tokenizer.add_prefix_space
         self.chunks: dict[str, bytes] = {}   # a key without line end in front stands after a space
+        if self.in_chunks:
+            # A byte-level vocabulary writes each byte as one character.
+            vocabulary = self.tokenizer.get_vocab()
+            self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            self.token_bytes[list(vocabulary.values())] = list(map(len, vocabulary))
+            self._learn(["\n"])
 
     def ids(self, text: str) -> bytes:
         if not self.in_chunks or not _in_order(text):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts = self._parts(text)
-        known = self.chunks
-        try:
-            own = b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            if len(known) > KEPT_CHUNKS:
-                known.clear()
-            self._learn(list({"\n", *parts}.difference(known)))
-            own = b"".join(map(known.__getitem__, parts))
+            return np.asarray(self._encoded(text), "<u4").tobytes()
+        if len(self.chunks) > KEPT_CHUNKS:
+            self.chunks = {}
+            self._learn(["\n"])
+        known, parts = self.chunks, self._parts(text)
+        found = list(map(known.get, parts))
+        if None in found:
+            missing = [i for i, x in enumerate(found) if x is None]
+            self._learn(list({parts[i] for i in missing}))
+            for i in missing:
+                found[i] = known[parts[i]]
+        own = b"".join(found)
         # A first word without white space in front was looked up with a line end.
         return own if text[:1] in ("", " ", "\n") else own[len(known["\n"]):]
 
     def _learn(self, new: list[str]) -> None:
-        # Chunks given as words: one call, each is split and merged on its own.
-        found = self.tokenizer.encode([x if x[:1] == "\n" else " " + x for x in new], is_pretokenized=True, add_special_tokens=False)
-        ids = np.asarray(found.ids, "<u4").tobytes()
-        ends = (np.append(np.flatnonzero(np.diff(np.asarray(found.word_ids))) + 1, len(found.ids)) * 4).tolist()
-        self.chunks.update(zip(new, [ids[a:b] for a, b in zip([0, *ends], ends)]))
+        # Chunks with a word stand behind one another as in a text, so one call encodes them all, and the bytes of
+        # its tokens tell where each ends; should one not end with a token, they are encoded one by one.
+        worded = [x for x in new if x and x != "\n"]
+        texts = [x if x[0] == "\n" else " " + x for x in worded]
+        ids = np.asarray(self._encoded("".join(texts)), "<u4")
+        ends = np.cumsum([len(x.encode()) for x in texts])
+        upto = np.cumsum(self.token_bytes[ids])
+        cuts = np.searchsorted(upto, ends)
+        if len(texts) and (cuts[-1] >= len(upto) or (upto[cuts] != ends).any()):
+            self._learn_alone(worded)
+        else:
+            held, at = ids.tobytes(), ((cuts + 1) * 4).tolist()
+            self.chunks.update(zip(worded, [held[i:j] for i, j in zip([0, *at], at)]))
+        self._learn_alone([x for x in new if not x or x == "\n"])
+
+    def _learn_alone(self, new: list[str]) -> None:
+        for x in new:
+            self.chunks[x] = np.asarray(self._encoded(x if x[:1] == "\n" else " " + x), "<u4").tobytes()
+
+    def _encoded(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     @staticmethod
     def _parts(text: str) -> list[str]:
