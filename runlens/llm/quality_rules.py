@@ -53,10 +53,23 @@ def _line_with_word(line: Column) -> Column:
     return line.rlike(r"[^\x20\x09-\x0D]")
 
 
-def _windows(ws: Column, n: Column, width: int = 3) -> Column:
-    """The ``width``-word windows of a text, space-joined (words hold no space)."""
-    return F.transform(F.sequence(F.lit(0), n - width),
-                       lambda i: F.concat_ws(" ", *[F.get(ws, i + j) for j in range(width)]))
+def _windows(ws: Column, n: Column, of, width: int = 3) -> Column:
+    """``of`` (start, words) each run of ``width`` words of a text."""
+    return F.transform(F.sequence(F.lit(0), n - width), lambda i: of(i, [F.get(ws, i + j) for j in range(width)]))
+
+
+# A window's start takes the low bits of a packed number, its hash the others.
+START_BITS = 24
+
+
+def _same(key, a: Column, b: Column) -> Column:
+    """Equal keys; a place beside the array has none."""
+    return (key(a) == key(b)).eqNullSafe(F.lit(True))
+
+
+def _twice(s: Column, key) -> Column:
+    """Of an array sorted by key, the elements that share it with a neighbour."""
+    return F.filter(s, lambda x, i: _same(key, x, F.get(s, i - 1)) | _same(key, x, F.get(s, i + 1)))
 
 
 def _chars_of(t: Column, kind: str) -> Column:
@@ -85,24 +98,36 @@ def apply_rules(df: DataFrame, text: str, rules=RULES) -> DataFrame:
     d = d.withColumn("n_words", F.size("__w").cast("long"))
     d = d.select(
         "*",
-        F.when(F.col("n_words") >= 3, _windows(F.col("__w"), F.col("n_words").cast("int")))
-        .otherwise(F.array().cast("array<string>")).alias("__grams"),
+        F.when(F.col("n_words") >= 3, _windows(F.col("__w"), F.col("n_words").cast("int"), lambda i, ws: F.xxhash64(*ws)))
+        .otherwise(F.array().cast("array<bigint>")).alias("__hashes"),
         F.char_length(F.array_join("__w", "")).cast("long").alias("word_chars"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         F.size("__lines").cast("long").alias("__n_lines"),
         F.size(F.filter("__w", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long").alias("__stops"),
     )
-    # Windows sorted with their starts (only where one occurs twice at all): equal windows are
-    # neighbours. The starts of those, in order, cover min(3, distance to the next) words each.
-    pairs = F.transform("__grams", lambda g, i: F.struct(g.alias("g"), i.alias("i")))
-    d = d.withColumn("__sorted", F.when(F.size(F.array_distinct("__grams")) < F.size("__grams"), F.array_sort(pairs))
-                     .otherwise(F.array().cast("array<struct<g:string,i:int>>")))
-    s = F.col("__sorted")
-    starts = F.sort_array(F.transform(
-        F.filter(s, lambda x, i: (x["g"] == F.get(s, i - 1)["g"]).eqNullSafe(F.lit(True))
-                 | (x["g"] == F.get(s, i + 1)["g"]).eqNullSafe(F.lit(True))),
-        lambda x: x["i"]))
-    d = d.withColumn("__starts", starts)
+    # Where a hash occurs twice at all, the windows are sorted as plain numbers, hash before start: equal windows
+    # are neighbours. Neighbours with equal hash bits but other words, or a text with too many words for the bits, send
+    # the text to a sort by the windows themselves, so the count is exact.
+    low = F.lit((1 << START_BITS) - 1)
+    none = F.array().cast("array<bigint>")
+    packed = F.sort_array(F.transform("__hashes", lambda h, i: h.bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("long"))))
+    d = d.withColumn("__packed", F.when(F.size(F.array_distinct("__hashes")) < F.size("__hashes"), packed).otherwise(none))
+    d = d.withColumn("__near", _twice(F.col("__packed"), lambda x: F.shiftright(x, START_BITS)))
+    near, ws = F.col("__near"), F.col("__w")
+
+    def other_words(x: Column, y: Column) -> Column:
+        p, q = (v.bitwiseAND(low).cast("int") for v in (x, y))
+        differ = F.get(ws, p) != F.get(ws, q)
+        for j in (1, 2):
+            differ = differ | (F.get(ws, p + j) != F.get(ws, q + j))
+        return _same(lambda v: F.shiftright(v, START_BITS), x, y) & differ
+
+    mixed = F.exists(F.transform(near, lambda x, i: F.coalesce(other_words(x, F.get(near, i - 1)), F.lit(False))), lambda b: b)
+    by_words = F.array_sort(_windows(ws, F.col("n_words").cast("int"), lambda i, w: F.struct(F.concat_ws(" ", *w).alias("g"), i.alias("i"))))
+    d = d.withColumn("__sorted", F.when((F.col("n_words") >= 3) & (mixed | (F.col("n_words") > low)), by_words))
+    d = d.withColumn("__starts", F.sort_array(F.coalesce(
+        F.transform(_twice(F.col("__sorted"), lambda x: x["g"]), lambda x: x["i"]),
+        F.transform(near, lambda x: x.bitwiseAND(low).cast("int")))))
     st = F.col("__starts")
     covered = F.aggregate(
         F.transform(st, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(st, i + 1) - x, F.lit(3)))),

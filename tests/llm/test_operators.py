@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -485,3 +486,21 @@ def test_style_tree_importance(spark):
 def test_registered_row_shape(spark, folder):
     first = rows(QUERIES["op1_sharding"](spark, folder))
     assert first == rows(QUERIES["op1_sharding"](spark, folder))
+
+
+@pytest.mark.parametrize("bits", [24, 62, 2])
+def test_repeated_windows_with_few_hash_or_start_bits(spark, monkeypatch, bits):
+    """Colliding hashes and texts with more words than start bits give the same count."""
+    monkeypatch.setattr(quality_rules, "START_BITS", bits)
+    r = random.Random(bits)
+    texts = [" ".join(r.choice("abcd") for _ in range(n)) for n in (0, 1, 2, 3, 4, 5, 8, 13, 40, 200)] + ["a b c " * 5, None]
+
+    def count(text):
+        w = (text or "").split()
+        grams = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+        hit = {i + j for i, g in enumerate(grams) if grams.count(g) > 1 for j in range(3)}
+        return len(hit)
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x["n_repeat_words"] for x in quality_rules.apply_rules(df, "text").collect()}
+    assert got == {i: count(t) for i, t in enumerate(texts)}
