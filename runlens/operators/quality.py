@@ -1,23 +1,23 @@
-"""Data-quality checks as aggregate jobs, and alerts from failed checks.
+"""Data-quality checks as aggregates, and alerts from failed checks.
 
-Every check returns one row ``(check_name, status, details)`` where status is
-``passed`` / ``failed`` / ``error``; ``details`` is a JSON text. Checks are data:
-``(name, description, severity, enabled, function)``.
+A check names its aggregates over the rows and states its status (``passed`` / ``failed`` / ``error`` / ``skipped``)
+and ``details`` (a JSON text) as expressions over them. All checks of a dataset that read plain rows
+share one aggregate, so one pass serves them; a check over groups of rows brings its own source. Checks are data:
+``(name, description, severity, measure, enabled)``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runlens.schemas import SEV_HIGH, SEV_LOW, SEV_MEDIUM, SEVERITIES
-from runlens.session import local_table
+from runlens.session import local_table, scratch_path
 
 # Check limits of the source model.
 NULL_PCT_LIMIT = 10.0        # fail when any column has more than 10 % nulls
@@ -27,23 +27,43 @@ OUTLIER_SIGMAS = 3.0         # outlier: beyond mean +- 3 sample standard deviati
 OUTLIER_PCT_LIMIT = 5.0      # pass only below 5 % outliers
 REQUIRED_COLUMNS = ["run_id", "experiment_name", "metric_name", "metric_value", "start_time"]
 
-RESULT = "check_name string, status string, details string"
 
+@dataclass
+class Measured:
+    """Aggregates of a check (by name, unique among the checks of a dataset) and its verdict over them.
 
-def _result(df: DataFrame, name: str, passed: Column, details: Column) -> DataFrame:
-    return df.select(
-        F.lit(name).alias("check_name"),
-        F.when(passed, F.lit("passed")).otherwise(F.lit("failed")).alias("status"),
-        F.to_json(details, {"ignoreNullFields": "false"}).alias("details"),
-    )
+    ``source`` replaces the dataset's rows where the check needs groups of them; ``rows`` counts the dataset's
+    rows over it. Verdicts may use that count as ``_n``.
+    """
+    status: Column
+    details: Column
+    aggs: dict[str, Column] = field(default_factory=dict)
+    source: DataFrame | None = None
+    rows: Column = field(default_factory=lambda: F.count(F.lit(1)))
 
 
-def _const(spark, name: str, passed: bool, message: str) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(name).alias("check_name"),
-        F.lit("passed" if passed else "failed").alias("status"),
-        F.to_json(F.struct(F.lit(message).alias("message"))).alias("details"),
-    )
+def _json(*fields: Column) -> Column:
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def _grade(passed: Column) -> Column:
+    return F.when(passed, F.lit("passed")).otherwise(F.lit("failed"))
+
+
+def _nothing_to_check(message: str) -> Measured:
+    return Measured(F.lit("passed"), _json(F.lit(message).alias("message")))
+
+
+def _aggregate(df: DataFrame, measured: list[Measured]) -> DataFrame:
+    """One row: ``_n`` and the aggregates of checks that share a source."""
+    first = measured[0]
+    source = df if first.source is None else first.source
+    return source.agg(first.rows.cast("bigint").alias("_n"), *[c.alias(n) for m in measured for n, c in m.aggs.items()])
+
+
+def _alone(df: DataFrame, name: str, m: Measured) -> DataFrame:
+    """(check_name, status, details) of one check."""
+    return _aggregate(df, [m]).select(F.lit(name).alias("check_name"), m.status.alias("status"), m.details.alias("details"))
 
 
 def _is_missing(df: DataFrame, c: str) -> Column:
@@ -65,91 +85,97 @@ def null_percentages(df: DataFrame) -> DataFrame:
     )
 
 
+def measure_nulls(df: DataFrame) -> Measured:
+    names = {c: f"_nulls{i}" for i, c in enumerate(sorted(df.columns))}
+    shares = F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                F.try_divide(F.lit(100.0) * F.col(a), F.col("_n")).alias("null_pct"))
+                       for c, a in names.items()])
+    over = F.filter(shares, lambda c: c["null_pct"] > NULL_PCT_LIMIT)
+    details = _json(F.map_from_entries(shares).alias("null_percentages"),
+                    F.transform(over, lambda c: c["column_name"]).alias("excessive_null_columns"))
+    return Measured(_grade(F.size(over) == 0), details, {a: F.count_if(_is_missing(df, c)) for c, a in names.items()})
+
+
 def check_nulls(df: DataFrame) -> DataFrame:
-    pct = null_percentages(df)
-    over = F.filter(F.col("_cols"), lambda c: c["null_pct"] > NULL_PCT_LIMIT)
-    agg = pct.agg(F.array_sort(F.collect_list(F.struct("column_name", "null_pct"))).alias("_cols"))
-    return _result(
-        agg, "null_values", F.size(over) == 0,
-        F.struct(
-            F.map_from_entries(F.col("_cols")).alias("null_percentages"),
-            F.transform(over, lambda c: c["column_name"]).alias("excessive_null_columns"),
-        ),
-    )
+    return _alone(df, "null_values", measure_nulls(df))
 
 
-def check_duplicates(df: DataFrame) -> DataFrame:
+def measure_duplicates(df: DataFrame) -> Measured:
     """Rows beyond the first per (run_id, metric_name); NULL keys equal each other."""
     if not {"run_id", "metric_name"} <= set(df.columns):
-        return _const(df.sparkSession, "duplicate_records", True, "No unique identifier columns found")
-    agg = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_distinct(F.struct("run_id", "metric_name")).alias("_d"),
-    )
-    dup = F.col("_n") - F.col("_d")
+        return _nothing_to_check("No unique identifier columns found")
+    dup = F.col("_n") - F.col("_keys")
     rate = F.try_divide(F.lit(100.0) * dup, F.col("_n"))
-    return _result(agg, "duplicate_records", F.coalesce(rate < DUPLICATE_PCT_LIMIT, F.lit(False)),
-                   F.struct(dup.alias("duplicate_count"), rate.alias("duplicate_rate")))
+    return Measured(_grade(F.coalesce(rate < DUPLICATE_PCT_LIMIT, F.lit(False))),
+                    _json(dup.alias("duplicate_count"), rate.alias("duplicate_rate")),
+                    {"_keys": F.count(F.lit(1))},
+                    source=df.groupBy("run_id", "metric_name").agg(F.count(F.lit(1)).alias("_rows")),
+                    rows=F.coalesce(F.sum("_rows"), F.lit(0)))
 
 
-def check_freshness(df: DataFrame, as_of: dt.datetime) -> DataFrame:
+def check_duplicates(df: DataFrame) -> DataFrame:
+    return _alone(df, "duplicate_records", measure_duplicates(df))
+
+
+def measure_freshness(df: DataFrame, as_of: dt.datetime) -> Measured:
     if "start_time" not in df.columns:
-        return _const(df.sparkSession, "data_freshness", True, "No timestamp column found")
-    agg = df.agg(F.max("start_time").alias("_latest"))
+        return _nothing_to_check("No timestamp column found")
     age = (F.unix_micros(F.lit(as_of)) - F.unix_micros("_latest")) / F.lit(3.6e9)
-    return _result(agg, "data_freshness", F.coalesce(age < FRESHNESS_HOURS, F.lit(False)),
-                   F.struct(F.date_format("_latest", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("latest_timestamp"),
-                            age.alias("age_hours")))
+    return Measured(_grade(F.coalesce(age < FRESHNESS_HOURS, F.lit(False))),
+                    _json(F.date_format("_latest", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("latest_timestamp"),
+                          age.alias("age_hours")),
+                    {"_latest": F.max("start_time")})
 
 
-def check_ranges(df: DataFrame) -> DataFrame:
+def check_freshness(df: DataFrame, as_of: dt.datetime) -> DataFrame:
+    return _alone(df, "data_freshness", measure_freshness(df, as_of))
+
+
+def measure_ranges(df: DataFrame) -> Measured:
     """Share of values outside mean +- 3 sample std, in two passes: one aggregate for the
     statistics (a single row, read as two numbers), then the outlier count against
     literal bounds. No cross join, and no repeated scalar subquery (which would be
     planned once per reference). No values at all is an error, as the source's
     division by zero would be."""
     if "metric_value" not in df.columns:
-        return _const(df.sparkSession, "metric_ranges", True, "No metric_value column found")
+        return _nothing_to_check("No metric_value column found")
     v = F.nanvl(F.col("metric_value"), F.lit(None).cast("double"))
-    vals = df.select(v.alias("v")).where(F.col("v").isNotNull())
-    st = vals.agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s")).first()
-    if st["m"] is None:
-        outside = F.lit(False)
-    elif st["s"] is None:
-        outside = F.lit(False)          # one value: no spread, no outlier
+    st = df.agg(F.avg(v).alias("m"), F.stddev_samp(v).alias("s")).first()
+    if st["s"] is None:
+        outside = F.lit(False)          # at most one value: no spread, no outlier
     else:
         lo, hi = st["m"] - OUTLIER_SIGMAS * st["s"], st["m"] + OUTLIER_SIGMAS * st["s"]
-        outside = (F.col("v") < F.lit(lo)) | (F.col("v") > F.lit(hi))
-    agg = vals.agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(outside).alias("_out"),
-        F.avg("v").alias("_mean"), F.stddev_samp("v").alias("_std"),
-        F.min("v").alias("_min"), F.max("v").alias("_max"),
-    )
-    empty = F.col("_n") == 0
-    rate = F.try_divide(F.lit(100.0) * F.col("_out"), F.col("_n"))
-    details = F.struct(
-        F.col("_out").alias("outlier_count"), rate.alias("outlier_rate"),
-        F.struct(F.col("_mean").alias("mean"), F.col("_std").alias("std"),
-                 F.col("_min").alias("min"), F.col("_max").alias("max")).alias("value_stats"),
-    )
-    return agg.select(
-        F.lit("metric_ranges").alias("check_name"),
-        F.when(empty, F.lit("error")).when(rate < OUTLIER_PCT_LIMIT, F.lit("passed"))
-        .otherwise(F.lit("failed")).alias("status"),
-        F.when(empty, F.to_json(F.struct(F.lit("division by zero: no metric values").alias("error"))))
-        .otherwise(F.to_json(details, {"ignoreNullFields": "false"})).alias("details"),
-    )
+        outside = (v < F.lit(lo)) | (v > F.lit(hi))
+    rate = F.try_divide(F.lit(100.0) * F.col("_out"), F.col("_values"))
+    details = _json(F.col("_out").alias("outlier_count"), rate.alias("outlier_rate"),
+                    F.struct(F.col("_mean").alias("mean"), F.col("_std").alias("std"),
+                             F.col("_min").alias("min"), F.col("_max").alias("max")).alias("value_stats"))
+    none = F.col("_values") == 0
+    return Measured(
+        F.when(none, F.lit("error")).otherwise(_grade(rate < OUTLIER_PCT_LIMIT)),
+        F.when(none, _json(F.lit("division by zero: no metric values").alias("error"))).otherwise(details),
+        {"_values": F.count(v), "_out": F.count_if(outside), "_mean": F.avg(v), "_std": F.stddev_samp(v),
+         "_min": F.min(v), "_max": F.max(v)})
 
 
-def check_schema(df: DataFrame) -> DataFrame:
+def check_ranges(df: DataFrame) -> DataFrame:
+    return _alone(df, "metric_ranges", measure_ranges(df))
+
+
+def measure_schema(df: DataFrame) -> Measured:
     missing = [c for c in REQUIRED_COLUMNS if c not in df.columns]
-    details = F.struct(
+    return Measured(_grade(F.lit(not missing)), _json(
         F.array(*[F.lit(c) for c in REQUIRED_COLUMNS]).alias("required_columns"),
         F.array(*[F.lit(c) for c in missing]).cast("array<string>").alias("missing_columns"),
-        F.array(*[F.lit(c) for c in df.columns]).alias("actual_columns"),
-    )
-    return _result(df.sparkSession.range(1), "schema_validation", F.lit(not missing), details)
+        F.array(*[F.lit(c) for c in df.columns]).alias("actual_columns")))
+
+
+def check_schema(df: DataFrame) -> DataFrame:
+    return _alone(df, "schema_validation", measure_schema(df))
+
+
+def measure_empty(df: DataFrame) -> Measured:
+    return Measured(_grade(F.col("_n") > 0), _json(F.col("_n").alias("rows")))
 
 
 def schema_columns(df: DataFrame) -> DataFrame:
@@ -171,57 +197,25 @@ class QualityCheck:
     name: str
     description: str
     severity: str
-    run: Callable[[DataFrame, dt.datetime], DataFrame]
+    measure: Callable[[DataFrame, dt.datetime], Measured]
     enabled: bool = True
+    needs_rows: bool = True      # skipped on an empty dataset
 
 
-# The check catalogue (name, description, severity).
+# The check catalogue (name, description, severity). The empty-dataset check is an addition: an
+# empty dataset gives this one alert, and the checks that need rows are skipped.
 DEFAULT_CHECKS = [
-    QualityCheck("null_values", "Check for excessive null values", SEV_MEDIUM, lambda d, _: check_nulls(d)),
-    QualityCheck("duplicate_records", "Check for duplicate records", SEV_LOW, lambda d, _: check_duplicates(d)),
-    QualityCheck("data_freshness", "Check data freshness", SEV_HIGH, lambda d, a: check_freshness(d, a)),
+    QualityCheck("null_values", "Check for excessive null values", SEV_MEDIUM, lambda d, _: measure_nulls(d)),
+    QualityCheck("duplicate_records", "Check for duplicate records", SEV_LOW, lambda d, _: measure_duplicates(d)),
+    QualityCheck("data_freshness", "Check data freshness", SEV_HIGH, measure_freshness),
     QualityCheck("metric_ranges", "Check metric values are in expected ranges", SEV_MEDIUM,
-                 lambda d, _: check_ranges(d)),
-    QualityCheck("schema_validation", "Validate expected columns exist", SEV_HIGH, lambda d, _: check_schema(d)),
+                 lambda d, _: measure_ranges(d)),
+    QualityCheck("schema_validation", "Validate expected columns exist", SEV_HIGH, lambda d, _: measure_schema(d),
+                 needs_rows=False),
+    QualityCheck("empty_dataset", "Check the dataset has rows", SEV_HIGH, lambda d, _: measure_empty(d),
+                 needs_rows=False),
 ]
 
-
-def run_checks(df: DataFrame, dataset: str, as_of: dt.datetime,
-               checks: list[QualityCheck] | None = None, eager: bool = False) -> DataFrame:
-    """All enabled checks on one dataset -> (dataset, check_name, description, severity,
-    status, details, record_count). A check that fails to plan or run is an error row.
-
-    The row count and the range check's statistics are read eagerly (one-row aggregates);
-    ``eager`` also runs the checks now against a cached copy of ``df`` (each check is an
-    aggregate over the same rows) and returns the small result as a literal table.
-    """
-    checks = DEFAULT_CHECKS if checks is None else checks
-    spark = df.sparkSession
-    if eager:
-        return _run_checks_eager(df, dataset, as_of, checks)
-    parts = []
-    for chk in checks:
-        if not chk.enabled:
-            continue
-        try:
-            res = chk.run(df, as_of)
-        except Exception as exc:  # noqa: BLE001 - a failing check becomes a HIGH alert row
-            res = spark.range(1).select(
-                F.lit(chk.name).alias("check_name"), F.lit("error").alias("status"),
-                F.to_json(F.struct(F.lit(str(exc)).alias("error"))).alias("details"),
-            )
-        parts.append(res.select(
-            F.lit(dataset).alias("dataset"), "check_name", F.lit(chk.description).alias("description"),
-            F.lit(chk.severity).alias("severity"), "status", "details",
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    # One count, read as a literal: a scalar subquery above the union would be pushed
-    # into every branch and counted once per check.
-    return out.withColumn("record_count", F.lit(df.count()).cast("bigint"))
-
-
 RESULT_SCHEMA = T.StructType([
     T.StructField("dataset", T.StringType()), T.StructField("check_name", T.StringType()),
     T.StructField("description", T.StringType()), T.StructField("severity", T.StringType()),
@@ -230,39 +224,64 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
-def _run_checks_eager(df: DataFrame, dataset: str, as_of: dt.datetime, checks) -> DataFrame:
-    """All checks over one cached copy, collected in one action (the union of the
-    one-row check results); only if that fails, check by check so one failure
-    becomes one error row."""
-    from pyspark import StorageLevel
+def _failed_measure(exc: Exception) -> Measured:
+    return Measured(F.lit("error"), _json(F.lit(str(exc)).alias("error")))
+
 
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    cols = [f.name for f in RESULT_SCHEMA.fields]
+def _result(dataset: str, check: QualityCheck, m: Measured) -> Column:
+    skip = (F.col("_n") == 0) & F.lit(check.needs_rows)
+    values = (F.lit(dataset), F.lit(check.name), F.lit(check.description), F.lit(check.severity),
+              F.when(skip, F.lit("skipped")).otherwise(m.status),
+              F.when(skip, _json(F.lit("dataset has no rows").alias("message"))).otherwise(m.details), F.col("_n"))
+    return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, RESULT_SCHEMA.fields)])
+
+
+def run_checks(df: DataFrame, dataset: str, as_of: dt.datetime,
+               checks: list[QualityCheck] | None = None) -> DataFrame:
+    """All enabled checks on one dataset -> (dataset, check_name, description, severity,
+    status, details, record_count), as a lazy plan: one aggregate over the rows and one per check with a
+    source of its own. A check that fails to plan is an error row (see ``store_checks`` for failures at run time).
+    """
+    shared, own = [], []
+    for check in DEFAULT_CHECKS if checks is None else checks:
+        if check.enabled:
+            try:
+                m = check.measure(df, as_of)
+            except Exception as exc:  # noqa: BLE001 - a failing check becomes a HIGH alert row
+                m = _failed_measure(exc)
+            (shared if m.source is None else own).append((check, m))
+    groups = ([shared] if shared else []) + [[one] for one in own]
+    out = None
+    for group in groups:
+        graded = _aggregate(df, [m for _, m in group]).select(F.inline(F.array(*[_result(dataset, c, m) for c, m in group])))
+        out = graded if out is None else out.unionByName(graded)
+    return df.sparkSession.createDataFrame([], RESULT_SCHEMA) if out is None else out
+
+
+def store_checks(df: DataFrame, dataset: str, as_of: dt.datetime, checks: list[QualityCheck] | None = None) -> DataFrame:
+    """``run_checks``, written as a table in the shared folder and read back. Should that job fail, the checks
+    are written one by one, so that one that fails at run time is one error row with the whole error text."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "quality-checks")
     try:
-        n = cached.count()
-        try:
-            rows = [tuple(r[c] for c in cols) for r in run_checks(cached, dataset, as_of, checks).collect()]
-        except Exception:  # noqa: BLE001
-            rows = []
-            for chk in checks:
-                if not chk.enabled:
-                    continue
-                try:
-                    r = chk.run(cached, as_of).first()
-                    rows.append((dataset, chk.name, chk.description, chk.severity, r["status"], r["details"], n))
-                except Exception as exc:  # noqa: BLE001 - a failing check becomes a HIGH alert row
-                    rows.append((dataset, chk.name, chk.description, chk.severity, "error",
-                                 json.dumps({"error": str(exc)}), n))
-    finally:
-        cached.unpersist()
-    return local_table(df.sparkSession, rows, RESULT_SCHEMA)
+        run_checks(df, dataset, as_of, checks).write.parquet(path)
+    except Exception:  # noqa: BLE001
+        path = scratch_path(spark, "quality-checks-single")
+        for check in DEFAULT_CHECKS if checks is None else checks:
+            try:
+                run_checks(df, dataset, as_of, [check]).write.mode("append").parquet(path)
+            except Exception as exc:  # noqa: BLE001 - a failing check becomes a HIGH alert row
+                unknown = spark.range(1).select(F.lit(None).cast("bigint").alias("_n"))
+                unknown.select(F.inline(F.array(_result(dataset, check, _failed_measure(exc))))) \
+                    .write.mode("append").parquet(path)
+    return spark.read.schema(RESULT_SCHEMA).parquet(path)
 
 
 def alerts_from_checks(results: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
-    """Failed checks -> alerts at the check's severity; errored checks -> HIGH alerts."""
+    """Failed checks -> alerts at the check's severity; errored checks -> HIGH alerts; skipped checks -> none."""
     stamp = F.lit(as_of) if as_of is not None else F.current_timestamp()
     failed = F.col("status") == "failed"
-    return results.where(F.col("status") != "passed").select(
+    return results.where(F.col("status").isin("failed", "error")).select(
         F.when(failed, F.concat(F.lit("Data Quality Issue: "), "check_name"))
         .otherwise(F.concat(F.lit("Data Quality Check Error: "), "check_name")).alias("title"),
         F.when(failed, F.concat("description", F.lit(" failed for "), "dataset"))
@@ -273,15 +292,16 @@ def alerts_from_checks(results: DataFrame, as_of: dt.datetime | None = None) ->
     )
 
 
-def quality_report(spark, datasets: dict[str, DataFrame], as_of: dt.datetime,
-                   eager: bool = True) -> tuple[DataFrame, DataFrame]:
+def quality_report(spark: SparkSession, datasets: dict[str, DataFrame], as_of: dt.datetime,
+                   stored: bool = True) -> tuple[DataFrame, DataFrame]:
     """Validate several datasets: (alerts, counts by severity incl. zero rows).
 
-    Eager by default: each dataset is cached once while its checks run, and only the
-    per-check result rows (one per check) come back to the driver."""
+    Both results read the stored check results, so the checks run once; with ``stored=False`` they stay
+    lazy plans over the data."""
+    checked = store_checks if stored else run_checks
     alerts = None
     for name, df in datasets.items():
-        a = alerts_from_checks(run_checks(df, name, as_of, eager=eager), as_of)
+        a = alerts_from_checks(checked(df, name, as_of), as_of)
         alerts = a if alerts is None else alerts.unionByName(a)
     sev = local_table(spark, [(s,) for s in SEVERITIES], T.StructType([T.StructField("severity", T.StringType())]))
     counts = sev.join(alerts.groupBy("severity").agg(F.count(F.lit(1)).alias("alerts")), "severity", "left").select(
@@ -290,6 +310,6 @@ def quality_report(spark, datasets: dict[str, DataFrame], as_of: dt.datetime,
     return alerts, counts
 
 
-__all__ = ["DEFAULT_CHECKS", "QualityCheck", "alerts_from_checks", "check_duplicates",
+__all__ = ["DEFAULT_CHECKS", "Measured", "QualityCheck", "alerts_from_checks", "check_duplicates",
            "check_freshness", "check_nulls", "check_ranges", "check_schema", "null_percentages",
-           "quality_report", "run_checks", "schema_columns"]
+           "quality_report", "run_checks", "schema_columns", "store_checks"]

@@ -129,6 +129,10 @@ def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows
 BUCKETS_PER_WINDOW = [1, 2, 3, 4, 6, 8, 12, 24, 48, 96, 288, 1440, 8640, 86400, *(86400 * 10**i for i in range(1, 7))]
 
 
+# Time cells per window in which the densest stretch of a metric is sought.
+CELLS_PER_WINDOW = 1440
+
+
 def _buckets_per_window(window_seconds: int) -> list[int]:
     return [m for m in BUCKETS_PER_WINDOW if window_seconds * 10**6 % m == 0]
 
@@ -140,8 +144,8 @@ def moving_average_time(df: DataFrame, window_hours: int = 24, value: str = "met
     order, as a row-by-row rolling window would.
 
     Each metric gets m buckets per window (a divisor of the window, so buckets align
-    with frames), m chosen from its average density so a bucket holds about
-    ``rows_per_bucket`` rows. For a row at t in bucket k the frame is
+    with frames), m chosen from its densest 1/1440 of a window (a minute of 24 h), so a bucket
+    holds about ``rows_per_bucket`` rows in bursts too. For a row at t in bucket k the frame is
       rows of bucket k up to t            (running sum in the (metric, k) partition)
     + whole buckets k-m+1 .. k-1           (range window over the bucket aggregate)
     + rows of bucket k-m after t - window  (copies of bucket k-m sent to partition k,
@@ -154,10 +158,11 @@ def moving_average_time(df: DataFrame, window_hours: int = 24, value: str = "met
 
     base = df.where(F.col("metric_name").isNotNull()).withColumn("_t", F.unix_micros("start_time")).withColumn("_v", _finite(value))
 
-    stats = base.groupBy("metric_name").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t0"), F.max("_t").alias("_t1"))
-    per_window = F.col("_n") * F.lit(float(w_us)) / (F.col("_t1") - F.col("_t0") + F.lit(1)).cast("double")
-    needed = F.ceil(per_window / F.lit(float(rows_per_bucket)))
+    # Rows per cell of time (a partial aggregate), then the fullest cell of each metric.
+    cell = w_us // CELLS_PER_WINDOW
+    cells = base.groupBy("metric_name", F.floor(F.col("_t") / F.lit(cell)).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
+    stats = cells.groupBy("metric_name").agg(F.max("_n").alias("_peak"))
+    needed = F.ceil(F.col("_peak") * F.lit(CELLS_PER_WINDOW / rows_per_bucket))
     m_col = F.lit(choices[-1])
     for m in reversed(choices[:-1]):
         m_col = F.when(needed <= m, F.lit(m)).otherwise(m_col)

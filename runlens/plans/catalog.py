@@ -301,7 +301,7 @@ def _dq_datasets(spark, sf_dir):
 def q_dq_alerts(spark, sf_dir):
     from runlens.operators.quality import quality_report
 
-    alerts, _ = quality_report(spark, _dq_datasets(spark, sf_dir), AS_OF)
+    alerts, _ = quality_report(spark, _dq_datasets(spark, sf_dir), AS_OF, stored=False)
     return alerts.select("dataset", "check_name", "severity", "title", "message", "record_count")
 
 
@@ -309,7 +309,7 @@ def q_dq_alerts(spark, sf_dir):
 def q_dq_report(spark, sf_dir):
     from runlens.operators.quality import quality_report
 
-    _, counts = quality_report(spark, _dq_datasets(spark, sf_dir), AS_OF)
+    _, counts = quality_report(spark, _dq_datasets(spark, sf_dir), AS_OF, stored=False)
     return counts
 
 
@@ -374,9 +374,15 @@ def q_sample_critical_metrics(spark, sf_dir):
 def q_output_profile(spark, sf_dir):
     from runlens.operators.profiles import output_profile
 
-    t = build(spark, sf_dir)
-    p = output_profile(sm.platform_summary(t.classified, AS_OF), sm.application_summary(t.classified, AS_OF),
-                       sm.metric_timeseries(t.enriched, AS_OF))
+    from runlens.session import scratch_path
+
+    # The dashboard tables are written as a job writes them; the profile reads the stored copies.
+    t, base = build(spark, sf_dir), scratch_path(spark, "output-profile")
+    tables = {"platform": sm.platform_summary(t.classified, AS_OF), "application": sm.application_summary(t.classified, AS_OF),
+              "timeseries": sm.metric_timeseries(t.enriched, AS_OF)}
+    for name, df in tables.items():
+        df.write.parquet(f"{base}/{name}")
+    p = output_profile(*[spark.read.schema(df.schema).parquet(f"{base}/{name}") for name, df in tables.items()])
     return p.select("table_name", "stat", round6(F.col("num_value")).alias("num_value"), "text_value")
 
 

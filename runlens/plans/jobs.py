@@ -21,7 +21,7 @@ from runlens.operators.flatten import flatten_runs
 from runlens.operators.profiles import status_distribution
 from runlens.operators.series import series_windows
 from runlens.sinks import metric_log
-from runlens.sinks.snapshots import load_snapshot, run_key, snapshot_log, write_snapshot
+from runlens.sinks.snapshots import compact_log, load_snapshot, run_key, snapshot_log, write_snapshot
 from runlens.sources.runs import scan_runs
 
 # Schedule presets (kind, lookback).
@@ -36,6 +36,7 @@ def run_job(spark: SparkSession, runs: DataFrame, experiments: DataFrame, metada
     """Run one job; ``metrics`` of the result is the stored metrics table of this folder."""
     key = run_key(kind, as_of)
     written, steps, began = {}, {}, dt.datetime.now()
+    compact_log(spark, out_base)
     with _timed(steps, "ingest"):
         scanned = scan_runs(runs, experiments, as_of, lookback, experiment_filter)
         rows = flatten_runs(scanned, experiments, as_of)

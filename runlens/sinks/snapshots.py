@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 from runlens.sinks.layout import first_time_column, typed
 
+LOG_FILES = 64      # a log of more files is compacted by the next job
+
 LOG_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("snapshot_date", T.StringType()),
@@ -107,7 +109,26 @@ def _log_row(spark: SparkSession, record: dict) -> DataFrame:
 
 
 def snapshot_log(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(f"{base.rstrip('/')}/_snapshot_log")
+    return spark.read.schema(LOG_SCHEMA).parquet(f"{base.rstrip('/')}/_snapshot_log").distinct()
+
+
+def compact_log(spark: SparkSession, base: str, max_files: int = LOG_FILES) -> bool:
+    """Rewrite a log of more than ``max_files`` files as one file (a log row per write: small).
+
+    The new file is added before the old ones go, and readers ignore equal rows, so a job that dies in between
+    loses nothing; rows that others append meanwhile are in files this call has not listed and stay.
+    """
+    path = f"{base.rstrip('/')}/_snapshot_log"
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return False
+    files = spark.read.schema(LOG_SCHEMA).parquet(path).inputFiles()
+    if len(files) <= max_files:
+        return False
+    spark.read.schema(LOG_SCHEMA).parquet(*files).distinct().coalesce(1).write.mode("append").parquet(path)
+    for old in files:
+        delete_path(spark, old)
+    return True
 
 
 def load_latest(spark: SparkSession, base: str, table: str) -> DataFrame:

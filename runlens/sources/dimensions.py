@@ -19,10 +19,12 @@ def _envelope(key: str) -> T.StructType:
 
 
 def _explode_items(payloads: DataFrame, key: str, col: str = "payload") -> DataFrame:
-    """One row per raw item text. ``load_ordinal`` = (payload row id, position in its
-    list): the response order of the payload rows as read, used for last-wins."""
+    """One row per raw item text. ``load_ordinal`` = (response, position in its list) is used for
+    last-wins. The response order is the payloads' own ``response_ordinal`` column; payloads without one are
+    ordered by their text, so the winner never depends on how they are partitioned."""
     parsed = F.from_json(F.col(col), _envelope(key))[key]
-    base = payloads.withColumn("_resp", F.monotonically_increasing_id())
+    given = F.col("response_ordinal").cast("bigint") if "response_ordinal" in payloads.columns else F.lit(None).cast("bigint")
+    base = payloads.withColumn("_resp", F.struct(given.alias("ordinal"), F.col(col).alias("text")))
     return base.select("_resp", F.posexplode(parsed).alias("_pos", "item")).select(
         F.struct("_resp", "_pos").alias("load_ordinal"), "item"
     )

@@ -53,3 +53,14 @@ def test_latest_threshold_per_key(spark):
             '"updated_at":"2024-01-02T00:00:00","updated_by":"y"}]}')
     rows = latest_thresholds(parse_thresholds(_payloads(spark, [text]))).collect()
     assert [(r["critical_threshold"], r["updated_by"]) for r in rows] == [(5.0, "y")]
+
+
+def test_last_response_wins_however_payloads_are_partitioned(spark):
+    def text(unit):
+        return ('{"metrics":[{"metric_name":"m","display_name":"M","description":"d","category":"c","unit":"%s"}]}' % unit)
+
+    given = spark.createDataFrame([(3, text("a")), (1, text("b")), (2, text("c"))], "response_ordinal int, payload string")
+    for parts in (1, 2, 5):
+        assert [r["unit"] for r in dedupe_metadata(parse_metadata(given.repartition(parts))).collect()] == ["a"]
+        plain = given.drop("response_ordinal").repartition(parts)
+        assert [r["unit"] for r in dedupe_metadata(parse_metadata(plain)).collect()] == ["c"]

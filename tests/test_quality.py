@@ -5,8 +5,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from runlens.operators.quality import (check_duplicates, check_freshness, check_nulls, check_ranges,
-                                       quality_report, run_checks)
+from runlens.operators.quality import (DEFAULT_CHECKS, Measured, QualityCheck, alerts_from_checks, check_duplicates, check_freshness, check_nulls, check_ranges,
+                                       quality_report, run_checks, store_checks)
 from tests.helpers import T0, metric_rows
 
 
@@ -61,3 +61,36 @@ def test_missing_schema_columns(spark):
     df = _rows(spark, 2).drop("experiment_name")
     res = {r["check_name"]: r["status"] for r in run_checks(df, "x", T0).collect()}
     assert res["schema_validation"] == "failed"
+
+
+def test_stored_and_lazy_results_agree(spark):
+    df = _rows(spark, 30, value=lambda i: float(i % 7), run=lambda i: f"r{i // 2}")
+    lazy, stored = run_checks(df, "x", T0), store_checks(df, "x", T0)
+    assert sorted(lazy.collect()) == sorted(stored.collect())
+    assert {r["record_count"] for r in lazy.collect()} == {30}
+    alone = {r["check_name"]: (r["status"], r["details"]) for c in (check_duplicates, check_nulls, check_ranges) for r in c(df).collect()}
+    together = {r["check_name"]: (r["status"], r["details"]) for r in lazy.collect()}
+    assert alone == {k: together[k] for k in alone}
+
+
+def test_empty_dataset_gives_one_alert(spark):
+    alerts, counts = quality_report(spark, {"a": _rows(spark, 3).limit(0)}, T0)
+    assert [(r["title"], r["severity"], r["record_count"]) for r in alerts.collect()] == \
+        [("Data Quality Issue: empty_dataset", "high", 0)]
+    assert {r["severity"]: r["alerts"] for r in counts.collect()} == {"low": 0, "medium": 0, "high": 1, "critical": 0}
+
+
+def test_failing_checks_become_high_alerts(spark):
+    def at_run_time(df, _):
+        boom = F.max(F.raise_error(F.lit("x" * 900)).cast("string"))
+        return Measured(F.col("_boom"), F.lit("{}"), {"_boom": boom})
+
+    def at_planning(df, _):
+        raise ValueError("no plan")
+
+    checks = [*DEFAULT_CHECKS, QualityCheck("late", "d", "low", at_run_time), QualityCheck("early", "d", "low", at_planning)]
+    got = store_checks(_rows(spark, 3), "x", T0, checks)
+    errors = {r["check_name"]: r["details"] for r in got.where("status = 'error'").collect()}
+    assert set(errors) == {"late", "early"} and "x" * 900 in errors["late"] and "no plan" in errors["early"]
+    assert got.count() == len(checks)
+    assert {r["severity"] for r in alerts_from_checks(got, T0).where("check_name in ('late', 'early')").collect()} == {"high"}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from runlens.session import scratch_path
 from runlens.sinks.layout import infer_types
-from runlens.sinks.snapshots import load_latest, snapshot_log, write_snapshot
+from runlens.sinks.snapshots import compact_log, load_latest, snapshot_log, write_snapshot
 from tests.helpers import T0, metric_rows
 
 
@@ -55,3 +55,16 @@ def test_plain_sinks_and_parameterised_sql(spark):
     assert execute(spark, "SELECT count(*) AS n FROM t_rows WHERE metric_value >= :lo", {"lo": 2.0}).first()["n"] == 2
     create_table(df.select("run_id", "metric_value"), "t_rows_tbl")
     assert spark.table("t_rows_tbl").count() == 4
+
+
+def test_log_compaction_keeps_every_row(spark):
+    base = scratch_path(spark, "t-snap")
+    for i in range(4):
+        write_snapshot(_df(spark, i + 1), base, "t", f"k{i}", T0)
+    before = sorted(snapshot_log(spark, base).select("snapshot_id", "rows").collect())
+    assert not compact_log(spark, base, max_files=10)
+    assert compact_log(spark, base, max_files=2)
+    assert sorted(snapshot_log(spark, base).select("snapshot_id", "rows").collect()) == before
+    assert len(snapshot_log(spark, base).inputFiles()) == 1
+    write_snapshot(_df(spark, 9), base, "t", "k9", T0)
+    assert load_latest(spark, base, "t").count() == 9 and snapshot_log(spark, base).count() == 5
