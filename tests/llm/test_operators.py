@@ -459,6 +459,8 @@ def test_main_text_of_a_page():
     for odd in (None, "", "plain", "<", "<p", "</p></div>", "<div " * 50, "<div>" * 3000 + "x", "&#xD800;&bogus;", "<!-- open"):
         assert isinstance(html_extract.main_text(odd), str)
     assert html_extract.main_text("<div><p>a</div>b") == "a\nb"
+    assert html_extract.main_text("<div><b><p>one</b> two</p><p>three</p></div>") == "one two\nthree"
+    assert html_extract.main_text("<p>x</p><noscript><p>no</noscript> y<span class='ad'><p>no</span> z") == "x\ny\nz"
 
 
 def test_style_tree_removes_what_repeats(spark):
