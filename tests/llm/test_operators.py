@@ -461,6 +461,8 @@ def test_main_text_of_a_page():
     assert html_extract.main_text("<div><p>a</div>b") == "a\nb"
     assert html_extract.main_text("<div><b><p>one</b> two</p><p>three</p></div>") == "one two\nthree"
     assert html_extract.main_text("<p>x</p><noscript><p>no</noscript> y<span class='ad'><p>no</span> z") == "x\ny\nz"
+    assert html_extract.main_text("<p>a <script>var b;</script><button>no</button>c<span class='ad'>no</span></p>"
+                                  "<script>d</script><style>e</style>") == "a c"
 
 
 def test_style_tree_removes_what_repeats(spark):
