@@ -463,6 +463,8 @@ def test_main_text_of_a_page():
     assert html_extract.main_text("<p>x</p><noscript><p>no</noscript> y<span class='ad'><p>no</span> z") == "x\ny\nz"
     assert html_extract.main_text("<p>a <script>var b;</script><button>no</button>c<span class='ad'>no</span></p>"
                                   "<script>d</script><style>e</style>") == "a c"
+    assert html_extract.main_text("<article class='has-comments'><div class='with-sidebar'>a</div><div id='reader_comments'>no</div>"
+                                  "<div class='x ad-slot'>no</div><div class='article-header'>b</div></article>") == "a\nb"
 
 
 def test_style_tree_removes_what_repeats(spark):
