@@ -489,6 +489,24 @@ def test_style_tree_importance(spark):
     assert html_extract.entropy([m], m) == 0 and html_extract.entropy([1] * m, m) == pytest.approx(1)
 
 
+def test_marked_main_part_and_copies_stay_whole(spark):
+    def shop(i):
+        return f"<div class='top'>Shop of the town</div><div class='x'><p>Offer {i}</p></div>"
+
+    article = "<div class='top'>Shop of the town</div><article><p>Told here</p><table class='prices'><tr><td>7 pence</table></article>"
+    guide = "<div class='guide'><p>How to</p><ul class='steps'><li>Cut<li>Bind</ul></div>"
+    near = "<div class='tour'><p>Seen {}</p><ul class='stops'><li>Mill<li>Weir</ul></div>"
+    news = [f"<article><p>News {i}</p></article>" for i in "ijklmn"]
+    htmls = [shop(i) for i in "abcdefgh"] + [article, article, article.replace("Told", "Now told"), guide + "<p>In full</p>",
+                                             f"<nav>Print</nav>{guide}<p>In full</p>", near.format("first"), near.format("again"), *news]
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in html_extract.extract(df, "url", "html").collect()}
+    assert [out[i] for i in range(8)] == [f"Offer {i}" for i in "abcdefgh"]
+    assert out[8] == out[9] == "Told here\n7 pence" and out[10] == "Now told here\n7 pence"
+    assert out[11] == out[12] == "How to\nCut\nBind\nIn full"
+    assert [out[13], out[14]] == ["Seen first\nMill\nWeir", "Seen again\nMill\nWeir"]
+
+
 def test_registered_row_shape(spark, folder):
     first = rows(QUERIES["op1_sharding"](spark, folder))
     assert first == rows(QUERIES["op1_sharding"](spark, folder))
