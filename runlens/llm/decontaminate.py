@@ -11,13 +11,14 @@ minus item position). For each text:
    edits of the whole item against any part of the region.
 
 q is the largest q-gram length, up to ``MAX_Q``, that gives t >= 1 for the item's k, so each item
-of at least ``min_chars`` characters gets an exact filter.
+of at least ``min_chars`` characters gets an exact filter. A shorter item occurs only verbatim and between word borders: the places
+of its first q-gram are compared whole.
 
 Text is compared lower-cased and with white space runs as one space. Items are read in blocks of at most
 ``block_chars`` characters; each block is broadcast to one pass over the documents.
 
-Defined cases: a null or empty text is clean; null items and items shorter than ``min_chars`` normalised characters match
-nothing; equal items each report their own id; items with a null id report as null; repeated documents are judged alike; an empty
+Defined cases: a null or empty text is clean; null and empty items match nothing; an item of one word marks every
+document that holds the word; equal items each report their own id; items with a null id report as null; repeated documents are judged alike; an empty
 benchmark leaves all clean; an empty table gives an empty table; columns named like the added ones are replaced.
 """
 
@@ -66,27 +67,40 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
+def _border(text: str, at: int) -> bool:
+    """No word goes on from the character before ``at`` to the one there."""
+    return not (0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum())
+
+
 class ItemIndex:
     """The q-grams of a block of items, sorted, with a small bit table in front."""
 
     def __init__(self, items: list[tuple[int | None, str]], edit_rate: float, min_chars: int):
-        self.ids, self.codes, self.k, self.q, self.least = [], [], [], [], []
+        self.ids, self.codes, self.k, self.q, self.least, self.short = [], [], [], [], [], []
         for item_id, text in items:
             t = normalise(text)
             m = len(t)
-            if m < min_chars:
+            if not m:
                 continue
-            k = int(edit_rate * m)
+            k = int(edit_rate * m) if m >= min_chars else 0
             q = min(MAX_Q, m // (k + 1))
             self.ids.append(item_id)
             self.codes.append(_codes(t))
             self.k.append(k)
             self.q.append(q)
             self.least.append(m + 1 - q * (k + 1))
-        self.by_q = {}
-        for q in sorted(set(self.q)):
-            own = [i for i, x in enumerate(self.q) if x == q]
-            grams = [_grams(self.codes[i], q) for i in own]
+            self.short.append(m < min_chars)
+        self.by_q, self.short_by_q = self._tables(False), self._tables(True)
+        self.width = np.array([1 << int(k).bit_length() for k in self.k], np.int64)  # > k
+        self.need = np.array(self.least, np.int64)
+        self.length = np.array([len(c) for c in self.codes], np.int64)
+
+    def _tables(self, short: bool) -> dict[int, tuple]:
+        """Per q the sorted q-grams of the long items, or the first ones of the short items."""
+        tables = {}
+        for q in sorted({x for x, s in zip(self.q, self.short) if s == short}):
+            own = [i for i, x in enumerate(self.q) if x == q and self.short[i] == short]
+            grams = [_grams(self.codes[i], q)[:1 if short else None] for i in own]
             g = np.concatenate(grams)
             item = np.concatenate([np.full(len(x), i, np.int64) for i, x in zip(own, grams)])
             at = np.concatenate([np.arange(len(x), dtype=np.int64) for x in grams])
@@ -94,34 +108,43 @@ class ItemIndex:
             keys, first, count = np.unique(g[order], return_index=True, return_counts=True)
             seen = np.zeros(1 << FILTER_BITS, bool)
             seen[self._slot(keys)] = True
-            self.by_q[q] = (seen, keys, first, count, item[order], at[order])
-        self.width = np.array([1 << int(k).bit_length() for k in self.k], np.int64)  # > k
-        self.need = np.array(self.least, np.int64)
-        self.length = np.array([len(c) for c in self.codes], np.int64)
+            tables[q] = (seen, keys, first, count, item[order], at[order])
+        return tables
 
     @staticmethod
     def _slot(grams: np.ndarray) -> np.ndarray:
         return (grams * MULTIPLIER) >> np.uint64(64 - FILTER_BITS)
 
+    def _hits(self, codes: np.ndarray, q: int, table: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """(item, text position minus item position) of each q-gram of a text that is in the table."""
+        seen, keys, first, count, item, at = table
+        grams = _grams(codes, q)
+        pos = np.flatnonzero(seen[self._slot(grams)])
+        g = grams[pos]
+        k = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
+        hit = keys[k] == g
+        pos, k = pos[hit], k[hit]
+        n = count[k]
+        each = np.repeat(np.arange(len(pos)), n)
+        entry = first[k][each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+        return item[entry], pos[each] - at[entry]
+
+    def verbatim(self, text: str, codes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, start, end) of the short items between word borders of a normalised text."""
+        for q, table in self.short_by_q.items():
+            for i, start in zip(*map(np.ndarray.tolist, self._hits(codes, q, table))):
+                end = start + int(self.length[i])
+                if np.array_equal(codes[start:end], self.codes[i]) and _border(text, start) and _border(text, end):
+                    yield i, start, end
+
     def regions(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, from, to): parts of a text that meet an item's q-gram bound."""
         items, diagonals = [], []
-        for q, (seen, keys, first, count, item, at) in self.by_q.items():
-            grams = _grams(codes, q)
-            pos = np.flatnonzero(seen[self._slot(grams)])
-            if not len(pos):
-                continue
-            g = grams[pos]
-            k = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
-            hit = keys[k] == g
-            pos, k = pos[hit], k[hit]
-            n = count[k]
-            if not len(pos):
-                continue
-            each = np.repeat(np.arange(len(pos)), n)
-            entry = first[k][each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-            items.append(item[entry])
-            diagonals.append(pos[each] - at[entry])
+        for q, table in self.by_q.items():
+            item, diagonal = self._hits(codes, q, table)
+            if len(item):
+                items.append(item)
+                diagonals.append(diagonal)
         if not items:
             return []
         item, diagonal = np.concatenate(items), np.concatenate(diagonals)
@@ -143,13 +166,16 @@ class ItemIndex:
         """(item id, start, end, edits) of the best occurrence per item, by item id.
 
         Positions are characters of the normalised text."""
-        codes = _codes(normalise(text))
+        text = normalise(text)
+        codes = _codes(text)
         best: dict[int, tuple[int, int, int]] = {}
         for i, lo, hi in self.regions(codes):
             edits, start, end = align(self.codes[i], codes[lo:hi], self.k[i])
             if edits <= self.k[i]:
                 found = (edits, lo + start, lo + end)
                 best[i] = min(best.get(i, found), found)
+        for i, start, end in self.verbatim(text, codes):
+            best[i] = min(best.get(i, (0, start, end)), (0, start, end))
         return sorted(((self.ids[i], s, e, d) for i, (d, s, e) in best.items()),
                       key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 

@@ -275,6 +275,14 @@ def test_decontamination_cases(spark):
         assert out[2].matches[0]["edits"] == 1
 
 
+def test_short_items_match_verbatim(spark):
+    bench = spark.createDataFrame([(1, "What is the capital of France?"), (2, "Pi is"), (3, ""), (4, "é")], "item_id long, text string")
+    texts = ["Asked: what is the\nCAPITAL of France? Paris.", "What is the capital of Frence?", "the api is and pi island", "so pi is", "É", "pi is"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: [tuple(m) for m in r.matches] for r in decontaminate.find_matches(df, "text", bench).collect()}
+    assert out == {0: [(1, 7, 37, 0)], 1: [], 2: [], 3: [(2, 3, 8, 0)], 4: [(4, 0, 1, 0)], 5: [(2, 0, 5, 0)]}
+
+
 # ---- 7 SimHash
 
 def brute_fingerprint(text):
