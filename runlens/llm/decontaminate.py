@@ -8,7 +8,8 @@ minus item position). For each text:
 2. the hits of an item are counted per diagonal band; bands are 2w wide and start every w diagonals, w > k
    a power of two, so any k + 1 neighbouring diagonals lie inside one band;
 3. regions (text span of a band) with at least t hits are kept and verified by a banded alignment: the fewest
-   edits of the whole item against any part of the region.
+   edits of the whole item against any part of the region. Of overlapping occurrences of an item the best is reported
+   (fewest edits, then the first).
 
 q is the largest q-gram length, up to ``MAX_Q``, that gives t >= 1 for the item's k, so each item
 of at least ``min_chars`` characters gets an exact filter. A shorter item occurs only verbatim and between word borders: the places
@@ -24,6 +25,7 @@ benchmark leaves all clean; an empty table gives an empty table; columns named l
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -162,22 +164,39 @@ class ItemIndex:
             out.append((int(i), max(0, lo - self.k[i]), min(len(codes), lo + 2 * w + m + self.k[i])))
         return out
 
+    def _aligned(self, i: int, codes: np.ndarray, lo: int, hi: int) -> Iterator[tuple[int, int, int, int]]:
+        """(item, edits, start, end): the best occurrence in a region, and those in what is left on its sides."""
+        if hi - lo < self.length[i] - self.k[i]:
+            return
+        edits, start, end = align(self.codes[i], codes[lo:hi], self.k[i])
+        if edits <= self.k[i]:
+            yield i, edits, lo + start, lo + end
+            yield from self._aligned(i, codes, lo, lo + start)
+            yield from self._aligned(i, codes, lo + end, hi)
+
     def matches(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
-        """(item id, start, end, edits) of the best occurrence per item, by item id.
+        """(item id, start, end, edits) of every occurrence that overlaps no better one of the same item; by item id, best first.
 
         Positions are characters of the normalised text."""
         text = normalise(text)
         codes = _codes(text)
-        best: dict[int, tuple[int, int, int]] = {}
+        found = [(i, 0, start, end) for i, start, end in self.verbatim(text, codes)]
         for i, lo, hi in self.regions(codes):
-            edits, start, end = align(self.codes[i], codes[lo:hi], self.k[i])
-            if edits <= self.k[i]:
-                found = (edits, lo + start, lo + end)
-                best[i] = min(best.get(i, found), found)
-        for i, start, end in self.verbatim(text, codes):
-            best[i] = min(best.get(i, (0, start, end)), (0, start, end))
-        return sorted(((self.ids[i], s, e, d) for i, (d, s, e) in best.items()),
-                      key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+            found += self._aligned(i, codes, lo, hi)
+        kept: dict[int, Spans] = {}
+        for i, edits, start, end in sorted(found):
+            kept.setdefault(i, Spans()).add(start, end, edits)
+        return sorted(((self.ids[i], s, e, d) for i, spans in kept.items() for s, e, d in spans),
+                      key=lambda x: (x[0] is None, x[0] or 0, x[3], x[1]))
+
+
+class Spans(list):
+    """(start, end, edits) by start; a span that overlaps one already there is left out."""
+
+    def add(self, start: int, end: int, edits: int) -> None:
+        at = bisect_left(self, (start,))
+        if (not at or self[at - 1][1] <= start) and (at == len(self) or end <= self[at][0]):
+            self.insert(at, (start, end, edits))
 
 
 def align(item: np.ndarray, part: np.ndarray, k: int) -> tuple[int, int, int]:

@@ -283,6 +283,15 @@ def test_short_items_match_verbatim(spark):
     assert out == {0: [(1, 7, 37, 0)], 1: [], 2: [], 3: [(2, 3, 8, 0)], 4: [(4, 0, 1, 0)], 5: [(2, 0, 5, 0)]}
 
 
+def test_every_occurrence_is_reported():
+    item = "That and onesen erblest it hein ti inenan eranenes whou therouou thon the."
+    index = decontaminate.ItemIndex([(7, item), (8, "ab cd")], 0.05, 32)
+    n, changed = len(item), item[:40].lower() + "#" + item[41:].lower()
+    text = f"{changed} ab cd {item} {item}ab cd"
+    found = index.matches(text)
+    assert found == [(7, n + 7, 2 * n + 7, 0), (7, 2 * n + 8, 3 * n + 8, 0), (7, 0, n, 1), (8, n + 1, n + 6, 0), (8, 3 * n + 8, 3 * n + 13, 0)]
+
+
 # ---- 7 SimHash
 
 def brute_fingerprint(text):
