@@ -6,7 +6,8 @@ the other training documents that hold it, plus ``SMOOTHING``. A logistic model
 
 The counts cover all training rows and are summed in Spark: 2**``HASH_BITS`` features, whatever the input. The
 logistic model is fitted on a bounded sample: at most ``SAMPLE_ROWS`` rows of each class, the first by hash, and
-``SAMPLE_WORDS`` distinct words altogether, weighted to the classes' shares of all training rows. Scoring covers all rows.
+``SAMPLE_WORDS`` distinct words altogether, of one document its first ``DOCUMENT_WORDS`` (so no long document takes the place
+of the others), weighted to the classes' shares of all training rows. Scoring covers all rows.
 
 Defined cases: null and empty texts have no features and the score of the intercept; rows whose label is null or that match no
 document are not learned from; several labels of a key are several rows; without labelled rows of both classes the
@@ -32,6 +33,7 @@ BASE, MULTIPLIER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 SMOOTHING = 1.0
 SAMPLE_ROWS = 3000
 SAMPLE_WORDS = 3_000_000
+DOCUMENT_WORDS = 100_000
 
 
 def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,14 +92,16 @@ def fit(labelled: DataFrame) -> tuple[np.ndarray, float]:
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
 
     sample, labels, weights = Sample(ngrams, size), [], []
+    ws = F.split("words", " ")
+    some = F.when(F.size(ws) > DOCUMENT_WORDS, F.array_join(F.slice(ws, 1, DOCUMENT_WORDS), " ")).otherwise(F.col("words"))
     for label, n in ((0, n0), (1, n1)):
         own = labelled.where(F.col("label") == label).withColumn("h", F.xxhash64("key", "words"))
         # The first by hash without their texts; then the texts of these few.
         upto = F.sum("n").over(Window.orderBy("h"))
-        first = (own.groupBy("h").agg(F.max(F.size(F.split("words", " "))).alias("n")).orderBy("h").limit(SAMPLE_ROWS)
+        first = (own.groupBy("h").agg(F.max(F.least(F.size(ws), F.lit(DOCUMENT_WORDS))).alias("n")).orderBy("h").limit(SAMPLE_ROWS)
                  .withColumn("upto", upto).where(F.col("upto") <= SAMPLE_WORDS // 2).select("h"))
         found = 0
-        for r in own.join(F.broadcast(first), "h").select("words").dropDuplicates(["words"]).toLocalIterator():
+        for r in own.join(F.broadcast(first), "h").select("words").dropDuplicates(["words"]).select(some.alias("words")).toLocalIterator():
             sample.add(distinct_words(r["words"]))
             found += 1
         labels += [label] * found

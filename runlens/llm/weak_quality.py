@@ -8,7 +8,8 @@ one count over all documents, at most 3**len(LABELLERS) rows.
 
 The posterior of a document's pattern is its label (a probability). A linear model on hashed words and
 word shapes, averaged over the words of a text, learns the posteriors of a bounded sample: the first ``SAMPLE_ROWS``
-documents by hash on either side of 0.5, ``SAMPLE_WORDS`` words at most, weighted to the sides' shares. It
+documents by hash on either side of 0.5, ``SAMPLE_WORDS`` words at most and of one document its first ``DOCUMENT_WORDS`` (so no
+long document takes the place of the others), weighted to the sides' shares. It
 scores every document.
 
 Defined cases: a null or empty text has no words; its score is the model's intercept and its posterior that of its
@@ -36,6 +37,7 @@ ROUNDS = 200
 SMOOTHING = 0.01
 SAMPLE_ROWS = 3000
 SAMPLE_WORDS = 3_000_000
+DOCUMENT_WORDS = 100_000
 ABSTAIN = -1
 
 
@@ -158,7 +160,11 @@ def _fit(df: DataFrame, key: str, text: str, labelled: DataFrame) -> tuple[np.nd
                  .orderBy("h").limit(SAMPLE_ROWS))
         found = (texts.join(F.broadcast(first), F.col("k").eqNullSafe(F.col("key")) & (F.xxhash64("t") == F.col("digest")))
                  .select("h", "posterior", "t").dropDuplicates(["h"]))
-        upto = F.sum(F.size(F.split(F.coalesce("t", F.lit("")), r"\s+"))).over(Window.orderBy("h"))
+        ws = F.split(F.coalesce("t", F.lit("")), r"\s+")
+        long = F.size(ws) > DOCUMENT_WORDS
+        found = found.select("h", "posterior", F.least(F.size(ws), F.lit(DOCUMENT_WORDS)).alias("n"),
+                             F.when(long, F.array_join(F.slice(ws, 1, DOCUMENT_WORDS), " ")).otherwise(F.col("t")).alias("t"))
+        upto = F.sum("n").over(Window.orderBy("h"))
         n_found = 0
         for r in found.withColumn("upto", upto).where(F.col("upto") <= SAMPLE_WORDS // 2).select("posterior", "t").toLocalIterator():
             sample.add(tokens(r["t"]))

@@ -456,6 +456,22 @@ def test_weak_quality_on_labelled_documents(spark):
     assert np.mean([not r.kept for r in out if r.quality == 0]) > 0.7
 
 
+@pytest.mark.parametrize("module", [toxicity, weak_quality])
+def test_long_documents_do_not_empty_the_sample(spark, monkeypatch, module):
+    seen = []
+    monkeypatch.setattr(module, "SAMPLE_WORDS", 2000)
+    monkeypatch.setattr(module, "DOCUMENT_WORDS", 100, raising=False)
+    monkeypatch.setattr(module, "train", lambda sample, labels, weights, **_: seen.append((list(sample.lengths), list(labels))))
+    texts = [(i, " ".join(f"w{i}n{j}" for j in range(1500 if i < 3 else 20)), int(i < 3)) for i in range(12)]
+    if module is toxicity:
+        toxicity.fit(spark.createDataFrame(texts, "key long, words string, label int"))
+    else:
+        df = spark.createDataFrame(texts, "key long, t string, posterior int")
+        weak_quality._fit(df, "key", "t", df.selectExpr("key", "xxhash64(t) AS digest", "double(posterior) AS posterior"))
+    lengths, labels = seen[0]
+    assert sorted(zip(labels, lengths)) == [(0, 20)] * 9 + [(1, 100)] * 3
+
+
 def test_lbfgs_reaches_the_minimum():
     a = np.diag(np.arange(1.0, 9.0))
     x = linear.lbfgs(lambda v: (0.5 * v @ a @ v - v.sum(), a @ v - 1), np.zeros(8), 100)
