@@ -19,6 +19,7 @@ Windows over rows (lag, moving average) are not allowed on a stream; ``stored_tr
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -202,18 +203,19 @@ def run_watermarked(spark: SparkSession, landing: str, work: str, metadata: Data
 
 def late_hours(spark: SparkSession, landing: str, emitted: str, metadata: DataFrame, thresholds: DataFrame,
                as_of: dt.datetime | None = None) -> DataFrame:
-    """Hours up to the newest emitted one whose landed runs are not all in the emitted table, with their true counts.
+    """Hours behind the watermark whose landed runs are not all in the emitted table, with their true counts.
 
     (time_hour, total_runs, critical_runs, warning_runs, healthy_runs, pass_rate, missed_runs): what came behind
-    the watermark, counted, so that no row is lost silently; an audit reads all landed rows once.
+    the watermark, counted, so that no row is lost silently, whether its hour was emitted or not; an audit reads all
+    landed rows once. The watermark is that of the newest batch in the stream's checkpoint.
     """
     landed = sm.platform_hourly(sm.run_status(enrich(latest_wins(spark.read.schema(S.METRIC_ROW).parquet(landing)),
                                                      metadata, thresholds, as_of))).drop("active_applications")
     got = spark.read.parquet(emitted)
-    upto = got.agg(F.max("time_hour")).first()[0]
-    if upto is None:
-        return landed.withColumn("missed_runs", F.col("total_runs")).limit(0)
+    batches = spark.read.text(f"{os.path.dirname(emitted.rstrip('/'))}/_checkpoint_watermarked/offsets")
+    stamp = F.regexp_extract("value", r'"batchWatermarkMs":(-?\d+)', 1).try_cast("long")
+    watermark = F.timestamp_millis(F.lit(batches.agg(F.max(stamp)).first()[0] or 0))
     found = got.groupBy("time_hour").agg(F.sum("total_runs").alias("_n"))
     missed = (F.col("total_runs") - F.coalesce("_n", F.lit(0))).alias("missed_runs")
-    return (landed.where(F.col("time_hour") <= F.lit(upto)).join(found, "time_hour", "left")
+    return (landed.where(F.col("time_hour") + F.expr("INTERVAL 1 HOUR") <= watermark).join(found, "time_hour", "left")
             .select(*landed.columns, missed).where("missed_runs > 0"))

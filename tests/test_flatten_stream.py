@@ -112,6 +112,23 @@ def test_two_months_in_order_lose_no_closed_hour(spark):
     assert late_hours(spark, landing, out, meta, thr, T0).count() == 0
 
 
+def test_late_rows_of_hours_never_emitted_are_reported(spark):
+    from runlens.streaming.incremental import late_hours, run_watermarked
+
+    work = scratch_path(spark, "t-late")
+    landing = f"{work}/landing"
+    meta, thr = fx.metric_metadata(spark), fx.thresholds(spark)
+    reported = []
+    for n, day in enumerate((5, 0, 10, 6)):      # day 0 comes late before any hour was emitted, day 6 after day 5 was
+        rows = metric_rows(spark, [(f"r{day}", "0", "click", 30.0, T0 + dt.timedelta(days=day))]).drop("extraction_timestamp")
+        land_extract(rows, landing, T0 + dt.timedelta(minutes=n))
+        out = run_watermarked(spark, landing, work, meta, thr, T0)
+        late = late_hours(spark, landing, out, meta, thr, T0).collect()
+        reported.append(sorted(((r["time_hour"] - T0).days, r["missed_runs"]) for r in late))
+    assert [(r["time_hour"] - T0).days for r in spark.read.parquet(out).collect()] == [5]
+    assert reported == [[], [(0, 1)], [(0, 1)], [(0, 1), (6, 1)]]
+
+
 def test_summaries_are_ordered(spark):
     from runlens.operators.enrich import enrich
     from runlens.operators.series import series_windows
