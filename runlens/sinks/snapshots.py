@@ -1,7 +1,7 @@
 """Dated Parquet snapshots of a table plus a snapshot log.
 
 Layout: ``<base>/<table>/snapshot_date=YYYY-MM-DD/snapshot_id=<run key>/part-*.parquet``
-and ``<base>/_snapshot_log`` (one row per write, also for empty outputs).
+and ``<base>/_snapshot_log`` (one row per write, also for empty outputs), ``<base>/_load_log`` (one row per load).
 Re-writing the same snapshot_id replaces only that partition (dynamic overwrite),
 so a re-run of a scheduled run is idempotent.
 """
@@ -32,6 +32,9 @@ LOG_SCHEMA = T.StructType([
     T.StructField("written_at", T.TimestampType()),
 ])
 
+LOAD_SCHEMA = T.StructType([*[f for f in LOG_SCHEMA.fields if f.name not in ("schema_json", "written_at")],
+                            T.StructField("loaded_at", T.TimestampType())])
+
 
 def run_key(kind: str, as_of: dt.datetime) -> str:
     """Idempotent run key per scheduled time, e.g. ``delta_2024-02-01T00-05``."""
@@ -95,10 +98,10 @@ def snapshot_size_mb(spark: SparkSession, partition: str) -> float:
     return round(fs.getContentSummary(p).getLength() / (1024 * 1024), 4)
 
 
-def _log_row(spark: SparkSession, record: dict) -> DataFrame:
+def _log_row(spark: SparkSession, record: dict, schema: T.StructType = LOG_SCHEMA) -> DataFrame:
     """One log row as literals (planned on the JVM; no Python worker)."""
     cols = []
-    for f in LOG_SCHEMA.fields:
+    for f in schema.fields:
         v = record[f.name]
         if isinstance(f.dataType, T.ArrayType):
             c = F.array(*[F.lit(x) for x in v]) if v else F.array()
@@ -112,20 +115,29 @@ def snapshot_log(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(f"{base.rstrip('/')}/_snapshot_log").distinct()
 
 
+def load_log(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.schema(LOAD_SCHEMA).parquet(f"{base.rstrip('/')}/_load_log").distinct()
+
+
 def compact_log(spark: SparkSession, base: str, max_files: int = LOG_FILES) -> bool:
-    """Rewrite a log of more than ``max_files`` files as one file (a log row per write: small).
+    """Rewrite the snapshot log and the load log, see ``_compact``; whether the snapshot log was rewritten."""
+    _compact(spark, f"{base.rstrip('/')}/_load_log", LOAD_SCHEMA, max_files)
+    return _compact(spark, f"{base.rstrip('/')}/_snapshot_log", LOG_SCHEMA, max_files)
+
+
+def _compact(spark: SparkSession, path: str, schema: T.StructType, max_files: int) -> bool:
+    """Rewrite a log of more than ``max_files`` files as one file (a log row per write or load: small).
 
     The new file is added before the old ones go, and readers ignore equal rows, so a job that dies in between
     loses nothing; rows that others append meanwhile are in files this call has not listed and stay.
     """
-    path = f"{base.rstrip('/')}/_snapshot_log"
     fs, p = _file_system(spark, path)
     if not fs.exists(p):
         return False
-    files = spark.read.schema(LOG_SCHEMA).parquet(path).inputFiles()
+    files = spark.read.schema(schema).parquet(path).inputFiles()
     if len(files) <= max_files:
         return False
-    spark.read.schema(LOG_SCHEMA).parquet(*files).distinct().coalesce(1).write.mode("append").parquet(path)
+    spark.read.schema(schema).parquet(*files).distinct().coalesce(1).write.mode("append").parquet(path)
     for old in files:
         delete_path(spark, old)
     return True
@@ -146,11 +158,13 @@ def load_snapshot(spark: SparkSession, base: str, table: str, snapshot_id: str)
 
 def _load(spark: SparkSession, base: str, table: str, which) -> DataFrame:
     log = snapshot_log(spark, base).where((F.col("table_name") == table) & which)
-    latest = log.agg(F.max_by(F.struct("snapshot_date", "snapshot_id", "rows", "schema_json", "path"),
+    latest = log.agg(F.max_by(F.struct(*LOG_SCHEMA.names),
                               F.struct("written_at", "snapshot_id")).alias("l")).select("l.*").first()
     if latest is None or latest["snapshot_id"] is None:
         raise FileNotFoundError(f"no snapshot found for table {table!r} under {base}")
     schema = T.StructType.fromJson(json.loads(latest["schema_json"]))
+    record = {**latest.asDict(), "loaded_at": dt.datetime.now()}
+    _log_row(spark, record, LOAD_SCHEMA).write.mode("append").parquet(f"{base.rstrip('/')}/_load_log")
     if latest["rows"] == 0:
         return spark.createDataFrame([], schema)
     # The one partition, with the logged schema: no listing of the others, no inference.

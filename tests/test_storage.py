@@ -30,6 +30,21 @@ def test_empty_snapshot_is_honoured(spark):
     assert snapshot_log(spark, base).where("table_name = 't'").count() == 2
 
 
+def test_loads_are_logged(spark):
+    from runlens.sinks.snapshots import load_log, load_snapshot
+
+    base = scratch_path(spark, "t-loads")
+    write_snapshot(_df(spark, 3), base, "t", "k1", T0)
+    write_snapshot(_df(spark).limit(0), base, "t", "k2", T0)
+    load_snapshot(spark, base, "t", "k1")
+    for _ in range(2):
+        load_latest(spark, base, "t")
+    got = load_log(spark, base).orderBy("loaded_at").collect()
+    assert [(r["table_name"], r["snapshot_id"], r["rows"], r["path"]) for r in got] == [
+        ("t", "k1", 3, f"{base}/t"), ("t", "k2", 0, f"{base}/t"), ("t", "k2", 0, f"{base}/t")]
+    assert compact_log(spark, base, max_files=1) and load_log(spark, base).count() == 3
+
+
 def test_missing_snapshot_raises(spark):
     base = scratch_path(spark, "t-snap")
     write_snapshot(_df(spark), base, "other", "k1", T0)
