@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -10,9 +10,11 @@ import public_tokenizers
 from runlens.llm import toxicity, weak_quality
 from runlens.llm.common import read
 from runlens.llm.decontaminate import find_matches
+from runlens.llm.filter_audit import audit, combinations, failures, letters
 from runlens.llm.html_extract import extract
 from runlens.llm.mixing import mix
 from runlens.llm.quality_rules import BASE, MIN_WORDS, RATIOS, RULES, STOP_WORDS, SYMBOLS, apply_rules
+from runlens.llm.resample import resample
 from runlens.llm.sharding import NULL_KEY, U_DIGITS, assign_shards
 from runlens.llm.simhash import hex_fingerprint, near_duplicates
 from runlens.llm.substring_dedup import remove_repeats
@@ -83,6 +85,27 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample(read(spark, sf_dir, "documents"), "doc_id", "text", read(spark, sf_dir, "benchmark"), "text")
+    return found.select("doc_id", "n_features", "weight", "score", F.col("rank").cast("long").alias("rank"))
+
+
+def audited_filters() -> dict[str, Column]:
+    return {
+        "A": F.size("words") < 100,
+        "B": 100 * F.size(F.array_distinct("words")) < 80 * F.size("words"),
+        "C": 100 * F.regexp_count("text", F.lit("[A-Z]")) > 10 * F.char_length("text"),
+        "D": F.col("text").rlike(r"[#$%&*|]"),
+    }
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filters = audited_filters()
+    failed = failures(read(spark, sf_dir, "documents"), "doc_id", "text", "lang", filters, "E")
+    combos = combinations(failed, read(spark, sf_dir, "labels"), "doc_id", "quality", "toxic")
+    return audit(combos, letters(filters, "E"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_token_files": op2_token_files,
@@ -94,6 +117,8 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_weak_quality": op9_weak_quality,
     "op10_html_extraction": op10_html_extraction,
+    "op11_resample": op11_resample,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 
@@ -109,6 +134,12 @@ def _rules_sql() -> str:
     return ", ".join(out)
 
 
+# CRC-32 of a text's UTF-8 bytes from the byte table ``crc_table.b``.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, octet_length(encode({0})) + 1),
+  lambda i: ('0x' || hex(encode({0}))[2 * i - 1:2 * i])::BIGINT)), lambda c, y: xor(c >> 8, b[1 + (xor(c, y) & 255)])))"""
+_CRC_TABLE = """SELECT list_transform(range(0, 256), lambda v: list_reduce([v, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, y: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS b"""
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE = {
@@ -175,4 +206,78 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        {", ".join(f"ok_{r.name}" for r in RULES)}, base_failed,
        NOT base_failed AND {" AND ".join(f"ok_{r.name}" for r in RULES)} AS kept
 FROM k""",
+    "op11_resample": rf"""
+WITH crc_table AS ({_CRC_TABLE}), t AS (
+  SELECT true AS doc, row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL SELECT false, row_number() OVER (), NULL, text FROM benchmark
+), w AS (
+  SELECT doc, r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM t
+), f AS (
+  SELECT doc, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+                                    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM w
+), per AS (
+  SELECT doc, r, f, count(*) AS n FROM f GROUP BY ALL
+), bucket AS (
+  SELECT f, {_CRC.format("f")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM per), crc_table
+), sides AS (
+  SELECT bucket, sum(n) FILTER (doc) AS s, sum(n) FILTER (NOT doc) AS t FROM per JOIN bucket USING (f) GROUP BY bucket
+), sums AS (
+  SELECT coalesce(sum(s), 0)::DOUBLE AS big_s, coalesce(sum(t), 0)::DOUBLE AS big_t FROM sides
+), gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (big_s + 10000) / ((coalesce(s, 0) + 1)::DOUBLE * (big_t + 10000))))::BIGINT AS gain
+  FROM sides, sums
+), weights AS (
+  SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM per JOIN bucket USING (f) JOIN gain USING (bucket) WHERE doc GROUP BY r
+), scored AS (
+  SELECT r, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM w LEFT JOIN weights USING (r) WHERE doc
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, weight DESC, n_features DESC) AS place,
+         5 * (count(*) FILTER (n_words >= 20) OVER ()) // 100 AS drawn
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank FROM ranked""",
+    "op13_filter_audit": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_WORDS} AS w FROM documents
+), e AS (
+  SELECT r, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM d
+), l AS (
+  SELECT doc_id, max(quality) FILTER (quality = 1) AS q, max(toxic) FILTER (toxic = 1) AS x FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(q = 1, false) AS good, coalesce(x = 1, false) AS toxic,
+         [CASE WHEN len(w) < 100 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' END,
+          CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) THEN 'C' END,
+          CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN e THEN 'E' END] AS fails
+  FROM d JOIN e USING (r) LEFT JOIN l USING (doc_id)
+), c AS (
+  SELECT part, good, toxic, list_filter(fails, lambda x: x IS NOT NULL) AS fails, count(*) AS n FROM f GROUP BY ALL
+), one AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM one a, one b, one c, one d, one e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS own, filter_order[1:step - 1] AS earlier
+  FROM orders, (SELECT unnest(range(1, 6))::INT AS step) AS five
+), x AS (
+  SELECT part, filter_order, step, own, n, good, toxic, list_contains(fails, own) AS hit, len(fails) AS n_fails,
+         len(list_filter(fails, lambda y: contains(earlier, y))) > 0 AS gone
+  FROM c, steps
+), counted AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (hit AND n_fails = 1), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n) FILTER (hit AND NOT gone AND good), 0)::BIGINT AS good_lost,
+         coalesce(sum(n) FILTER (hit AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+  FROM x GROUP BY 1, 2, 3, 4
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley
+FROM counted""",
 }
