@@ -73,3 +73,19 @@ def bucket_offsets(df: DataFrame, group: Sequence[str], bucket: str) -> DataFram
     counts = df.groupBy(*group, bucket).agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.partitionBy(*group).orderBy(bucket)) - F.col("__n")
     return counts.select(*group, bucket, before.alias("__before"))
+
+
+HOT_CLASSES = 1000
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, on: str, copies: str) -> DataFrame:
+    """Each row with its class (every row has one); ``copies`` is the number of rows of a class.
+
+    A class with over a thousandth of all rows would fill one task of a shuffle join. There are fewer than ``HOT_CLASSES`` of
+    them, so they are broadcast; the rows of the others are joined by a shuffle.
+    """
+    total = classes.agg(F.coalesce(F.sum(copies), F.lit(0)).alias("n")).first()["n"]
+    hot = F.col(copies) * HOT_CLASSES > total
+    found = rows.join(F.broadcast(classes.where(hot)), on)
+    rest = rows.join(F.broadcast(classes.where(hot).select(on)), on, "left_anti").join(classes.where(~hot), on)
+    return found.unionByName(rest)

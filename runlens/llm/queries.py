@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from runlens.llm import toxicity, weak_quality
+from runlens.llm import minhash, toxicity, weak_quality
 from runlens.llm.common import read
 from runlens.llm.decontaminate import find_matches
 from runlens.llm.filter_audit import audit, combinations, failures, letters
@@ -90,6 +90,10 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", F.col("rank").cast("long").alias("rank"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
 def audited_filters() -> dict[str, Column]:
     return {
         "A": F.size("words") < 100,
@@ -118,6 +122,7 @@ QUERIES = {
     "op9_weak_quality": op9_weak_quality,
     "op10_html_extraction": op10_html_extraction,
     "op11_resample": op11_resample,
+    "op12_minhash": op12_minhash,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -240,6 +245,28 @@ WITH crc_table AS ({_CRC_TABLE}), t AS (
   FROM scored
 )
 SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank FROM ranked""",
+    "op12_minhash": rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d
+), n AS (
+  SELECT r, count(*) AS n FROM s GROUP BY r
+), common AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE 100 * i >= 85 * (na.n + nb.n - i)
+), either AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(r, x) AS (
+  SELECT r, r FROM d UNION SELECT reach.r, either.b FROM reach JOIN either ON reach.x = either.a
+), c AS (
+  SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.x GROUP BY reach.r
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN c USING (r) LEFT JOIN n USING (r)""",
     "op13_filter_audit": rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_WORDS} AS w FROM documents
