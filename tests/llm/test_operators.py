@@ -50,7 +50,7 @@ def empty(spark, tmp_path_factory):
     return where
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op13_filter_audit"}))
 def test_awkward_rows_give_one_row_each(spark, folder, docs, name):
     out = QUERIES[name](spark, folder)
     assert out.count() == (3 if name.startswith("op10_") else docs.count())
