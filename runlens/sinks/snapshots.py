@@ -1,9 +1,13 @@
 """Dated Parquet snapshots of a table plus a snapshot log.
 
-Layout: ``<base>/<table>/snapshot_date=YYYY-MM-DD/snapshot_id=<run key>/part-*.parquet``
-and ``<base>/_snapshot_log`` (one row per write, also for empty outputs), ``<base>/_load_log`` (one row per load).
-Re-writing the same snapshot_id replaces only that partition (dynamic overwrite),
-so a re-run of a scheduled run is idempotent.
+Layout: ``<base>/<table>/snapshot_date=YYYY-MM-DD/snapshot_id=<run key>/commit=<fresh id>/part-*.parquet``
+and ``<base>/_snapshot_log`` (one record per write, also for empty outputs), ``<base>/_load_log`` (one record per load).
+
+A write is visible when its record is (one atomic rename, see ``commits``): a job that dies between data and record
+leaves the old snapshot readable. Readers take the record with the highest number, and only the folder it names.
+Re-writing a snapshot_id leaves one copy, so a re-run of a scheduled run is idempotent: of two writers at once
+the later record wins whole, and the superseded folder is removed after the commit (or later, see ``retain``). Folders without
+a record are left to ``sweep_snapshots``, as their writers may still be at work.
 """
 
 from __future__ import annotations
@@ -15,6 +19,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runlens.sinks import commits
+from runlens.sinks.commits import delete_path, file_system
 from runlens.sinks.layout import first_time_column, typed
 
 LOG_FILES = 64      # a log of more files is compacted by the next job
@@ -29,6 +35,8 @@ LOG_SCHEMA = T.StructType([
     T.StructField("data_types", T.StringType()),
     T.StructField("schema_json", T.StringType()),
     T.StructField("path", T.StringType()),
+    T.StructField("data_path", T.StringType()),
+    T.StructField("commit_no", T.LongType()),
     T.StructField("written_at", T.TimestampType()),
 ])
 
@@ -42,11 +50,12 @@ def run_key(kind: str, as_of: dt.datetime) -> str:
 
 
 def write_snapshot(df: DataFrame, base: str, table: str, snapshot_id: str, as_of: dt.datetime,
-                   sort_by_time: bool = True, infer: bool = False) -> dict:
-    """Write one snapshot (Snappy Parquet, micros timestamps) and log it.
+                   sort_by_time: bool = True, infer: bool = False, retain: dt.timedelta = dt.timedelta(0)) -> dict:
+    """Write one snapshot (Snappy Parquet, micros timestamps) and commit it with its log record.
 
     The row count is observed during the write itself (no second pass). ``infer`` casts text columns whose
     every value survives the cast and back; it reads ``df`` once more, and columns may differ between snapshots.
+    Folders of this snapshot that were superseded over ``retain`` ago are removed (readers may still hold a younger one).
     """
     spark = df.sparkSession
     if infer:
@@ -59,64 +68,55 @@ def write_snapshot(df: DataFrame, base: str, table: str, snapshot_id: str, as_of
     obs = Observation(f"snapshot_{table}_{snapshot_id}")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     path = f"{base.rstrip('/')}/{table}"
-    (
-        out.withColumn("snapshot_date", F.lit(date)).withColumn("snapshot_id", F.lit(snapshot_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy("snapshot_date", "snapshot_id")
-        .parquet(path)
-    )
+    snapshot = f"{path}/snapshot_date={date}/snapshot_id={snapshot_id}"
+    data = f"{snapshot}/commit={commits.fresh_id()}"
+    out.write.option("compression", "snappy").parquet(data)
     rows = int(obs.get.get("rows", 0))
-    partition = f"{path}/snapshot_date={date}/snapshot_id={snapshot_id}"
-    if not rows:
-        # A dynamic overwrite leaves partitions without new rows alone: an emptied snapshot is cleared here.
-        delete_path(spark, partition)
     record = {
         "table_name": table, "snapshot_date": date, "snapshot_id": snapshot_id, "rows": rows,
-        "size_mb": snapshot_size_mb(spark, partition) if rows else 0.0,
+        "size_mb": snapshot_size_mb(spark, data) if rows else 0.0,
         "columns": df.columns, "data_types": json.dumps(dict(df.dtypes)), "schema_json": df.schema.json(),
-        "path": path, "written_at": dt.datetime.now(),
+        "path": path, "data_path": data, "written_at": _now(),
     }
-    _log_row(spark, record).write.mode("append").parquet(f"{base.rstrip('/')}/_snapshot_log")
+    record = commits.append(spark, f"{base.rstrip('/')}/_snapshot_log", record)
+    if not rows:
+        delete_path(spark, data)     # an empty snapshot is its record alone
+    commits.retire(spark, snapshot, data.rsplit("/", 1)[1], record["commit_no"], retain)
     return record
 
 
-def _file_system(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+def sweep_snapshots(spark: SparkSession, base: str, older_than: dt.timedelta = dt.timedelta(days=1)) -> list[str]:
+    """Remove data folders that are no snapshot's newest commit (dead writers, superseded copies) and are older than ``older_than``."""
+    newest = (snapshot_log(spark, base).groupBy("table_name", "snapshot_date", "snapshot_id")
+              .agg(F.max_by("data_path", "commit_no").alias("data_path"), F.first("path").alias("path")))
+    kept: dict[str, set] = {}
+    for r in newest.select("path", "snapshot_date", "snapshot_id", "data_path").toLocalIterator():     # one row per snapshot
+        kept[f"{r['path']}/snapshot_date={r['snapshot_date']}/snapshot_id={r['snapshot_id']}"] = {r["data_path"].rsplit("/", 1)[1]}
+    gone = []
+    for table in [n for n in commits.children(spark, base) if not n.startswith("_")]:
+        for date in commits.children(spark, f"{base.rstrip('/')}/{table}"):
+            for snapshot in commits.children(spark, f"{base.rstrip('/')}/{table}/{date}"):
+                folder = f"{base.rstrip('/')}/{table}/{date}/{snapshot}"
+                gone += [f"{folder}/{n}" for n in commits.sweep(spark, folder, kept.get(folder, set()), older_than)]
+    return gone
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, p = _file_system(spark, path)
-    fs.delete(p, True)
+def _now() -> str:
+    return dt.datetime.now(dt.timezone.utc).isoformat()
 
 
 def snapshot_size_mb(spark: SparkSession, partition: str) -> float:
     """Bytes of one snapshot partition's files, from the file listing."""
-    fs, p = _file_system(spark, partition)
+    fs, p = file_system(spark, partition)
     return round(fs.getContentSummary(p).getLength() / (1024 * 1024), 4)
 
 
-def _log_row(spark: SparkSession, record: dict, schema: T.StructType = LOG_SCHEMA) -> DataFrame:
-    """One log row as literals (planned on the JVM; no Python worker)."""
-    cols = []
-    for f in schema.fields:
-        v = record[f.name]
-        if isinstance(f.dataType, T.ArrayType):
-            c = F.array(*[F.lit(x) for x in v]) if v else F.array()
-        else:
-            c = F.lit(v)
-        cols.append(c.cast(f.dataType).alias(f.name))
-    return spark.range(1).select(*cols)
-
-
 def snapshot_log(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(f"{base.rstrip('/')}/_snapshot_log").distinct()
+    return spark.read.schema(LOG_SCHEMA).json(f"{base.rstrip('/')}/_snapshot_log").distinct()
 
 
 def load_log(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(LOAD_SCHEMA).parquet(f"{base.rstrip('/')}/_load_log").distinct()
+    return spark.read.schema(LOAD_SCHEMA).json(f"{base.rstrip('/')}/_load_log").distinct()
 
 
 def compact_log(spark: SparkSession, base: str, max_files: int = LOG_FILES) -> bool:
@@ -126,18 +126,19 @@ def compact_log(spark: SparkSession, base: str, max_files: int = LOG_FILES) -> b
 
 
 def _compact(spark: SparkSession, path: str, schema: T.StructType, max_files: int) -> bool:
-    """Rewrite a log of more than ``max_files`` files as one file (a log row per write or load: small).
+    """Rewrite a log of more than ``max_files`` files as one file (a record per write or load: small).
 
     The new file is added before the old ones go, and readers ignore equal rows, so a job that dies in between
-    loses nothing; rows that others append meanwhile are in files this call has not listed and stay.
+    loses nothing; records that others append meanwhile are in files this call has not listed and stay.
     """
-    fs, p = _file_system(spark, path)
-    if not fs.exists(p):
-        return False
-    files = spark.read.schema(schema).parquet(path).inputFiles()
-    if len(files) <= max_files:
+    names = [n for n in commits.children(spark, path) if n.endswith(".json")]
+    if len(names) <= max_files:
         return False
-    spark.read.schema(schema).parquet(*files).distinct().coalesce(1).write.mode("append").parquet(path)
+    files = [f"{path}/{n}" for n in names]
+    # The new name starts with the last number, so that the next record gets a higher one.
+    last = max(int(n.split(".")[0]) for n in names)
+    lines = spark.read.text(files).distinct().toLocalIterator()
+    commits.put(spark, f"{path}/{last:0{commits.DIGITS}d}.{commits.fresh_id()}.json", [json.loads(r["value"]) for r in lines])
     for old in files:
         delete_path(spark, old)
     return True
@@ -158,15 +159,13 @@ def load_snapshot(spark: SparkSession, base: str, table: str, snapshot_id: str)
 
 def _load(spark: SparkSession, base: str, table: str, which) -> DataFrame:
     log = snapshot_log(spark, base).where((F.col("table_name") == table) & which)
-    latest = log.agg(F.max_by(F.struct(*LOG_SCHEMA.names),
-                              F.struct("written_at", "snapshot_id")).alias("l")).select("l.*").first()
+    latest = log.agg(F.max_by(F.struct(*LOG_SCHEMA.names), "commit_no").alias("l")).select("l.*").first()
     if latest is None or latest["snapshot_id"] is None:
         raise FileNotFoundError(f"no snapshot found for table {table!r} under {base}")
     schema = T.StructType.fromJson(json.loads(latest["schema_json"]))
-    record = {**latest.asDict(), "loaded_at": dt.datetime.now()}
-    _log_row(spark, record, LOAD_SCHEMA).write.mode("append").parquet(f"{base.rstrip('/')}/_load_log")
+    record = {k: v for k, v in latest.asDict().items() if k in LOAD_SCHEMA.names}
+    commits.append(spark, f"{base.rstrip('/')}/_load_log", {**record, "loaded_at": _now()}, key="load_no")
     if latest["rows"] == 0:
         return spark.createDataFrame([], schema)
-    # The one partition, with the logged schema: no listing of the others, no inference.
-    return spark.read.schema(schema).parquet(
-        f"{latest['path']}/snapshot_date={latest['snapshot_date']}/snapshot_id={latest['snapshot_id']}")
+    # The one commit, with the logged schema: no listing of the others, no inference.
+    return spark.read.schema(schema).parquet(latest["data_path"])

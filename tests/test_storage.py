@@ -83,3 +83,56 @@ def test_log_compaction_keeps_every_row(spark):
     assert len(snapshot_log(spark, base).inputFiles()) == 1
     write_snapshot(_df(spark, 9), base, "t", "k9", T0)
     assert load_latest(spark, base, "t").count() == 9 and snapshot_log(spark, base).count() == 5
+
+
+def test_writer_that_dies_before_its_record_changes_nothing(spark, monkeypatch):
+    import datetime as dt
+
+    from runlens.sinks import commits
+    from runlens.sinks.snapshots import sweep_snapshots
+
+    base = scratch_path(spark, "t-commit")
+    write_snapshot(_df(spark, 3), base, "t", "k1", T0)
+    with monkeypatch.context() as m:
+        m.setattr(commits, "append", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            write_snapshot(_df(spark, 8), base, "t", "k1", T0)
+    assert load_latest(spark, base, "t").count() == 3 and snapshot_log(spark, base).count() == 1
+    assert sweep_snapshots(spark, base) == []                       # too young: its writer might still commit
+    gone = sweep_snapshots(spark, base, dt.timedelta(0))
+    assert len(gone) == 1 and load_latest(spark, base, "t").count() == 3
+
+
+def test_concurrent_writers_of_one_snapshot(spark, monkeypatch):
+    """Another writer commits between this one's data and its record: both are whole, the later record wins."""
+    from runlens.sinks import commits
+
+    base = scratch_path(spark, "t-race")
+    real, turns = commits.append, []
+
+    def late(*args, **kw):
+        if not turns:
+            turns.append(1)
+            write_snapshot(_df(spark, 8), base, "t", "k1", T0)
+            assert load_latest(spark, base, "t").count() == 8
+        return real(*args, **kw)
+
+    monkeypatch.setattr(commits, "append", late)
+    write_snapshot(_df(spark, 3), base, "t", "k1", T0)
+    assert sorted(r["metric_value"] for r in load_latest(spark, base, "t").collect()) == [0.0, 1.0, 2.0]
+    assert spark.read.parquet(f"{base}/t").count() == 3 and snapshot_log(spark, base).count() == 2
+
+
+def test_record_numbers_are_given_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from runlens.sinks import commits
+
+    log = f"{scratch_path(spark, 't-log')}/_log"
+    commits.commit(spark, log, 1, {"a": 1})
+    with pytest.raises(commits.CommitConflict):
+        commits.commit(spark, log, 1, {"a": 2})
+    assert commits.read(spark, log, 1) == {"a": 1}
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda i: commits.append(spark, log, {"a": i})["commit_no"], range(12)))
+    assert len(commits.numbers(spark, log)) == 1 + len(set(got)) == 13
