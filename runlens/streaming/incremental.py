@@ -2,14 +2,14 @@
 
 Polling with an overlapping lookback reads each run many times; every extract is
 whole, so the newest copy of a (run_id, metric_name) wins - not the first one.
-Each micro-batch appends its rows to a history table partitioned by day, then
-recomputes only the days it touched from the latest-wins view of those days and
-overwrites those day partitions of the hourly table (dynamic partition overwrite;
-the history read is pruned to the touched days). After the
-stream drains, the hourly table equals the batch platform_hourly of the same rows.
-
-A run whose start moves to another day leaves a ``moved`` row in each day it is no longer in, so
-every day can be recomputed by itself and no run counts twice. Repair runs (``repair``) send the rows of
+Each micro-batch appends its rows to a history table by day, then
+recomputes only the days it touched from the latest-wins view of those days.
+After the stream drains, the hourly table equals the batch platform_hourly of the same rows.
+
+A run whose start moves to another day leaves a ``moved`` row in the day it is no longer in, so
+every day can be recomputed by itself and no run counts twice. On which day a run stands is looked up in the run index
+(see ``state``), so a batch reads its own days and its runs' index buckets, never the rest of the history. History rows,
+recomputed days and index rows of a batch become visible together. Repair runs (``repair``) send the rows of
 a longer lookback through the same handler.
 
 Windows over rows (lag, moving average) are not allowed on a stream; ``stored_trend`` and
@@ -19,16 +19,19 @@ Windows over rows (lag, moving average) are not allowed on a stream; ``stored_tr
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runlens import schemas as S
 from runlens.operators import summaries as sm
 from runlens.operators.enrich import enrich
 from runlens.operators.series import series_windows
-from runlens.sinks.snapshots import delete_path
+from runlens.sinks.commits import fresh_id
+from runlens.streaming.state import BUCKET_RUNS, MAX_FOLDERS, StreamTables, added, index_change
 
 
 def latest_wins(rows: DataFrame) -> DataFrame:
@@ -36,11 +39,15 @@ def latest_wins(rows: DataFrame) -> DataFrame:
 
     Rows marked ``moved`` (if there is such a column) stand behind the run's own rows and are not returned.
     """
+    newest = _newest(rows)
+    return newest.where(~F.col("moved")).drop("moved") if "moved" in rows.columns else newest
+
+
+def _newest(rows: DataFrame) -> DataFrame:
     moved = [F.col("moved")] if "moved" in rows.columns else []
     w = Window.partitionBy("run_id", "metric_name").orderBy(
         F.desc("extraction_timestamp"), F.desc("start_time"), *moved, F.desc("metric_value"))
-    newest = rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    return newest.where(~F.col("moved")).drop("moved") if moved else newest
+    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def land_extract(rows: DataFrame, landing: str, extracted_at: dt.datetime) -> None:
@@ -48,63 +55,75 @@ def land_extract(rows: DataFrame, landing: str, extracted_at: dt.datetime) -> No
     rows.withColumn("extraction_timestamp", F.lit(extracted_at)).write.mode("append").parquet(landing)
 
 
+def _day(start) -> F.Column:
+    return F.coalesce(F.date_format(start, "yyyy-MM-dd"), F.lit("none"))
+
+
 class HourlyUpdater:
-    """foreachBatch handler: history append + touched-day recompute."""
+    """foreachBatch handler: history append, run index, touched-day recompute, one commit."""
 
     def __init__(self, history: str, hourly: str, metadata: DataFrame, thresholds: DataFrame,
-                 as_of: dt.datetime | None = None) -> None:
+                 as_of: dt.datetime | None = None, bucket_runs: int = BUCKET_RUNS) -> None:
         self.history, self.hourly = history, hourly
         self.metadata, self.thresholds, self.as_of = metadata, thresholds, as_of
+        self.bucket_runs = bucket_runs
+        self.read_paths: list[str] = []     # what the last batch read of the stored tables
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stamped = batch.withColumn("moved", F.lit(False)).withColumn("day_key", F.date_format("start_time", "yyyy-MM-dd")).persist()
+        tables = StreamTables.beside(batch.sparkSession, self.history)
+        if 0 <= batch_id <= tables.state["batch"]:
+            return      # committed before a restart
+        stamped = batch.withColumn("moved", F.lit(False)).withColumn("day_key", _day("start_time")).persist()
+        runs = self._whereabouts(tables, stamped).persist()
         try:
-            self._append(stamped)
-            touched = _days(stamped)
-            if not touched:
-                return
-            # Two narrow columns of the history decide which runs of this batch also stand in other days.
-            runs = stamped.select("run_id").distinct()
-            copies = self._history(stamped).join(runs, "run_id", "left_semi")
-            newest = copies.where("not moved").groupBy("run_id").agg(
-                F.max(F.struct("extraction_timestamp", "start_time", "day_key")).alias("n"))
-            left = (copies.join(newest, "run_id").where(F.col("day_key") != F.col("n.day_key"))
-                    .withColumn("start_time", F.col("n.start_time")).withColumn("moved", F.lit(True))
-                    .withColumn("extraction_timestamp", F.col("n.extraction_timestamp"))
-                    .select(*stamped.columns).dropDuplicates(["run_id", "metric_name", "day_key"])).persist()
-            try:
-                gone = _days(left)
-                if gone:
-                    self._append(left)
-            finally:
-                left.unpersist()
+            # One row per calendar day that the batch's runs are in or were in.
+            days = {r["day"]: r["left"] for r in runs.select(F.explode("days").alias("day"), "newest").groupBy("day").agg(
+                F.max(F.col("day") != F.col("newest.day_key")).alias("left")).collect()}
+            if days:
+                self._store(tables, stamped, runs, days, batch_id)
         finally:
+            runs.unpersist()
             stamped.unpersist()
-        days = sorted({*touched, *gone})
-        # The day keys (one per calendar day) become a literal IN list, so the history read is pruned to those partitions.
-        current = latest_wins(self._history(stamped).where(F.col("day_key").isin(days)))
+        self.read_paths = tables.read_paths
+
+    def _whereabouts(self, tables: StreamTables, stamped: DataFrame) -> DataFrame:
+        """Per run of the batch: ``newest`` (extraction, start, day), all ``days`` it has rows in, whether it is new to the index."""
+        seen = stamped.groupBy("run_id").agg(
+            F.max(F.struct("extraction_timestamp", "start_time", "day_key")).alias("seen"), F.collect_set("day_key").alias("days"))
+        known = tables.whereabouts(seen).select("run_id", F.col("newest").alias("known"))
+        newest = F.greatest("seen", "known")
+        return seen.join(known, "run_id", "left").select(
+            "run_id", newest.alias("newest"), F.col("known").isNull().alias("fresh"), (~newest.eqNullSafe(F.col("known"))).alias("changed"),
+            F.when(F.col("known").isNull(), F.col("days")).otherwise(F.array_union("days", F.array("known.day_key"))).alias("days"))
+
+    def _store(self, tables: StreamTables, stamped: DataFrame, runs: DataFrame, days: dict[str, bool], batch_id: int) -> None:
+        commit, schema = fresh_id(), stamped.schema
+        rows, left = stamped, sorted(d for d, any_left in days.items() if any_left)
+        if left:
+            gone = runs.select("run_id", "newest", F.explode("days").alias("day_key")).where(F.col("day_key") != F.col("newest.day_key"))
+            old = tables.read("history", schema, left).where("not moved").select(*stamped.columns).unionByName(stamped.where(F.col("day_key").isin(left)))
+            marks = (old.join(gone, ["run_id", "day_key"]).withColumn("start_time", F.col("newest.start_time"))
+                     .withColumn("extraction_timestamp", F.col("newest.extraction_timestamp")).withColumn("moved", F.lit(True))
+                     .select(*stamped.columns).dropDuplicates(["run_id", "metric_name", "day_key"]))
+            rows = rows.unionByName(marks)
+        written = tables.write(rows.sortWithinPartitions("day_key"), "history", commit)
+        history = added(tables.state["history"], written, commit)
+        after = tables.with_changes({"history": history})
+        full = [d for d in sorted(days) if len(history.get(d, [])) > MAX_FOLDERS]
+        if full:    # a day of many small parts becomes one, of the rows that can still count
+            merged = fresh_id()
+            after.write(_newest(after.read("history", schema, full)).select(*stamped.columns), "history", merged)
+            history = {**history, **{d: [merged] for d in full}}
+            after = tables.with_changes({"history": history})
+        current = latest_wins(after.read("history", schema, sorted(days)))
         enriched = enrich(current.drop("day_key"), self.metadata, self.thresholds, self.as_of)
-        hourly = sm.platform_hourly(sm.run_status(enriched)).withColumn(
-            "day_key", F.date_format("time_hour", "yyyy-MM-dd"))
-        (hourly.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day_key").parquet(self.hourly))
-        if gone:
-            # A day that lost its last run has no row to overwrite it with.
-            kept = set(_days(current))
-            for day in set(gone) - kept:
-                delete_path(spark, f"{self.hourly}/day_key={day}")
-
-    def _append(self, rows: DataFrame) -> None:
-        rows.sortWithinPartitions("day_key").write.mode("append").partitionBy("day_key").parquet(self.history)
-
-    def _history(self, like: DataFrame) -> DataFrame:
-        return like.sparkSession.read.schema(like.schema).parquet(self.history)
-
-
-def _days(rows: DataFrame) -> list[str]:
-    """The distinct days of a batch: at most one string per calendar day."""
-    return [r[0] for r in rows.select("day_key").distinct().collect()]
+        hourly = sm.platform_hourly(sm.run_status(enriched)).withColumn("day_key", _day("time_hour"))
+        shown = tables.write(hourly, "hourly", commit)
+        hours = {d: c for d, c in tables.state["hourly"].items() if d not in days}      # a day that lost its last run is in no commit
+        change = {"history": history, "hourly": {**hours, **{d: commit for d in shown}},
+                  "schemas": {"history": schema.json(), "hourly": hourly.schema.json()}}
+        change |= index_change(tables, runs, commit, self.bucket_runs)
+        tables.commit(batch_id, change)
 
 
 def run_incremental(spark: SparkSession, landing: str, work: str, metadata: DataFrame,
@@ -132,18 +151,25 @@ def repair(rows: DataFrame, history: str, hourly: str, metadata: DataFrame, thre
     """Send the metric rows of a longer lookback (the 6-hour or 30-day run) through the stream's tables.
 
     Runs the polls missed come in, revised ones are replaced, and only the days of ``rows`` are recomputed.
-    Run it between two drains of the stream: both write the same day partitions.
+    Of a repair and a batch that commit at the same time one fails with ``CommitConflict`` and is run again.
     """
     stamped = rows.withColumn("extraction_timestamp", F.lit(extracted_at)).select(*[f.name for f in S.METRIC_ROW.fields])
     HourlyUpdater(history, hourly, metadata, thresholds, as_of)(stamped, -1)
 
 
+def _stored(spark: SparkSession, path: str, table: str) -> DataFrame:
+    tables = StreamTables.beside(spark, path)
+    if table not in tables.state["schemas"]:
+        raise FileNotFoundError(f"the stream has committed no batch beside {path}")
+    return tables.read(table, T.StructType.fromJson(json.loads(tables.state["schemas"][table]))).drop("day_key")
+
+
 def read_hourly(spark: SparkSession, hourly: str) -> DataFrame:
-    return spark.read.parquet(hourly).drop("day_key")
+    return _stored(spark, hourly, "hourly")
 
 
 def read_current(spark: SparkSession, history: str) -> DataFrame:
-    return latest_wins(spark.read.parquet(history).drop("day_key"))
+    return latest_wins(_stored(spark, history, "history"))
 
 
 def stored_trend(spark: SparkSession, hourly: str) -> DataFrame:
