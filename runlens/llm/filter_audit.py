@@ -29,14 +29,20 @@ from pyspark.sql import functions as F
 from runlens.llm.common import cut, words
 from runlens.operators.joins import sized_side
 
+SALT_ROWS = 500
+
 
 def duplicate_keys(docs: DataFrame) -> DataFrame:
     """(key, hash) of the rows of ``docs`` (key, hash, text) whose text a smaller key also has."""
-    several = cut(docs.groupBy("hash").agg((F.min("key") < F.max("key")).alias("several")).where("several").select("hash"), "audit-hashes")
-    shared = docs.join(sized_side(several), "hash", "left_semi")
-    first = shared.groupBy(F.col("hash").alias("h"), F.col("text").alias("t")).agg(F.min("key").alias("least"))
-    smaller = (shared["hash"] == first["h"]) & (shared["text"] == first["t"]) & (first["least"] < shared["key"])
-    return shared.join(first, smaller, "left_semi").select("key", "hash").distinct()
+    several = docs.groupBy("hash").agg((F.min("key") < F.max("key")).alias("several"), F.ceil(F.count("*") / SALT_ROWS).alias("salts"))
+    several = cut(several.where("several").select("hash", "salts"), "audit-hashes")
+    shared = docs.join(sized_side(several), "hash")
+    shared = shared.withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")))
+    # One row per text and salt: the copies of a text are spread over as many tasks as it has SALT_ROWS.
+    first = shared.groupBy(F.col("hash").alias("h"), F.col("text").alias("t"), "salts").agg(F.min("key").alias("least"))
+    first = first.select("h", "t", "least", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("s"))
+    same = (shared["hash"] == first["h"]) & (shared["salt"] == first["s"]) & (shared["text"] == first["t"])
+    return shared.join(first, same & (first["least"] < shared["key"]), "left_semi").select("key", "hash").distinct()
 
 
 def failures(df: DataFrame, key: str, text: str, part: str, filters: Mapping[str, Column], duplicate: str) -> DataFrame:
