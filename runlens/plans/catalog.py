@@ -540,6 +540,117 @@ def q_layout_infer(spark, sf_dir):
     return infer_types(text)
 
 
+@query("snapshot_typed")
+def q_snapshot_typed(spark, sf_dir):
+    """Text columns stored in the types that the sketch finds, and loaded as the same text."""
+    from runlens.session import scratch_path
+    from runlens.sinks.snapshots import load_latest, snapshot_log, write_snapshot
+
+    rows = build(spark, sf_dir).metric_rows
+    whole = F.floor("metric_value").cast("bigint").cast("string")
+    cents = F.lpad((F.regexp_extract("run_id", r"-(\d+)-", 1).cast("int") % 100).cast("string"), 2, "0")
+    text = rows.select(
+        "run_id", "metric_name", whole.alias("whole"), F.concat(whole, F.lit("."), cents).alias("price"),
+        F.concat(F.date_format("start_time", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:30")).alias("local_time"),
+        F.when(F.col("metric_name") == "click", "9007199254740993").otherwise("2.5").alias("mixed"))
+    base = scratch_path(spark, "typed")
+    write_snapshot(text, base, "texts", "typed", AS_OF, infer=True)
+    kinds = dict(load_latest(spark, base, "texts", physical=True).dtypes)
+    # One log row: which columns are dictionary-encoded.
+    layout = snapshot_log(spark, base).select("layout_json").first()[0]
+    encoded = F.from_json(F.lit(layout), "array<struct<column_name:string,dictionary:boolean>>")
+    coded = F.array_join(F.transform(F.filter(encoded, lambda x: x["dictionary"]), lambda x: x["column_name"]), ",")
+    return load_latest(spark, base, "texts").select(
+        *text.columns, *[F.lit(kinds[c]).alias(f"{c}_type") for c in ("whole", "price", "local_time", "mixed")], coded.alias("dictionary_columns"))
+
+
+@query("snapshot_logs")
+def q_snapshot_logs(spark, sf_dir):
+    """The write and load records that one table's snapshots leave (columns that do not depend on the clock)."""
+    from runlens.session import scratch_path
+    from runlens.sinks.snapshots import load_latest, load_log, load_snapshot, snapshot_log, write_snapshot
+
+    t, base = build(spark, sf_dir), scratch_path(spark, "logs")
+    rows = t.classified.select("run_id", "metric_name", "status")
+    write_snapshot(rows.where("status = 'critical'"), base, "classified", "first", AS_OF)
+    write_snapshot(rows, base, "classified", "second", AS_OF)
+    write_snapshot(rows.limit(0), base, "classified", "third", AS_OF)
+    load_latest(spark, base, "classified")
+    load_snapshot(spark, base, "classified", "second")
+    load_snapshot(spark, base, "classified", "second")
+    common = ["table_name", "snapshot_id", "snapshot_date", "rows", F.array_join("columns", ",").alias("columns"), "data_types",
+              ((F.col("size_mb") > 0) == (F.col("rows") > 0)).alias("sized")]
+    written = snapshot_log(spark, base).select(F.lit("write").alias("event"), "commit_no", *common)
+    return written.unionByName(load_log(spark, base).select(F.lit("load").alias("event"), "commit_no", *common))
+
+
+@query("sink_order")
+def q_sink_order(spark, sf_dir):
+    """Order inside and across the files of the three dashboard tables as a job writes them, and of a shuffled copy."""
+    from functools import reduce
+
+    from runlens.operators import summaries as sm
+    from runlens.session import scratch_path
+    from runlens.sinks.order import inversions
+    from runlens.sinks.snapshots import write_snapshot
+
+    t, base = build(spark, sf_dir), scratch_path(spark, "order")
+    by_app = [("application", False), ("timestamp", True)]
+    platform = sm.platform_summary(t.classified, AS_OF)
+    outputs = {
+        "platform_summary": (platform, [("timestamp", True)]),
+        "application_summary": (sm.application_summary(t.classified, AS_OF).drop("metrics"), by_app),
+        "metric_timeseries": (sm.sort_timeseries(sm.metric_timeseries(t.enriched, AS_OF)),
+                              [("application", False), ("metric_name", False), ("timestamp", False)]),
+        "shuffled": (platform.repartition(3, F.xxhash64("timestamp")).sortWithinPartitions(F.xxhash64("timestamp")), [("timestamp", True)]),
+    }
+    checked = []
+    for name, (df, keys) in outputs.items():
+        record = write_snapshot(df, base, name, "order", AS_OF, sort_by_time=False)
+        stored = spark.read.schema(df.schema).parquet(record["data_path"])
+        checked.append(inversions(stored, keys).select(
+            F.lit(name).alias("table_name"), "rows", (F.col("inside") == 0).alias("ordered_inside"), (F.col("across") == 0).alias("ordered_across")))
+    return reduce(lambda a, b: a.unionByName(b), checked)
+
+
+def _job_metrics(spark, sf_dir):
+    """The stored metrics table of a backup job replayed at the end of the busiest hour."""
+    from runlens.plans.jobs import backup_job
+    from runlens.session import scratch_path
+
+    t, base = build(spark, sf_dir), scratch_path(spark, "job-metrics")
+    job = backup_job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base, _busiest(t))
+    return job["metrics"]
+
+
+@query("job_metrics_table")
+def q_job_metrics_table(spark, sf_dir):
+    """Rows, megabytes, durations and status shares of a job as stored; the clock's values as whether they are positive."""
+    counted = F.col("unit").isin("records", "%")
+    return _job_metrics(spark, sf_dir).select("name", "unit", round6(F.when(counted, F.col("value"))).alias("value"), (F.col("value") > 0).alias("positive"))
+
+
+@query("job_metrics_overview")
+def q_job_metrics_overview(spark, sf_dir):
+    """Summary (count, distinct names, time range) of a job's metrics."""
+    from runlens.sinks import metric_log
+
+    return metric_log.summary(_job_metrics(spark, sf_dir)).select(
+        "total_metrics", F.array_join("metric_types", ",").alias("metric_types"), (F.col("time_range_start") < F.col("time_range_end")).alias("spans_time"))
+
+
+@query("job_metrics_newest")
+def q_job_metrics_newest(spark, sf_dir):
+    """The ten newest values of a job's metrics, newest first."""
+    from pyspark.sql import Window
+
+    from runlens.sinks import metric_log
+
+    newest = metric_log.newest(_job_metrics(spark, sf_dir))     # ten rows
+    order = Window.orderBy(F.desc("timestamp"), "name", "value")
+    return newest.select(F.row_number().over(order).alias("position"), "name", "unit")
+
+
 @query("job_metrics_summary")
 def q_job_metrics_summary(spark, sf_dir):
     """Data volumes and the status distribution, appended to the metrics table and read back."""
@@ -777,22 +888,25 @@ def q_backup_job(spark, sf_dir):
     return _replayed(spark, sf_dir, backup_job)
 
 
+def _busiest(t):
+    """The end of the hour in which the most runs started (ties: the later hour)."""
+    import datetime as dt
+
+    per_hour = t.runs.groupBy(F.date_trunc("hour", "start_time").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    return per_hour.agg(F.max_by("h", F.struct("n", "h"))).first()[0] + dt.timedelta(hours=1)
+
+
 def _replayed(spark, sf_dir, job):
     """Run a job at the end of the hour in which the most runs
     started (a scalar read from the data; ties: the later hour); returns the enriched
     snapshot it wrote, whose moving averages and forecasts cover that extract only."""
-    import datetime as dt
-
     from runlens.session import scratch_path
     from runlens.sinks.snapshots import load_latest
     from runlens.sources import fixtures as fx
 
     t = build(spark, sf_dir)
-    per_hour = t.runs.groupBy(F.date_trunc("hour", "start_time").alias("h")).agg(F.count(F.lit(1)).alias("n"))
-    busiest = per_hour.agg(F.max_by("h", F.struct("n", "h"))).first()[0]
-    as_of = busiest + dt.timedelta(hours=1)
     base = scratch_path(spark, "jobs")
-    job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base, as_of)
+    job(spark, t.runs, t.experiments, t.metadata, t.thresholds, base, _busiest(t))
     e = load_latest(spark, base, "enriched_metrics")
     return e.select("run_id", "metric_name", "status", round6(F.col("metric_value")).alias("metric_value"),
                     round6(F.col("moving_avg_24h")).alias("moving_avg_24h"),

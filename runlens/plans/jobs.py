@@ -40,7 +40,7 @@ def run_job(spark: SparkSession, runs: DataFrame, experiments: DataFrame, metada
     with _timed(steps, "ingest"):
         scanned = scan_runs(runs, experiments, as_of, lookback, experiment_filter)
         rows = flatten_runs(scanned, experiments, as_of)
-        written["raw_metric_rows"] = write_snapshot(rows, out_base, "raw_metric_rows", key, as_of)
+        written["raw_metric_rows"] = write_snapshot(rows, out_base, "raw_metric_rows", key, as_of, infer=True)
     with _timed(steps, "enrich"):
         rows = load_snapshot(spark, out_base, "raw_metric_rows", key)
         enriched = series_windows(enrich(rows, metadata, thresholds, as_of))

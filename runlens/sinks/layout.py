@@ -1,7 +1,14 @@
-"""Write layout: lossless type inference for text columns, time-sorted files."""
+"""Write layout: types and dictionary encoding of text columns from one sketch pass, time-sorted files.
+
+``sketch`` reads a table once and decides per text column how it is stored: bigint, decimal(p, s), double, timestamp or text, and
+whether a text column is dictionary-encoded. A type is chosen only if every value comes back as the same
+text; ``restore`` does that, so a table can be stored typed and read as it was.
+"""
 
 from __future__ import annotations
 
+from dataclasses import asdict, dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +38,8 @@ def _candidates(df: DataFrame) -> list[str]:
 
 
 def infer_types(df: DataFrame) -> DataFrame:
-    """(column_name, inferred_type) for text columns where a cast loses nothing:
-    every non-null value parses (bigint, then double; ``*_time`` / ``*_timestamp``
-    as timestamps). One aggregate pass over all candidate columns."""
+    """(column_name, inferred_type) for text columns where every non-null value parses and prints as the same text
+    (bigint, then double; ``*_time`` / ``*_timestamp`` as timestamps). One aggregate pass over all candidate columns."""
     cols = _candidates(df)
     if not cols:
         return df.sparkSession.range(0).select(F.lit("").alias("column_name"), F.lit("").alias("inferred_type"))
@@ -46,7 +52,8 @@ def infer_types(df: DataFrame) -> DataFrame:
         # A value counts only if its text survives the cast and back: 007, 1d, 2.50 or
         # twenty decimals stay text.
         as_int = x.rlike(INT_TEXT) & x.try_cast("bigint").cast("string").eqNullSafe(x)
-        as_num = x.rlike(NUM_TEXT) & (as_int | x.try_cast("double").cast("string").eqNullSafe(x))
+        # Whole numbers count as double only in a column of their own type: 5 beside 2.5 would come back as 5.0.
+        as_num = x.rlike(NUM_TEXT) & x.try_cast("double").cast("string").eqNullSafe(x)
         aggs += [
             F.count(x).alias(f"n{i}"),
             F.count_if(x.isNotNull() & ~as_int).alias(f"b{i}"),
@@ -69,17 +76,122 @@ def infer_types(df: DataFrame) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.array(*entries)))
 
 
-def apply_types(df: DataFrame, inferred: dict[str, str]) -> DataFrame:
-    """Cast columns per an inference result (collected: one row per column, bounded)."""
-    out = df
-    for c, t in inferred.items():
-        if t == "timestamp":
-            out = out.withColumn(c, F.try_to_timestamp(F.col(f"`{c}`")))
-        elif t != "string":
-            out = out.withColumn(c, F.col(f"`{c}`").cast(t))
-    return out
+# A text column is dictionary-encoded below this share and number of distinct values.
+DICTIONARY_SHARE, DICTIONARY_VALUES = 0.5, 1000
+
+INT_CANONICAL = r"^(0|-?[1-9][0-9]*)$"
+DECIMAL_CANONICAL = r"^-?(0|[1-9][0-9]*)\.[0-9]{1,6}$"     # more digits could print with an exponent
+TIME_PARTS = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})([ T])([0-9]{2}:[0-9]{2}:[0-9]{2})(?:\.([0-9]{1,6}))?(Z|[+-][0-9]{2}:[0-9]{2})?$"
+
+
+@dataclass(frozen=True)
+class ColumnLayout:
+    """How a text column is stored; ``separator``, ``digits`` and ``suffix`` are those of its timestamps."""
+
+    column_name: str
+    inferred_type: str
+    dictionary: bool
+    separator: str = " "
+    digits: int = 0
+    suffix: str = ""
+
+
+def _instant(x):
+    """A text timestamp as the number of microseconds its local part would have in UTC."""
+    local = F.concat_ws(" ", F.regexp_extract(x, TIME_PARTS, 1), F.regexp_extract(x, TIME_PARTS, 3))
+    micros = F.rpad(F.regexp_extract(x, TIME_PARTS, 4), 6, "0").try_cast("bigint")
+    return F.unix_micros(F.concat(local, F.lit("Z")).try_cast("timestamp")) + F.coalesce(micros, F.lit(0))
+
+
+def _offset_us(suffix: str) -> int:
+    if suffix in ("", "Z"):
+        return 0
+    return (1 if suffix[0] == "+" else -1) * (int(suffix[1:3]) * 60 + int(suffix[4:6])) * 60_000_000
 
 
-def typed(df: DataFrame) -> DataFrame:
-    """``df`` with the inferred types."""
-    return apply_types(df, {r["column_name"]: r["inferred_type"] for r in infer_types(df).collect()})
+def _local_text(micros, layout: ColumnLayout):
+    """The text of a local time given as microseconds in UTC, whatever the session's zone."""
+    days, rest = F.floor(micros / 86_400_000_000), F.pmod(micros, F.lit(86_400_000_000))
+    seconds = F.floor(rest / 1_000_000)
+    clock = F.format_string("%02d:%02d:%02d", F.floor(seconds / 3600).cast("int"), F.floor(seconds / 60 % 60).cast("int"), (seconds % 60).cast("int"))
+    fraction = F.substring(F.lpad((rest % 1_000_000).cast("string"), 6, "0"), 1, layout.digits)
+    point = F.concat(F.lit("."), fraction) if layout.digits else F.lit("")
+    return F.concat(F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int")).cast("string"), F.lit(layout.separator), clock, point, F.lit(layout.suffix))
+
+
+def _zone_us(ts):
+    """Microseconds that the session's zone is ahead of UTC at an instant."""
+    return F.unix_micros(F.concat(ts.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp")) - F.unix_micros(ts)
+
+
+def sketch(df: DataFrame) -> list[ColumnLayout]:
+    """The layout of each text column, from one aggregate over ``df`` (one row per column reaches the driver)."""
+    cols = [c for c, t in df.dtypes if t == "string" and c not in NESTED_SKIP]
+    if not cols:
+        return []
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(cols):
+        x = F.col(f"`{c}`")
+        fixed = c.endswith("_id") or c == "run_name"       # identifiers stay text
+        number = x.rlike(DECIMAL_CANONICAL) & ~x.rlike(r"^-0\.0*$")
+        aggs += [
+            F.count(x).alias(f"n{i}"), F.approx_count_distinct(x, 0.01).alias(f"u{i}"),
+            F.count_if(x.isNotNull() & ~(x.rlike(INT_CANONICAL) & x.try_cast("bigint").isNotNull())).alias(f"int{i}"),
+            F.count_if(x.isNotNull() & ~number).alias(f"dec{i}"),
+            F.min(F.length(F.regexp_extract(x, r"\.([0-9]+)$", 1))).alias(f"lo{i}"),
+            F.max(F.length(F.regexp_extract(x, r"\.([0-9]+)$", 1))).alias(f"hi{i}"),
+            F.max(F.length(F.regexp_extract(x, r"^-?([0-9]+)", 1))).alias(f"whole{i}"),
+            F.count_if(x.isNotNull() & ~(x.rlike(NUM_TEXT) & x.try_cast("double").cast("string").eqNullSafe(x))).alias(f"dbl{i}"),
+            F.lit(fixed).alias(f"fixed{i}"),
+        ]
+        if _is_time_name(c):
+            shape = F.when(x.rlike(TIME_PARTS), F.struct(
+                F.regexp_extract(x, TIME_PARTS, 2).alias("separator"), F.length(F.regexp_extract(x, TIME_PARTS, 4)).alias("digits"),
+                F.regexp_extract(x, TIME_PARTS, 5).alias("suffix")))
+            plain = x.try_cast("timestamp")
+            # Without an offset the text is a time of the session's zone; hours that the zone skips do not come back.
+            shifted = (F.regexp_extract(x, TIME_PARTS, 5) == "") & (F.unix_micros(plain) + _zone_us(plain) != _instant(x))
+            aggs += [F.count_if(x.isNotNull() & (shape.isNull() | _instant(x).isNull() | plain.isNull() | shifted)).alias(f"ts{i}"),
+                     F.min(shape).alias(f"first{i}"), F.max(shape).alias(f"last{i}")]
+    r = df.agg(*aggs).first()
+    return [_decide(r, i, c) for i, c in enumerate(cols)]
+
+
+def _decide(r, i: int, column: str) -> ColumnLayout:
+    few = bool(r["rows"]) and r[f"u{i}"] < DICTIONARY_SHARE * r["rows"] and r[f"u{i}"] < DICTIONARY_VALUES
+    if r[f"fixed{i}"] or not r[f"n{i}"]:
+        return ColumnLayout(column, "string", few)
+    if not r[f"int{i}"]:
+        return ColumnLayout(column, "bigint", False)
+    if not r[f"dec{i}"] and r[f"lo{i}"] == r[f"hi{i}"] and r[f"whole{i}"] + r[f"hi{i}"] <= 38:
+        return ColumnLayout(column, f"decimal({r[f'whole{i}'] + r[f'hi{i}']},{r[f'hi{i}']})", False)
+    if not r[f"dbl{i}"]:
+        return ColumnLayout(column, "double", False)
+    if _is_time_name(column) and not r[f"ts{i}"] and r[f"first{i}"] == r[f"last{i}"]:
+        return ColumnLayout(column, "timestamp", False, **r[f"first{i}"].asDict())
+    return ColumnLayout(column, "string", few)
+
+
+def stored_types(df: DataFrame, layouts: list[ColumnLayout]) -> DataFrame:
+    """``df`` with each text column in its stored type."""
+    return df.withColumns({x.column_name: F.col(f"`{x.column_name}`").cast(x.inferred_type) for x in layouts if x.inferred_type != "string"})
+
+
+def restore(df: DataFrame, layouts: list[ColumnLayout]) -> DataFrame:
+    """The text columns as they were before ``stored_types``."""
+    def text(x: ColumnLayout):
+        c = F.col(f"`{x.column_name}`")
+        if x.inferred_type != "timestamp":
+            return c.cast("string")
+        return _local_text(F.unix_micros(c) + (_zone_us(c) if not x.suffix else F.lit(_offset_us(x.suffix))), x)
+
+    return df.withColumns({x.column_name: text(x) for x in layouts if x.inferred_type != "string"})
+
+
+def writer_options(layouts: list[ColumnLayout]) -> dict[str, str]:
+    """Parquet options that leave text columns of many values plain."""
+    return {f"parquet.enable.dictionary#{x.column_name}": str(x.dictionary).lower() for x in layouts if x.inferred_type == "string"}
+
+
+def as_records(layouts: list[ColumnLayout]) -> list[dict]:
+    return [asdict(x) for x in layouts]

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from runlens.sinks import commits
 from runlens.sinks.commits import delete_path, file_system
-from runlens.sinks.layout import first_time_column, typed
+from runlens.sinks.layout import ColumnLayout, as_records, first_time_column, restore, sketch, stored_types, writer_options
 
 LOG_FILES = 64      # a log of more files is compacted by the next job
 
@@ -34,13 +34,14 @@ LOG_SCHEMA = T.StructType([
     T.StructField("columns", T.ArrayType(T.StringType())),
     T.StructField("data_types", T.StringType()),
     T.StructField("schema_json", T.StringType()),
+    T.StructField("layout_json", T.StringType()),
     T.StructField("path", T.StringType()),
     T.StructField("data_path", T.StringType()),
     T.StructField("commit_no", T.LongType()),
     T.StructField("written_at", T.TimestampType()),
 ])
 
-LOAD_SCHEMA = T.StructType([*[f for f in LOG_SCHEMA.fields if f.name not in ("schema_json", "written_at")],
+LOAD_SCHEMA = T.StructType([*[f for f in LOG_SCHEMA.fields if f.name not in ("schema_json", "layout_json", "written_at")],
                             T.StructField("loaded_at", T.TimestampType())])
 
 
@@ -53,15 +54,14 @@ def write_snapshot(df: DataFrame, base: str, table: str, snapshot_id: str, as_of
                    sort_by_time: bool = True, infer: bool = False, retain: dt.timedelta = dt.timedelta(0)) -> dict:
     """Write one snapshot (Snappy Parquet, micros timestamps) and commit it with its log record.
 
-    The row count is observed during the write itself (no second pass). ``infer`` casts text columns whose
-    every value survives the cast and back; it reads ``df`` once more, and columns may differ between snapshots.
+    The row count is observed during the write itself (no second pass). ``infer`` stores text columns in the types and
+    encodings that ``layout.sketch`` finds, which reads ``df`` once more; loads give the texts back.
     Folders of this snapshot that were superseded over ``retain`` ago are removed (readers may still hold a younger one).
     """
     spark = df.sparkSession
-    if infer:
-        df = typed(df)
+    layouts = sketch(df) if infer else []
     date = as_of.strftime("%Y-%m-%d")
-    out = df
+    out = stored_types(df, layouts)
     tcol = first_time_column(df) if sort_by_time else None
     if tcol:
         out = out.sortWithinPartitions(tcol)
@@ -70,12 +70,13 @@ def write_snapshot(df: DataFrame, base: str, table: str, snapshot_id: str, as_of
     path = f"{base.rstrip('/')}/{table}"
     snapshot = f"{path}/snapshot_date={date}/snapshot_id={snapshot_id}"
     data = f"{snapshot}/commit={commits.fresh_id()}"
-    out.write.option("compression", "snappy").parquet(data)
+    out.write.option("compression", "snappy").options(**writer_options(layouts)).parquet(data)
     rows = int(obs.get.get("rows", 0))
     record = {
         "table_name": table, "snapshot_date": date, "snapshot_id": snapshot_id, "rows": rows,
         "size_mb": snapshot_size_mb(spark, data) if rows else 0.0,
-        "columns": df.columns, "data_types": json.dumps(dict(df.dtypes)), "schema_json": df.schema.json(),
+        "columns": df.columns, "data_types": json.dumps(dict(out.dtypes)), "schema_json": df.schema.json(),
+        "layout_json": json.dumps(as_records(layouts)),
         "path": path, "data_path": data, "written_at": _now(),
     }
     record = commits.append(spark, f"{base.rstrip('/')}/_snapshot_log", record)
@@ -144,20 +145,20 @@ def _compact(spark: SparkSession, path: str, schema: T.StructType, max_files: in
     return True
 
 
-def load_latest(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """The newest logged snapshot of ``table``.
+def load_latest(spark: SparkSession, base: str, table: str, physical: bool = False) -> DataFrame:
+    """The newest logged snapshot of ``table``, with the types it was given (``physical``: as stored).
 
     An empty snapshot yields a typed empty frame; no snapshot at all raises.
     """
-    return _load(spark, base, table, F.lit(True))
+    return _load(spark, base, table, F.lit(True), physical)
 
 
-def load_snapshot(spark: SparkSession, base: str, table: str, snapshot_id: str) -> DataFrame:
+def load_snapshot(spark: SparkSession, base: str, table: str, snapshot_id: str, physical: bool = False) -> DataFrame:
     """The snapshot of ``table`` under one run key, whatever other jobs wrote since."""
-    return _load(spark, base, table, F.col("snapshot_id") == snapshot_id)
+    return _load(spark, base, table, F.col("snapshot_id") == snapshot_id, physical)
 
 
-def _load(spark: SparkSession, base: str, table: str, which) -> DataFrame:
+def _load(spark: SparkSession, base: str, table: str, which, physical: bool) -> DataFrame:
     log = snapshot_log(spark, base).where((F.col("table_name") == table) & which)
     latest = log.agg(F.max_by(F.struct(*LOG_SCHEMA.names), "commit_no").alias("l")).select("l.*").first()
     if latest is None or latest["snapshot_id"] is None:
@@ -167,5 +168,9 @@ def _load(spark: SparkSession, base: str, table: str, which) -> DataFrame:
     commits.append(spark, f"{base.rstrip('/')}/_load_log", {**record, "loaded_at": _now()}, key="load_no")
     if latest["rows"] == 0:
         return spark.createDataFrame([], schema)
-    # The one commit, with the logged schema: no listing of the others, no inference.
-    return spark.read.schema(schema).parquet(latest["data_path"])
+    # The one commit, with the logged types: no listing of the others, no inference.
+    layouts = [ColumnLayout(**x) for x in json.loads(latest["layout_json"])]
+    kinds = {x.column_name: x.inferred_type for x in layouts}
+    stored = T.StructType([T.StructField(f.name, T._parse_datatype_string(kinds[f.name])) if f.name in kinds else f for f in schema.fields])
+    found = spark.read.schema(stored).parquet(latest["data_path"])
+    return found if physical else restore(found, layouts)

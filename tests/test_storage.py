@@ -136,3 +136,94 @@ def test_record_numbers_are_given_once(spark):
     with ThreadPoolExecutor(4) as pool:
         got = list(pool.map(lambda i: commits.append(spark, log, {"a": i})["commit_no"], range(12)))
     assert len(commits.numbers(spark, log)) == 1 + len(set(got)) == 13
+
+
+TEXTS = {
+    "whole": (["0", "-7", "9007199254740993"], "bigint"),
+    "mixed": (["9007199254740993", "2.5", None], "string"),
+    "padded": (["007", "8", "9"], "string"),
+    "signed_zero": (["-0.0", "1.5", "2.5"], "double"),
+    "price": (["2.50", "0.05", "123456789012345678901234567890.25"], "decimal(32,2)"),
+    "scales": (["2.5", "0.125", "1.0E10"], "double"),
+    "deep": (["0.0000000001", "0.1234567891", "1.1234567891"], "string"),
+    "suffixes": (["1d", "2f", "1e400"], "string"),
+    "wide": (["99999999999999999999", "1", "2"], "string"),
+    "spaces": ([" 5 ", "6", "7"], "string"),
+    "odd": (["NaN", "Infinity", "1.5"], "string"),
+    "none": ([None, None, None], "string"),
+    "a_time": (["2024-01-31 23:59:59", "1969-12-31 00:00:00", None], "timestamp"),
+    "b_time": (["2024-01-31T23:59:59.25Z", "0001-01-01T00:00:00.00Z", "9999-12-31T23:59:59.99Z"], "timestamp"),
+    "c_timestamp": (["2024-01-31 23:59:59.000001+05:30", "2024-03-10 02:30:00.123456+05:30", "1900-01-01 00:00:00.000000+05:30"], "timestamp"),
+    "zones_time": (["2024-01-31 23:59:59+05:00", "2024-01-31 23:59:59+06:00", None], "string"),
+    "long_time": (["2024-01-31 23:59:59.1234567", "2024-01-31 23:59:59.1234567", None], "string"),
+    "bad_time": (["2024-02-30 00:00:00", "2024-02-28 00:00:00", None], "string"),
+    "day_time": (["2024-02-28", "2024-02-27", None], "string"),
+    "when": (["2024-01-31 23:59:59", "2024-01-31 23:59:58", None], "string"),
+    "user_id": (["1", "2", "3"], "string"),
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_typed_snapshots_give_every_text_back(spark, zone):
+    from runlens.sinks.layout import sketch
+
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(list(zip(*[v for v, _ in TEXTS.values()])), ", ".join(f"{c} string" for c in TEXTS))
+        assert {x.column_name: x.inferred_type for x in sketch(df)} == {c: t for c, (_, t) in TEXTS.items()}
+        base = scratch_path(spark, "t-typed")
+        write_snapshot(df, base, "t", "k", T0, infer=True)
+        back = load_latest(spark, base, "t")
+        assert back.schema == df.schema
+        assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+        stored = dict(load_latest(spark, base, "t", physical=True).dtypes)
+        assert stored == {c: t for c, (_, t) in TEXTS.items()}
+        assert infer_types(df.select("mixed")).first()["inferred_type"] == "string"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_hours_that_the_zone_skips_stay_text(spark):
+    from runlens.sinks.layout import sketch
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-03-10 02:30:00", "2024-03-10 02:30:00Z")], "a_time string, b_time string")
+        assert [x.inferred_type for x in sketch(df)] == ["string", "timestamp"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_dictionary_decision_reaches_the_files(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    base = scratch_path(spark, "t-dictionary")
+    df = spark.range(3000).selectExpr("concat('k', id % 7) AS few", "concat('k', id) AS many", "concat('k', id % 1700) AS over")
+    record = write_snapshot(df.coalesce(1), base, "t", "k", T0, infer=True)
+    meta = pq.ParquetFile(glob.glob(f"{record['data_path']}/*.parquet")[0]).metadata.row_group(0)
+    encoded = {meta.column(i).path_in_schema: any("DICTIONARY" in e for e in meta.column(i).encodings) for i in range(3)}
+    assert encoded == {"few": True, "many": False, "over": False}
+
+
+def test_order_check_sees_every_seam(spark, monkeypatch):
+    from runlens.sinks import order
+
+    monkeypatch.setattr(order, "BLOCK", 3)
+    keys = [("a", False), ("b", True)]
+
+    def check(parts, keys=keys):
+        base = scratch_path(spark, "t-order")
+        rows = spark.sparkContext.parallelize(parts, len(parts)).flatMap(list)      # one file per part
+        spark.createDataFrame(rows, "a string, b long").write.parquet(base)
+        r = order.inversions(spark.read.parquet(base), keys).first()
+        return r["rows"], r["files"], r["inside"], r["across"]
+
+    good = [[(None, 5), (None, None), ("a", 3), ("a", 3), ("a", None)], [("b", 9), ("b", 1), ("c", 7), ("d", 7)]]
+    assert check(good) == (9, 2, 0, 0)
+    assert check(good[::-1]) == (9, 2, 0, 1)
+    assert check([[("a", 1), ("a", 2), ("a", 3), ("a", 2)], [("b", 0)]]) == (5, 2, 2, 0)      # one of them at a block's seam or inside
+    assert check([[("a", 3), ("a", 2), ("a", 1), ("a", 9)]])[2] == 1                          # at the seam of two blocks
+    assert check([[("b", 1), (None, 1)]]) == (2, 1, 1, 0)
+    assert check([[]])[2:] == (0, 0)
