@@ -9,10 +9,12 @@ whose text by role is the same (copies, print views) count as one. Per node, m b
   entropy log_m(n): one that is on every page tells nothing, one that is on a single page is content;
 - importance: ``(1 - GAMMA) * presentation + GAMMA * content``. A node seen on one page only has importance 1.
 
-Branches under ``THRESHOLD`` are removed from the host's pages that mark no main part. Elements whose role HTML states are
+Branches under ``THRESHOLD`` are removed from the host's pages. Elements whose role HTML states are
 not left to statistics: navigation, page header and footer, asides, forms, scripts, styles and elements whose
-class, id or role says advert, menu, notice, comments and so on go; where a page marks its main part (article,
-main, role=main) that is read, and all of it. Single paragraphs and headings are never judged by entropy, so a text that
+class, id or role says advert, menu, notice, comments and so on go, articles of that kind too; a form that wraps most of a page's text loses only its
+controls and labels. Of the parts a page marks (article, main, role=main) and the text outside them, the one with the
+most text outside low branches is read (the only marked part of a page counts twice). Inside a marked part a branch goes only if it is low and as common as the
+site's frame: on at least ``COMMON_PAGES`` pages and half of the host's. Single paragraphs and headings are never judged by entropy, so a text that
 many pages quote stays.
 
 The tree is built in Spark: tasks list (host, path, feature, content digest), distinct ones are counted by key, and a host's low branches
@@ -40,6 +42,7 @@ from runlens.llm.common import as_row, cut, from_row
 
 GAMMA = 0.9
 THRESHOLD = 0.5
+COMMON_PAGES = 5
 MAX_DEPTH = 64
 
 # The roles HTML gives its elements.
@@ -51,7 +54,7 @@ BLOCK = frozenset(
 CONTAINER = frozenset(
     "article aside center details dialog div dl fieldset figure footer form header main menu nav ol section table ul".split())
 DROPPED = frozenset(
-    "head title script style noscript template nav footer aside form button select textarea input iframe object "
+    "head title script style noscript template nav footer aside button select textarea input label iframe object "
     "svg canvas audio video map menu dialog search".split())
 MAIN = frozenset(("article", "main"))
 DROPPED_ROLES = frozenset(
@@ -89,7 +92,7 @@ def _names(attrs: dict[str, str | None]) -> list[str]:
 def _says_dropped(tag: str, attrs: dict, in_main: bool) -> bool:
     if tag in DROPPED or tag == "header" and not in_main:
         return True
-    if tag in ("html", "body", "main", "article"):
+    if tag in ("html", "body"):
         return False
     if (attrs.get("role") or "").strip().lower() in DROPPED_ROLES or "hidden" in attrs:
         return True
@@ -104,23 +107,26 @@ def _names_dropped(name: str) -> bool:
 
 
 class _Open:
-    """An open element; ``block`` is the block element its text belongs to (itself or the nearest outside)."""
+    """An open element; ``block`` is the block element its text belongs to (itself or the nearest outside), ``part`` the number of
+    the outermost marked part it is in, ``form`` whether it is in a form."""
 
-    __slots__ = ("tag", "path", "dropped", "main", "children", "block")
+    __slots__ = ("tag", "path", "dropped", "part", "form", "children", "block")
 
-    def __init__(self, tag, path, dropped, main, parent=None):
-        self.tag, self.path, self.dropped, self.main, self.children = tag, path, dropped, main, []
+    def __init__(self, tag, path, dropped, part, form, parent=None):
+        self.tag, self.path, self.dropped, self.part, self.form, self.children = tag, path, dropped, part, form, []
         self.block = self if parent is None or tag in BLOCK else parent.block
 
 
 class Page(HTMLParser):
-    """Blocks of one page: (container path, dropped by role, inside the marked main part, text); and the
+    """Blocks of one page, (container path, dropped by role, number of the marked part or 0, text), and the
     child styles of each container."""
 
     def __init__(self, html: str | None):
         super().__init__(convert_charrefs=True)
-        self.stack = [_Open("", (), False, False)]
-        self.blocks: list[tuple[tuple, bool, bool, str]] = []
+        self.stack = [_Open("", (), False, 0, False)]
+        self.blocks: list[tuple[tuple, bool, int, str]] = []
+        self.in_form: list[bool] = []
+        self.parts = 0
         self.styles: list[tuple[tuple, tuple]] = []
         self.text: list[str] = []
         self.feed(html or "")
@@ -128,6 +134,10 @@ class Page(HTMLParser):
         self._end_block()
         while len(self.stack) > 1:
             self._pop()
+        # A form goes, unless it holds most of what the roles leave.
+        sizes = [len(b[3]) * (not b[1]) for b in self.blocks]
+        if 2 * sum(n for n, form in zip(sizes, self.in_form) if form) <= sum(sizes):
+            self.blocks = [(p, dropped or form, part, t) for (p, dropped, part, t), form in zip(self.blocks, self.in_form)]
 
     def _end_block(self) -> None:
         if self.text:
@@ -135,7 +145,8 @@ class Page(HTMLParser):
             self.text = []
             if text:
                 own = self.stack[-1].block
-                self.blocks.append((own.path, own.dropped, own.main, text))
+                self.blocks.append((own.path, own.dropped, own.part, text))
+                self.in_form.append(own.form)
 
     def _pop(self) -> None:
         top = self.stack.pop()
@@ -169,7 +180,11 @@ class Page(HTMLParser):
             return
         given = dict(attrs)
         top = self.stack[-1]
-        main = top.main or tag in MAIN or (given.get("role") or "").strip().lower() == "main"
+        dropped = top.dropped or _says_dropped(tag, given, top.part > 0)
+        part = top.part
+        if not part and not dropped and (tag in MAIN or (given.get("role") or "").strip().lower() == "main"):
+            self.parts += 1
+            part = self.parts
         path = top.path
         if tag in CONTAINER:
             style = ".".join([tag, *sorted(DIGITS.sub("#", n) for n in _names(given))])
@@ -177,7 +192,7 @@ class Page(HTMLParser):
                 top.children.append(style)
             if len(path) < MAX_DEPTH:
                 path = (*path, style)
-        self.stack.append(_Open(tag, path, top.dropped or _says_dropped(tag, given, top.main), main, top))
+        self.stack.append(_Open(tag, path, dropped, part, top.form or tag == "form", top))
 
     def handle_endtag(self, tag):
         for at in range(len(self.stack) - 1, 0, -1):
@@ -199,33 +214,47 @@ class Page(HTMLParser):
 
 
 def _by_role(blocks: list[tuple]) -> list[tuple]:
-    """The blocks that no role rules out; of a page that marks its main part those inside it."""
-    blocks = [b for b in blocks if not b[1]]
-    return [b for b in blocks if b[2]] or blocks
+    """The blocks that no role rules out."""
+    return [b for b in blocks if not b[1]]
 
 
-def main_text(html: str | None, low: frozenset[str] = frozenset()) -> str:
-    """The blocks of a page that no role and, where no main part is marked, no low branch (a path, joined by /) rules out."""
+def main_text(html: str | None, low: frozenset[str] = frozenset(), common: frozenset[str] = frozenset()) -> str:
+    """The main part of a page without what roles and low branches (paths, joined by /) rule out; inside marked parts only the
+    ``common`` ones among them count."""
     blocks = _by_role(Page(html).blocks)
 
-    def under_low(path: tuple) -> bool:
-        return any("/".join(path[:i]) in low for i in range(1, len(path) + 1))
+    def under(path: tuple, branches: frozenset[str]) -> bool:
+        return any("/".join(path[:i]) in branches for i in range(1, len(path) + 1))
 
-    kept = [b for b in blocks if b[2] or not under_low(b[0])] if low else blocks
-    return "\n".join(b[3] for b in kept or blocks)
+    left = [b for b in blocks if not under(b[0], common if b[2] else low)] if low else blocks
+    if not left:
+        left = blocks
+    size: dict[int, int] = {}
+    for _, _, part, text in left:
+        size[part] = size.get(part, 0) + len(text)
+    # The first of the largest, a marked part before the text outside; a page's only marked part counts twice.
+    alone = 2 if len(size) == 2 and 0 in size else 1
+    best = max(size, key=lambda part: (size[part] * (alone if part else 1), part > 0, -part), default=0)
+    return "\n".join(b[3] for b in left if b[2] == best)
 
 
 def host_of(url) -> F.Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit(""))
 
 
+def _told(blocks: list[tuple]) -> list[tuple]:
+    """What tells a page from another: the blocks that no role rules out, of a page with marked parts those inside them."""
+    kept = _by_role(blocks)
+    return [b for b in kept if b[2]] or kept or blocks
+
+
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         seen: set[tuple] = set()
         for host, html in zip(batch["host"], batch["html"]):
             page = Page(html)
             # What the page says; one without any text is told apart by nothing and is no page of the host.
-            content = xxhash.xxh64_intdigest("\n".join(b[3] for b in _by_role(page.blocks) or page.blocks)) >> 1
+            content = xxhash.xxh64_intdigest("\n".join(b[3] for b in _told(page.blocks))) >> 1
             if page.blocks:
                 seen.add((host, "", "page", 0, content))
             seen.update((host, "/".join(p), "style", xxhash.xxh64_intdigest("\n".join(c)) >> 1, content) for p, c in page.styles)
@@ -259,34 +288,38 @@ def style_tree(pages: DataFrame, gamma: float = GAMMA) -> DataFrame:
     presentation = (F.log("styles") - F.col("style_logs") / F.col("styles")) / base
     content = F.when(F.col("texts") > 0, 1 - F.col("text_logs") / F.col("texts") / base).otherwise(0.0)
     importance = F.when((F.col("pages") > 1) & (base > 0), (1 - gamma) * F.coalesce(presentation, F.lit(0.0)) + gamma * content).otherwise(1.0)
-    return t.select("host", "path", "pages", importance.alias("importance"))
+    # Half of the host's pages, and at least COMMON_PAGES.
+    common = (F.col("pages") >= COMMON_PAGES) & (2 * F.col("pages") >= F.round(F.exp(base)))
+    return t.select("host", "path", "pages", importance.alias("importance"), F.coalesce(common, F.lit(False)).alias("common"))
 
 
-def _texts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def _texts(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     sets: dict[tuple, frozenset] = {}
-    for html, low in batches:
-        out = []
-        for h, paths in zip(html, low):
-            key = tuple(paths) if paths is not None else ()
-            if key not in sets:
-                if len(sets) > 1000:
-                    sets.clear()
-                sets[key] = frozenset(key)
-            out.append(main_text(h, sets[key]))
-        yield pd.Series(out)
+
+    def as_set(paths) -> frozenset:
+        key = tuple(paths) if paths is not None else ()
+        if key not in sets:
+            if len(sets) > 1000:
+                sets.clear()
+            sets[key] = frozenset(key)
+        return sets[key]
+
+    for html, low, common in batches:
+        yield pd.Series([main_text(h, as_set(a), as_set(b)) for h, a, b in zip(html, low, common)])
 
 
 def extract(df: DataFrame, url: str, html: str, threshold: float = THRESHOLD, gamma: float = GAMMA) -> DataFrame:
     """``df`` with ``text``: the main text of each page."""
     rows = as_row(df).withColumn("host", host_of(F.col("row").getField(url)))
     tree = style_tree(rows.select("host", F.col("row").getField(html).alias("html")), gamma)
-    low = cut(tree.where(F.col("importance") < threshold).groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low")), "style-low")
+    low = cut(tree.where(F.col("importance") < threshold).groupBy("host").agg(
+        F.sort_array(F.collect_set("path")).alias("low"), F.sort_array(F.collect_set(F.when(F.col("common"), F.col("path")))).alias("common")), "style-low")
 
     @F.pandas_udf("string")
-    def text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def text(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         return _texts(batches)
 
-    out = rows.join(low, "host", "left").withColumn("text", text(F.col("row").getField(html), F.col("low")))
+    out = rows.join(low, "host", "left").withColumn("text", text(F.col("row").getField(html), F.col("low"), F.col("common")))
     return from_row(out, "text")
 
 

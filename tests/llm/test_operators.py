@@ -510,6 +510,75 @@ def test_style_tree_removes_what_repeats(spark):
     assert out[3] == "Text 3 of its own" and out[99] == "Same words here" and out[98] == "" and out[97] == "Same words here"
 
 
+def test_marked_parts_are_judged_by_role_and_text():
+    text = html_extract.main_text
+    assert text("<body><div><p>Body one</p></div><article class='advert'><p>Buy now</p></article>") == "Body one"
+    assert text("<div><p>The story is told here at length</p></div><ul><li><article>Teaser</article><li><article>Second</article></ul>") == \
+        "The story is told here at length"
+    assert text("<article><p>Main</p></article><article class='comment'><p>Nice, and longer than what it is about</p></article>") == "Main"
+    assert text("<body><form><nav>Menu</nav><label>Name</label><div><p>All of the page</p></div><select><option>x</select></form>") == "All of the page"
+    assert text("<article><p>Story of the day</p><form>Your name <input></form></article>") == "Story of the day"
+    assert text("<main hidden><p>Gone</p></main><div role='main'><p>Here</p></div><p>Out</p>") == "Here"
+    assert text("<div>" * 20000 + "deep") == "deep" and len(text("<article>" + "<p>long text</p>" * 50000)) == 10 * 50000 - 1
+
+
+def brute_extract(pages, gamma, threshold):
+    """pages: (host, html); every node's importance from all distinct pages of its host, by definition."""
+    parsed = {}
+    for host, html in pages:
+        p = html_extract.Page(html)
+        kept = [b for b in p.blocks if not b[1]]
+        parsed.setdefault(host, {})["\n".join(b[3] for b in [x for x in kept if x[2]] or kept or p.blocks)] = p
+    out = []
+    for host, html in pages:
+        members = [p for p in parsed[host].values() if p.blocks]
+        paths = {p[:i] for page in members for p, *_ in page.styles for i in range(1, len(p) + 1)}
+        low, common = set(), set()
+        for path in paths:
+            holders = [m for m in members if any(p == path for p, _ in m.styles)]
+            styles = Counter(c for m in holders for c in {c for p, c in m.styles if p == path})
+            inside = {p for p in paths if p[:len(path)] == path}
+            texts = [Counter(t for m in members for t in {t for p, _, _, t in m.blocks if p == q}) for q in inside]
+            logs = [math.log(n) for c in texts for n in c.values()]
+            base = math.log(len(members)) if members else 0
+            if len(holders) > 1 and base > 0:
+                content = 1 - sum(logs) / len(logs) / base if logs else 0.0
+                if (1 - gamma) * html_extract.entropy(list(styles.values()), len(members)) + gamma * content < threshold:
+                    low.add(path)
+                    if len(holders) >= html_extract.COMMON_PAGES and 2 * len(holders) >= len(members):
+                        common.add(path)
+        blocks = [b for b in html_extract.Page(html).blocks if not b[1]]
+        left = [b for b in blocks if not any(b[0][:i] in (common if b[2] else low) for i in range(1, len(b[0]) + 1))] or blocks
+        size = Counter()
+        for b in left:
+            size[b[2]] += len(b[3]) * (2 if b[2] and {x[2] for x in left} == {0, b[2]} else 1)
+        best = max(size, key=lambda k: (size[k], k > 0, -k)) if size else 0
+        out.append("\n".join(b[3] for b in left if b[2] == best))
+    return out
+
+
+def test_style_tree_matches_brute_force_page_by_page(spark):
+    rng = random.Random(11)
+    pages = []
+    for host, n in (("a.example", 24), ("b.example", 9), ("c.example", 3), ("d.example", 1)):
+        boxes = [f"<div class='box{i}'><p>Share this on {host} {i}</p><ul class='l'><li>one<li>two</ul></div>" for i in range(4)]
+        for i in range(n):
+            inner = "".join(rng.sample(boxes, rng.randint(0, 2))) + boxes[3]
+            own = f"<section class='s'><p>Own words {i} of {host}</p>" + ("<table class='t'><tr><td>quoted by some</table>" if i % 4 == 0 else "") + "</section>"
+            tag = rng.choice(["main"] * 8 + ["article", "div"])
+            pages.append((host, f"<body><div class='top'>Shop of the town</div><{tag}>{own}{inner}</{tag}>{rng.choice(boxes)}"))
+    pages += [pages[0], pages[1], ("a.example", None), ("a.example", "")]
+    df = spark.createDataFrame([(i, f"http://{h}/{i}", t) for i, (h, t) in enumerate(pages)], "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in html_extract.extract(df, "url", "html").collect()}
+    want = brute_extract(pages, html_extract.GAMMA, html_extract.THRESHOLD)
+    assert [got[i] for i in range(len(pages))] == want
+    # The tree decides inside marked parts: the box that every page repeats goes from them, the table of few pages stays.
+    marked = [i for i, (h, t) in enumerate(pages) if h == "a.example" and t and "<main>" in t]
+    assert marked and all("on a.example 3" not in got[i] for i in marked)
+    assert any("quoted by some" in got[i] for i in marked)
+    assert any(got[i] != html_extract.main_text(t) for i, (_, t) in enumerate(pages))
+
+
 def test_style_tree_importance(spark):
     m = 8
     df = spark.createDataFrame([("h", f"<div class='a'>same</div><div class='b'>own {i}</div>"
