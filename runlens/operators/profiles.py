@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,26 +11,32 @@ from runlens.functions.maps import lower_keys
 from runlens.schemas import CRITICAL
 
 
-def _distinct(c: str, approx: bool) -> Column:
-    return F.approx_count_distinct(c) if approx else F.count_distinct(F.col(c))
+def with_distinct(base: DataFrame, df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The one row of ``base`` with exact distinct counts (name -> column of ``df``; nulls do not count).
+
+    Each column is counted on its own: its scan reads that column alone, and tasks ship their distinct values. Several distinct
+    counts in one aggregate would copy every row once per column (Expand) first.
+    """
+    parts = [base, *[df.select(c).distinct().agg(F.count(c).alias(name)) for name, c in columns.items()]]
+    row = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return row.agg(*[F.max(c).alias(c) for c in row.columns])     # one row per part
 
 
 def extraction_profile(metric_rows: DataFrame, approx: bool = False) -> DataFrame:
     """Rows, distinct runs / experiments / metrics / users, start-time range, null values.
 
-    Exact distinct counts plan an Expand (one copy per distinct column);
-    ``approx=True`` uses HyperLogLog sketches instead, for very large batches.
+    ``approx=True`` counts distinct values by HyperLogLog sketches in the same pass as the rest.
     """
-    return metric_rows.agg(
+    columns = {"unique_runs": "run_id", "unique_experiments": "experiment_id", "unique_metrics": "metric_name", "unique_users": "user_id"}
+    base = metric_rows.agg(
         F.count(F.lit(1)).alias("total_records"),
-        _distinct("run_id", approx).alias("unique_runs"),
-        _distinct("experiment_id", approx).alias("unique_experiments"),
-        _distinct("metric_name", approx).alias("unique_metrics"),
-        _distinct("user_id", approx).alias("unique_users"),
         F.min("start_time").alias("time_range_start"),
         F.max("start_time").alias("time_range_end"),
         F.count_if(F.col("metric_value").isNull() | F.isnan("metric_value")).alias("null_metric_values"),
+        *[F.approx_count_distinct(c).alias(name) for name, c in columns.items() if approx],
     )
+    found = base if approx else with_distinct(base, metric_rows, columns)
+    return found.select("total_records", *columns, "time_range_start", "time_range_end", "null_metric_values")
 
 
 def top_values(df: DataFrame, col: str, k: int) -> DataFrame:
@@ -60,12 +68,10 @@ def enrichment_profile(enriched: DataFrame, metric_rows: DataFrame) -> DataFrame
     covered = batch_metrics.join(with_meta, "metric_name", "left_semi").agg(
         F.count(F.lit(1)).alias("metrics_with_metadata")
     )
-    stats = enriched.agg(
-        F.count(F.lit(1)).alias("total_enriched_records"),
-        F.count_distinct("metric_name").alias("unique_metrics"),
-        F.count_distinct("experiment_id").alias("unique_experiments"),
-        F.avg("moving_avg_24h").alias("avg_moving_avg"),
-    )
+    stats = with_distinct(
+        enriched.agg(F.count(F.lit(1)).alias("total_enriched_records"), F.avg("moving_avg_24h").alias("avg_moving_avg")),
+        enriched, {"unique_metrics": "metric_name", "unique_experiments": "experiment_id"},
+    ).select("total_enriched_records", "unique_metrics", "unique_experiments", "avg_moving_avg")
     return stats.select("*", covered.scalar().alias("metrics_with_metadata"))
 
 
@@ -84,10 +90,17 @@ def status_distribution(enriched: DataFrame) -> DataFrame:
     return counts.withColumn("percentage", F.lit(100.0) * F.col("count") / total)
 
 
+# A number as written: digits with an optional point and exponent; no suffix letters, blanks, NaN or Infinity.
+INT_VALUE = r"^[+-]?[0-9]+$"
+FLOAT_VALUE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def _value_type(v: Column) -> Column:
+    """int, float (a finite number as written), bool or str."""
+    finite = F.abs(v.try_cast("double")) < F.lit(float("inf"))
     return (
-        F.when(v.rlike(r"^[+-]?[0-9]+$"), F.lit("int"))
-        .when(v.try_cast("double").isNotNull(), F.lit("float"))
+        F.when(v.rlike(INT_VALUE), F.lit("int"))
+        .when(v.rlike(FLOAT_VALUE) & finite, F.lit("float"))
         .when(F.lower(v).isin("true", "false"), F.lit("bool"))
         .otherwise(F.lit("str"))
     )
@@ -131,21 +144,16 @@ def output_profile(platform: DataFrame, application: DataFrame, timeseries: Data
         F.max_by("pass_rate", "timestamp").alias("latest_pass_rate"),
         F.max_by("critical_runs", "timestamp").cast("double").alias("latest_critical_runs"),
     )
-    a = application.agg(
-        F.count(F.lit(1)).cast("double").alias("records_generated"),
-        F.count_distinct("application").cast("double").alias("applications_covered"),
-        F.avg("pass_rate").alias("avg_pass_rate"),
-    )
-    t = timeseries.agg(
-        F.count(F.lit(1)).cast("double").alias("timeseries_points"),
-        F.count_distinct("application").cast("double").alias("applications"),
-        F.count_distinct("metric_name").cast("double").alias("metrics"),
-        F.min("timestamp").alias("date_range_start"),
-        F.max("timestamp").alias("date_range_end"),
-    )
+    a = with_distinct(
+        application.agg(F.count(F.lit(1)).cast("double").alias("records_generated"), F.avg("pass_rate").alias("avg_pass_rate")),
+        application, {"applications_covered": "application"})
+    t = with_distinct(
+        timeseries.agg(F.count(F.lit(1)).cast("double").alias("timeseries_points"),
+                       F.min("timestamp").alias("date_range_start"), F.max("timestamp").alias("date_range_end")),
+        timeseries, {"applications": "application", "metrics": "metric_name"})
 
     def longform(df: DataFrame, table: str, nums: list[str], times: list[str] = ()) -> DataFrame:
-        entries = [F.struct(F.lit(c).alias("stat"), F.col(c).alias("num_value"),
+        entries = [F.struct(F.lit(c).alias("stat"), F.col(c).cast("double").alias("num_value"),
                             F.lit(None).cast("string").alias("text_value")) for c in nums]
         entries += [F.struct(F.lit(c).alias("stat"), F.lit(None).cast("double").alias("num_value"),
                              F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias("text_value")) for c in times]

@@ -7,16 +7,18 @@ no window here is partitioned by the series key alone over the full data:
 * The row moving average (last ``window_rows`` rows) runs in (series, bucket)
   partitions. Bucket width is chosen per series from its row count and time span
   (about ``rows_per_bucket`` rows each); buckets that still hold more (bursts) are
-  split once more from their own count. Each bucket also receives the
+  split once more from their own count, and what is then still too full (rows denser than the
+  clock can split, up to all of them on one timestamp) is split by rank: between
+  splitters, (start_time, run_id) keys of the bucket drawn evenly by a hash. Each bucket also receives the
   ``window_rows - 1`` rows that precede it ("carry"), taken from the per-bucket
   tails, so frames that cross a bucket edge are exact.
 * The forecast needs only the series' last three rows and its row count: a
-  map-side limited top-k plus a partial aggregate.
-* The time-window average runs in (metric, bucket) partitions, with a per-metric
-  bucket width (a divisor of the window) sized from the metric's density: whole
-  buckets inside the frame are summed over the bucket aggregate, the partial bucket
+  map-side limited top-k plus a partial aggregate (``series_forecast``, without the buckets).
+* The time-window average runs in (metric, leaf) partitions. Leaves are cells of a tree over time
+  (hour, minute, second, millisecond): a cell is divided only where it holds more than ``rows_per_bucket`` rows, so a burst is split
+  and quiet stretches are not. Whole cells inside a frame are summed level by level over the cells' sums, the part
   at the frame's start from rows copied one window-length forward. Only values inside
-  the frame are ever added, none is subtracted, so the bucket width cannot change a result.
+  the frame are ever added, none is subtracted, so the tree cannot change a result.
 
 Infinite values count as missing in the averages, as NaN does.
 """
@@ -46,6 +48,24 @@ def _series_stats(df: DataFrame, rows_per_bucket: int) -> DataFrame:
     return stats.withColumn("_bucket_us", F.greatest(F.ceil(width), F.lit(1)).cast("bigint"))
 
 
+# Splitters of a bucket: at most this many, so that looking one up stays cheap.
+SPLITTERS = 256
+
+
+def _rank_splitters(rows: DataFrame, rows_per_bucket: int) -> DataFrame:
+    """(series, _b1, _b2, _splitters) of the buckets that still hold more than ``rows_per_bucket`` rows.
+
+    The splitters are the sorted places of the rows whose run_id hashes to 0 modulo a quarter bucket, thinned to ``SPLITTERS``:
+    the same in every evaluation of the plan, whatever the order of the tasks.
+    """
+    drawn = F.pmod(F.xxhash64("run_id"), F.lit(max(1, rows_per_bucket // 4))) == 0
+    place = F.struct(F.col("start_time").alias("t"), F.col("run_id").alias("r"))
+    found = rows.groupBy(*SERIES, "_b1", "_b2").agg(
+        F.count(F.lit(1)).alias("_c2"), F.array_sort(F.collect_set(F.when(drawn, place))).alias("_drawn")).where(F.col("_c2") > rows_per_bucket)
+    step = F.ceil(F.size("_drawn") / SPLITTERS)
+    return found.select(*SERIES, "_b1", "_b2", F.filter("_drawn", lambda x, i: i % step == 0).alias("_splitters"))
+
+
 def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows: int = 5,
                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Adds ``moving_avg_24h`` (mean of the last ``min(n, window_rows)`` non-null values)
@@ -57,7 +77,7 @@ def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows
     """
     df = enriched.where(F.col("experiment_id").isNotNull() & F.col("metric_name").isNotNull())
     k = window_rows - 1
-    keep = max(k, 3)
+    keep = max(k, 1)
     stats = _series_stats(df, rows_per_bucket)
 
     b = df.join(stats, SERIES).withColumn("_off", F.unix_micros("start_time") - F.unix_micros("_t0"))
@@ -73,30 +93,22 @@ def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows
                                                   / F.col("_c1")), F.lit(1)).cast("bigint").alias("_sub_us"))
     )
     b = b.join(hot, [*SERIES, "_b1"], "left").withColumn(
-        "_bucket", F.struct(
-            F.col("_b1").alias("b1"),
-            F.when(F.col("_sub_us").isNull(), F.lit(0).cast("bigint"))
-            .otherwise(F.expr("(_off - _b1 * _bucket_us) div _sub_us")).alias("b2"),
-        )
-    ).drop("_off", "_b1", "_sub_us")
+        "_b2", F.when(F.col("_sub_us").isNull(), F.lit(0).cast("bigint")).otherwise(F.expr("(_off - _b1 * _bucket_us) div _sub_us"))
+    )
+    splitters = _rank_splitters(b.where(F.col("_sub_us").isNotNull()), rows_per_bucket)
+    b = b.join(splitters, [*SERIES, "_b1", "_b2"], "left")
+    place = F.struct(F.col("start_time").alias("t"), F.col("run_id").alias("r"))
+    rank = F.when(F.col("_splitters").isNull(), F.lit(0)).otherwise(F.size(F.filter("_splitters", lambda x: x <= place)))
+    b = b.withColumn("_bucket", F.struct(F.col("_b1").alias("b1"), F.col("_b2").alias("b2"), rank.alias("b3"))) \
+        .drop("_off", "_b1", "_b2", "_sub_us", "_splitters")
     slim = b.select(*SERIES, "_bucket", "start_time", "run_id", F.col(value).alias("_raw"), _finite(value).alias("_v"))
 
     # Last `keep` rows of every (series, bucket); the limit runs map-side before the shuffle.
     w_tail = Window.partitionBy(*SERIES, "_bucket").orderBy(F.desc("start_time"), F.desc("run_id"))
     tails = slim.withColumn("_rn", F.row_number().over(w_tail)).where(F.col("_rn") <= keep)
 
-    # Series-level passes over the tails only (at most `keep` rows per bucket).
+    # Series-level pass over the tails only (at most `keep` rows per bucket).
     w_ser = Window.partitionBy(*SERIES).orderBy("start_time", "run_id")
-    w_desc = Window.partitionBy(*SERIES).orderBy(F.desc("start_time"), F.desc("run_id"))
-    last3 = (
-        tails.withColumn("_r", F.row_number().over(w_desc)).where(F.col("_r") <= 3)
-        .groupBy(*SERIES)
-        .agg(*[F.max(F.when(F.col("_r") == i, F.col("_raw"))).alias(f"_v{i}") for i in (1, 2, 3)])
-    )
-    v1, v2, v3 = F.col("_v1"), F.col("_v2"), F.col("_v3")
-    forecast = last3.join(stats.select(*SERIES, "_n"), SERIES).select(
-        *SERIES, "_n", (v1 + ((v2 - v3) + (v1 - v2)) / F.lit(2.0)).alias("_fc")
-    )
 
     data = b.drop("_n", "_t0", "_t1", "_bucket_us").withColumn("_v", _finite(value)).withColumn(
         "_carry", F.lit(False)
@@ -117,24 +129,39 @@ def series_windows(enriched: DataFrame, value: str = "metric_value", window_rows
     else:
         out = data.withColumn("moving_avg_24h", F.col("_v"))
 
-    out = out.join(forecast, SERIES, "left").withColumn(
-        "forecast_next", F.when(F.col("_n") >= 3, F.col("_fc")).otherwise(F.col(value))
-    )
-    return out.select(*enriched.columns, "moving_avg_24h", "forecast_next")
+    return _with_forecast(out.drop("_n"), df, value).select(*enriched.columns, "moving_avg_24h", "forecast_next")
+
+
+def series_forecast(enriched: DataFrame, value: str = "metric_value") -> DataFrame:
+    """Adds only ``forecast_next`` of ``series_windows``: two aggregates, no buckets."""
+    df = enriched.where(F.col("experiment_id").isNotNull() & F.col("metric_name").isNotNull())
+    return _with_forecast(df, df, value).select(*enriched.columns, "forecast_next")
 
 
-# Bucket counts per window tried for the time-window average, all
-# divisors of a whole number of hours in seconds (for 24 h: 24 h, 12 h, ..., 1 h,
-# 30 min, 15 min, 5 min, 1 min, 10 s, 1 s), then tenths down to a microsecond.
-BUCKETS_PER_WINDOW = [1, 2, 3, 4, 6, 8, 12, 24, 48, 96, 288, 1440, 8640, 86400, *(86400 * 10**i for i in range(1, 7))]
+def _with_forecast(out: DataFrame, df: DataFrame, value: str) -> DataFrame:
+    """``out`` with the forecast of its series, from the last three rows (limited before the shuffle) and the row count of ``df``."""
+    w_desc = Window.partitionBy(*SERIES).orderBy(F.desc("start_time"), F.desc("run_id"))
+    last3 = (
+        df.select(*SERIES, "start_time", "run_id", F.col(value).alias("_raw"))
+        .withColumn("_r", F.row_number().over(w_desc)).where(F.col("_r") <= 3)
+        .groupBy(*SERIES)
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.max(F.when(F.col("_r") == i, F.col("_raw"))).alias(f"_v{i}") for i in (1, 2, 3)])
+    )
+    v1, v2, v3 = F.col("_v1"), F.col("_v2"), F.col("_v3")
+    forecast = last3.select(*SERIES, F.col("_n").alias("_last"), (v1 + ((v2 - v3) + (v1 - v2)) / F.lit(2.0)).alias("_fc"))
+    return out.join(forecast, SERIES, "left").withColumn(
+        "forecast_next", F.when(F.col("_last") >= 3, F.col("_fc")).otherwise(F.col(value))
+    )
 
 
-# Time cells per window in which the densest stretch of a metric is sought.
-CELLS_PER_WINDOW = 1440
+# Widths of the tree's levels in microseconds (hour, minute, second, millisecond).
+LEVELS = [3_600_000_000, 60_000_000, 1_000_000, 1_000]
+FIRST = -(2**63)        # sorts before every time
 
 
-def _buckets_per_window(window_seconds: int) -> list[int]:
-    return [m for m in BUCKETS_PER_WINDOW if window_seconds * 10**6 % m == 0]
+def _cell(width: int):
+    """The cell of ``_key`` at a level, exact for negative times too."""
+    return F.expr(f"(_key - pmod(_key, {width}L)) div {width}L")
 
 
 def moving_average_time(df: DataFrame, window_hours: int = 24, value: str = "metric_value",
@@ -143,50 +170,59 @@ def moving_average_time(df: DataFrame, window_hours: int = 24, value: str = "met
     experiments. Rows tied on start_time see only the peers before them in run_id
     order, as a row-by-row rolling window would.
 
-    Each metric gets m buckets per window (a divisor of the window, so buckets align
-    with frames), m chosen from its densest 1/1440 of a window (a minute of 24 h), so a bucket
-    holds about ``rows_per_bucket`` rows in bursts too. For a row at t in bucket k the frame is
-      rows of bucket k up to t            (running sum in the (metric, k) partition)
-    + whole buckets k-m+1 .. k-1           (range window over the bucket aggregate)
-    + rows of bucket k-m after t - window  (copies of bucket k-m sent to partition k,
-                                            keyed by time + window; summed from the end).
-    The range window runs per (metric, window length of time): each bucket's sum also goes to the next one.
+    Each row counts in its own leaf and, moved forward by one window, in the leaf it expires in. Cells are divided by how many of both
+    they hold, so both sides of a frame share one tree. For a row at t in leaf L, inside ever larger cells up to the window-long chunk:
+      rows of L up to t                              (running sum in the (metric, L) partition)
+    + rows that expire in L after t                  (the same, from the end)
+    + per level: whole cells before L's in their parent, and what expires in whole cells after it
+                                                     (running sums over the cells of one parent, at most 1000).
     """
-    w_s = window_hours * 3600
-    w_us = w_s * 10**6
-    choices = _buckets_per_window(w_s)
-
-    base = df.where(F.col("metric_name").isNotNull()).withColumn("_t", F.unix_micros("start_time")).withColumn("_v", _finite(value))
-
-    # Rows per cell of time (a partial aggregate), then the fullest cell of each metric.
-    cell = w_us // CELLS_PER_WINDOW
-    cells = base.groupBy("metric_name", F.floor(F.col("_t") / F.lit(cell)).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
-    stats = cells.groupBy("metric_name").agg(F.max("_n").alias("_peak"))
-    needed = F.ceil(F.col("_peak") * F.lit(CELLS_PER_WINDOW / rows_per_bucket))
-    m_col = F.lit(choices[-1])
-    for m in reversed(choices[:-1]):
-        m_col = F.when(needed <= m, F.lit(m)).otherwise(m_col)
-    stats = stats.select("metric_name", m_col.cast("bigint").alias("_m"))
-    stats = stats.withColumn("_bw", (F.lit(w_us) / F.col("_m")).cast("bigint"))
-
-    b = base.join(stats, "metric_name").withColumn("_b", F.floor(F.col("_t") / F.col("_bw")))
-
-    # Whole buckets inside the frame: those that start within a window length before bucket k, bucket k - m excluded.
-    agg = b.groupBy("metric_name", "_b", "_bw").agg(F.sum("_v").alias("_s"), F.count("_v").alias("_c"))
-    agg = agg.withColumn("_at", F.col("_b") * F.col("_bw"))
-    chunk = F.floor(F.col("_at") / F.lit(w_us))
-    spread = agg.select("*", F.explode(F.array(chunk, chunk + 1)).alias("_chunk")).withColumn("_own", F.col("_chunk") == chunk)
-    frame = Window.partitionBy("metric_name", "_chunk").orderBy("_at").rangeBetween(-(w_us - 1), -1)
-    mid = spread.select("metric_name", "_b", "_own", F.sum("_s").over(frame).alias("_ms"), F.sum("_c").over(frame).alias("_mc")) \
-        .where("_own").drop("_own")
-
-    data = b.withColumn("_key", F.col("_t")).withColumn("_kind", F.lit(1))
-    expiring = b.select(
-        "metric_name", (F.col("_b") + F.col("_m")).alias("_b"), (F.col("_t") + F.lit(w_us)).alias("_key"),
-        F.lit(0).alias("_kind"), "run_id", "_v",
-    )
-    u = data.unionByName(expiring, allowMissingColumns=True)
-    part = Window.partitionBy("metric_name", "_b")
+    w_us = window_hours * LEVELS[0]
+    base = df.where(F.col("metric_name").isNotNull()).withColumn("_key", F.unix_micros("start_time")).withColumn("_v", _finite(value))
+    own = base.select("metric_name", "_key", F.lit(1).alias("_kind"), "_v")
+    moved = base.select("metric_name", (F.col("_key") + F.lit(w_us)).alias("_key"), F.lit(0).alias("_kind"), "run_id", "_v")
+    both = own.unionByName(moved.drop("run_id"))
+
+    # Per level the cells under a divided parent with their sums, and which of them are divided in turn (at most rows / rows_per_bucket).
+    full, rows, above, leaves = [], both, None, None
+    for level, width in enumerate(LEVELS):
+        parent = _cell(LEVELS[level - 1]) if level else _cell(w_us)
+        v1, v0 = (F.when(F.col("_kind") == k, F.col("_v")) for k in (1, 0))
+        cells = rows.groupBy("metric_name", parent.alias("_parent"), _cell(width).alias("_leaf")).agg(
+            F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_kind") == 1).alias("_own"),
+            F.sum(v1).alias("_s1"), F.count(v1).alias("_c1"), F.sum(v0).alias("_s0"), F.count(v0).alias("_c0"))
+        siblings = Window.partitionBy("metric_name", "_parent").orderBy("_leaf")
+        before = siblings.rowsBetween(Window.unboundedPreceding, -1)
+        after = siblings.rowsBetween(1, Window.unboundedFollowing)
+        found = cells.select(
+            "metric_name", "_parent", "_leaf", "_n", "_own",
+            (F.coalesce(F.sum("_s1").over(before), F.lit(0.0)) + F.coalesce(F.sum("_s0").over(after), F.lit(0.0))).alias("_ms"),
+            (F.coalesce(F.sum("_c1").over(before), F.lit(0)) + F.coalesce(F.sum("_c0").over(after), F.lit(0))).alias("_mc"))
+        if above is not None:   # what the larger cells around it add
+            found = found.join(above, ["metric_name", "_parent"]).select(
+                "metric_name", "_leaf", "_n", "_own", (F.col("_ms") + F.col("_us")).alias("_ms"), (F.col("_mc") + F.col("_uc")).alias("_mc"))
+        last = level == len(LEVELS) - 1
+        divided = F.lit(False) if last else F.col("_n") > rows_per_bucket
+        part = found.where(~divided & (F.col("_own") > 0)).select("metric_name", F.lit(level).alias("_level"), "_leaf", "_ms", "_mc")
+        leaves = part if leaves is None else leaves.unionByName(part)
+        if not last:
+            above = found.where(divided).select("metric_name", F.col("_leaf").alias("_parent"), F.col("_ms").alias("_us"), F.col("_mc").alias("_uc"))
+            full.append(cells.where(divided).select("metric_name", F.col("_leaf").alias("_cell")))
+            rows = both.withColumn("_cell", _cell(width)).join(full[-1], ["metric_name", "_cell"]).drop("_cell")
+
+    data = base.withColumn("_kind", F.lit(1))
+    u = data.unionByName(moved, allowMissingColumns=True).withColumn("_level", F.lit(0))
+    for level, hot in enumerate(full):
+        u = u.withColumn("_cell", F.when(F.col("_level") == level, _cell(LEVELS[level])))
+        u = u.join(hot.withColumn("_hot", F.lit(True)), ["metric_name", "_cell"], "left")
+        u = u.withColumn("_level", F.when(F.col("_hot"), F.lit(level + 1)).otherwise(F.col("_level"))).drop("_cell", "_hot")
+    leaf = _cell(LEVELS[-1])
+    for level, width in reversed(list(enumerate(LEVELS[:-1]))):
+        leaf = F.when(F.col("_level") == level, _cell(width)).otherwise(leaf)
+    u = u.withColumn("_leaf", leaf)
+    # The sum of the whole cells comes as the first row of its leaf.
+    u = u.unionByName(leaves.withColumn("_key", F.lit(FIRST)).withColumn("_kind", F.lit(-1)), allowMissingColumns=True)
+    part = Window.partitionBy("metric_name", "_level", "_leaf")
     run = part.orderBy("_key", "_kind", "run_id").rowsBetween(Window.unboundedPreceding, 0)
     rest = part.orderBy(F.desc("_key"), F.desc("_kind"), F.desc("run_id")).rowsBetween(Window.unboundedPreceding, -1)
     dv = F.when(F.col("_kind") == 1, F.col("_v"))
@@ -194,10 +230,10 @@ def moving_average_time(df: DataFrame, window_hours: int = 24, value: str = "met
     u = u.select(
         "*",
         F.sum(dv).over(run).alias("_ds"), F.count(dv).over(run).alias("_dc"),
+        F.max("_ms").over(run).alias("_whole"), F.max("_mc").over(run).alias("_wholes"),
         F.sum(ev).over(rest).alias("_es"), F.count(ev).over(rest).alias("_ec"),
     ).where(F.col("_kind") == 1)
-    u = u.join(mid, ["metric_name", "_b"], "left")
     z, none = F.lit(0.0), F.lit(0)
-    s = F.coalesce(F.col("_es"), z) + F.coalesce(F.col("_ms"), z) + F.coalesce(F.col("_ds"), z)
-    c = F.coalesce(F.col("_ec"), none) + F.coalesce(F.col("_mc"), none) + F.col("_dc")
+    s = F.coalesce(F.col("_es"), z) + F.coalesce(F.col("_whole"), z) + F.coalesce(F.col("_ds"), z)
+    c = F.coalesce(F.col("_ec"), none) + F.coalesce(F.col("_wholes"), none) + F.col("_dc")
     return u.withColumn(out_col, F.when(c > 0, s / c)).select(*df.columns, out_col)

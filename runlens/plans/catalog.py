@@ -50,7 +50,9 @@ def q_moving_avg_rows(spark, sf_dir):
 
 @query("forecast_next")
 def q_forecast_next(spark, sf_dir):
-    e = build(spark, sf_dir).enriched
+    from runlens.operators.series import series_forecast
+
+    e = series_forecast(build(spark, sf_dir).enriched_base)
     return e.select("run_id", "experiment_id", "metric_name", round6(F.col("forecast_next")).alias("forecast_next"))
 
 
@@ -108,6 +110,21 @@ def q_lookback_runs(spark, sf_dir):
     return r.select("run_id", "experiment_id", "start_time")
 
 
+@query("landed_lookback")
+def q_landed_lookback(spark, sf_dir):
+    """The run table lands in three extracts; the lookback scan opens only the files whose zones meet its window."""
+    from runlens.session import scratch_path
+    from runlens.sources.landing import files_between, land_runs, scan_landed
+
+    t, folder = build(spark, sf_dir), scratch_path(spark, "landed-runs")
+    day = F.dayofmonth("start_time")
+    for low, high in ((1, 10), (11, 20), (21, 31)):
+        land_runs(t.runs.where(day.between(low, high)), folder)
+    r = scan_landed(spark, folder, t.experiments, AS_OF, 168, "name IN ('app-1', 'app-2', 'app-3')")
+    fewer = len({*r.inputFiles()} & {*t.runs.inputFiles()}) == 0 and len(r.inputFiles()) < len(files_between(spark, folder))
+    return r.select("run_id", "experiment_id", "start_time", F.lit(fewer).alias("fewer_files"))
+
+
 # ---------------------------------------------------------------- enrichment (JN2-3, CLS1-2, FLT3, WIN3)
 
 @query("threshold_resolution")
@@ -788,11 +805,12 @@ def q_parquet_roundtrip(spark, sf_dir):
 @query("table_roundtrip")
 def q_table_roundtrip(spark, sf_dir):
     """Save the classified rows as a table of the session catalog and query it by name."""
-    import uuid
+    import hashlib
 
     from runlens.sinks.tables import create_table, execute
 
-    name = f"runlens_classified_{uuid.uuid4().hex[:12]}"
+    # One table per session and directory, replaced at every call.
+    name = f"runlens_classified_{hashlib.md5(f'{spark.sparkContext.applicationId} {sf_dir}'.encode()).hexdigest()[:12]}"
     create_table(build(spark, sf_dir).classified, name)
     return execute(spark, f"SELECT run_id, metric_name, status FROM {name}")
 

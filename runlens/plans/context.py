@@ -65,6 +65,7 @@ def _build(spark: SparkSession, sf_dir: str) -> Tables:
 
 def _by_day(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
-    day = F.to_date("start_time")
-    df.withColumn("start_day", day).repartition("start_day").write.partitionBy("start_day").parquet(path)
+    # Rows of a day together, in tasks of the session's advisory partition size: small days share a task, a large day has several tasks and files.
+    dated = df.withColumn("start_day", F.to_date("start_time"))
+    dated.hint("rebalance", F.col("start_day")).write.partitionBy("start_day").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -54,3 +54,22 @@ def test_series_buckets_do_not_change_results(spark):
     split = sorted(series_windows(base, rows_per_bucket=4).select(*cols).collect())
     assert split == sorted(series_windows(base).select(*cols).collect())
     assert all(r["moving_avg_24h"] is not None for r in split)
+
+
+def test_a_large_day_is_written_by_several_tasks(spark, monkeypatch):
+    import glob
+
+    from runlens.plans import context
+    from runlens.session import scratch_path
+
+    seen = []
+    monkeypatch.setattr(context, "scratch_path", lambda s, name: seen.append(scratch_path(s, name)) or seen[-1])
+    df = spark.range(0, 400_000, 1, 8).selectExpr("md5(cast(id as string)) AS run_id", "TIMESTAMP '2024-01-01 00:00:00' + make_interval(0, 0, 0, if(id < 1000, 1, 0)) AS start_time")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        back = context._by_day(df, "t-days")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {d: len(glob.glob(f"{seen[0]}/start_day={d}/*.parquet")) for d in ("2024-01-01", "2024-01-02")}
+    assert files["2024-01-01"] > 3 and files["2024-01-02"] == 1
+    assert back.count() == 400_000 and back.columns[:2] == df.columns

@@ -129,3 +129,61 @@ def test_burst_split_equals_plain_window(spark):
     g = {r["run_id"]: r["moving_avg_24h"] for r in got.collect()}
     assert len(g) == len(rows)
     assert all(g[k] == pytest.approx(v) for k, v in want.items())
+
+
+@pytest.mark.parametrize("rows_per_bucket", [4, 50])
+def test_rows_on_one_timestamp_are_split_by_rank(spark, rows_per_bucket):
+    """Half of a series on one timestamp, among earlier and later rows and another series."""
+    rnd = random.Random(rows_per_bucket)
+    rows = [(f"r-{rnd.randrange(10**6):06d}", "0", "click", float(i % 97), T0 + dt.timedelta(hours=5)) for i in range(300)]
+    rows += [(f"s-{i}", "0", "click", float(i), T0 + dt.timedelta(minutes=i * 7)) for i in range(120)]
+    rows += [(f"t-{i}", "1", "click", float(i), T0) for i in range(40)]
+    df = metric_rows(spark, rows).dropDuplicates(["run_id"])
+    got = {r["run_id"]: r["moving_avg_24h"] for r in series_windows(df, rows_per_bucket=rows_per_bucket).collect()}
+    w = Window.partitionBy("experiment_id", "metric_name").orderBy("start_time", "run_id").rowsBetween(-4, 0)
+    want = {r["run_id"]: r["want"] for r in df.withColumn("want", F.avg("metric_value").over(w)).collect()}
+    assert got == pytest.approx(want) and len(got) == df.count()
+
+
+def test_a_million_ties_run_in_many_tasks(spark):
+    """One series, one timestamp: the plan's window partitions hold a bounded share each."""
+    from runlens.operators import series
+
+    n = 1_000_000
+    df = spark.range(n).selectExpr("concat('run-', md5(cast(id as string))) AS run_id", "'0' AS experiment_id", "'m' AS metric_name",
+                                   "TIMESTAMP '2024-01-01 00:00:00' AS start_time", "cast(id % 1000 as double) AS metric_value")
+    out = series_windows(df, rows_per_bucket=20_000)
+    marked = df.selectExpr("*", "bigint(0) AS _b1", "bigint(0) AS _b2")
+    blocks = series._rank_splitters(marked, 20_000).first()["_splitters"]
+    assert 100 < len(blocks) <= series.SPLITTERS
+    per_block = marked.select(F.size(F.filter(F.array(*[F.lit(b["r"]) for b in blocks]), lambda x: x <= F.col("run_id"))).alias("b")).groupBy("b").count()
+    assert per_block.agg(F.max("count")).first()[0] < n / 25
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per_task = out.where("moving_avg_24h >= 0").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(per_task) > 4 and max(r["count"] for r in per_task) < n / 2
+    w = Window.orderBy("start_time", "run_id").rowsBetween(-4, 0)
+    want = df.select("run_id", F.avg("metric_value").over(w).alias("want"))
+    assert out.join(want, "run_id").where(F.abs(F.col("want") - F.col("moving_avg_24h")) > 1e-9).count() == 0 and out.count() == n
+
+
+@pytest.mark.parametrize("rows_per_bucket", [5, 60])
+def test_one_second_burst_is_split(spark, rows_per_bucket):
+    """A third of the rows within one second, its echo a day later, and quiet stretches around them."""
+    rnd = random.Random(rows_per_bucket)
+    burst = T0 + dt.timedelta(days=2, hours=7, seconds=30)
+    rows = [(f"b{i:03d}", "0", "click", float(rnd.randrange(50)), burst + dt.timedelta(microseconds=rnd.randrange(10**6))) for i in range(200)]
+    rows += [(f"q{i:03d}", "1", "click", float(rnd.randrange(50)), T0 + dt.timedelta(minutes=23 * i)) for i in range(300)]
+    rows += [(f"e{i:03d}", "1", "click", float(i), burst + dt.timedelta(days=1, microseconds=rnd.randrange(-10**6, 2 * 10**6))) for i in range(40)]
+    rows += [(f"v{i:03d}", "1", "view", float(i), dt.datetime(1969, 12, 31, 23, 0) + dt.timedelta(minutes=7 * i)) for i in range(30)]
+    out = moving_average_time(metric_rows(spark, rows), rows_per_bucket=rows_per_bucket)
+    got = {r["run_id"]: r["moving_avg_time"] for r in out.collect()}
+    assert got == pytest.approx(_brute_time_avg(rows))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = out.where("run_id like 'b%' AND moving_avg_time >= 0").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert tasks > 1

@@ -73,3 +73,30 @@ def test_timeseries_hover_context(spark):
         assert json.loads(r["run_summary_metrics"]) == {"click": 30.0, "view": 20.0}
     kp = {r["metric_name"]: r["key_params"] for r in ts}
     assert kp == {"click": '{"model":"b"}', "view": "{}"}
+
+
+def test_value_types_of_params(spark):
+    from pyspark.sql import functions as F
+
+    from runlens.operators.profiles import param_profile
+
+    want = {"7": "int", "-3": "int", "99999999999999999999": "int", "2.5": "float", ".5": "float", "1e-3": "float", "5.": "float", "TRUE": "bool",
+            "1d": "str", "2f": "str", "Infinity": "str", "NaN": "str", " 5 ": "str", "1e400": "str", "": "str", "0x1": "str"}
+    df = spark.createDataFrame([({f"k{i}": v},) for i, v in enumerate(want)], "params map<string,string>")
+    got = {r["param_key"]: r["value_types"] for r in param_profile(df).collect()}
+    assert got == {f"k{i}": t for i, t in enumerate(want.values())}
+    assert param_profile(df.where(F.lit(False))).count() == 0
+
+
+def test_distinct_counts_without_expand(spark):
+    from runlens.operators.profiles import extraction_profile
+
+    rows = [(f"r{i % 4}", str(i % 3), None if i % 5 == 0 else "click", float(i), T0) for i in range(20)]
+    df = metric_rows(spark, rows)
+    out = extraction_profile(df)
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    r, a = out.first(), extraction_profile(df, approx=True).first()
+    assert (r["total_records"], r["unique_runs"], r["unique_experiments"], r["unique_metrics"], r["unique_users"]) == (20, 4, 3, 1, 1)
+    assert r == a
+    empty = extraction_profile(df.limit(0)).first()
+    assert (empty["total_records"], empty["unique_runs"], empty["time_range_start"]) == (0, 0, None)
