@@ -59,8 +59,8 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def distinct_words(text: str | None) -> list[str]:
-    """The distinct lower-cased words of a text."""
-    return list(set((text or "").lower().split()))
+    """The distinct lower-cased words of a text, in its order: sums of their weights come out the same on every run."""
+    return list(dict.fromkeys((text or "").lower().split()))
 
 
 def _count_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -101,7 +101,8 @@ def fit(labelled: DataFrame) -> tuple[np.ndarray, float]:
         first = (own.groupBy("h").agg(F.max(F.least(F.size(ws), F.lit(DOCUMENT_WORDS))).alias("n")).orderBy("h").limit(SAMPLE_ROWS)
                  .withColumn("upto", upto).where(F.col("upto") <= SAMPLE_WORDS // 2).select("h"))
         found = 0
-        for r in own.join(F.broadcast(first), "h").select("words").dropDuplicates(["words"]).select(some.alias("words")).toLocalIterator():
+        drawn = own.join(F.broadcast(first), "h").groupBy("words").agg(F.min("h").alias("h"))
+        for r in drawn.orderBy("h", "words").select(some.alias("words")).toLocalIterator():
             sample.add(distinct_words(r["words"]))
             found += 1
         labels += [label] * found
