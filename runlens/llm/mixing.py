@@ -151,7 +151,9 @@ def mix(df: DataFrame, key: str, text: str, source: str, weights: Sequence[float
     """
     rows = as_row(df)
     r = F.col("row")
-    digest = F.md5(F.to_json(F.struct(r.getField(key).alias("k")), {"ignoreNullFields": "false"}).cast("binary"))
+    # Rows of one class are told apart by key and text: null or equal keys keep the same copies on every run.
+    told = F.struct(r.getField(key).alias("k"), *([] if size else [r.getField(text).alias("t")]))
+    digest = F.md5(F.to_json(told, {"ignoreNullFields": "false"}).cast("binary"))
     rows = rows.select("row", r.getField(source).alias("src"), digest.alias("__digest"),
                        (r.getField(size).cast("long") if size else n_words(r.getField(text))).alias("size"))
     rows = rows.withColumn("__bucket", bucket_of(F.col("__digest"), bucket_digits))
