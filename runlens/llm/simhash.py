@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runlens.llm.common import as_row, cut, from_row
+from runlens.llm.common import as_row, cut, from_row, join_classes
 
 SEED = 42
 PIVOTS = 16
@@ -198,7 +198,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, width: int = 3, max_bits
                     bucket_rows: int = 4096) -> DataFrame:
     """One row per input row: key, ``fp`` (signed long), ``component_id`` (least key of its group)."""
     fps = cut(fingerprints(df, key, text, width), "simhash-fingerprints")
-    classes = cut(fps.groupBy("fp").agg(F.min("key").alias("least")), "simhash-classes")
+    classes = cut(fps.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("copies")), "simhash-classes")
     edges = links(classes.select("fp"), max_bits, bucket_rows)
     labels = components(edges)
     grouped = classes.join(labels, classes["fp"] == labels["v"]).select("fp", "label", "least")
@@ -206,8 +206,9 @@ def near_duplicates(df: DataFrame, key: str, text: str, width: int = 3, max_bits
     roots = grouped.groupBy("label").agg(F.min("least").alias("root"))
     linked = grouped.join(roots, "label").select("fp", "root", F.lit(True).alias("linked"))
     ids = classes.join(linked, "fp", "left").select(
-        "fp", F.when(F.col("linked"), F.col("root")).otherwise(F.col("least")).alias("component_id"))
-    return fps.join(ids, "fp").select(F.col("key").alias(key), "fp", "component_id")
+        "fp", "copies", F.when(F.col("linked"), F.col("root")).otherwise(F.col("least")).alias("component_id"))
+    found = join_classes(fps, cut(ids, "simhash-ids"), "fp", "copies")
+    return found.select(F.col("key").alias(key), "fp", "component_id")
 
 
 def hex_fingerprint(fp) -> F.Column:
