@@ -15,7 +15,7 @@ no window here is partitioned by the series key alone over the full data:
 * The forecast needs only the series' last three rows and its row count: a
   map-side limited top-k plus a partial aggregate (``series_forecast``, without the buckets).
 * The time-window average runs in (metric, leaf) partitions. Leaves are cells of a tree over time
-  (hour, minute, second, millisecond): a cell is divided only where it holds more than ``rows_per_bucket`` rows, so a burst is split
+  (hour, second, millisecond): a cell is divided only where it holds more than ``rows_per_bucket`` rows, so a burst is split
   and quiet stretches are not. Whole cells inside a frame are summed level by level over the cells' sums, the part
   at the frame's start from rows copied one window-length forward. Only values inside
   the frame are ever added, none is subtracted, so the tree cannot change a result.
@@ -154,8 +154,8 @@ def _with_forecast(out: DataFrame, df: DataFrame, value: str) -> DataFrame:
     )
 
 
-# Widths of the tree's levels in microseconds (hour, minute, second, millisecond).
-LEVELS = [3_600_000_000, 60_000_000, 1_000_000, 1_000]
+# Widths of the tree's levels in microseconds (hour, second, millisecond).
+LEVELS = [3_600_000_000, 1_000_000, 1_000]
 FIRST = -(2**63)        # sorts before every time
 
 
@@ -175,7 +175,7 @@ def moving_average_time(df: DataFrame, window_hours: int = 24, value: str = "met
       rows of L up to t                              (running sum in the (metric, L) partition)
     + rows that expire in L after t                  (the same, from the end)
     + per level: whole cells before L's in their parent, and what expires in whole cells after it
-                                                     (running sums over the cells of one parent, at most 1000).
+                                                     (running sums over the cells of one parent, at most 3600).
     """
     w_us = window_hours * LEVELS[0]
     base = df.where(F.col("metric_name").isNotNull()).withColumn("_key", F.unix_micros("start_time")).withColumn("_v", _finite(value))

@@ -124,6 +124,11 @@ def _zone_us(ts):
     return F.unix_micros(F.concat(ts.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp")) - F.unix_micros(ts)
 
 
+def _is_identifier(c: str) -> bool:
+    """Identifiers stay text."""
+    return c.endswith("_id") or c == "run_name"
+
+
 def sketch(df: DataFrame) -> list[ColumnLayout]:
     """The layout of each text column, from one aggregate over ``df`` (one row per column reaches the driver)."""
     cols = [c for c, t in df.dtypes if t == "string" and c not in NESTED_SKIP]
@@ -132,17 +137,17 @@ def sketch(df: DataFrame) -> list[ColumnLayout]:
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`")
-        fixed = c.endswith("_id") or c == "run_name"       # identifiers stay text
+        aggs += [F.count(x).alias(f"n{i}"), F.approx_count_distinct(x, 0.01).alias(f"u{i}")]
+        if _is_identifier(c):
+            continue
         number = x.rlike(DECIMAL_CANONICAL) & ~x.rlike(r"^-0\.0*$")
         aggs += [
-            F.count(x).alias(f"n{i}"), F.approx_count_distinct(x, 0.01).alias(f"u{i}"),
             F.count_if(x.isNotNull() & ~(x.rlike(INT_CANONICAL) & x.try_cast("bigint").isNotNull())).alias(f"int{i}"),
             F.count_if(x.isNotNull() & ~number).alias(f"dec{i}"),
             F.min(F.length(F.regexp_extract(x, r"\.([0-9]+)$", 1))).alias(f"lo{i}"),
             F.max(F.length(F.regexp_extract(x, r"\.([0-9]+)$", 1))).alias(f"hi{i}"),
             F.max(F.length(F.regexp_extract(x, r"^-?([0-9]+)", 1))).alias(f"whole{i}"),
             F.count_if(x.isNotNull() & ~(x.rlike(NUM_TEXT) & x.try_cast("double").cast("string").eqNullSafe(x))).alias(f"dbl{i}"),
-            F.lit(fixed).alias(f"fixed{i}"),
         ]
         if _is_time_name(c):
             shape = F.when(x.rlike(TIME_PARTS), F.struct(
@@ -159,7 +164,7 @@ def sketch(df: DataFrame) -> list[ColumnLayout]:
 
 def _decide(r, i: int, column: str) -> ColumnLayout:
     few = bool(r["rows"]) and r[f"u{i}"] < DICTIONARY_SHARE * r["rows"] and r[f"u{i}"] < DICTIONARY_VALUES
-    if r[f"fixed{i}"] or not r[f"n{i}"]:
+    if _is_identifier(column) or not r[f"n{i}"]:
         return ColumnLayout(column, "string", few)
     if not r[f"int{i}"]:
         return ColumnLayout(column, "bigint", False)
