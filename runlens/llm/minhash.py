@@ -16,9 +16,10 @@ Verification on full sets, without pairs of copies:
 1. Equal texts are one class from the start.
 2. Star rounds: a class in a key group that holds several components is checked against one member of another component. What is
    linked merges, so a group of many near copies needs few pairs.
-3. In key groups that still hold several components the sketches of members of different components are compared; pairs whose estimate
-   (corrected for register collisions) is within ``SIGMAS`` of the threshold are checked on their sets. Groups over ``block``
-   members are compared block by block in separate tasks; none is cut off.
+3. In key groups that still hold several components the sketches of members of different components are compared. Where an estimate
+   (corrected for register collisions) is within ``SIGMAS`` of the threshold, in the first band the two share, both members stay;
+   these meet once more with their full sets, and a task returns a spanning forest of the links it finds there, not its pairs.
+   Groups over ``block`` members (or ``SET_BYTES`` of sets) are compared block by block in separate tasks; none is cut off.
 
 Defined cases: texts without a word have an empty set and are linked with nothing, copies included; a text of fewer than ``width``
 words has one shingle, the whole; rows with equal keys are separate rows with one component; ``component_id`` is the least non-null key
@@ -29,6 +30,7 @@ empty table. Only key and text are read; texts are hashed whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -46,6 +48,9 @@ ROWS = 8
 WIDEST = 48             # bands of the largest sets
 FEWEST = 12             # bands of the smallest sets that can be linked without being equal
 SIGMAS = 6
+LOW = 1 << 10           # of a key: four bits for the size class, six for the band
+SET_BYTES = 1 << 24     # of full sets on one side of a comparison
+AT_ONCE = 1 << 12       # pairs compared at a time
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -104,16 +109,17 @@ def registers(shingles: np.ndarray, bands: int) -> np.ndarray:
 
 
 def band_keys(shingles: np.ndarray, sizes: Sizes) -> np.ndarray:
-    """Keys of the non-empty bands; the low four bits name the size class."""
+    """Keys of the non-empty bands; the low bits name band and size class."""
     out = []
     for c in sizes.of(len(shingles)) if len(shingles) else []:
         if c == 0:      # equal sets only: one key for the whole
-            keys = _mix(np.bitwise_xor.reduce(shingles, keepdims=True) + np.uint64(len(shingles)))
+            keys, band = _mix(np.bitwise_xor.reduce(shingles, keepdims=True) + np.uint64(len(shingles))), np.zeros(1, np.uint64)
         else:
             regs = registers(shingles, sizes.bands[c]).reshape(-1, ROWS)
-            halves = regs.view("<u8").astype(np.uint64)
-            keys = _mix(_mix(halves[:, 0] + np.arange(len(regs), dtype=np.uint64) * BASE) + halves[:, 1] * BASE)[regs.any(axis=1)]
-        out.append(keys & ~np.uint64(15) | np.uint64(c))
+            band = np.flatnonzero(regs.any(axis=1)).astype(np.uint64)
+            halves = regs.view("<u8").astype(np.uint64)[band]
+            keys = _mix(_mix(halves[:, 0]) + halves[:, 1] * BASE)
+        out.append(keys & ~np.uint64(LOW - 1) | band << np.uint64(4) | np.uint64(c))
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
@@ -128,12 +134,19 @@ def collision_rate(a: np.ndarray, b: np.ndarray, m: int) -> np.ndarray:
     return (both * x * y / (x + y)).sum(axis=1) / (-np.expm1(-x[:, 0]) * -np.expm1(-y[:, 0]))
 
 
-def likely(one: np.ndarray, n_one: int, others: np.ndarray, n_others: np.ndarray, percent: int) -> np.ndarray:
-    """Which of the other sketches may belong to a linked set: estimated Jaccard similarity not under the threshold by ``SIGMAS``."""
-    used = ((one > 0) | (others > 0)).sum(axis=1)
-    both = ((one > 0) & (others > 0)).sum(axis=1)
-    equal = ((one == others) & (one > 0)).sum(axis=1)
-    chance = collision_rate(np.full(len(others), float(n_one)), n_others.astype(float), len(one))
+@lru_cache(1 << 16)
+def _chance(n: int, m: int) -> float:
+    """Collision rate of two sets of about one size: linked sets differ by a few hundredths of it only."""
+    return float(collision_rate(np.array([float(n)]), np.array([float(n)]), m)[0])
+
+
+def likely(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sketches (rows of x and y, of sets of about ``sizes`` shingles) may belong to linked sets: those whose estimated
+    Jaccard similarity is not under the threshold by ``SIGMAS``."""
+    filled, full = x > 0, y > 0
+    equal = ((x == y) & filled).sum(axis=1)
+    used, both = (filled | full).sum(axis=1), (filled & full).sum(axis=1)
+    chance = np.array([_chance(int(n), x.shape[1]) for n in sizes])
     estimate = (equal - chance * both) / np.maximum(used - chance * both, 1)
     want = percent / 100
     return estimate >= want - SIGMAS * np.sqrt(want * (1 - want) / np.maximum(used, 1))
@@ -167,84 +180,178 @@ def full_sets(df: DataFrame, text: str, wanted: DataFrame, width: int, sizes: Si
     return texts.mapInPandas(build, "id binary, n long, shingles binary, sketches array<struct<size_class:int,registers:binary>>")
 
 
+def linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Whether two sets (ascending hashes) are similar enough."""
+    both = np.concatenate([one, other])
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The linked ones of the pairs (a, b), decided on the full sets."""
     @F.pandas_udf("boolean")
-    def linked(one: pd.Series, other: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(one, other):
-            both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
-            union = len(np.unique(both))
-            out.append(100 * (len(both) - union) >= percent * union)
-        return pd.Series(out, dtype=bool)
+    def passed(one: pd.Series, other: pd.Series) -> pd.Series:
+        return pd.Series([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(one, other)], dtype=bool)
 
     x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(x, "a").join(y, "b").where(linked("x", "y")).select("a", "b")
+    return pairs.join(x, "a").join(y, "b").where(passed("x", "y")).select("a", "b")
 
 
 def _fits(n, m, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def star_pairs(rows: DataFrame, percent: int, turn: int) -> DataFrame:
-    """For each class one member of another component in one of its key groups, by hash order of the turn."""
+def with_center(rows: DataFrame, turn: int) -> DataFrame:
+    """The rows (bucket, id, n, label) of the key groups that hold several components, with one member ``c`` of the group, by hash order of the turn."""
     center = F.min_by(F.struct("id", "label", "n"), F.xxhash64("id", F.lit(turn))).alias("c")
     groups = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), center).where("low < high")
-    met = rows.join(groups.select("bucket", "c"), "bucket").where((F.col("label") != F.col("c.label")) & _fits(F.col("n"), F.col("c.n"), percent))
+    return rows.join(groups.select("bucket", "c"), "bucket")
+
+
+def star_pairs(centered: DataFrame, percent: int, turn: int) -> DataFrame:
+    """For each class one center of its key groups that is of another component."""
+    met = centered.where((F.col("label") != F.col("c.label")) & _fits(F.col("n"), F.col("c.n"), percent))
     return met.groupBy(F.col("id").alias("a")).agg(F.min_by("c.id", F.xxhash64("c.id", F.lit(turn))).alias("b"))
 
 
-def sketch_pairs(rows: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs (a, b) of different components in one key group whose sketches may be linked."""
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            a, b = [], []
-            for members, same in zip(batch["members"], batch["same"]):
-                members = sorted(members, key=lambda m: m["n"])
-                n = np.array([m["n"] for m in members])
-                label = pd.factorize(np.array([bytes(m["label"]) for m in members], object))[0]
-                side = np.array([m["side"] for m in members])
-                regs = np.stack([np.frombuffer(m["registers"], "<u2") for m in members])
-                ends = np.searchsorted(n, n * 100 // percent, side="right")
-                for i, end in enumerate(ends):
-                    j = np.arange(i + 1, end)
-                    j = j[(label[j] != label[i]) & (same | (side[j] != side[i]))]
-                    if len(j):
-                        for k in j[likely(regs[i], n[i], regs[j], n[j], percent)]:
-                            a.append(members[i]["id"])
-                            b.append(members[k]["id"])
-            yield pd.DataFrame({"a": a, "b": b})
-
-    groups = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m")).where("low < high")
-    left = rows.drop("n").join(groups.select("bucket", F.ceil(F.col("m") / block).cast("int").alias("blocks")), "bucket")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    left = left.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def open_pairs(cells: pd.DataFrame, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (all a, all b) of pairs in one cell that may be linked, are of different components and share no earlier band.
+
+    ``cells`` holds whole cells, one after the other; pairs are judged ``AT_ONCE`` at a time.
+    """
+    key = cells[["bucket", "i", "j"]].to_numpy()
+    starts = np.append(np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1))), len(key))
+    size_class = key[:, 0] & 15
+    n, side, label = cells["n"].to_numpy(), cells["side"].to_numpy(), pd.factorize(cells["label"])[0]
+    crossing = key[:, 1] != key[:, 2]
+    raw = cells["registers"].to_numpy()
+
+    def judged(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+        fit = (label[a] != label[b]) & (100 * low >= percent * high) & (~crossing[a] | (side[a] != side[b]))
+        a, b = a[fit], b[fit]
+        for c in np.unique(size_class[a]):
+            own = size_class[a] == c
+            x, y = a[own], b[own]
+            rows, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+            regs = np.frombuffer(b"".join(raw[rows]), "<u2").reshape(len(rows), -1)
+            p, q = regs[at[:len(x)]], regs[at[len(x):]]
+            near = likely(p, q, n[x], percent)
+            x, y, p, q = x[near], y[near], p[near], q[near]
+            if len(x):
+                p, q = p.reshape(len(x), -1, ROWS), q.reshape(len(x), -1, ROWS)
+                shared = (p == q).all(axis=2) & p.any(axis=2)
+                band = (key[x, 0] & LOW - 1) >> 4
+                first = shared[np.arange(len(x)), band] & (np.argmax(shared, axis=1) == band)
+                if first.any():
+                    yield x[first], y[first]
+
+    held, total = [], 0
+    for lo, hi in zip(starts, starts[1:]):
+        for i in range(lo, hi - 1):
+            held.append((np.full(hi - i - 1, i), np.arange(i + 1, hi)))
+            total += hi - i - 1
+            if total >= AT_ONCE:
+                yield from judged(*map(np.concatenate, zip(*held)))
+                held, total = [], 0
+    if held:
+        yield from judged(*map(np.concatenate, zip(*held)))
+
+
+def whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches sorted by cell, cut so that no cell is divided."""
+    rest = None
+    for batch in batches:
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if len(rows):
+            last = rows.iloc[-1]
+            same = ((rows["bucket"] == last["bucket"]) & (rows["i"] == last["i"]) & (rows["j"] == last["j"])).to_numpy()
+            begin = int(np.argmax(same))
+            if begin:
+                yield rows.iloc[:begin]
+            rest = rows.iloc[begin:]
+    if rest is not None:
+        yield rest
+
+
+def _cells(rows: DataFrame, sets: DataFrame, block: int, *payload: str) -> DataFrame:
+    """Members of the key groups that hold several components, by blocks, once for each pair of blocks of the group, with their sketches."""
+    rows = rows.select("bucket", "id", "label", "n")
+    groups = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m"),
+                                        F.sum("n").alias("total")).where("low < high")
+    blocks = F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("total") * 8 / SET_BYTES) if "shingles" in payload else F.lit(1))
+    left = rows.join(groups.select("bucket", blocks.cast("int").alias("blocks")), "bucket")
+    left = left.withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     wanted = F.col("bucket").bitwiseAND(15).cast("int")
     known = F.get(F.filter("sketches", lambda s: s["size_class"] == wanted), 0)["registers"]
-    left = left.join(sets.select("id", "n", "sketches"), "id").withColumn("registers", known)
-    cell = left.groupBy("bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")).agg(
-        F.collect_list(F.struct("id", "label", "n", "side", "registers")).alias("members"))
-    cells = cell.select("members", (F.col("i") == F.col("j")).alias("same")).where(F.size("members") > 1)
-    return cells.mapInPandas(compare, "a binary, b binary").distinct()
+    return left.join(sets.select("id", "sketches", *payload), "id").select(
+        "bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "id", "label", "n", "side",
+        known.alias("registers"), *payload)
 
 
-def near_duplicates(df: DataFrame, key: str, text: str, width: int = 5, percent: int = 85, turns: int = 3,
+def close_members(rows: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """(bucket, id, label, n): the members of key groups that may be linked with one of another component there."""
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for cells in whole_cells(batches):
+            hit = np.zeros(len(cells), bool)
+            for a, b in open_pairs(cells, percent):
+                hit[a] = hit[b] = True
+            yield cells.loc[hit, ["bucket", "id", "label", "n"]]
+
+    cells = _cells(rows, sets, block).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return cells.mapInPandas(compare, "bucket long, id binary, label binary, n long").distinct()
+
+
+def forest_links(rows: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b): links, verified on the full sets, that connect what is linked between components inside the key groups."""
+    def connect(group: pd.DataFrame) -> pd.DataFrame:
+        label, ids = pd.factorize(group["label"])[0], group["id"].tolist()
+        members = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
+        parent, a, b = list(range(len(group))), [], []
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for one, other in open_pairs(group, percent):
+            for i, j in zip(one.tolist(), other.tolist()):
+                x, y = root(int(label[i])), root(int(label[j]))
+                if x != y and linked(members[i], members[j], percent):
+                    parent[max(x, y)] = min(x, y)
+                    a.append(ids[i])
+                    b.append(ids[j])
+        return pd.DataFrame({"a": a, "b": b})
+
+    cells = _cells(rows, sets, block, "shingles")
+    return cells.groupBy("bucket", "i", "j").applyInPandas(connect, "a binary, b binary")
+
+
+def near_duplicates(df: DataFrame, key: str, text: str, width: int = 5, percent: int = 85, turns: int = 2,
                     block: int = 2048) -> DataFrame:
     """One row per input row: key, ``n_shingles``, ``component_id`` (least key of its group), ``kept``."""
     sizes = Sizes(percent)
     classes = cut(classes_of(df, key, text, width, sizes), "minhash-classes")
-    keys = classes.select("id", "n", F.explode("keys").alias("bucket"))
-    several = keys.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
-    shared = cut(keys.join(several, "bucket"), "minhash-shared")
+    # Most keys belong to one class only: they are counted alone, and only what shares a key goes on.
+    keys = classes.select(F.explode("keys").alias("bucket"), "id", "n")
+    several = classes.select(F.explode("keys").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
+    shared = cut(keys.join(several, "bucket", "left_semi"), "minhash-shared")
     wanted = cut(shared.select("id").distinct(), "minhash-wanted")
     sets = cut(full_sets(df, text, wanted, width, sizes), "minhash-sets")
 
     links, labels = None, wanted.select("id", F.col("id").alias("label"))
     for turn in range(turns + 1):
-        rows = shared.join(labels, "id")
-        pairs = star_pairs(rows, percent, turn) if turn < turns else sketch_pairs(rows, sets, percent, block)
-        found = cut(verified(cut(pairs, "minhash-pairs"), sets, percent), "minhash-links")
+        rows = shared.select("bucket", "id", "n").join(labels, "id") if turn else shared.withColumn("label", F.col("id"))
+        if turn < turns:    # only the key groups that still hold several components go on
+            shared = cut(with_center(rows, turn), "minhash-open")
+            found = verified(cut(star_pairs(shared, percent, turn), "minhash-pairs"), sets, percent)
+        else:
+            found = forest_links(cut(close_members(rows, sets, percent, block), "minhash-close"), sets, percent, block)
+        found = cut(found, "minhash-links")
         links = found if links is None else links.unionByName(found)
         if found.isEmpty():
             continue
