@@ -51,6 +51,7 @@ SIGMAS = 6
 LOW = 1 << 10           # of a key: four bits for the size class, six for the band
 SET_BYTES = 1 << 24     # of full sets on one side of a comparison
 AT_ONCE = 1 << 12       # pairs compared at a time
+PAIR_BYTES = 1 << 25    # of pairs that may be broadcast
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -194,9 +195,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def passed(one: pd.Series, other: pd.Series) -> pd.Series:
         return pd.Series([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(one, other)], dtype=bool)
 
-    x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(x, "a").join(y, "b").where(passed("x", "y")).select("a", "b")
+    # Where the pairs are few enough to be sent to the sets, only the sets that a pair names are shuffled.
+    x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")).join(sized_side(pairs, max_bytes=PAIR_BYTES), "a")
+    other = sets.join(sized_side(pairs.select(F.col("b").alias("id")).distinct(), max_bytes=PAIR_BYTES), "id", "left_semi")
+    y = other.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+    return x.join(y, "b").where(passed("x", "y")).select("a", "b")
 
 
 def _fits(n, m, percent: int):
