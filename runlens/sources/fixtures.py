@@ -82,7 +82,12 @@ def _params(user_id: Column) -> Column:
 
 
 def runs_from_events(events: DataFrame) -> DataFrame:
-    """One row per run with a ``metrics`` map (schema ``RUNS``).
+    """One row per run with a ``metrics`` map (schema ``RUNS``)."""
+    return runs_of(user_days(events))
+
+
+def user_days(events: DataFrame) -> DataFrame:
+    """(user_id, d, start_time, end_time, metrics): what of a run does not follow from its user and day.
 
     Two aggregations: (user, day, event_type) first, which partially aggregates
     map-side so even a user-day holding a large share of all events shuffles one
@@ -94,13 +99,17 @@ def runs_from_events(events: DataFrame) -> DataFrame:
         F.max("ts").alias("t1"),
         F.count(F.lit(1)).alias("n"),
     )
-    runs = cells.groupBy("user_id", "d").agg(
+    return cells.groupBy("user_id", "d").agg(
         F.min("t0").alias("start_time"),
         F.when(F.sum("n") > 1, F.max("t1")).alias("end_time"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("event_type", "v")))).alias("metrics"),
     )
+
+
+def runs_of(days: DataFrame) -> DataFrame:
+    """The runs (schema ``RUNS``) of ``user_days``; their texts and maps are made here, so no shuffle need carry them."""
     run_id = _run_id(F.col("user_id"), F.col("d"))
-    return runs.select(
+    return days.select(
         run_id.alias("run_id"),
         (F.col("user_id") % N_EXPERIMENTS).cast("string").alias("experiment_id"),
         "start_time",

@@ -73,46 +73,46 @@ class HourlyUpdater:
         tables = StreamTables.beside(batch.sparkSession, self.history)
         if 0 <= batch_id <= tables.state["batch"]:
             return      # committed before a restart
-        stamped = batch.withColumn("moved", F.lit(False)).withColumn("day_key", _day("start_time")).persist()
-        runs = self._whereabouts(tables, stamped).persist()
-        try:
-            # One row per calendar day that the batch's runs are in or were in.
-            days = {r["day"]: r["left"] for r in runs.select(F.explode("days").alias("day"), "newest").groupBy("day").agg(
-                F.max(F.col("day") != F.col("newest.day_key")).alias("left")).collect()}
-            if days:
-                self._store(tables, stamped, runs, days, batch_id)
-        finally:
-            runs.unpersist()
-            stamped.unpersist()
+        commit = fresh_id()
+        rows = batch.withColumn("moved", F.lit(False)).withColumn("day_key", _day("start_time"))
+        # The rows are written before anything else is asked of them; the steps below read the columns they need from these files.
+        own = tables.with_changes({"history": added({}, tables.write(rows, "history", commit), commit)})
+        if own.state["history"]:
+            with tables.kept("runs", self._whereabouts(tables, own.read("history", rows.schema)), commit) as runs:
+                # One row per calendar day that the batch's runs are in or were in.
+                days = {r["day"]: r["left"] for r in runs.select(F.explode("days").alias("day"), "newest").groupBy("day").agg(
+                    F.max(F.col("day") != F.col("newest.day_key")).alias("left")).collect()}
+                self._store(tables, own, rows.schema, runs, days, commit, batch_id)
+        else:
+            tables.drop("history", commit)
         self.read_paths = tables.read_paths
 
     def _whereabouts(self, tables: StreamTables, stamped: DataFrame) -> DataFrame:
         """Per run of the batch: ``newest`` (extraction, start, day), all ``days`` it has rows in, whether it is new to the index."""
         seen = stamped.groupBy("run_id").agg(
             F.max(F.struct("extraction_timestamp", "start_time", "day_key")).alias("seen"), F.collect_set("day_key").alias("days"))
-        known = tables.whereabouts(seen).select("run_id", F.col("newest").alias("known"))
+        known = tables.whereabouts(stamped).select("run_id", F.col("newest").alias("known"))
         newest = F.greatest("seen", "known")
         return seen.join(known, "run_id", "left").select(
             "run_id", newest.alias("newest"), F.col("known").isNull().alias("fresh"), (~newest.eqNullSafe(F.col("known"))).alias("changed"),
             F.when(F.col("known").isNull(), F.col("days")).otherwise(F.array_union("days", F.array("known.day_key"))).alias("days"))
 
-    def _store(self, tables: StreamTables, stamped: DataFrame, runs: DataFrame, days: dict[str, bool], batch_id: int) -> None:
-        commit, schema = fresh_id(), stamped.schema
-        rows, left = stamped, sorted(d for d, any_left in days.items() if any_left)
+    def _store(self, tables: StreamTables, own: StreamTables, schema: T.StructType, runs: DataFrame, days: dict[str, bool],
+               commit: str, batch_id: int) -> None:
+        written, left = list(own.state["history"]), sorted(d for d, any_left in days.items() if any_left)
         if left:
             gone = runs.select("run_id", "newest", F.explode("days").alias("day_key")).where(F.col("day_key") != F.col("newest.day_key"))
-            old = tables.read("history", schema, left).where("not moved").select(*stamped.columns).unionByName(stamped.where(F.col("day_key").isin(left)))
+            old = tables.read("history", schema, left).where("not moved").select(*schema.names).unionByName(own.read("history", schema, left))
             marks = (old.join(gone, ["run_id", "day_key"]).withColumn("start_time", F.col("newest.start_time"))
                      .withColumn("extraction_timestamp", F.col("newest.extraction_timestamp")).withColumn("moved", F.lit(True))
-                     .select(*stamped.columns).dropDuplicates(["run_id", "metric_name", "day_key"]))
-            rows = rows.unionByName(marks)
-        written = tables.write(rows.sortWithinPartitions("day_key"), "history", commit)
+                     .select(*schema.names).dropDuplicates(["run_id", "metric_name", "day_key"]))
+            written = tables.write(marks, "history", commit)
         history = added(tables.state["history"], written, commit)
         after = tables.with_changes({"history": history})
         full = [d for d in sorted(days) if len(history.get(d, [])) > MAX_FOLDERS]
         if full:    # a day of many small parts becomes one, of the rows that can still count
             merged = fresh_id()
-            after.write(_newest(after.read("history", schema, full)).select(*stamped.columns), "history", merged)
+            after.write(_newest(after.read("history", schema, full)).select(*schema.names), "history", merged)
             history = {**history, **{d: [merged] for d in full}}
             after = tables.with_changes({"history": history})
         current = latest_wins(after.read("history", schema, sorted(days)))

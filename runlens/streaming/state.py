@@ -16,11 +16,14 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runlens.session import local_table
 from runlens.sinks import commits
 
 MAX_FOLDERS = 8
@@ -67,23 +70,37 @@ class StreamTables:
         self.read_paths += paths
         full = T.StructType([*[f for f in schema.fields if f.name != part], T.StructField("commit", T.StringType()), T.StructField(part, T.StringType())])
         if not paths:
-            return self.spark.createDataFrame([], full).drop("commit")
+            return local_table(self.spark, [], full).drop("commit")
         return self.spark.read.schema(full).option("basePath", f"{self.work}/{table}").parquet(*paths).drop("commit")
 
     def write(self, rows: DataFrame, table: str, commit: str) -> list[str]:
-        """Write rows partitioned by day or bucket under a fresh commit; the days or buckets that got rows."""
+        """Add rows partitioned by day or bucket to a commit that is not recorded yet; the days or buckets it has rows of."""
         part = "bucket" if table == "index" else "day_key"
         path = f"{self.work}/{table}/commit={commit}"
-        rows.write.partitionBy(part).parquet(path)
+        rows.write.mode("append").partitionBy(part).parquet(path)
         return [n.split("=", 1)[1] for n in commits.children(self.spark, path) if n.startswith(f"{part}=")]
 
+    def drop(self, table: str, commit: str) -> None:
+        """Remove a commit that no record names."""
+        commits.delete_path(self.spark, f"{self.work}/{table}/commit={commit}")
+
+    @contextmanager
+    def kept(self, name: str, rows: DataFrame, commit: str) -> Iterator[DataFrame]:
+        """Rows that several steps of a batch read, as files that go when the batch ends."""
+        path = f"{self.work}/_{name}/commit={commit}"
+        try:
+            rows.write.parquet(path)
+            yield self.spark.read.schema(rows.schema).parquet(path)
+        finally:
+            commits.delete_path(self.spark, path)
+
     def bucket(self, run_id: str = "run_id") -> F.Column:
         return F.pmod(F.xxhash64(run_id), F.lit(self.state["buckets"])).cast("string")
 
     def whereabouts(self, runs: DataFrame) -> DataFrame:
         """(run_id, newest) of those buckets that the runs are in."""
         if not self.state["index"]:
-            return self.spark.createDataFrame([], INDEX)
+            return local_table(self.spark, [], INDEX)
         # At most one row per bucket.
         keys = ["0"] if self.state["buckets"] == 1 else [r[0] for r in runs.select(self.bucket().alias("b")).distinct().collect()]
         return self.read("index", INDEX, keys).groupBy("run_id").agg(F.max("newest").alias("newest"))
@@ -105,7 +122,7 @@ class StreamTables:
     def sweep(self, older_than: dt.timedelta = dt.timedelta(days=1)) -> list[str]:
         """Remove commits that no record names (writers that died) and that are older than ``older_than``."""
         named = {p.split("/")[1] for p in _folders(self.state) | set(self.state["retired"])}
-        return [n for table in ("history", "hourly", "index") for n in commits.sweep(self.spark, f"{self.work}/{table}", named, older_than)]
+        return [n for table in ("history", "hourly", "index", "_runs") for n in commits.sweep(self.spark, f"{self.work}/{table}", named, older_than)]
 
 
 def _listed(value) -> list[str]:
@@ -127,18 +144,23 @@ def index_change(tables: StreamTables, rows: DataFrame, commit: str, bucket_runs
     counts = rows.agg(F.count_if("fresh").alias("fresh"), F.count_if("changed").alias("changed")).first()
     if not counts["changed"]:
         return {}
-    own = rows.where("changed").select("run_id", "newest", tables.bucket().alias("bucket"))
-    keys = tables.write(own.repartition("bucket"), "index", commit)
+    own = rows.where("changed").select("run_id", "newest")
     runs = tables.state["runs"] + counts["fresh"]
-    listed = added(tables.state["index"], keys, commit)
-    buckets = tables.state["buckets"]
+    listed, buckets = tables.state["index"], tables.state["buckets"]
     while runs > bucket_runs * buckets:
         buckets *= 4
-    full = list(listed) if buckets > tables.state["buckets"] else [k for k, cs in listed.items() if len(cs) > MAX_FOLDERS]
+    if buckets > tables.state["buckets"]:   # all runs are dealt anew, those of the batch straight into the new buckets
+        later = tables.with_changes({"buckets": buckets})
+        if listed:
+            own = later.read("index", INDEX).select(*own.columns).unionByName(own).groupBy("run_id").agg(F.max("newest").alias("newest"))
+        keys = later.write(own.withColumn("bucket", later.bucket()).repartition("bucket"), "index", commit)
+        return {"index": {k: [commit] for k in keys}, "buckets": buckets, "runs": runs}
+    keys = tables.write(own.withColumn("bucket", tables.bucket()).repartition("bucket"), "index", commit)
+    listed = added(listed, keys, commit)
+    full = [k for k, cs in listed.items() if len(cs) > MAX_FOLDERS]
     if full:
-        later = tables.with_changes({"index": listed, "buckets": buckets})
-        merged = later.read("index", INDEX, full).groupBy("run_id").agg(F.max("newest").alias("newest"))
+        merged = tables.with_changes({"index": listed}).read("index", INDEX, full).groupBy("run_id").agg(F.max("newest").alias("newest"))
         fresh = commits.fresh_id()
-        keys = later.write(merged.withColumn("bucket", later.bucket()).repartition("bucket"), "index", fresh)
+        keys = tables.write(merged.withColumn("bucket", tables.bucket()).repartition("bucket"), "index", fresh)
         listed = {**{k: cs for k, cs in listed.items() if k not in full}, **{k: [fresh] for k in keys}}
     return {"index": listed, "buckets": buckets, "runs": runs}
