@@ -761,7 +761,7 @@ def q_stream_series(spark, sf_dir):
 
     t = build(spark, sf_dir)
     history, _ = _drain_stream(spark, sf_dir)
-    e = stored_series(spark, history, t.metadata, t.thresholds, AS_OF)
+    e = stored_series(spark, history, t.metadata, t.thresholds, AS_OF, ["run_id", "experiment_id", "metric_name", "start_time"])
     return e.select("run_id", "experiment_id", "metric_name", "start_time",
                     round6(F.col("moving_avg_24h")).alias("moving_avg_24h"),
                     round6(F.col("forecast_next")).alias("forecast_next"))

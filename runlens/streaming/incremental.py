@@ -29,8 +29,10 @@ from pyspark.sql import types as T
 from runlens import schemas as S
 from runlens.operators import summaries as sm
 from runlens.operators.enrich import enrich
-from runlens.operators.series import series_windows
+from runlens.operators.series import SERIES, series_windows
+from runlens.session import scratch_path
 from runlens.sinks.commits import fresh_id
+from runlens.sinks.tables import read_parquet, write_parquet
 from runlens.streaming.state import BUCKET_RUNS, MAX_FOLDERS, StreamTables, added, index_change
 
 
@@ -178,9 +180,17 @@ def stored_trend(spark: SparkSession, hourly: str) -> DataFrame:
 
 
 def stored_series(spark: SparkSession, history: str, metadata: DataFrame, thresholds: DataFrame,
-                  as_of: dt.datetime | None = None) -> DataFrame:
-    """Current rows with the moving average and forecast of their whole stored series."""
-    return series_windows(enrich(read_current(spark, history), metadata, thresholds, as_of))
+                  as_of: dt.datetime | None = None, columns: list[str] | None = None) -> DataFrame:
+    """Current rows with the moving average and forecast of their whole stored series.
+
+    ``columns`` of the enriched rows are kept (all by default). The current rows are written to the shared folder once, with those
+    columns and the ones the windows need, because the windows read them several times.
+    """
+    current = enrich(read_current(spark, history), metadata, thresholds, as_of)
+    columns = columns or current.columns
+    path = scratch_path(spark, "stream-series")
+    write_parquet(current.select(*dict.fromkeys([*columns, *SERIES, "start_time", "run_id", "metric_value"])), path)
+    return series_windows(read_parquet(spark, path)).select(*columns, "moving_avg_24h", "forecast_next")
 
 
 def watermarked_hourly(classified_stream: DataFrame, watermark: str = "1 hour") -> DataFrame:

@@ -5,6 +5,8 @@ import os
 
 from pyspark.sql import functions as F
 
+from runlens.operators.enrich import enrich
+from runlens.operators.series import series_windows
 from runlens.plans.context import build
 from runlens.session import scratch_path
 from runlens.sinks import commits
@@ -23,6 +25,20 @@ def _fed(spark, name, **kw):
     return work
 
 
+def test_series_read_a_stored_copy_of_the_current_rows(spark):
+    history = f"{_fed(spark, 't-series')}/history"
+    meta, thr = fx.metric_metadata(spark), fx.thresholds(spark)
+    want = series_windows(enrich(inc.read_current(spark, history), meta, thr, T0))
+    whole = inc.stored_series(spark, history, meta, thr, T0)
+    assert whole.columns == want.columns and not [f for f in whole.inputFiles() if "/history/" in f]
+    cols = ["run_id", "metric_name", "start_time"]
+    few = inc.stored_series(spark, history, meta, thr, T0, cols)
+    cols += ["moving_avg_24h", "forecast_next"]
+    assert few.columns == cols
+    rows = sorted(tuple(r) for r in want.select(*cols).collect())
+    assert len(rows) == 8 and rows == sorted(tuple(r) for r in whole.select(*cols).collect()) == sorted(tuple(r) for r in few.collect())
+
+
 def test_a_growing_index_is_written_once_a_batch(spark):
     work = _fed(spark, "t-once", bucket_runs=1)
     tables = StreamTables(spark, work)
