@@ -189,6 +189,11 @@ def linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
+def wanted_sets(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sets of the given ids; few enough ids are sent to the sets, so that a join that follows shuffles no other set."""
+    return sets.join(sized_side(ids.distinct(), max_bytes=PAIR_BYTES), "id", "left_semi")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The linked ones of the pairs (a, b), decided on the full sets."""
     @F.pandas_udf("boolean")
@@ -197,8 +202,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     # Where the pairs are few enough to be sent to the sets, only the sets that a pair names are shuffled.
     x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")).join(sized_side(pairs, max_bytes=PAIR_BYTES), "a")
-    other = sets.join(sized_side(pairs.select(F.col("b").alias("id")).distinct(), max_bytes=PAIR_BYTES), "id", "left_semi")
-    y = other.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+    y = wanted_sets(sets, pairs.select(F.col("b").alias("id"))).select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     return x.join(y, "b").where(passed("x", "y")).select("a", "b")
 
 
@@ -285,12 +289,13 @@ def _cells(rows: DataFrame, sets: DataFrame, block: int, *payload: str) -> DataF
     groups = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m"),
                                         F.sum("n").alias("total")).where("low < high")
     blocks = F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("total") * 8 / SET_BYTES) if "shingles" in payload else F.lit(1))
-    left = rows.join(groups.select("bucket", blocks.cast("int").alias("blocks")), "bucket")
-    left = left.withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    open_rows = cut(rows.join(groups.select("bucket", blocks.cast("int").alias("blocks")), "bucket"), "minhash-members")
+    left = open_rows.withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     wanted = F.col("bucket").bitwiseAND(15).cast("int")
     known = F.get(F.filter("sketches", lambda s: s["size_class"] == wanted), 0)["registers"]
-    return left.join(sets.select("id", "sketches", *payload), "id").select(
+    own = wanted_sets(sets, open_rows.select("id")).select("id", "sketches", *payload)
+    return left.join(own, "id").select(
         "bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "id", "label", "n", "side",
         known.alias("registers"), *payload)
 

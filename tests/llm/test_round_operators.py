@@ -297,3 +297,23 @@ def test_mixing_of_null_and_equal_keys_is_the_same_on_every_run(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = [Counter(tuple(r) for r in mixing.mix(df.repartition(n), "doc_id", "text", "source").select("doc_id", "text", "source", "copies").collect()) for n in (1, 5)]
     assert kept[0] == kept[1] and len({c for *_, c in kept[0]}) > 1
+
+
+def test_op12_only_sets_of_open_groups_are_shuffled(spark):
+    """Members of key groups of one component send no set through the shuffle of the comparison."""
+    from runlens.llm import minhash as mh
+
+    sizes = mh.Sizes(85)
+    docs = {i: " ".join(f"w{i}-{j}" for j in range(40)) for i in range(6)}
+    ids = {i: bytes([i]) for i in docs}
+    made = [(ids[i], len(s), s.tobytes(), [(c, mh.registers(s, sizes.bands[c]).tobytes()) for c in sizes.of(len(s))])
+            for i, s in ((i, mh.shingle_set(t, 5)) for i, t in docs.items())]
+    sets = spark.createDataFrame(made, "id binary, n long, shingles binary, sketches array<struct<size_class:int,registers:binary>>")
+    bucket = sizes.of(36)[0]
+    rows = spark.createDataFrame([(bucket, ids[0], 36, b"a"), (bucket, ids[1], 36, b"b"), (bucket + 1024, ids[0], 36, b"a"),
+                                  (bucket + 1024, ids[2], 36, b"a"), (bucket + 2048, ids[3], 36, b"c")], "bucket long, id binary, n long, label binary")
+    cells = mh._cells(rows, sets, 2048, "shingles")
+    assert sorted((bytes(r["id"]), bytes(r["shingles"])) for r in cells.collect()) == [(ids[i], made[i][2]) for i in (0, 1)]
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+    assert sorted(bytes(r["id"]) for r in mh.wanted_sets(sets, rows.select("id")).collect()) == [ids[i] for i in range(4)]
